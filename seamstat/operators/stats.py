@@ -251,10 +251,10 @@ def per_nine(df: DataFrame) -> DataFrame:
     """ERA, WHIP, K/9, BB/9, HR/9 over innings = outs / 3 (DOM-09).
     ``x * 9 / (outs / 3)`` is written ``27 x / outs``."""
     o = _d("outs")
-    per9 = lambda x: pg_round(safe_div(_d(x) * 27, o), 2)
+    per9 = lambda x: pg_round(safe_div(_d(F.col(x) * 27), o), 2)
     return df.withColumns({
         "era": per9("earned_runs"),
-        "whip": pg_round(safe_div(_d(F.col("h") + F.col("bb")) * 3, o), 2),
+        "whip": pg_round(safe_div(_d((F.col("h") + F.col("bb")) * 3), o), 2),
         "k_9": per9("k"), "bb_9": per9("bb"), "hr_9": per9("hr"),
     })
 
@@ -262,8 +262,8 @@ def per_nine(df: DataFrame) -> DataFrame:
 def k_bb_rates(df: DataFrame) -> DataFrame:
     """K% and BB% (x100, 1 decimal) and K/BB (2) (DOM-10)."""
     return df.withColumns({
-        "k_pct": pg_round(safe_div(_d("k") * 100, _d("tbf")), 1),
-        "bb_pct": pg_round(safe_div(_d("bb") * 100, _d("tbf")), 1),
+        "k_pct": pg_round(safe_div(_d(F.col("k") * 100), _d("tbf")), 1),
+        "bb_pct": pg_round(safe_div(_d(F.col("bb") * 100), _d("tbf")), 1),
         "k_bb": pg_round(safe_div(_d("k"), _d("bb")), 2),
     })
 
@@ -284,7 +284,7 @@ def contact_rates(df: DataFrame) -> DataFrame:
 def fip(df: DataFrame) -> DataFrame:
     """FIP = (13 HR + 3 (BB + HBP) - 2 K) / IP + season constant (DOM-12)."""
     col = F.col
-    core = _d(13 * col("hr") + 3 * (col("bb") + col("hbp")) - 2 * col("k")) * 3
+    core = _d((13 * col("hr") + 3 * (col("bb") + col("hbp")) - 2 * col("k")) * 3)
     cf = col("cfip").cast(CONST)
     return df.withColumn("fip", pg_round(
         safe_div((core + cf * _d("outs")).cast(DecimalType(24, 4)), _d("outs")), 2))

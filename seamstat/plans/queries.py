@@ -149,3 +149,116 @@ def q_batting_stats(spark, sf_dir):
     out = stats.batting_stats(T.pitches(spark, sf_dir), T.games(spark, sf_dir),
                               T.constants(spark), T.park_factors(spark, sf_dir))
     return _dbl(_big(out, ["season"]), BAT_RATE_COLS)
+
+
+# --------------------------------------------------------------- pitching --
+DUCK_PIT_COUNTS = f"""counts AS (
+  SELECT pitcher, season,
+         CASE WHEN grouping(pitcher_team) = 1 THEN 'TOT' ELSE pitcher_team END AS pitcher_team,
+         CASE WHEN grouping(pitcher_team) = 1 THEN 'total' ELSE 'team' END AS split_type,
+         count(*) AS tbf, {_cnt(K.HIT)} AS h, {_cnt(K.SINGLE)} AS "1b",
+         {_cnt(K.DOUBLE)} AS "2b", {_cnt(K.TRIPLE)} AS "3b", {_cnt(K.HOME_RUN)} AS hr,
+         {_cnt(K.WALK)} AS bb, {_cnt(K.INTENT_WALK)} AS ibb, {_cnt(K.HIT_BY_PITCH)} AS hbp,
+         {_cnt(K.STRIKEOUT)} AS k, {_cnt(K.SAC_FLY)} AS sf, {_cnt(K.SAC_BUNT)} AS sac,
+         count(*) FILTER (WHERE bb_type = 'fly_ball') AS fly_balls,
+         {_cnt(K.ONE_OUT)} + 2 * {_cnt(K.TWO_OUTS)} + 3 * {_cnt(K.THREE_OUTS)} AS derived_outs
+  FROM pa GROUP BY GROUPING SETS ((pitcher, season, pitcher_team), (pitcher, season))),
+joined AS (
+  SELECT c.*, m.outs AS official_outs, m.wins, m.losses, m.saves,
+         m.games_played AS games, m.games_started, m.earned_runs
+  FROM counts c JOIN official_v m ON m.player_id = c.pitcher AND m.season = c.season),
+adj AS (
+  SELECT *, official_outs - sum(derived_outs) OVER w AS diff, count(*) OVER w AS n_teams,
+         row_number() OVER (PARTITION BY pitcher, season, split_type ORDER BY pitcher_team) AS rn
+  FROM joined WINDOW w AS (PARTITION BY pitcher, season, split_type)),
+lines AS (
+  SELECT a.*, CAST(CASE WHEN split_type = 'team'
+              THEN derived_outs + diff // n_teams + CASE WHEN rn <= diff % n_teams THEN 1 ELSE 0 END
+              ELSE official_outs END AS BIGINT) AS outs
+  FROM adj a)"""
+
+PIT_COUNT_COLS = ["tbf", "h", "1b", "2b", "3b", "hr", "bb", "ibb", "hbp", "k", "sf", "sac"]
+PIT_RATE_COLS = ["era", "k_pct", "bb_pct", "k_bb", "ba_against", "babip", "whip",
+                 "k_9", "bb_9", "hr_9", "hr_fb", "fip"]
+_OFFICIAL_COLS = ["wins", "losses", "saves", "games", "games_started"]
+
+
+def _duck_pitching_select() -> str:
+    cf = "CAST(round(lc.cfip * 1000) AS BIGINT)"
+    core = "(13 * l.hr + 3 * (l.bb + l.hbp) - 2 * l.k)"
+    off = ", ".join(f"CAST(CASE WHEN l.split_type = 'total' THEN l.{x} END AS BIGINT) AS {x}"
+                    for x in _OFFICIAL_COLS)
+    cnts = ", ".join(f'CAST(l."{x}" AS BIGINT) AS "{x}"' for x in PIT_COUNT_COLS)
+    er = "CASE WHEN l.split_type = 'total' THEN l.earned_runs END"
+    return f"""
+SELECT l.pitcher, l.pitcher_team, l.split_type, l.season, {off},
+       {cnts},
+       (CAST(10 * (l.outs // 3) + l.outs % 3 AS DOUBLE) / 10.0) AS ip, l.outs,
+       {rdiv(f'27 * ({er})', 'l.outs', 2)} AS era,
+       {rdiv('100 * l.k', 'l.tbf', 1)} AS k_pct,
+       {rdiv('100 * l.bb', 'l.tbf', 1)} AS bb_pct,
+       {rdiv('l.k', 'l.bb', 2)} AS k_bb,
+       {rdiv('l.h', 'l.tbf - l.bb - l.hbp - l.sf - l.sac', 3)} AS ba_against,
+       {rdiv('l.h - l.hr', 'l.tbf - l.bb - l.hbp - l.sac - l.k - l.hr', 3)} AS babip,
+       {rdiv('3 * (l.h + l.bb)', 'l.outs', 2)} AS whip,
+       {rdiv('27 * l.k', 'l.outs', 2)} AS k_9,
+       {rdiv('27 * l.bb', 'l.outs', 2)} AS bb_9,
+       {rdiv('27 * l.hr', 'l.outs', 2)} AS hr_9,
+       {rdiv('l.hr', 'l.fly_balls', 3)} AS hr_fb,
+       {rdiv(f'3000 * {core} + {cf} * l.outs', '1000 * l.outs', 2)} AS fip
+FROM lines l JOIN constants_v lc ON lc.season = l.season"""
+
+
+_PIT_WITH = T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, T.DUCK_OFFICIAL_PITCHING,
+                        T.duck_constants(), _duck_pa("pitcher"), DUCK_PIT_COUNTS)
+
+
+def _pitching(spark, sf_dir):
+    out = stats.pitching_stats(T.pitches(spark, sf_dir), T.games(spark, sf_dir),
+                               T.official_pitching(spark, sf_dir), T.constants(spark))
+    return _dbl(_big(out, ["season"]), ["ip", *PIT_RATE_COLS])
+
+
+@register("q_pitching_stats", _PIT_WITH + _duck_pitching_select())
+def q_pitching_stats(spark, sf_dir):
+    """Full pitching statistics, team and total rows (DOM-06..12, JON-04)."""
+    return _pitching(spark, sf_dir)
+
+
+@register("q_apportion", _PIT_WITH + """
+SELECT pitcher, pitcher_team, season, CAST(derived_outs AS BIGINT) AS derived_outs,
+       CAST(official_outs AS BIGINT) AS official_outs, outs
+FROM lines WHERE split_type = 'team'""")
+def q_apportion(spark, sf_dir):
+    """Official outs apportioned to team rows (DOM-07, WIN-01..03, SCA-05);
+    negative differences keep their truncating remainder."""
+    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "pitcher")
+    counts = stats.pitching_counts(pa)
+    off = T.official_pitching(spark, sf_dir).select(
+        F.col("player_id").alias("pitcher"), "season", F.col("outs").alias("official_outs"))
+    df = stats.apportion_outs(counts.join(off, ["pitcher", "season"], "inner"))
+    return _big(df.where(F.col("split_type") == "team"), ["season", "derived_outs", "official_outs"]) \
+        .select("pitcher", "pitcher_team", "season", "derived_outs", "official_outs", "outs")
+
+
+@register("q_innings_notation", _PIT_WITH + """,
+full_lines AS (""" + _duck_pitching_select() + """)
+SELECT pitcher, pitcher_team, split_type, season, outs, ip, era, whip, k_9, bb_9, hr_9, fip
+FROM full_lines""")
+def q_innings_notation(spark, sf_dir):
+    """Innings notation and per-nine rates, FIP (DOM-08, DOM-09, DOM-12)."""
+    return _pitching(spark, sf_dir).select(
+        "pitcher", "pitcher_team", "split_type", "season", "outs", "ip", "era", "whip",
+        "k_9", "bb_9", "hr_9", "fip")
+
+
+@register("q_pitch_rates", _PIT_WITH + """,
+full_lines AS (""" + _duck_pitching_select() + """)
+SELECT pitcher, pitcher_team, split_type, season, tbf, k_pct, bb_pct, k_bb,
+       ba_against, babip, hr_fb
+FROM full_lines""")
+def q_pitch_rates(spark, sf_dir):
+    """K%, BB%, K/BB, BA against, BABIP, HR/FB (DOM-10, DOM-11)."""
+    return _pitching(spark, sf_dir).select(
+        "pitcher", "pitcher_team", "split_type", "season", "tbf", "k_pct", "bb_pct",
+        "k_bb", "ba_against", "babip", "hr_fb")
