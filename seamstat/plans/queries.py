@@ -262,3 +262,145 @@ def q_pitch_rates(spark, sf_dir):
     return _pitching(spark, sf_dir).select(
         "pitcher", "pitcher_team", "split_type", "season", "tbf", "k_pct", "bb_pct",
         "k_bb", "ba_against", "babip", "hr_fb")
+
+
+# ----------------------------------------------------------------- splits --
+from seamstat.functions.codes import barrel_tiers  # noqa: E402
+from seamstat.operators import features as FT  # noqa: E402
+from seamstat.operators import splits as SP  # noqa: E402
+
+_SEASON_PITCHES = """sp AS (
+  SELECT p.*, CAST(year(g.game_date) AS BIGINT) AS season, month(g.game_date) AS mon
+  FROM pitches_v p JOIN games_v g ON g.game_pk = p.game_pk WHERE g.game_type = 'R')"""
+
+
+def _duck_whiff(mask: str) -> str:
+    return rdiv(f"count(*) FILTER (WHERE {mask} AND description IN {_q(K.WHIFF)})",
+                f"count(*) FILTER (WHERE {mask} AND description IN {_q(K.SWING)})", 3)
+
+
+def _duck_avg(mask: str, x: str, n: int) -> str:
+    return round_dbl(f"avg({x}) FILTER (WHERE {mask})", n)
+
+
+def _duck_barrel() -> str:
+    conds = " OR ".join(f"(launch_speed >= {s} AND launch_angle BETWEEN {lo} AND {hi})"
+                        for s, lo, hi in barrel_tiers())
+    return f"(CASE WHEN {conds} THEN 1 ELSE 0 END)"
+
+
+def _platoon_sql() -> str:
+    parts = []
+    for s in ("L", "R"):
+        m = f"p_throws = '{s}'"
+        parts += [f"CAST(nullif(count(*) FILTER (WHERE {m}), 0) AS BIGINT) AS pitches_vs_{s}",
+                  f"{_duck_avg(m + ' AND launch_speed IS NOT NULL', 'launch_speed', 1)} AS ev_vs_{s}",
+                  f"{_duck_avg(m + ' AND launch_speed IS NOT NULL', 'estimated_woba_using_speedangle', 3)} AS xwoba_vs_{s}",
+                  f"{_duck_whiff(m)} AS whiff_vs_{s}"]
+    return ",\n       ".join(parts)
+
+
+def _half_sql() -> str:
+    parts = []
+    for h, m in (("h1", "NOT coalesce(mon >= 7, false)"), ("h2", "coalesce(mon >= 7, false)")):
+        t = m + " AND launch_speed IS NOT NULL"
+        parts += [f"{_duck_avg(t, 'launch_speed', 1)} AS ev_{h}",
+                  f"{_duck_avg(t, 'estimated_woba_using_speedangle', 3)} AS xwoba_{h}",
+                  f"{_duck_avg(t, _duck_barrel(), 3)} AS barrel_{h}",
+                  f"{_duck_whiff(m)} AS whiff_{h}"]
+    return ",\n       ".join(parts)
+
+
+_PLATOON_COLS = [f"{a}_vs_{s}" for s in ("L", "R") for a in ("pitches", "ev", "xwoba", "whiff")]
+_HALF_COLS = [f"{a}_{h}" for h in ("h1", "h2") for a in ("ev", "xwoba", "barrel", "whiff")]
+
+
+@register("q_platoon_pivot", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _SEASON_PITCHES) + f"""
+SELECT player_id, season, {', '.join(_PLATOON_COLS)},
+       xwoba_vs_L - xwoba_vs_R AS xwoba_platoon_gap, whiff_vs_L - whiff_vs_R AS whiff_platoon_gap
+FROM (SELECT batter AS player_id, season,
+       {_platoon_sql()}
+      FROM sp GROUP BY batter, season) t""")
+def q_platoon_pivot(spark, sf_dir):
+    """Platoon splits pivoted to columns with L-R gaps (DOM-13, JON-07,
+    AGG-05, AGG-06)."""
+    f = SP.hitter_split_features(T.pitches(spark, sf_dir), T.games(spark, sf_dir))
+    return _big(f, ["season"]).select("player_id", "season", *_PLATOON_COLS,
+                                      "xwoba_platoon_gap", "whiff_platoon_gap")
+
+
+@register("q_half_trend", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _SEASON_PITCHES) + f"""
+SELECT player_id, season, {', '.join(_HALF_COLS)},
+       ev_h2 - ev_h1 AS ev_trend, xwoba_h2 - xwoba_h1 AS xwoba_trend,
+       barrel_h2 - barrel_h1 AS barrel_trend, whiff_h2 - whiff_h1 AS whiff_trend
+FROM (SELECT batter AS player_id, season,
+       {_half_sql()}
+      FROM sp GROUP BY batter, season) t""")
+def q_half_trend(spark, sf_dir):
+    """Half-season splits (month <= 6 vs >= 7) and H2-H1 trends (DOM-14,
+    SCA-07, FLT-08 inside)."""
+    f = SP.hitter_split_features(T.pitches(spark, sf_dir), T.games(spark, sf_dir))
+    return _big(f, ["season"]).select("player_id", "season", *_HALF_COLS, "ev_trend",
+                                      "xwoba_trend", "barrel_trend", "whiff_trend")
+
+
+def _pitcher_split_sql() -> str:
+    parts = []
+    for s in ("L", "R"):
+        m = f"stand = '{s}'"
+        t = m + " AND launch_speed IS NOT NULL"
+        parts += [f"CAST(nullif(count(*) FILTER (WHERE {m}), 0) AS BIGINT) AS vs{s}_pitches",
+                  f"{_duck_avg(t, 'launch_speed', 1)} AS vs{s}_exit_velo",
+                  f"{_duck_avg(t, 'estimated_woba_using_speedangle', 3)} AS vs{s}_xwoba",
+                  f"{_duck_whiff(m)} AS vs{s}_whiff_rate"]
+    for h, m in (("h1", "coalesce(mon <= 6, false)"), ("h2", "NOT coalesce(mon <= 6, false)")):
+        t = m + " AND launch_speed IS NOT NULL"
+        parts += [f"{_duck_avg(m, 'release_speed', 1)} AS velo_{h}",
+                  f"{_duck_avg(t, 'launch_speed', 1)} AS ev_{h}",
+                  f"{_duck_avg(t, 'estimated_woba_using_speedangle', 3)} AS xwoba_{h}",
+                  f"{_duck_whiff(m)} AS whiff_{h}"]
+    return ",\n       ".join(parts)
+
+
+_PSPLIT_COLS = ([f"vs{s}_{a}" for s in ("L", "R") for a in ("pitches", "exit_velo", "xwoba", "whiff_rate")] +
+                [f"{a}_{h}" for h in ("h1", "h2") for a in ("velo", "ev", "xwoba", "whiff")])
+
+
+@register("q_pitcher_splits", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _SEASON_PITCHES) + f"""
+SELECT player_id, season, {', '.join(_PSPLIT_COLS)},
+       vsR_xwoba - vsL_xwoba AS platoon_xwoba_gap, vsR_whiff_rate - vsL_whiff_rate AS platoon_whiff_gap,
+       vsR_exit_velo - vsL_exit_velo AS platoon_ev_gap, velo_h2 - velo_h1 AS velo_trend,
+       ev_h2 - ev_h1 AS ev_trend, xwoba_h2 - xwoba_h1 AS xwoba_trend, whiff_h2 - whiff_h1 AS whiff_trend
+FROM (SELECT pitcher AS player_id, season,
+       {_pitcher_split_sql()}
+      FROM sp GROUP BY pitcher, season) t""")
+def q_pitcher_splits(spark, sf_dir):
+    """Pitcher platoon (batter side, R-L gaps) and half-season velocity /
+    contact / whiff splits (DOM-13, DOM-14 for pitchers)."""
+    f = SP.pitcher_split_features(T.pitches(spark, sf_dir), T.games(spark, sf_dir))
+    return _big(f, ["season"]).select(
+        "player_id", "season", *_PSPLIT_COLS, "platoon_xwoba_gap", "platoon_whiff_gap",
+        "platoon_ev_gap", "velo_trend", "ev_trend", "xwoba_trend", "whiff_trend")
+
+
+# ------------------------------------------------------- tiered indicator --
+@register("q_tiered_indicator", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _SEASON_PITCHES) + f"""
+SELECT batter AS player_id, season,
+       count(*) FILTER (WHERE launch_speed IS NOT NULL) AS tracked,
+       CAST(sum({_duck_barrel()}) FILTER (WHERE launch_speed IS NOT NULL) AS BIGINT) AS barrels,
+       {_duck_avg('launch_speed IS NOT NULL', _duck_barrel(), 3)} AS barrel_rate
+FROM sp GROUP BY batter, season""")
+def q_tiered_indicator(spark, sf_dir):
+    """Barrel indicator over 13 speed x angle tiers and its rate over
+    tracked balls (FLT-08, AGG-07); unknown angle counts as 0."""
+    from seamstat.functions.exprs import is_barrel, pg_round_double
+    from seamstat.operators.aggs import rate_when
+    p = T.pitches(spark, sf_dir)
+    g = stats.regular_games(T.games(spark, sf_dir)).select("game_pk", "game_date")
+    df = p.join(g, "game_pk").withColumn("season", F.year("game_date").cast("bigint"))
+    tracked = F.col("launch_speed").isNotNull()
+    b = is_barrel(F.col("launch_speed"), F.col("launch_angle"))
+    return df.groupBy(F.col("batter").alias("player_id"), "season").agg(
+        F.count_if(tracked).cast("bigint").alias("tracked"),
+        F.sum(F.when(tracked, b.cast("int"))).cast("bigint").alias("barrels"),
+        pg_round_double(rate_when(b, tracked), 3).alias("barrel_rate"))
