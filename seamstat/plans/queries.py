@@ -404,3 +404,143 @@ def q_tiered_indicator(spark, sf_dir):
         F.count_if(tracked).cast("bigint").alias("tracked"),
         F.sum(F.when(tracked, b.cast("int"))).cast("bigint").alias("barrels"),
         pg_round_double(rate_when(b, tracked), 3).alias("barrel_rate"))
+
+
+# ------------------------------------------------------ feature operators --
+_BAT_WITH = (T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, T.duck_constants(), T.DUCK_PARKS,
+                         _duck_pa("batter"), DUCK_BAT_COUNTS) +
+             ", bat_lines AS (" + _duck_batting_final() + ")")
+
+
+def _bat_totals(spark, sf_dir, min_pa: int | None = K.MIN_PA):
+    """Total batting rows per player-season (doubles), optionally qualified."""
+    b = stats.batting_stats(T.pitches(spark, sf_dir), T.games(spark, sf_dir),
+                            T.constants(spark), T.park_factors(spark, sf_dir))
+    b = b.where(F.col("split_type") == "total")
+    if min_pa is not None:
+        b = b.where(F.col("pa") >= min_pa)
+    b = b.withColumnRenamed("batter", "player_id").drop("batter_team", "split_type",
+                                                        "park_factor", "wrc_plus")
+    return _dbl(_big(b, ["season"]), ["avg", "obp", "slg", "ops", "woba", "wraa"])
+
+
+_REG = K.HITTER_RELIABILITY
+
+
+@register("q_regress_to_mean", _BAT_WITH + """,
+bt AS (SELECT batter AS player_id, season, pa, avg, obp, slg, ops, woba,
+              slg - avg AS iso, bb / pa AS bb_rate, k / pa AS k_rate
+       FROM bat_lines WHERE split_type = 'total' AND pa >= 50),
+lg AS (SELECT season, """ + ", ".join(f"avg({s}) AS lg_{s}" for s in _REG) + """
+       FROM bt GROUP BY season)
+SELECT bt.player_id, bt.season, bt.pa, """ + ",\n       ".join(
+    f"round((bt.pa * bt.{s} + {float(k)} * lg.lg_{s}) / (bt.pa + {float(k)}), 6) AS {s}_regressed"
+    for s, k in _REG.items()) + """
+FROM bt JOIN lg ON lg.season = bt.season""")
+def q_regress_to_mean(spark, sf_dir):
+    """Shrink rates toward the season mean of qualified rows with a
+    per-stat sample size (DOM-15, JON-13, AGG-08, FLT-05)."""
+    b = _bat_totals(spark, sf_dir)
+    b = b.withColumns({"iso": F.col("slg") - F.col("avg"),
+                       "bb_rate": F.col("bb") / F.col("pa"),
+                       "k_rate": F.col("k") / F.col("pa")})
+    out = FT.regress_to_mean(b, "pa", _REG)
+    return out.select("player_id", "season", "pa",
+                      *[F.round(f"{s}_regressed", 6).alias(f"{s}_regressed") for s in _REG])
+
+
+_CUST_SEASON = """cs AS (
+  SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS BIGINT) AS season,
+         CAST(count(*) AS DOUBLE) AS lines, CAST(sum(l_quantity) AS DOUBLE) AS qty,
+         CAST(nullif(count(*) FILTER (WHERE l_returnflag = 'R'), 0) AS DOUBLE) AS returns
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
+
+
+def _cust_season(spark, sf_dir):
+    o = T.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = T.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    j = o.join(li, o["o_orderkey"] == li["l_orderkey"])
+    return j.groupBy(F.col("o_custkey").alias("player_id"),
+                     F.year("o_orderdate").cast("bigint").alias("season")).agg(
+        F.count(F.lit(1)).cast("double").alias("lines"),
+        F.sum("l_quantity").cast("double").alias("qty"),
+        F.nullif(F.count_if(F.col("l_returnflag") == "R"), F.lit(0)).cast("double").alias("returns"))
+
+
+def _duck_roll(x: str) -> str:
+    w = "OVER (PARTITION BY player_id ORDER BY season)"
+    two = f"(lag({x}, 1) {w} * 1.0 + {x} * 2.0) / 3.0"
+    three = f"(lag({x}, 2) {w} * 1.0 + lag({x}, 1) {w} * 2.0 + {x} * 3.0) / 6.0"
+    rn = f"row_number() {w}"
+    return (f"CASE WHEN {rn} = 1 THEN {x} ELSE {two} END AS {x}_2yr, "
+            f"CASE WHEN {rn} = 1 THEN {x} WHEN {rn} = 2 THEN {two} ELSE {three} END AS {x}_3yr")
+
+
+@register("q_rolling_wavg", T.duck_with(_CUST_SEASON) + f"""
+SELECT player_id, season, lines, qty, returns,
+       {_duck_roll('lines')}, {_duck_roll('qty')}, {_duck_roll('returns')}
+FROM cs""")
+def q_rolling_wavg(spark, sf_dir):
+    """2- and 3-row linearly weighted rolling means per entity over seasons
+    with gaps; a null in the frame gives null (DOM-16, WIN-04, WIN-05)."""
+    return FT.rolling_features(_cust_season(spark, sf_dir), ["lines", "qty", "returns"]) \
+        .select("player_id", "season", "lines", "qty", "returns",
+                *[f"{x}_{n}yr" for x in ("lines", "qty", "returns") for n in (2, 3)])
+
+
+_TEAM_ROWS = """tr AS (SELECT batter AS player_id, season, batter_team AS team, pa, h, hr
+       FROM counts WHERE split_type = 'team'),
+ts AS (SELECT season, team, CAST(sum(h) AS DOUBLE) AS team_runs, CAST(sum(hr) AS DOUBLE) AS team_hr
+       FROM tr GROUP BY season, team)"""
+
+
+def _team_rows(spark, sf_dir):
+    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "batter")
+    c = stats.batting_counts(pa).where(F.col("split_type") == "team")
+    return c.select(F.col("batter").alias("player_id"), F.col("season").cast("bigint").alias("season"),
+                    F.col("batter_team").alias("team"), "pa", "h", "hr")
+
+
+@register("q_weighted_context", _BAT_WITH + ", " + _TEAM_ROWS + """,
+wpf AS (SELECT tr.player_id, tr.season,
+               sum(CASE WHEN pf.basic IS NOT NULL THEN CAST(pf.basic AS DOUBLE) * tr.pa END) /
+               sum(CASE WHEN pf.basic IS NOT NULL THEN CAST(tr.pa AS DOUBLE) END) AS pf_raw,
+               sum(CASE WHEN pf.basic IS NOT NULL THEN CAST(tr.pa AS DOUBLE) END) AS pf_w,
+               sum(ts.team_runs * tr.pa) / sum(CAST(tr.pa AS DOUBLE)) AS team_runs,
+               sum(ts.team_hr * tr.pa) / sum(CAST(tr.pa AS DOUBLE)) AS team_hr
+        FROM tr LEFT JOIN parks_v pf ON pf.season = tr.season AND pf.team = tr.team
+                LEFT JOIN ts ON ts.season = tr.season AND ts.team = tr.team
+        GROUP BY tr.player_id, tr.season)
+SELECT w.player_id, w.season, CASE WHEN w.pf_w > 0 THEN w.pf_raw END AS park_factor,
+       w.team_runs, w.team_hr, b.slg,
+       b.slg * (100.0 / CASE WHEN (CASE WHEN w.pf_w > 0 THEN w.pf_raw END) = 0 THEN 100
+                             ELSE (CASE WHEN w.pf_w > 0 THEN w.pf_raw END) END) AS slg_park_adj
+FROM wpf w JOIN bat_lines b ON b.batter = w.player_id AND b.season = w.season AND b.split_type = 'total'""")
+def q_weighted_context(spark, sf_dir):
+    """Playing-time-weighted park factor and team strength over a player's
+    teams, and a park-adjusted rate (DOM-21, AGG-09, DOM-22)."""
+    tr = _team_rows(spark, sf_dir)
+    parks = T.park_factors(spark, sf_dir).withColumn("season", F.col("season").cast("bigint")) \
+        .withColumn("park_factor", F.col("basic").cast("double"))
+    strength = tr.groupBy("season", "team").agg(F.sum("h").cast("double").alias("team_runs"),
+                                                F.sum("hr").cast("double").alias("team_hr"))
+    pf = FT.weighted_context(tr, parks, ["park_factor"], "pa")
+    st = FT.weighted_context(tr, strength, ["team_runs", "team_hr"], "pa")
+    tot = _bat_totals(spark, sf_dir, None).select("player_id", "season", "slg")
+    out = pf.join(st, ["player_id", "season"]).join(tot, ["player_id", "season"])
+    return FT.park_adjusted(out, {"slg_park_adj": "slg"}).select(
+        "player_id", "season", "park_factor", "team_runs", "team_hr", "slg", "slg_park_adj")
+
+
+@register("q_team_string", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _duck_pa("batter"),
+                                       DUCK_BAT_COUNTS) + """
+SELECT batter AS player_id, season, string_agg(batter_team, '/' ORDER BY pa DESC, batter_team) AS team,
+       count(*) AS n_teams
+FROM counts WHERE split_type = 'team' GROUP BY batter, season""")
+def q_team_string(spark, sf_dir):
+    """Team codes ordered by playing time, descending, ties by name
+    (AGG-10)."""
+    tr = _team_rows(spark, sf_dir)
+    return FT.team_string(tr, "team", "pa").join(
+        tr.groupBy("player_id", "season").agg(F.count(F.lit(1)).cast("bigint").alias("n_teams")),
+        ["player_id", "season"])

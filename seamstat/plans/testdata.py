@@ -243,3 +243,90 @@ DUCK_OFFICIAL_BATTING = """official_b AS (
 
 def duck_with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --------------------------------------------------------------- people --
+# FIXED VALUES (test mapping): primary position by nation key % 11.
+POSITIONS = ["C", "1B", "2B", "3B", "SS", "LF", "CF", "RF", "DH", "OF", "P"]
+
+
+def player_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People records from ``supplier``: birth date and debut from keys,
+    unknown for two nations."""
+    s = read(spark, sf_dir, "supplier")
+    nk, sk = F.col("s_nationkey"), F.col("s_suppkey")
+    return s.select(
+        sk.alias("player_id"), F.col("s_name").alias("full_name"),
+        F.when(nk % 3 == 0, "L").when(nk % 3 == 1, "R").otherwise("S").alias("bat_side"),
+        F.element_at(F.array(*[F.lit(x) for x in POSITIONS]), (nk % 11 + 1).cast("int"))
+         .alias("primary_position"),
+        F.when(nk == 0, F.lit(None).cast("date"))
+         .otherwise(F.make_date((nk + 1962).cast("int"), (sk % 12 + 1).cast("int"),
+                                (sk % 28 + 1).cast("int"))).alias("birth_date"),
+        F.when(nk == 1, F.lit(None).cast("date"))
+         .otherwise(F.make_date((sk % 10 + 1990).cast("int"), F.lit(4), F.lit(1)))
+         .alias("mlb_debut_date"))
+
+
+DUCK_BIO = f"""bio_v AS (
+  SELECT s_suppkey AS player_id, s_name AS full_name,
+         CASE WHEN s_nationkey % 3 = 0 THEN 'L' WHEN s_nationkey % 3 = 1 THEN 'R' ELSE 'S' END AS bat_side,
+         {_sql_list(POSITIONS)}[s_nationkey % 11 + 1] AS primary_position,
+         CASE WHEN s_nationkey = 0 THEN NULL
+              ELSE make_date(CAST(s_nationkey + 1962 AS INTEGER), CAST(s_suppkey % 12 + 1 AS INTEGER),
+                             CAST(s_suppkey % 28 + 1 AS INTEGER)) END AS birth_date,
+         CASE WHEN s_nationkey = 1 THEN NULL
+              ELSE make_date(CAST(s_suppkey % 10 + 1990 AS INTEGER), 4, 1) END AS mlb_debut_date
+  FROM supplier)"""
+
+
+# ---------------------------------------------------------- minor league --
+def milb_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minor-league lines per (supplier, ship year, level, team) from the
+    returned items: level from order priority, team from order status."""
+    li = read(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    pr = F.substring("o_orderpriority", 1, 1)
+    level = (F.when(pr == "1", "AAA").when(pr == "2", "AA").when(pr == "3", "High-A")
+             .when(pr == "4", "Single-A").otherwise("Rookie"))
+    q = F.col("l_quantity")
+    cnt = lambda cond: F.count_if(cond).cast("bigint")
+    g = j.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season"),
+                  level.alias("level"), F.concat(F.lit("T"), F.col("o_orderstatus")).alias("team_name")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("pa"), cnt(q >= 46).alias("hr"),
+             cnt(q <= 5).alias("bb"), cnt((q > 5) & (q <= 15)).alias("so"),
+             cnt(F.col("l_linenumber") == 1).alias("sb"), cnt(q >= 30).alias("hits"),
+             cnt(q >= 40).alias("xbh"))
+    ab = F.col("pa") - F.col("bb")
+    from seamstat.functions.exprs import pg_round, ratio
+    return g.withColumns({
+        "avg": pg_round(ratio("hits", ab), 3).cast("double"),
+        "obp": pg_round(ratio(F.col("hits") + F.col("bb"), "pa"), 3).cast("double"),
+        "slg": pg_round(ratio(F.col("hits") + F.col("xbh") + 3 * F.col("hr"), ab), 3).cast("double"),
+    }).withColumn("ops", F.col("obp") + F.col("slg"))
+
+
+def _duck_milb() -> str:
+    from seamstat.plans.oracle_sql import rdiv
+    return f"""milb_raw AS (
+  SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS INTEGER) AS season,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'AAA' WHEN '2' THEN 'AA'
+              WHEN '3' THEN 'High-A' WHEN '4' THEN 'Single-A' ELSE 'Rookie' END AS level,
+         'T' || o_orderstatus AS team_name,
+         count(*) AS pa, count(*) FILTER (WHERE l_quantity >= 46) AS hr,
+         count(*) FILTER (WHERE l_quantity <= 5) AS bb,
+         count(*) FILTER (WHERE l_quantity > 5 AND l_quantity <= 15) AS so,
+         count(*) FILTER (WHERE l_linenumber = 1) AS sb,
+         count(*) FILTER (WHERE l_quantity >= 30) AS hits,
+         count(*) FILTER (WHERE l_quantity >= 40) AS xbh
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE l_returnflag = 'R' GROUP BY 1, 2, 3, 4),
+milb_v AS (
+  SELECT *, {rdiv('hits', 'pa - bb', 3)} AS avg, {rdiv('hits + bb', 'pa', 3)} AS obp,
+         {rdiv('hits + xbh + 3 * hr', 'pa - bb', 3)} AS slg,
+         {rdiv('hits + bb', 'pa', 3)} + {rdiv('hits + xbh + 3 * hr', 'pa - bb', 3)} AS ops
+  FROM milb_raw)"""
+
+
+DUCK_MILB = _duck_milb()
