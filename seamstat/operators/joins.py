@@ -73,7 +73,5 @@ def id_minus(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_snapshot(df: DataFrame, col: str) -> DataFrame:
-    """Rows whose ``col`` equals the table's maximum (a one-row aggregate
-    broadcast back)."""
-    top = df.agg(F.max(col).alias("__max"))
-    return df.join(F.broadcast(top), F.col(col) == F.col("__max"), "inner").drop("__max")
+    """Rows whose ``col`` equals the table's maximum (scalar subquery)."""
+    return df.where(F.col(col) == df.select(F.max(col)).scalar())

@@ -544,3 +544,118 @@ def q_team_string(spark, sf_dir):
     return FT.team_string(tr, "team", "pa").join(
         tr.groupBy("player_id", "season").agg(F.count(F.lit(1)).cast("bigint").alias("n_teams")),
         ["player_id", "season"])
+
+
+# ------------------------------------------------------------ minor league --
+_MILB_MIN_PA_ANALOG = 5   # analog volumes are ~1/10 of a minor-league season
+
+
+def _milb_feats(spark, sf_dir):
+    m = T.milb_batting(spark, sf_dir).where(F.col("pa") >= _MILB_MIN_PA_ANALOG)
+    b = FT.best_level(m, "pa")
+    pa = F.col("pa").cast("double")
+    return b.select("player_id", F.col("season").cast("bigint").alias("season"), "level",
+                    "team_name", pa.alias("milb_pa"), F.col("avg").alias("milb_avg"),
+                    F.col("obp").alias("milb_obp"), F.col("slg").alias("milb_slg"),
+                    F.col("ops").alias("milb_ops"),
+                    (F.col("slg") - F.col("avg")).alias("milb_iso"),
+                    (F.col("bb") / pa).alias("milb_bb_rate"), (F.col("so") / pa).alias("milb_k_rate"),
+                    (F.col("hr") / pa).alias("milb_hr_rate"), (F.col("sb") / pa).alias("milb_sb_rate"))
+
+
+_DUCK_BEST = T.DUCK_MILB + f""",
+best AS (
+  SELECT * FROM (
+    SELECT m.*, row_number() OVER (PARTITION BY player_id, season ORDER BY
+             coalesce(CASE level WHEN 'AAA' THEN 1 WHEN 'AA' THEN 2 WHEN 'High-A' THEN 3
+                                 WHEN 'Single-A' THEN 4 END, 99), pa DESC, team_name) AS rk
+    FROM milb_v m WHERE pa >= {_MILB_MIN_PA_ANALOG}) t WHERE rk = 1),
+mf AS (
+  SELECT player_id, CAST(season AS BIGINT) AS season, level, team_name,
+         CAST(pa AS DOUBLE) AS milb_pa, avg AS milb_avg, obp AS milb_obp, slg AS milb_slg,
+         ops AS milb_ops, slg - avg AS milb_iso, bb / CAST(pa AS DOUBLE) AS milb_bb_rate,
+         so / CAST(pa AS DOUBLE) AS milb_k_rate, hr / CAST(pa AS DOUBLE) AS milb_hr_rate,
+         sb / CAST(pa AS DOUBLE) AS milb_sb_rate
+  FROM best)"""
+
+
+@register("q_best_level", T.duck_with(_DUCK_BEST) + "SELECT * FROM mf")
+def q_best_level(spark, sf_dir):
+    """Highest minor-league level per player-season (AAA first, then more
+    PA, then team name) and its rates (WIN-06, DOM-23, SCA-13, FLT-05)."""
+    return _milb_feats(spark, sf_dir)
+
+
+@register("q_prior_year_fill", _BAT_WITH + ", " + _DUCK_BEST + """,
+base AS (SELECT batter AS player_id, season FROM bat_lines WHERE split_type = 'total')
+SELECT b.player_id, b.season, """ + ", ".join(
+    f"coalesce(s.{c}, p.{c}) AS {c}" for c in K.HITTER_MILB_FILL) + """
+FROM base b
+LEFT JOIN mf s ON s.player_id = b.player_id AND s.season = b.season
+LEFT JOIN mf p ON p.player_id = b.player_id AND p.season + 1 = b.season""")
+def q_prior_year_fill(spark, sf_dir):
+    """Same-season minor-league values, else the prior season's, column by
+    column (JON-09, PRJ-08, SCA-11, T11)."""
+    base = _bat_totals(spark, sf_dir, None).select("player_id", "season")
+    return FT.with_milb(base, _milb_feats(spark, sf_dir), K.HITTER_MILB_FILL) \
+        .select("player_id", "season", *K.HITTER_MILB_FILL)
+
+
+# -------------------------------------------------------------- year pairs --
+@register("q_year_pairs", T.duck_with(_CUST_SEASON) + """,
+latest AS (SELECT max(season) AS l FROM cs)
+SELECT c.player_id, c.season, c.lines, c.qty, n.lines AS next_lines, n.qty AS next_qty,
+       CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+            WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season""")
+def q_year_pairs(spark, sf_dir):
+    """Season N rows with season N+1 outcomes (inner self-join), labelled
+    train (<= latest-2) or test (latest-1) (JON-08, MLO-01, MLO-02)."""
+    from seamstat.operators.modeling import season_split
+    cs = _cust_season(spark, sf_dir)
+    from seamstat.operators.joins import year_pairs
+    pairs = year_pairs(cs, ["lines", "qty"], "player_id", "season")
+    return season_split(pairs, cs).select("player_id", "season", "lines", "qty",
+                                          "next_lines", "next_qty", "split")
+
+
+# --------------------------------------------------------------- age curve --
+@register("q_age_curve", _BAT_WITH + ", " + T.DUCK_BIO + ", " + T.DUCK_OFFICIAL_BATTING + """,
+base AS (
+  SELECT b.batter AS player_id, b.season, b."3b", b.pa, o.stolen_bases AS sb,
+         bio.primary_position, bio.birth_date, bio.mlb_debut_date
+  FROM bat_lines b LEFT JOIN bio_v bio ON bio.player_id = b.batter
+  LEFT JOIN official_b o ON o.player_id = b.batter AND o.season = b.season
+  WHERE b.split_type = 'total'),
+a AS (
+  SELECT *, CAST(CASE WHEN season - year(mlb_debut_date) < 0 THEN 0
+                      ELSE season - year(mlb_debut_date) END AS BIGINT) AS years_experience,
+         date_diff('day', birth_date, make_date(CAST(season AS INTEGER), 7, 1)) / 365.25 AS age,
+         CAST(sb + "3b" AS DOUBLE) / CAST(pa AS DOUBLE) AS speed_proxy,
+         coalesce(CASE primary_position """ + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in K.POSITION_GROUP.items()) + """ END, 'other') AS pos_group
+  FROM base)
+SELECT player_id, season, years_experience, age, age - 27.0 AS age_from_peak,
+       (age - 27.0) * (age - 27.0) AS age_from_peak_sq,
+       CAST(coalesce(age > 28, false) AS INTEGER) AS post_peak,
+       (age - 27.0) * speed_proxy AS age_speed, pos_group,
+       CAST(coalesce(primary_position = 'C', false) AS INTEGER) AS is_catcher,
+       (age - 27.0) * CAST(coalesce(primary_position = 'C', false) AS INTEGER) AS age_catcher,
+       CAST(pos_group = 'speed_pos' AS INTEGER) AS is_speed_pos,
+       (age - 27.0) * CAST(pos_group = 'speed_pos' AS INTEGER) AS age_speed_pos
+FROM a""")
+def q_age_curve(spark, sf_dir):
+    """Experience, age at July 1, aging-curve terms and position groups
+    (DOM-19, DOM-20, SCA-08, SCA-09, SCA-10, SCA-14, JON-06)."""
+    b = _bat_totals(spark, sf_dir, None).select("player_id", "season", "3b", "pa")
+    ob = T.official_batting(spark, sf_dir).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), F.col("stolen_bases").alias("sb"))
+    bio = T.player_bio(spark, sf_dir).select("player_id", "primary_position", "birth_date",
+                                             "mlb_debut_date")
+    df = b.join(bio, "player_id", "left").join(ob, ["player_id", "season"], "left")
+    df = FT.experience(df).withColumn("years_experience", F.col("years_experience").cast("bigint"))
+    df = df.withColumn("speed_proxy", (F.col("sb") + F.col("3b")).cast("double") / F.col("pa").cast("double"))
+    df = FT.age_curve(df, "hitter")
+    return df.select("player_id", "season", "years_experience", "age", "age_from_peak",
+                     "age_from_peak_sq", "post_peak", "age_speed", "pos_group", "is_catcher",
+                     "age_catcher", "is_speed_pos", "age_speed_pos")
