@@ -659,3 +659,219 @@ def q_age_curve(spark, sf_dir):
     return df.select("player_id", "season", "years_experience", "age", "age_from_peak",
                      "age_from_peak_sq", "post_peak", "age_speed", "pos_group", "is_catcher",
                      "age_catcher", "is_speed_pos", "age_speed_pos")
+
+
+# ------------------------------------------------------------- role flags --
+_ADV = """adv AS (
+  SELECT pitcher AS player_id, season,
+         avg(release_speed) FILTER (WHERE p_throws = 'R') AS fb_velo,
+         avg(release_speed) FILTER (WHERE p_throws = 'L') AS brk_velo,
+         avg(release_speed) FILTER (WHERE description = 'ball') AS offspeed_velo,
+         count(*) FILTER (WHERE bb_type = 'ground_ball') / CAST(count(*) AS DOUBLE) AS gb_rate,
+         count(*) FILTER (WHERE bb_type = 'fly_ball') / CAST(count(*) AS DOUBLE) AS fb_rate,
+         avg(estimated_woba_using_speedangle) AS xwoba_against
+  FROM sp GROUP BY pitcher, season),
+lineup AS (
+  SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS season,
+         avg(l_linenumber) AS avg_lineup_pos
+  FROM lineitem GROUP BY 1, 2)"""
+
+
+def _adv(spark, sf_dir):
+    p = T.pitches(spark, sf_dir)
+    g = stats.regular_games(T.games(spark, sf_dir)).select("game_pk", "game_date")
+    sp = p.join(g, "game_pk").withColumn("season", F.year("game_date").cast("bigint"))
+    n = F.count(F.lit(1)).cast("double")
+    rs = F.col("release_speed")
+    return sp.groupBy(F.col("pitcher").alias("player_id"), "season").agg(
+        F.avg(F.when(F.col("p_throws") == "R", rs)).alias("fb_velo"),
+        F.avg(F.when(F.col("p_throws") == "L", rs)).alias("brk_velo"),
+        F.avg(F.when(F.col("description") == "ball", rs)).alias("offspeed_velo"),
+        (F.count_if(F.col("bb_type") == "ground_ball") / n).alias("gb_rate"),
+        (F.count_if(F.col("bb_type") == "fly_ball") / n).alias("fb_rate"),
+        F.avg("estimated_woba_using_speedangle").alias("xwoba_against"))
+
+
+def _lineup(spark, sf_dir):
+    li = T.read(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_suppkey").alias("player_id"),
+                      F.year("l_shipdate").cast("bigint").alias("season")) \
+        .agg(F.avg("l_linenumber").alias("avg_lineup_pos"))
+
+
+_ROLE_COLS = ["sv_hld", "starter_pct", "is_starter", "ip_per_start", "fb_brk_velo_diff",
+              "fb_offspeed_velo_diff", "gb_fb_ratio", "ir_scored_pct", "babip_minus_xwoba",
+              "avg_lineup_pos", "is_leadoff", "is_heart", "is_bottom"]
+
+
+@register("q_role_flags", _PIT_WITH + ", full_lines AS (" + _duck_pitching_select() + "), " +
+          _SEASON_PITCHES + ", " + _ADV + """,
+base AS (
+  SELECT f.pitcher AS player_id, f.season, f.saves, f.games, f.games_started, f.ip, f.babip,
+         o.holds, o.inherited_runners, o.inherited_runners_scored,
+         a.fb_velo, a.brk_velo, a.offspeed_velo, a.gb_rate, a.fb_rate, a.xwoba_against,
+         l.avg_lineup_pos
+  FROM full_lines f
+  LEFT JOIN official_v o ON o.player_id = f.pitcher AND o.season = f.season
+  LEFT JOIN adv a ON a.player_id = f.pitcher AND a.season = f.season
+  LEFT JOIN lineup l ON l.player_id = f.pitcher AND l.season = f.season
+  WHERE f.split_type = 'total'),
+r AS (
+  SELECT *, CAST(games_started AS DOUBLE) / CASE WHEN games = 0 THEN NULL ELSE CAST(games AS DOUBLE) END AS starter_pct
+  FROM base)
+SELECT player_id, season,
+       coalesce(CAST(saves AS DOUBLE), 0.0) + coalesce(CAST(holds AS DOUBLE), 0.0) AS sv_hld,
+       starter_pct, CAST(coalesce(starter_pct >= 0.5, false) AS INTEGER) AS is_starter,
+       ip / CASE WHEN games_started = 0 THEN NULL ELSE CAST(games_started AS DOUBLE) END AS ip_per_start,
+       fb_velo - brk_velo AS fb_brk_velo_diff, fb_velo - offspeed_velo AS fb_offspeed_velo_diff,
+       gb_rate / CASE WHEN fb_rate = 0 THEN NULL ELSE fb_rate END AS gb_fb_ratio,
+       inherited_runners_scored / CASE WHEN inherited_runners = 0 THEN NULL
+                                       ELSE CAST(inherited_runners AS DOUBLE) END AS ir_scored_pct,
+       babip - xwoba_against AS babip_minus_xwoba, avg_lineup_pos,
+       CAST(coalesce(avg_lineup_pos <= 1.5, false) AS INTEGER) AS is_leadoff,
+       CAST(coalesce(avg_lineup_pos >= 2.5 AND avg_lineup_pos <= 5.0, false) AS INTEGER) AS is_heart,
+       CAST(coalesce(avg_lineup_pos >= 7.0, false) AS INTEGER) AS is_bottom
+FROM r""")
+def q_role_flags(spark, sf_dir):
+    """Pitcher role features (saves+holds, starter share and flag, innings
+    per start, velocity gaps, ground/fly ratio, inherited runners scored)
+    and lineup-slot flags (DOM-18, DOM-25)."""
+    pit = _pitching(spark, sf_dir).where(F.col("split_type") == "total").select(
+        F.col("pitcher").alias("player_id"), "season", "saves", "games", "games_started", "ip", "babip")
+    off = T.official_pitching(spark, sf_dir).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), "holds", "inherited_runners",
+        "inherited_runners_scored")
+    df = pit.join(off, ["player_id", "season"], "left") \
+        .join(_adv(spark, sf_dir), ["player_id", "season"], "left") \
+        .join(_lineup(spark, sf_dir), ["player_id", "season"], "left")
+    df = FT.lineup_flags(FT.pitcher_rates(df))
+    return df.select("player_id", "season", *_ROLE_COLS)
+
+
+# --------------------------------------------------------- quality starts --
+def _game_log_json(spark, sf_dir):
+    """One landed game-log document per line item (a pitching appearance)."""
+    li = T.read(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int")
+    ip = F.concat((q / 6).cast("int").cast("string"), F.lit("."), (q % 3).cast("string"))
+    er = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("bigint")) \
+        .otherwise((F.round(F.col("l_tax") * 100).cast("int") % 5).cast("bigint"))
+    gs = F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).cast("bigint")
+    split = F.struct(F.struct(gs.alias("gamesStarted"), ip.alias("inningsPitched"),
+                              er.alias("earnedRuns")).alias("stat"))
+    doc = F.to_json(F.struct(F.array(F.struct(F.array(split).alias("splits"))).alias("stats")))
+    return li.select(F.col("l_suppkey").alias("player_id"),
+                     F.year("l_shipdate").cast("bigint").alias("season"), doc.alias("payload"))
+
+
+@register("q_quality_events", """
+WITH log AS (
+  SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS season,
+         CASE WHEN l_linenumber <= 2 THEN 1 ELSE 0 END AS gs,
+         CAST(CAST(CAST(l_quantity AS INTEGER) // 6 AS VARCHAR) || '.' ||
+              CAST(CAST(l_quantity AS INTEGER) % 3 AS VARCHAR) AS DOUBLE) AS ip,
+         CASE WHEN l_returnflag = 'N' THEN NULL
+              ELSE CAST(round(l_tax * 100) AS INTEGER) % 5 END AS er
+  FROM lineitem)
+SELECT player_id, season, count(*) FILTER (WHERE gs >= 1) AS games_started,
+       count(*) FILTER (WHERE gs >= 1 AND ip >= 6.0 AND coalesce(er, 99) <= 3) AS quality_starts
+FROM log GROUP BY player_id, season""")
+def q_quality_events(spark, sf_dir):
+    """Landed game logs flattened, then starts and quality starts (6+
+    innings, <= 3 earned, missing earned runs = 99) per entity-season
+    (SRC-08, DOM-26, AGG-14)."""
+    from seamstat.operators.aggs import quality_starts
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import STATS_PAYLOAD
+    docs = LJ.parse(_game_log_json(spark, sf_dir), "payload", STATS_PAYLOAD)
+    log = LJ.flatten_game_log(docs)
+    return quality_starts(log, "player_id", "season", "games_started", "innings", "earned_runs")
+
+
+# -------------------------------------------------------------- keys / ids --
+@register("q_missing_keys", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _duck_pa("batter"),
+                                        T.DUCK_OFFICIAL_BATTING) + """
+SELECT DISTINCT batter AS player_id, season FROM pa
+WHERE NOT EXISTS (SELECT 1 FROM official_b o WHERE o.player_id = pa.batter AND o.season = pa.season)""")
+def q_missing_keys(spark, sf_dir):
+    """Player-seasons seen in regular-season plate appearances but absent
+    from the official lines (DOM-31, JON-10, SET-04, AGG-11)."""
+    from seamstat.operators.joins import missing_keys
+    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "batter") \
+        .select(F.col("batter").alias("player_id"), F.col("season").cast("bigint").alias("season"))
+    have = T.official_batting(spark, sf_dir).select(
+        "player_id", F.col("season").cast("bigint").alias("season"))
+    return missing_keys(pa, have, ["player_id", "season"])
+
+
+@register("q_id_union", T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES) + """,
+ids AS (SELECT customer AS player_id FROM games_v UNION SELECT batter FROM pitches_v),
+stored AS (SELECT c_custkey AS player_id,
+                  CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS player_name
+           FROM customer),
+people AS (SELECT s_suppkey AS player_id,
+                  concat_ws(', ', split_part(s_name, '#', 1), split_part(s_name, '#', 2)) AS full_name
+           FROM supplier)
+SELECT i.player_id, coalesce(s.player_name, p.full_name) AS player_name
+FROM ids i LEFT JOIN stored s ON s.player_id = i.player_id
+           LEFT JOIN people p ON p.player_id = i.player_id""")
+def q_id_union(spark, sf_dir):
+    """Ids of both roles (set union), names resolved stored-first then from
+    people records as 'last, first' (SET-03, DOM-32, SCA-16, JON-15)."""
+    from seamstat.functions.exprs import full_name
+    from seamstat.operators.joins import id_union
+    ids = id_union((T.games(spark, sf_dir), "customer"), (T.pitches(spark, sf_dir), "batter"))
+    cust = T.read(spark, sf_dir, "customer")
+    stored = cust.select(F.col("c_custkey").alias("player_id"),
+                         F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
+                         .otherwise(F.col("c_name")).alias("player_name"))
+    sup = T.read(spark, sf_dir, "supplier")
+    people = sup.select(F.col("s_suppkey").alias("player_id"),
+                        full_name(F.split_part("s_name", F.lit("#"), F.lit(1)),
+                                  F.split_part("s_name", F.lit("#"), F.lit(2))).alias("full_name"))
+    from seamstat.operators.tables import upsert_coalesce
+    names = upsert_coalesce(stored, people.withColumnRenamed("full_name", "player_name"),
+                            ["player_id"], ["player_name"])
+    return ids.join(names, "player_id", "left").select("player_id", "player_name")
+
+
+@register("q_latest_snapshot", T.duck_with(_CUST_SEASON) + """,
+roster AS (SELECT DISTINCT o_custkey AS player_id, 'H' || substr(o_orderpriority, 1, 1) AS team,
+                  CAST(year(o_orderdate) AS BIGINT) AS season
+           FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders))
+SELECT r.player_id, r.team, r.season, c.lines, c.qty
+FROM roster r JOIN cs c ON c.player_id = r.player_id AND c.season = r.season""")
+def q_latest_snapshot(spark, sf_dir):
+    """Roster rows of the latest season (scalar subquery) joined to that
+    season's features (SRC-13, JON-11, JON-14)."""
+    from seamstat.operators.joins import latest_snapshot
+    o = T.read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("player_id"),
+        F.concat(F.lit("H"), F.substring("o_orderpriority", 1, 1)).alias("team"),
+        F.year("o_orderdate").cast("bigint").alias("season"))
+    roster = latest_snapshot(o, "season").distinct()
+    return roster.join(_cust_season(spark, sf_dir), ["player_id", "season"]) \
+        .select("player_id", "team", "season", "lines", "qty")
+
+
+@register("q_season_bounds", T.duck_with(T.DUCK_GAMES, T.DUCK_OFFICIAL_BATTING,
+                                         T.DUCK_OFFICIAL_PITCHING, T.duck_constants(),
+                                         T.DUCK_PARKS) + """,
+b AS (SELECT min(season) lo, max(season) hi FROM official_b UNION ALL
+      SELECT min(season), max(season) FROM official_v UNION ALL
+      SELECT min(year(game_date)), max(year(game_date)) FROM games_v UNION ALL
+      SELECT min(season), max(season) FROM constants_v UNION ALL
+      SELECT min(season), max(season) FROM parks_v)
+SELECT CAST(max(lo) AS BIGINT) AS first_season, CAST(min(hi) AS BIGINT) AS latest_season,
+       CAST(min(hi) + 1 AS BIGINT) AS projection_season FROM b""")
+def q_season_bounds(spark, sf_dir):
+    """Seasons covered by every source: greatest of minima, least of
+    maxima, next season to project (SRC-14, AGG-12)."""
+    from seamstat.operators.aggs import season_bounds
+    return season_bounds({
+        "batting": (T.official_batting(spark, sf_dir), F.col("season")),
+        "pitching": (T.official_pitching(spark, sf_dir), F.col("season")),
+        "events": (T.games(spark, sf_dir), F.year("game_date")),
+        "constants": (T.constants(spark), F.col("season")),
+        "parks": (T.park_factors(spark, sf_dir), F.col("season")),
+    })
