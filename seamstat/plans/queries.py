@@ -875,3 +875,153 @@ def q_season_bounds(spark, sf_dir):
         "constants": (T.constants(spark), F.col("season")),
         "parks": (T.park_factors(spark, sf_dir), F.col("season")),
     })
+
+
+# ------------------------------------------------------- table maintenance --
+def _cust_agg(o):
+    pr = F.col("o_orderpriority")
+    return o.groupBy(F.col("o_custkey").alias("player_id"),
+                     F.year("o_orderdate").cast("bigint").alias("season")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_orders"),
+        F.count_if(pr == "1-URGENT").cast("bigint").alias("hr"),
+        F.count_if(pr == "2-HIGH").cast("bigint").alias("rbi"))
+
+
+def _stored_incoming(spark, sf_dir):
+    """Stored table: customer-season lines from finished orders; incoming
+    reload: lines from all orders of 1998 onward."""
+    o = T.read(spark, sf_dir, "orders")
+    stored = _cust_agg(o.where(F.col("o_orderstatus") == "F"))
+    incoming = _cust_agg(o.where(F.year("o_orderdate") >= 1998))
+    return stored, incoming
+
+
+_DUCK_SI = """WITH stored AS (
+  SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS BIGINT) AS season, count(*) AS n_orders,
+         count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS hr,
+         count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS rbi
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+incoming AS (
+  SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS BIGINT) AS season, count(*) AS n_orders,
+         count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS hr,
+         count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS rbi
+  FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1, 2)
+"""
+_SI_COLS = ["player_id", "season", "n_orders", "hr", "rbi"]
+
+
+@register("q_replace_keys", _DUCK_SI + """
+SELECT * FROM stored s WHERE NOT EXISTS (
+  SELECT 1 FROM incoming i WHERE i.player_id = s.player_id AND i.season = s.season)
+UNION ALL SELECT * FROM incoming""")
+def q_replace_keys(spark, sf_dir):
+    """Delete-by-key then insert: an idempotent reload (SNK-03, SNK-04)."""
+    from seamstat.operators.tables import replace_keys
+    s, i = _stored_incoming(spark, sf_dir)
+    return replace_keys(s, i, ["player_id", "season"]).select(*_SI_COLS)
+
+
+@register("q_insert_absent", _DUCK_SI + """
+SELECT * FROM stored UNION ALL
+SELECT * FROM incoming i WHERE NOT EXISTS (
+  SELECT 1 FROM stored s WHERE i.player_id = s.player_id AND i.season = s.season)""")
+def q_insert_absent(spark, sf_dir):
+    """Insert only keys not stored yet (SNK-05, ON CONFLICT DO NOTHING)."""
+    from seamstat.operators.tables import insert_absent
+    s, i = _stored_incoming(spark, sf_dir)
+    return insert_absent(s, i, ["player_id", "season"]).select(*_SI_COLS)
+
+
+@register("q_upsert", _DUCK_SI + """
+SELECT coalesce(i.player_id, s.player_id) AS player_id, coalesce(i.season, s.season) AS season,
+       CASE WHEN i.player_id IS NOT NULL THEN i.n_orders ELSE s.n_orders END AS n_orders,
+       CASE WHEN i.player_id IS NOT NULL THEN i.hr ELSE s.hr END AS hr,
+       CASE WHEN i.player_id IS NOT NULL THEN i.rbi ELSE s.rbi END AS rbi
+FROM stored s FULL OUTER JOIN incoming i ON i.player_id = s.player_id AND i.season = s.season""")
+def q_upsert(spark, sf_dir):
+    """Full upsert: incoming values win on conflict (SNK-06)."""
+    from seamstat.operators.tables import upsert
+    s, i = _stored_incoming(spark, sf_dir)
+    return upsert(s, i, ["player_id", "season"]).select(*_SI_COLS)
+
+
+@register("q_upsert_partial", _DUCK_SI + """
+SELECT coalesce(i.player_id, s.player_id) AS player_id, coalesce(i.season, s.season) AS season,
+       CASE WHEN i.player_id IS NOT NULL THEN i.n_orders ELSE s.n_orders END AS n_orders,
+       CASE WHEN i.player_id IS NOT NULL THEN i.hr ELSE s.hr END AS hr,
+       CASE WHEN s.player_id IS NOT NULL THEN s.rbi ELSE i.rbi END AS rbi
+FROM stored s FULL OUTER JOIN incoming i ON i.player_id = s.player_id AND i.season = s.season""")
+def q_upsert_partial(spark, sf_dir):
+    """Upsert refreshing only listed columns; ``rbi`` keeps the stored
+    value on conflict (SNK-07)."""
+    from seamstat.operators.tables import upsert
+    s, i = _stored_incoming(spark, sf_dir)
+    return upsert(s, i, ["player_id", "season"], update_cols=["n_orders", "hr"]).select(*_SI_COLS)
+
+
+@register("q_upsert_coalesce", _DUCK_SI + """,
+sn AS (SELECT player_id, season, CASE WHEN n_orders > 1 THEN 'S' || CAST(player_id AS VARCHAR) END AS name FROM stored),
+inn AS (SELECT player_id, season, 'I' || CAST(player_id AS VARCHAR) AS name FROM incoming)
+SELECT coalesce(s.player_id, i.player_id) AS player_id, coalesce(s.season, i.season) AS season,
+       coalesce(s.name, i.name) AS name
+FROM sn s FULL OUTER JOIN inn i ON i.player_id = s.player_id AND i.season = s.season""")
+def q_upsert_coalesce(spark, sf_dir):
+    """Upsert keeping stored non-null values, ``COALESCE(existing, new)``
+    (SNK-08)."""
+    from seamstat.operators.tables import upsert_coalesce
+    s, i = _stored_incoming(spark, sf_dir)
+    sn = s.select("player_id", "season", F.when(F.col("n_orders") > 1, F.concat(
+        F.lit("S"), F.col("player_id").cast("string"))).alias("name"))
+    inn = i.select("player_id", "season", F.concat(F.lit("I"), F.col("player_id").cast("string")).alias("name"))
+    return upsert_coalesce(sn, inn, ["player_id", "season"], ["name"])
+
+
+# ------------------------------------------------------------------- JSON --
+@register("q_json_flatten", """
+SELECT event_id, user_id, event_type,
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       TRY_CAST(CASE WHEN event_type = 'error' THEN '.---' ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value_num
+FROM events""")
+def q_json_flatten(spark, sf_dir):
+    """JSON path access with a declared type and sentinel-safe numeric
+    parsing (SCA-15, SCA-17)."""
+    from seamstat.functions.exprs import safe_num
+    from seamstat.sources.landed_json import json_field
+    ev = T.read(spark, sf_dir, "events")
+    text = F.when(F.col("event_type") == "error", F.lit(".---")).otherwise(F.col("value").cast("string"))
+    return ev.select("event_id", "user_id", "event_type",
+                     json_field("props", "$.k", to="bigint").alias("k"),
+                     safe_num(text).alias("value_num"))
+
+
+def _season_stats_json(spark, sf_dir):
+    """A landed season-stats document per (user, day, event type): two
+    splits, the first is the one loaded (nested struct -> JSON text)."""
+    ev = T.read(spark, sf_dir, "events")
+    g = ev.groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("k_sum"))
+    first = F.struct(F.struct(F.col("n").alias("gamesPlayed"), F.col("k_sum").alias("homeRuns"),
+                              F.format_string("%.3f", F.col("n") / 10.0).alias("avg")).alias("stat"))
+    second = F.struct(F.struct(F.lit(0).cast("bigint").alias("gamesPlayed"),
+                               F.lit(0).cast("bigint").alias("homeRuns"),
+                               F.lit(".---").alias("avg")).alias("stat"))
+    doc = F.to_json(F.struct(F.array(F.struct(F.array(first, second).alias("splits"))).alias("stats")))
+    return g.select("user_id", "day", "event_type", doc.alias("payload"))
+
+
+@register("q_json_season_stats", """
+SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS games,
+       CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS home_runs,
+       TRY_CAST(printf('%.3f', count(*) / 10.0) AS DOUBLE) AS avg
+FROM events GROUP BY 1, 2, 3""")
+def q_json_season_stats(spark, sf_dir):
+    """Landed season-stat documents flattened from the first split only
+    (SRC-02, SRC-03, T17)."""
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import STATS_PAYLOAD
+    docs = LJ.parse(_season_stats_json(spark, sf_dir), "payload", STATS_PAYLOAD)
+    cols = LJ.flatten_season_stats(F.col("doc"), {"games": "gamesPlayed", "home_runs": "homeRuns",
+                                                  "avg": "avg"})
+    out = docs.select("user_id", F.col("day").cast("string").alias("day"), "event_type", *cols)
+    return out.withColumn("avg", F.col("avg").try_cast("double"))
