@@ -40,3 +40,211 @@ def impute_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null, NaN and +-inf to 0 (MLO-03, SCA-12)."""
     return df.withColumns({c: F.coalesce(inf_to_null(nan_to_null(F.col(c).cast("double"))),
                                          F.lit(0.0)) for c in cols})
+
+
+# ---------------------------------------------------------- standardize --
+def standardize_stats(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and population standard deviation per column from ONE
+    aggregate; a zero deviation is read as 1 (MLO-06). Only 2 scalars per
+    column reach the driver."""
+    row = train.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                    *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
+    out = {}
+    for i, c in enumerate(cols):
+        m, s = row[f"m_{i}"], row[f"s_{i}"]
+        out[c] = (m if m is not None else 0.0, s if s not in (None, 0.0) else 1.0)
+    return out
+
+
+def standardize(df: DataFrame, stats: dict[str, tuple[float, float]],
+                suffix: str = "") -> DataFrame:
+    return df.withColumns({c + suffix: (F.col(c) - F.lit(m)) / F.lit(s)
+                           for c, (m, s) in stats.items()})
+
+
+# ------------------------------------------------------------- fitting --
+def _assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+
+
+def fit_ridge(train: DataFrame, cols: Sequence[str], label: str, alpha: float = 1.0):
+    """Ridge with an unpenalised intercept on already-standardised columns
+    (MLO-07). Spark scales the label by its deviation internally, so the
+    squared-error objective ``||y - Xw||^2 + alpha ||w||^2`` corresponds to
+    ``regParam = alpha / n * std_pop(y)``."""
+    from pyspark.ml.regression import LinearRegression
+    agg = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sy")).first()
+    n, sy = agg["n"], agg["sy"] or 0.0
+    reg = alpha / n * sy if n else 0.0
+    lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred_ridge",
+                          regParam=reg, elasticNetParam=0.0, standardization=False,
+                          solver="normal", fitIntercept=True)
+    return lr.fit(_assemble(train, cols))
+
+
+def gbt(params: dict | None = None, label: str = "label", seed: int = 42,
+        subsample: float = 0.8, colsample: float = 0.8):
+    """Boosted regression trees (MLO-08): trees, depth, learning rate, and
+    the minimum rows per leaf for the minimum child weight (squared loss)."""
+    from pyspark.ml.regression import GBTRegressor
+    p = {"n_estimators": 200, "max_depth": 4, "learning_rate": 0.05, "min_child_weight": 1}
+    p.update(params or {})
+    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred_gbt",
+                        maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
+                        stepSize=float(p["learning_rate"]),
+                        minInstancesPerNode=int(p["min_child_weight"]),
+                        subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
+                        seed=seed, checkpointInterval=10)
+
+
+def select_features(train: DataFrame, cols: Sequence[str], label: str,
+                    threshold: float = 0.005, params: dict | None = None) -> list[str]:
+    """Keep columns whose boosted-tree importance is >= threshold (MLO-04)."""
+    p = {"n_estimators": 200, "max_depth": 4, "learning_rate": 0.05}
+    p.update(params or {})
+    model = gbt(p, label, subsample=1.0, colsample=1.0).fit(_assemble(train, cols))
+    imp = model.featureImportances.toArray()
+    return [c for c, v in zip(cols, imp) if v >= threshold]
+
+
+def feature_importances(spark, train: DataFrame, cols: Sequence[str], label: str,
+                        params: dict | None = None) -> DataFrame:
+    """Importance per feature as a DataFrame (feature, importance)."""
+    model = gbt(params, label, subsample=1.0, colsample=1.0).fit(_assemble(train, cols))
+    imp = model.featureImportances.toArray()
+    return spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)],
+                                 "feature string, importance double")
+
+
+def with_folds(df: DataFrame, keys: Sequence[str], k: int = 3, col: str = "fold") -> DataFrame:
+    """Deterministic fold id from a hash of the keys (no global sort)."""
+    return df.withColumn(col, F.pmod(F.xxhash64(*keys), F.lit(k)).cast("int"))
+
+
+def tune(train: DataFrame, cols: Sequence[str], label: str, grid: dict,
+         folds: int = 3, keys: Sequence[str] = ("player_id", "season"),
+         parallelism: int = 4) -> dict:
+    """Grid search with k-fold cross-validation on R^2 (MLO-05); returns the
+    best parameter dict."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    est = gbt(None, label)
+    names = list(grid)
+    pmap = {"n_estimators": est.maxIter, "max_depth": est.maxDepth,
+            "learning_rate": est.stepSize, "min_child_weight": est.minInstancesPerNode}
+    b = ParamGridBuilder()
+    for n in names:
+        b = b.addGrid(pmap[n], list(grid[n]))
+    maps = b.build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
+                        evaluator=RegressionEvaluator(labelCol=label, predictionCol="pred_gbt",
+                                                      metricName="r2"),
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=42)
+    data = with_folds(_assemble(train, cols), list(keys), folds)
+    model = cv.fit(data)
+    best = max(range(len(maps)), key=lambda i: (model.avgMetrics[i], -i))
+    return {n: maps[best][pmap[n]] for n in names}
+
+
+# --------------------------------------------------------------- scores --
+def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    """MAE and R^2 (MLO-10) as one aggregate (optionally per group)."""
+    e = F.col(y) - F.col(yhat)
+    g = df.groupBy(*by) if by else df
+    mean_y = F.avg(y)
+    return g.agg(F.avg(F.abs(e)).alias("mae"),
+                 (1 - F.sum(e * e) / (F.sum(F.col(y) * F.col(y)) - F.count(F.lit(1)) * mean_y * mean_y))
+                 .alias("r2"))
+
+
+def best_blend(df: DataFrame, y: str, a: str, b: str, steps: int = 20,
+               by: Sequence[str] = ()) -> DataFrame:
+    """Best blend weight w in {0, 1/steps, ..., 1} of ``(1-w) a + w b`` by
+    R^2 (first maximum, i.e. the smallest weight on ties), with its R^2
+    (MLO-09).
+
+    One pass computes six sums; R^2(w) for every w follows from them
+    (residual = e0 - w d with e0 = y - a, d = b - a), so no copy of the
+    data per weight is made.
+    """
+    e0 = F.col(y) - F.col(a)
+    d = F.col(b) - F.col(a)
+    g = df.groupBy(*by) if by else df
+    s = g.agg(F.sum(e0 * e0).alias("see"), F.sum(e0 * d).alias("sed"), F.sum(d * d).alias("sdd"),
+              F.sum(y).alias("sy"), F.sum(F.col(y) * F.col(y)).alias("syy"),
+              F.count(F.lit(1)).alias("n"))
+    w = F.col("i") / F.lit(float(steps))
+    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    ssr = F.col("see") - 2 * w * F.col("sed") + w * w * F.col("sdd")
+    cand = s.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps)))) \
+        .withColumn("w", w).withColumn("r2", 1 - ssr / sst)
+    pick = cand.groupBy(*by).agg(F.min_by(F.struct("w", "r2"),
+                                          F.struct(-F.col("r2"), F.col("i"))).alias("b")) \
+        if by else cand.agg(F.min_by(F.struct("w", "r2"), F.struct(-F.col("r2"), F.col("i"))).alias("b"))
+    return pick.select(*by, F.col("b")["w"].alias("best_weight"), F.col("b")["r2"].alias("r2"))
+
+
+def ratio_scores(df: DataFrame, num_pred: str, den_pred: str, num: str, den: str) -> DataFrame:
+    """Derived ratio (K/BB) scores with a zero denominator read as 1
+    (MLO-11)."""
+    r = lambda a, b: F.col(a) / F.when(F.col(b) == 0, 1).otherwise(F.col(b))
+    return regression_scores(df.withColumns({"__y": r(num, den), "__p": r(num_pred, den_pred)}),
+                             "__y", "__p")
+
+
+# ------------------------------------------------------ train / project --
+def fit_target(train: DataFrame, test: DataFrame, cols: Sequence[str], target: str,
+               params: dict, threshold: float = 0.005,
+               select_params: dict | None = None, alpha: float = 1.0,
+               blend_steps: int = 20) -> dict:
+    """One target of the ensemble: importance selection, ridge on
+    standardised columns, boosted trees on raw columns, best blend weight on
+    the evaluation set, MAE / R^2 there (MLO-04, -06, -07, -08, -09, -10)."""
+    keep = select_features(train, cols, target, threshold, select_params) or list(cols)
+    scale = standardize_stats(train, keep)
+    zcols = [c + "__z" for c in keep]
+    ridge = fit_ridge(standardize(train, scale, "__z"), zcols, target, alpha)
+    trees = gbt(params, target).fit(_assemble(train, keep))
+    scored = score(test, {"features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
+                          "weight": 0.0})
+    blend = best_blend(scored, target, "pred_ridge", "pred_gbt", blend_steps).first()
+    w = float(blend["best_weight"])
+    final = scored.withColumn("pred", (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt"))
+    sc = regression_scores(final, target, "pred").first()
+    return {"target": target, "features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
+            "weight": w, "r2": float(blend["r2"]) if blend["r2"] is not None else None,
+            "mae": sc["mae"]}
+
+
+def score(df: DataFrame, model: dict, out: str = "pred") -> DataFrame:
+    """Ridge and tree predictions and their blend for a fitted target."""
+    keep, scale = model["features"], model["scale"]
+    zcols = [c + "__z" for c in keep]
+    z = _assemble(standardize(df, scale, "__z"), zcols)
+    r = model["ridge"].transform(z).drop("features")
+    g = model["gbt"].transform(_assemble(r, keep)).drop("features")
+    w = model["weight"]
+    return g.withColumn(out, (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt")) \
+        .drop(*zcols)
+
+
+def metrics_frame(spark, fitted: Sequence[dict]) -> DataFrame:
+    """Per-target blend weight, R^2, MAE and feature count as a DataFrame."""
+    return spark.createDataFrame(
+        [(m["target"], m["weight"], m["r2"], m["mae"], len(m["features"])) for m in fitted],
+        "target string, blend_weight double, r2 double, mae double, n_features int")
+
+
+def project(latest: DataFrame, fitted: Sequence[dict], id_cols: Sequence[str],
+            digits: dict[str, int], prefix: str = "next_") -> DataFrame:
+    """Score the latest season with every target's blend and round per
+    target, half to even (MLO-13). Each target adds one prediction column."""
+    from seamstat.functions.exprs import np_round
+    out = latest
+    for m in fitted:
+        name = m["target"][len(prefix):] if m["target"].startswith(prefix) else m["target"]
+        out = score(out, m, "__p").withColumn(name + "_proj", np_round("__p", digits.get(name, 0))) \
+            .drop("__p", "pred_ridge", "pred_gbt")
+    return out.select(*id_cols, *[(m["target"][len(prefix):] if m["target"].startswith(prefix)
+                                   else m["target"]) + "_proj" for m in fitted])

@@ -1025,3 +1025,245 @@ def q_json_season_stats(spark, sf_dir):
                                                   "avg": "avg"})
     out = docs.select("user_id", F.col("day").cast("string").alias("day"), "event_type", *cols)
     return out.withColumn("avg", F.col("avg").try_cast("double"))
+
+
+# ---------------------------------------------------------- data quality --
+@register("q_dup_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_dup_keys(spark, sf_dir):
+    """Keys occurring more than once, with multiplicity (DQ-02, AGG-13)."""
+    from seamstat.operators.quality import duplicate_keys
+    return duplicate_keys(T.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("q_match_rate", _BAT_WITH + ", " + T.DUCK_OFFICIAL_BATTING + ", " + T.DUCK_BIO + """
+SELECT count(*) AS n_rows, count(o.stolen_bases) AS stolen_bases_matched,
+       count(bio.birth_date) AS birth_date_matched,
+       count(o.stolen_bases) / CAST(count(*) AS DOUBLE) AS stolen_bases_rate,
+       count(bio.birth_date) / CAST(count(*) AS DOUBLE) AS birth_date_rate
+FROM bat_lines b
+LEFT JOIN official_b o ON o.player_id = b.batter AND o.season = b.season
+LEFT JOIN bio_v bio ON bio.player_id = b.batter
+WHERE b.split_type = 'total'""")
+def q_match_rate(spark, sf_dir):
+    """Share of rows matched by each left join, one pass (DQ-03)."""
+    from seamstat.operators.quality import match_rate
+    b = _bat_totals(spark, sf_dir, None).select("player_id", "season")
+    ob = T.official_batting(spark, sf_dir).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
+    bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")
+    df = b.join(ob, ["player_id", "season"], "left").join(bio, "player_id", "left")
+    return match_rate(df, ["stolen_bases", "birth_date"])
+
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@register("q_table_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _TABLES))
+def q_table_counts(spark, sf_dir):
+    """Row count of every table as rows (SNK-11)."""
+    from seamstat.operators.tables import table_counts
+    return table_counts(**{t: T.read(spark, sf_dir, t) for t in _TABLES})
+
+
+@register("q_split_span", T.duck_with(_CUST_SEASON) + """,
+latest AS (SELECT max(season) AS l FROM cs),
+pairs AS (
+  SELECT c.player_id, c.season,
+         CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+              WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+  FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season)
+SELECT split, min(season) AS first_season, max(season) AS last_season, count(*) AS n_rows,
+       count(DISTINCT player_id) AS n_entities
+FROM pairs GROUP BY split""")
+def q_split_span(spark, sf_dir):
+    """Season span, rows and entities of the train and test pairs (DQ-04)."""
+    from seamstat.operators.joins import year_pairs
+    from seamstat.operators.modeling import season_split
+    from seamstat.operators.quality import span_report
+    cs = _cust_season(spark, sf_dir)
+    pairs = season_split(year_pairs(cs, ["lines"], "player_id", "season"), cs)
+    return span_report(pairs, "season", "player_id", "split")
+
+
+@register("q_row_count_check", _BAT_WITH + ", " + T.DUCK_OFFICIAL_BATTING + ", " + T.DUCK_BIO + """,
+base AS (SELECT batter AS player_id, season FROM bat_lines WHERE split_type = 'total'),
+joined AS (SELECT b.* FROM base b
+           LEFT JOIN official_b o ON o.player_id = b.player_id AND o.season = b.season
+           LEFT JOIN bio_v bio ON bio.player_id = b.player_id)
+SELECT (SELECT count(*) FROM base) AS rows_before, (SELECT count(*) FROM joined) AS rows_after,
+       (SELECT count(*) FROM base) = (SELECT count(*) FROM joined) AS stable""")
+def q_row_count_check(spark, sf_dir):
+    """Row count before and after the left-join chain (DQ-01)."""
+    from seamstat.operators.quality import check_row_count
+    b = _bat_totals(spark, sf_dir, None).select("player_id", "season")
+    ob = T.official_batting(spark, sf_dir).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
+    bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")
+    after = b.join(ob, ["player_id", "season"], "left").join(bio, "player_id", "left")
+    return check_row_count(b, after)
+
+
+# ------------------------------------------------------------------ top-k --
+@register("q_topk", _BAT_WITH + """
+SELECT batter AS player_id, season, pa, ops FROM bat_lines
+WHERE split_type = 'total' AND pa >= 50
+ORDER BY ops DESC, player_id, season LIMIT 20""")
+def q_topk(spark, sf_dir):
+    """Leaderboard: top 20 qualified player-seasons by OPS, ties by id and
+    season (SRT-02, MLO-15)."""
+    b = _bat_totals(spark, sf_dir).select("player_id", "season", "pa", "ops")
+    return b.orderBy(F.col("ops").desc(), "player_id", "season").limit(20)
+
+
+# ----------------------------------------------------------- context swap --
+@register("q_context_swap", _BAT_WITH + ", " + _TEAM_ROWS + """,
+latest AS (SELECT max(season) AS l FROM bat_lines),
+roster AS (SELECT s_suppkey AS player_id, 'H' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS team FROM supplier),
+cur AS (SELECT batter AS player_id, season, slg FROM bat_lines
+        WHERE split_type = 'total' AND season = (SELECT l FROM latest))
+SELECT c.player_id, r.team, c.season, CAST(pf.basic AS DOUBLE) AS park_factor,
+       ts.team_runs, ts.team_hr, c.slg,
+       c.slg * (100.0 / CASE WHEN CAST(pf.basic AS DOUBLE) = 0 THEN 100 ELSE CAST(pf.basic AS DOUBLE) END) AS slg_park_adj
+FROM cur c JOIN roster r ON r.player_id = c.player_id
+LEFT JOIN parks_v pf ON pf.team = r.team AND pf.season = c.season
+LEFT JOIN ts ON ts.team = r.team AND ts.season = c.season""")
+def q_context_swap(spark, sf_dir):
+    """Latest-season rows moved to their projected team: roster join, then
+    that team's park factor and strength of the latest season, park
+    adjustment redone (DOM-30, JON-11, JON-12)."""
+    from seamstat.operators.joins import latest_snapshot
+    tot = latest_snapshot(_bat_totals(spark, sf_dir, None).select("player_id", "season", "slg"),
+                          "season")
+    sup = T.read(spark, sf_dir, "supplier")
+    roster = sup.select(F.col("s_suppkey").alias("player_id"),
+                        F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
+    tr = _team_rows(spark, sf_dir)
+    strength = tr.groupBy("season", "team").agg(F.sum("h").cast("double").alias("team_runs"),
+                                                F.sum("hr").cast("double").alias("team_hr"))
+    parks = T.park_factors(spark, sf_dir).select(
+        F.col("season").cast("bigint").alias("season"), "team",
+        F.col("basic").cast("double").alias("park_factor"))
+    df = tot.join(roster, "player_id").join(parks, ["season", "team"], "left") \
+        .join(strength, ["season", "team"], "left")
+    return FT.park_adjusted(df, {"slg_park_adj": "slg"}).select(
+        "player_id", "team", "season", "park_factor", "team_runs", "team_hr", "slg", "slg_park_adj")
+
+
+# -------------------------------------------------------------- modelling --
+def _pairs(spark, sf_dir):
+    from seamstat.operators.joins import year_pairs
+    from seamstat.operators.modeling import season_split
+    cs = _cust_season(spark, sf_dir)
+    return season_split(year_pairs(cs, ["lines", "qty"], "player_id", "season"), cs), cs
+
+
+@register("q_standardize", T.duck_with(_CUST_SEASON) + """,
+latest AS (SELECT max(season) AS l FROM cs),
+pairs AS (SELECT c.*, CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+                           WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+          FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season),
+st AS (SELECT avg(lines) AS ml, stddev_pop(lines) AS sl, avg(qty) AS mq, stddev_pop(qty) AS sq
+       FROM pairs WHERE split = 'train')
+SELECT p.player_id, p.season, p.split,
+       round((p.lines - st.ml) / CASE WHEN st.sl = 0 THEN 1 ELSE st.sl END, 6) AS lines_z,
+       round((p.qty - st.mq) / CASE WHEN st.sq = 0 THEN 1 ELSE st.sq END, 6) AS qty_z
+FROM pairs p, st""")
+def q_standardize(spark, sf_dir):
+    """Population-std standardisation fitted on the train split and applied
+    to all pairs; zero deviation reads as 1 (MLO-06)."""
+    from seamstat.operators.modeling import standardize, standardize_stats
+    pairs, _ = _pairs(spark, sf_dir)
+    st = standardize_stats(pairs.where(F.col("split") == "train"), ["lines", "qty"])
+    z = standardize(pairs, st, "_z")
+    return z.select("player_id", "season", "split", F.round("lines_z", 6).alias("lines_z"),
+                    F.round("qty_z", 6).alias("qty_z"))
+
+
+def _duck_blend(target: str) -> str:
+    return f"""SELECT '{target}' AS target, w AS best_weight, round(r2, 6) AS r2 FROM (
+  SELECT i / 20.0 AS w, i,
+         1 - (see - 2 * (i / 20.0) * sed + (i / 20.0) * (i / 20.0) * sdd) / (syy - sy * sy / n) AS r2
+  FROM (SELECT sum((y - a) * (y - a)) AS see, sum((y - a) * (b - a)) AS sed, sum((b - a) * (b - a)) AS sdd,
+               sum(y) AS sy, sum(y * y) AS syy, count(*) AS n
+        FROM (SELECT next_{target} AS y, {target} AS a,
+                     (SELECT avg(next_{target}) FROM pairs WHERE split = 'train') AS b
+              FROM pairs WHERE split = 'test')) s, range(0, 21) t(i)
+  ORDER BY r2 DESC, i LIMIT 1)"""
+
+
+@register("q_blend_search", T.duck_with(_CUST_SEASON) + """,
+latest AS (SELECT max(season) AS l FROM cs),
+pairs AS (SELECT c.*, n.lines AS next_lines, n.qty AS next_qty,
+                 CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+                      WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+          FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season)
+""" + _duck_blend("lines") + " UNION ALL " + _duck_blend("qty"))
+def q_blend_search(spark, sf_dir):
+    """Blend-weight search over 21 weights of two predictors (this season's
+    value and the train mean of next season), first best R^2 on the test
+    split (MLO-09, MLO-10)."""
+    from seamstat.operators.modeling import best_blend
+    pairs, _ = _pairs(spark, sf_dir)
+    out = None
+    for t in ("lines", "qty"):
+        m = pairs.where(F.col("split") == "train").select(F.avg(f"next_{t}")).scalar()
+        test = pairs.where(F.col("split") == "test").withColumn("__b", m)
+        b = best_blend(test, f"next_{t}", t, "__b").select(
+            F.lit(t).alias("target"), "best_weight", F.round("r2", 6).alias("r2"))
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
+def _model_inputs(spark, sf_dir):
+    from seamstat.operators.modeling import impute_zero
+    pairs, cs = _pairs(spark, sf_dir)
+    feats = ["lines", "qty", "returns"]
+    pairs = impute_zero(pairs, feats + ["next_lines", "next_qty"])
+    return pairs, cs, feats
+
+
+@register("q_ridge")
+def q_ridge(spark, sf_dir):
+    """Ridge (alpha 1) on standardised features, predictions for the test
+    split (MLO-03, MLO-06, MLO-07)."""
+    from seamstat.operators.modeling import (_assemble, fit_ridge, standardize,
+                                             standardize_stats)
+    pairs, _, feats = _model_inputs(spark, sf_dir)
+    train = pairs.where(F.col("split") == "train")
+    st = standardize_stats(train, feats)
+    z = [f + "__z" for f in feats]
+    model = fit_ridge(standardize(train, st, "__z"), z, "next_lines", 1.0)
+    test = _assemble(standardize(pairs.where(F.col("split") == "test"), st, "__z"), z)
+    return model.transform(test).select("player_id", "season", "next_lines",
+                                        F.round("pred_ridge", 6).alias("pred_ridge"))
+
+
+@register("q_gbt_importance")
+def q_gbt_importance(spark, sf_dir):
+    """Boosted-tree feature importances and the kept set (MLO-04)."""
+    from seamstat.operators.modeling import feature_importances
+    pairs, _, feats = _model_inputs(spark, sf_dir)
+    imp = feature_importances(spark, pairs.where(F.col("split") == "train"), feats, "next_lines",
+                              {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
+    return imp.withColumn("kept", F.col("importance") >= K.IMPORTANCE_THRESHOLD)
+
+
+@register("q_project")
+def q_project(spark, sf_dir):
+    """Train ridge + boosted trees per target, tune on one target by
+    3-fold CV, blend on the test split, project the latest season and round
+    (MLO-04, -05, -08, -09, -13)."""
+    from seamstat.operators.modeling import fit_target, impute_zero, project, tune
+    pairs, cs, feats = _model_inputs(spark, sf_dir)
+    train = pairs.where(F.col("split") == "train")
+    test = pairs.where(F.col("split") == "test")
+    best = tune(train, feats, "next_lines", {"n_estimators": [5], "max_depth": [2, 3],
+                                             "learning_rate": [0.1]}, parallelism=2)
+    small = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}
+    fitted = [fit_target(train, test, feats, t, best, select_params=small)
+              for t in ("next_lines", "next_qty")]
+    latest = impute_zero(cs.where(F.col("season") == cs.select(F.max("season")).scalar()), feats)
+    return project(latest, fitted, ["player_id", "season"], {"lines": 0, "qty": 0})
