@@ -109,3 +109,14 @@ def barrel_tiers():
         hi = 30 if i == 0 else 31 if i == 1 else 31 + i
         tiers.append((98 + i, 26 - i, hi))
     return tiers
+
+
+# --- FIXED VALUES: pitch-type groups and batted-ball thresholds -------------
+FASTBALL_TYPES = ("FF", "SI", "FC")
+FOUR_SEAM_TYPES = ("FF",)
+BREAKING_TYPES = ("SL", "CU", "KC", "SV", "ST")
+OFFSPEED_TYPES = ("CH", "FS", "FO", "SC")
+CALLED_STRIKE = ("called_strike",)
+HARD_HIT_SPEED = 95.0
+IN_ZONE_MAX = 9
+GROUND_BALL = "ground_ball"

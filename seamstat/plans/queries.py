@@ -749,19 +749,7 @@ def q_role_flags(spark, sf_dir):
 
 
 # --------------------------------------------------------- quality starts --
-def _game_log_json(spark, sf_dir):
-    """One landed game-log document per line item (a pitching appearance)."""
-    li = T.read(spark, sf_dir, "lineitem")
-    q = F.col("l_quantity").cast("int")
-    ip = F.concat((q / 6).cast("int").cast("string"), F.lit("."), (q % 3).cast("string"))
-    er = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("bigint")) \
-        .otherwise((F.round(F.col("l_tax") * 100).cast("int") % 5).cast("bigint"))
-    gs = F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).cast("bigint")
-    split = F.struct(F.struct(gs.alias("gamesStarted"), ip.alias("inningsPitched"),
-                              er.alias("earnedRuns")).alias("stat"))
-    doc = F.to_json(F.struct(F.array(F.struct(F.array(split).alias("splits"))).alias("stats")))
-    return li.select(F.col("l_suppkey").alias("player_id"),
-                     F.year("l_shipdate").cast("bigint").alias("season"), doc.alias("payload"))
+_game_log_json = T.game_log_docs
 
 
 @register("q_quality_events", """
@@ -1267,3 +1255,19 @@ def q_project(spark, sf_dir):
               for t in ("next_lines", "next_qty")]
     latest = impute_zero(cs.where(F.col("season") == cs.select(F.max("season")).scalar()), feats)
     return project(latest, fitted, ["player_id", "season"], {"lines": 0, "qty": 0})
+
+
+# ------------------------------------------------------- feature matrices --
+@register("q_hitter_features")
+def q_hitter_features(spark, sf_dir):
+    """Full hitter feature matrix, one row per qualified player-season
+    (DOM-28; every hitter feature operator in one plan)."""
+    from seamstat.plans.matrices import hitter_features
+    return hitter_features(T.matrix_inputs(spark, sf_dir), T.FIRST_SEASON, T.LAST_SEASON)
+
+
+@register("q_pitcher_features")
+def q_pitcher_features(spark, sf_dir):
+    """Full pitcher feature matrix (DOM-29), qualified on IP notation."""
+    from seamstat.plans.matrices import pitcher_features
+    return pitcher_features(T.matrix_inputs(spark, sf_dir), T.FIRST_SEASON, T.LAST_SEASON)

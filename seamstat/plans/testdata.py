@@ -38,6 +38,7 @@ DESCRIPTION_CYCLE = [
     "ball", "called_strike", "swinging_strike", "foul", "hit_into_play",
     "swinging_strike_blocked", "foul_tip", "ball", "hit_into_play_no_out",
     "foul_bunt", "hit_into_play_score"]
+PITCH_TYPES = ["FF", "SI", "SL", "CH", "CU", "FC"]
 FIRST_SEASON, LAST_SEASON = 1995, 2001
 
 
@@ -101,7 +102,13 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "R").otherwise("L").alias("p_throws"),
         F.when(F.col("l_returnflag") == "A", "L").when(F.col("l_returnflag") == "R", "R")
          .otherwise("S").alias("stand"),
-        F.col("l_shipdate").alias("ship_ts"))
+        F.col("l_shipdate").alias("ship_ts"),
+        F.element_at(F.array(*[F.lit(x) for x in PITCH_TYPES]),
+                     (F.col("l_linenumber") % len(PITCH_TYPES) + 1).cast("int")).alias("pitch_type"),
+        F.when(F.col("l_linenumber") <= 4, F.col("l_linenumber") * 2)
+         .otherwise(F.col("l_linenumber") + 10).cast("int").alias("zone"),
+        (tax.cast("double") / 10.0).alias("estimated_ba_using_speedangle"),
+        (F.col("l_linenumber") / 8.0 + 6.0).alias("release_extension"))
 
 
 DUCK_PITCHES = f"""pitches_v AS (
@@ -331,3 +338,102 @@ milb_v AS (
 
 
 DUCK_MILB = _duck_milb()
+
+
+# ------------------------------------------- remaining matrix inputs (Spark) --
+def sprint_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
+        (F.lit(25.0) + F.avg("l_discount") * 50).cast("decimal(5,2)").alias("sprint_speed"),
+        (F.lit(4.5) - F.avg("l_tax") * 5).cast("decimal(5,2)").alias("hp_to_1b"),
+        F.count_if(F.col("l_quantity") == 50).cast("int").alias("bolts"),
+        F.count(F.lit(1)).cast("int").alias("competitive_runs"))
+
+
+def lineup_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
+        F.avg("l_linenumber").alias("avg_lineup_pos"), F.count(F.lit(1)).cast("int").alias("games"))
+
+
+def team_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (season, team): runs, OPS proxy and home runs of the team's
+    plate appearances."""
+    from seamstat.operators import stats
+    pa = stats.plate_appearances(pitches(spark, sf_dir), games(spark, sf_dir), "batter")
+    ev = F.col("events")
+    return pa.groupBy("season", F.col("batter_team").alias("team")).agg(
+        F.count_if(ev.isin("single", "double", "triple", "home_run")).cast("double").alias("team_runs"),
+        (F.count_if(ev.isin("single", "double", "triple", "home_run", "walk")) /
+         F.count(F.lit(1))).alias("team_ops"),
+        F.count_if(ev == "home_run").cast("double").alias("team_hr"))
+
+
+def milb_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minor-league pitching lines per (supplier, ship year, level, team)
+    from the accepted items, with per-nine rates and FIP."""
+    from seamstat.sources.landed_json import milb_pitching_rates
+    li = read(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    pr = F.substring("o_orderpriority", 1, 1)
+    level = (F.when(pr == "1", "AAA").when(pr == "2", "AA").when(pr == "3", "High-A")
+             .when(pr == "4", "Single-A").otherwise("Rookie"))
+    q = F.col("l_quantity")
+    g = j.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season"),
+                  level.alias("level"), F.concat(F.lit("T"), F.col("o_orderstatus")).alias("team_name")) \
+        .agg((F.count(F.lit(1)) * 1.5).alias("ip"), F.count_if(q >= 46).alias("hr"),
+             F.count_if(q <= 5).alias("bb"), F.count_if((q > 5) & (q <= 20)).alias("so"),
+             F.count_if(q >= 30).alias("hits"),
+             F.count_if(F.col("l_tax") >= 0.06).alias("er"))
+    g = g.withColumns({"era": F.round(F.col("er") * 9 / F.col("ip"), 2),
+                       "whip": F.round((F.col("hits") + F.col("bb")) / F.col("ip"), 2)})
+    return milb_pitching_rates(g, constants(spark).select("season", "cfip"))
+
+
+def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed game-log document per line item (a pitching appearance)."""
+    li = read(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int")
+    ip = F.concat((q / 6).cast("int").cast("string"), F.lit("."), (q % 3).cast("string"))
+    er = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("bigint")) \
+        .otherwise((F.round(F.col("l_tax") * 100).cast("int") % 5).cast("bigint"))
+    gs = F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).cast("bigint")
+    split = F.struct(F.struct(gs.alias("gamesStarted"), ip.alias("inningsPitched"),
+                              er.alias("earnedRuns")).alias("stat"))
+    doc = F.to_json(F.struct(F.array(F.struct(F.array(split).alias("splits"))).alias("stats")))
+    return li.select(F.col("l_suppkey").alias("player_id"),
+                     F.year("l_shipdate").cast("bigint").alias("season"), doc.alias("payload"))
+
+
+def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from seamstat.operators.aggs import quality_starts
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import STATS_PAYLOAD
+    log = LJ.flatten_game_log(LJ.parse(game_log_docs(spark, sf_dir), "payload", STATS_PAYLOAD))
+    return quality_starts(log, "player_id", "season", "games_started", "innings", "earned_runs") \
+        .withColumn("season", F.col("season").cast("int"))
+
+
+def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("player_id"),
+                    F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
+
+
+def matrix_inputs(spark: SparkSession, sf_dir: str) -> dict:
+    """Every input of the feature matrices, derived from the driver tables."""
+    from seamstat.operators.advanced import batting_advanced, pitching_advanced
+    p, g = pitches(spark, sf_dir), games(spark, sf_dir)
+    return {
+        "pitches": p, "games": g, "constants": constants(spark),
+        "parks": park_factors(spark, sf_dir),
+        "official_batting": official_batting(spark, sf_dir),
+        "official_pitching": official_pitching(spark, sf_dir),
+        "batting_advanced": batting_advanced(p, g), "pitching_advanced": pitching_advanced(p, g),
+        "player_bio": player_bio(spark, sf_dir), "sprint_speed": sprint_speed(spark, sf_dir),
+        "lineup_position": lineup_position(spark, sf_dir),
+        "team_strength": team_strength(spark, sf_dir),
+        "milb_batting": milb_batting(spark, sf_dir), "milb_pitching": milb_pitching(spark, sf_dir),
+        "quality_starts": quality_starts_table(spark, sf_dir),
+    }
