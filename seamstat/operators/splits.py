@@ -1,10 +1,12 @@
 """Platoon and half-season split features (DOM-13, DOM-14, JON-07).
 
-Both come from ONE scan of regular-season pitches and ONE aggregation per
-(entity, season): every split value is a conditional aggregate, which is a
-pivot done inside the aggregation (no second aggregation, no join per side).
-A side or half with no pitches yields nulls, as a left join of the pivoted
-rows would.
+Both come from ONE scan of pitches: partial sums and counts per (game,
+entity) are combined on the map side, joined to regular-season games, and
+summed per (entity, season). Every split value is a conditional aggregate of
+those partials -- a pivot done inside the aggregation (no per-side
+aggregation, no join per side). A side or half with no pitches yields
+nulls, as a left join of the pivoted rows would. Averages and ratios are
+formed only at the end from sums and counts.
 """
 
 from __future__ import annotations
@@ -17,24 +19,69 @@ from seamstat.functions.exprs import is_barrel, pg_round_double
 from seamstat.operators.stats import G, P, GameCols, PitchCols, regular_games
 
 
-def _whiff(mask: Column, p: PitchCols) -> Column:
-    d = F.col(p.description)
-    num = F.count_if(mask & d.isin(list(K.WHIFF))).cast("decimal(20,0)")
-    den = F.count_if(mask & d.isin(list(K.SWING))).cast("decimal(20,0)")
-    return pg_round_double(num / F.nullif(den, F.lit(0)), 3)
+def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
+                    p: PitchCols, g: GameCols, first, last, partials: dict[str, Column]) -> DataFrame:
+    """Partial sums and counts per (game, entity), then the game's season and
+    month attached by a join on one row per entity and game.
 
+    Split metrics are sums and counts, so aggregating per game first (map-
+    side combine) and summing per season afterwards gives the same result
+    while the join shuffles far fewer rows than there are pitches.
+    """
+    pre = pitches.groupBy(F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
+        .agg(*[v.alias(k) for k, v in partials.items()])
+    gm = regular_games(games, "R", g, first, last).select(F.col(g.game_pk).alias("__g"), g.game_date)
+    return pre.join(gm, "__g").select("player_id", F.year(g.game_date).alias("season"),
+                                      F.month(g.game_date).alias("__month"), *partials)
 
-def _avg(mask: Column, x: Column, n: int) -> Column:
-    return pg_round_double(F.avg(F.when(mask, x)), n)
 
+def _cnt(mask: Column) -> Column:
+    return F.count_if(mask)
 
-def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
-                    p: PitchCols, g: GameCols, first, last) -> DataFrame:
-    gm = regular_games(games, "R", g, first, last).select(g.game_pk, g.game_date)
-    return pitches.join(gm, p.game_pk, "inner") \
-        .withColumn("season", F.year(g.game_date)) \
-        .withColumn("__month", F.month(g.game_date)) \
-        .withColumnRenamed(entity, "player_id")
+
+def _sum(mask: Column, x: Column) -> Column:
+    return F.sum(F.when(mask, x))
+
+
+def _n(mask: Column, x: Column) -> Column:
+    return F.count(F.when(mask, x))
+
+
+def _tot(name: str, mask: Column | None = None) -> Column:
+    v = F.col(name) if mask is None else F.when(mask, F.col(name))
+    return F.sum(v)
+
+
+def _avg_of(sum_name: str, n_name: str, mask: Column | None, digits: int) -> Column:
+    return pg_round_double(_tot(sum_name, mask) / F.nullif(_tot(n_name, mask), F.lit(0)), digits)
+
+
+def _whiff_of(w: str, sw: str, mask: Column | None) -> Column:
+    num = _tot(w, mask).cast("decimal(20,0)")
+    den = _tot(sw, mask).cast("decimal(20,0)")
+    return pg_round_double(num / F.nullif(den, F.lit(0)), 3)
+
+
+def _pitch_partials(p: PitchCols, side_col: str, release: bool) -> dict[str, Column]:
+    ls, xw, d = F.col(p.launch_speed), F.col(p.xwoba), F.col(p.description)
+    tracked = ls.isNotNull()
+    whiff, swing = d.isin(list(K.WHIFF)), d.isin(list(K.SWING))
+    out: dict[str, Column] = {}
+    for side in ("L", "R"):
+        m = F.col(side_col) == side
+        out.update({f"n_{side}": _cnt(m), f"ls_s_{side}": _sum(m & tracked, ls),
+                    f"ls_n_{side}": _n(m & tracked, ls), f"xw_s_{side}": _sum(m & tracked, xw),
+                    f"xw_n_{side}": _n(m & tracked, xw), f"wh_{side}": _cnt(m & whiff),
+                    f"sw_{side}": _cnt(m & swing)})
+    t = F.lit(True)
+    out.update({"ls_s": _sum(tracked, ls), "ls_n": _n(tracked, ls), "xw_s": _sum(tracked, xw),
+                "xw_n": _n(tracked, xw), "wh": _cnt(whiff), "sw": _cnt(swing)})
+    if release:
+        out.update({"rs_s": _sum(t, F.col(p.release_speed)), "rs_n": _n(t, F.col(p.release_speed))})
+    else:
+        b = is_barrel(ls, F.col(p.launch_angle)).cast("int")
+        out.update({"br_s": _sum(tracked, b), "br_n": _n(tracked, b)})
+    return out
 
 
 def hitter_split_features(pitches: DataFrame, games: DataFrame,
@@ -43,24 +90,20 @@ def hitter_split_features(pitches: DataFrame, games: DataFrame,
     """Per batter-season: vs-left / vs-right pitcher pitches, exit velocity,
     xwOBA and whiff rate with L-R gaps; first / second half exit velocity,
     xwOBA, barrel rate and whiff rate with H2-H1 trends."""
-    df = _season_pitches(pitches, games, p.batter, p, g, first, last)
-    ls, xw = F.col(p.launch_speed), F.col(p.xwoba)
-    tracked = ls.isNotNull()
+    df = _season_pitches(pitches, games, p.batter, p, g, first, last,
+                         _pitch_partials(p, p.p_throws, release=False))
     aggs = []
     for side in ("L", "R"):
-        m = F.col(p.p_throws) == side
-        aggs += [F.nullif(F.count_if(m), F.lit(0)).cast("bigint").alias(f"pitches_vs_{side}"),
-                 _avg(m & tracked, ls, 1).alias(f"ev_vs_{side}"),
-                 _avg(m & tracked, xw, 3).alias(f"xwoba_vs_{side}"),
-                 _whiff(m, p).alias(f"whiff_vs_{side}")]
-    barrel = is_barrel(ls, F.col(p.launch_angle)).cast("int")
-    for half in ("h1", "h2"):
-        h2 = F.coalesce(F.col("__month") >= 7, F.lit(False))
-        m = h2 if half == "h2" else ~h2
-        aggs += [_avg(m & tracked, ls, 1).alias(f"ev_{half}"),
-                 _avg(m & tracked, xw, 3).alias(f"xwoba_{half}"),
-                 _avg(m & tracked, barrel, 3).alias(f"barrel_{half}"),
-                 _whiff(m, p).alias(f"whiff_{half}")]
+        aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"pitches_vs_{side}"),
+                 _avg_of(f"ls_s_{side}", f"ls_n_{side}", None, 1).alias(f"ev_vs_{side}"),
+                 _avg_of(f"xw_s_{side}", f"xw_n_{side}", None, 3).alias(f"xwoba_vs_{side}"),
+                 _whiff_of(f"wh_{side}", f"sw_{side}", None).alias(f"whiff_vs_{side}")]
+    h2 = F.coalesce(F.col("__month") >= 7, F.lit(False))
+    for half, m in (("h1", ~h2), ("h2", h2)):
+        aggs += [_avg_of("ls_s", "ls_n", m, 1).alias(f"ev_{half}"),
+                 _avg_of("xw_s", "xw_n", m, 3).alias(f"xwoba_{half}"),
+                 _avg_of("br_s", "br_n", m, 3).alias(f"barrel_{half}"),
+                 _whiff_of("wh", "sw", m).alias(f"whiff_{half}")]
     out = df.groupBy("player_id", "season").agg(*aggs)
     col = F.col
     return out.withColumns({
@@ -79,23 +122,20 @@ def pitcher_split_features(pitches: DataFrame, games: DataFrame,
     """Per pitcher-season: vs-left / vs-right batter splits with R-L gaps;
     first / second half velocity, exit velocity, xwOBA and whiff rate with
     H2-H1 trends."""
-    df = _season_pitches(pitches, games, p.pitcher, p, g, first, last)
-    ls, xw = F.col(p.launch_speed), F.col(p.xwoba)
-    tracked = ls.isNotNull()
+    df = _season_pitches(pitches, games, p.pitcher, p, g, first, last,
+                         _pitch_partials(p, p.stand, release=True))
     aggs = []
     for side in ("L", "R"):
-        m = F.col(p.stand) == side
-        aggs += [F.nullif(F.count_if(m), F.lit(0)).cast("bigint").alias(f"vs{side}_pitches"),
-                 _avg(m & tracked, ls, 1).alias(f"vs{side}_exit_velo"),
-                 _avg(m & tracked, xw, 3).alias(f"vs{side}_xwoba"),
-                 _whiff(m, p).alias(f"vs{side}_whiff_rate")]
-    for half in ("h1", "h2"):
-        h1 = F.coalesce(F.col("__month") <= 6, F.lit(False))
-        m = h1 if half == "h1" else ~h1
-        aggs += [_avg(m, F.col(p.release_speed), 1).alias(f"velo_{half}"),
-                 _avg(m & tracked, ls, 1).alias(f"ev_{half}"),
-                 _avg(m & tracked, xw, 3).alias(f"xwoba_{half}"),
-                 _whiff(m, p).alias(f"whiff_{half}")]
+        aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"vs{side}_pitches"),
+                 _avg_of(f"ls_s_{side}", f"ls_n_{side}", None, 1).alias(f"vs{side}_exit_velo"),
+                 _avg_of(f"xw_s_{side}", f"xw_n_{side}", None, 3).alias(f"vs{side}_xwoba"),
+                 _whiff_of(f"wh_{side}", f"sw_{side}", None).alias(f"vs{side}_whiff_rate")]
+    h1 = F.coalesce(F.col("__month") <= 6, F.lit(False))
+    for half, m in (("h1", h1), ("h2", ~h1)):
+        aggs += [_avg_of("rs_s", "rs_n", m, 1).alias(f"velo_{half}"),
+                 _avg_of("ls_s", "ls_n", m, 1).alias(f"ev_{half}"),
+                 _avg_of("xw_s", "xw_n", m, 3).alias(f"xwoba_{half}"),
+                 _whiff_of("wh", "sw", m).alias(f"whiff_{half}")]
     out = df.groupBy("player_id", "season").agg(*aggs)
     col = F.col
     return out.withColumns({

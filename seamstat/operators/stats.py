@@ -110,47 +110,67 @@ def _ev(*codes: str) -> Column:
     return F.col("events").isin(list(codes))
 
 
-def batting_counters() -> list[Column]:
+def batting_counters() -> list[tuple[str, Column]]:
+    """(name, condition) of every batting counter; ``pa`` counts all rows."""
     ev = F.col("events")
     return [
-        F.count(F.lit(1)).cast("bigint").alias("pa"),
-        count_when(~ev.isin(list(K.NOT_AN_AT_BAT))).alias("ab"),
-        count_when(_ev(*K.HIT)).alias("h"),
-        count_when(_ev(*K.SINGLE)).alias("1b"),
-        count_when(_ev(*K.DOUBLE)).alias("2b"),
-        count_when(_ev(*K.TRIPLE)).alias("3b"),
-        count_when(_ev(*K.HOME_RUN)).alias("hr"),
-        count_when(_ev(*K.WALK)).alias("bb"),
-        count_when(_ev(*K.INTENT_WALK)).alias("ibb"),
-        count_when(_ev(*K.HIT_BY_PITCH)).alias("hbp"),
-        count_when(_ev(*K.STRIKEOUT)).alias("k"),
-        count_when(_ev(*K.SAC_FLY)).alias("sf"),
-        count_when(_ev(*K.SAC_BUNT)).alias("sac"),
-        count_when(_ev(*K.CATCHER_INTERF)).alias("ci"),
-        count_when(_ev(*K.GIDP)).alias("gidp"),
+        ("pa", F.lit(True)),
+        ("ab", ~ev.isin(list(K.NOT_AN_AT_BAT))),
+        ("h", _ev(*K.HIT)), ("1b", _ev(*K.SINGLE)), ("2b", _ev(*K.DOUBLE)),
+        ("3b", _ev(*K.TRIPLE)), ("hr", _ev(*K.HOME_RUN)), ("bb", _ev(*K.WALK)),
+        ("ibb", _ev(*K.INTENT_WALK)), ("hbp", _ev(*K.HIT_BY_PITCH)),
+        ("k", _ev(*K.STRIKEOUT)), ("sf", _ev(*K.SAC_FLY)), ("sac", _ev(*K.SAC_BUNT)),
+        ("ci", _ev(*K.CATCHER_INTERF)), ("gidp", _ev(*K.GIDP)),
     ]
 
 
-def pitching_counters() -> list[Column]:
+def pitching_counters() -> list[tuple[str, Column]]:
+    """(name, condition) of every pitching counter; ``tbf`` counts all rows.
+    Outs are ``out1 + 2 out2 + 3 out3``."""
     return [
-        F.count(F.lit(1)).cast("bigint").alias("tbf"),
-        count_when(_ev(*K.HIT)).alias("h"),
-        count_when(_ev(*K.SINGLE)).alias("1b"),
-        count_when(_ev(*K.DOUBLE)).alias("2b"),
-        count_when(_ev(*K.TRIPLE)).alias("3b"),
-        count_when(_ev(*K.HOME_RUN)).alias("hr"),
-        count_when(_ev(*K.WALK)).alias("bb"),
-        count_when(_ev(*K.INTENT_WALK)).alias("ibb"),
-        count_when(_ev(*K.HIT_BY_PITCH)).alias("hbp"),
-        count_when(_ev(*K.STRIKEOUT)).alias("k"),
-        count_when(_ev(*K.SAC_FLY)).alias("sf"),
-        count_when(_ev(*K.SAC_BUNT)).alias("sac"),
-        count_when(F.col("bb_type") == K.FLY_BALL).alias("fly_balls"),
-        (count_when(_ev(*K.ONE_OUT)) + 2 * count_when(_ev(*K.TWO_OUTS)) +
-         3 * count_when(_ev(*K.THREE_OUTS))).alias("derived_outs"),
+        ("tbf", F.lit(True)), ("h", _ev(*K.HIT)), ("1b", _ev(*K.SINGLE)),
+        ("2b", _ev(*K.DOUBLE)), ("3b", _ev(*K.TRIPLE)), ("hr", _ev(*K.HOME_RUN)),
+        ("bb", _ev(*K.WALK)), ("ibb", _ev(*K.INTENT_WALK)), ("hbp", _ev(*K.HIT_BY_PITCH)),
+        ("k", _ev(*K.STRIKEOUT)), ("sf", _ev(*K.SAC_FLY)), ("sac", _ev(*K.SAC_BUNT)),
+        ("fly_balls", F.col("bb_type") == K.FLY_BALL),
+        ("__out1", _ev(*K.ONE_OUT)), ("__out2", _ev(*K.TWO_OUTS)), ("__out3", _ev(*K.THREE_OUTS)),
     ]
 
 
+def event_counts(pitches: DataFrame, games: DataFrame, role: str,
+                 counters: list[tuple[str, Column]], game_type: str = "R",
+                 p: PitchCols = P, g: GameCols = G, first: int | None = None,
+                 last: int | None = None) -> DataFrame:
+    """Counters per (entity, season, team) plus total rows, with the
+    aggregation pushed below the join with games.
+
+    Plate appearances are first counted per (game, entity, half-inning) --
+    a partial aggregate on the map side -- so the join shuffles one row per
+    entity and half-inning of a game instead of one per plate appearance.
+    Team and season are functions of the game, so summing these rows per
+    (entity, season, team) afterwards gives the same counts.
+    """
+    entity = p.batter if role == "batter" else p.pitcher
+    ev = F.col(p.events)
+    pa = pitches.where(ev.isNotNull() & ~ev.isin(list(K.NOT_A_PA))).select(
+        F.col(p.game_pk).alias("__g"), F.col(entity).alias(role),
+        F.col(p.inning_topbot).alias("__half"), F.col(p.events).alias("events"),
+        F.col(p.bb_type).alias("bb_type"))
+    names = [n for n, _ in counters]
+    pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
+    gm = regular_games(games, game_type, g, first, last).select(
+        F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
+    top = F.col("__half") == "Top"
+    if role == "batter":
+        team = F.when(top, F.col(g.away_team)).otherwise(F.col(g.home_team))
+    else:
+        team = F.when(top, F.col(g.home_team)).otherwise(F.col(g.away_team))
+    j = pre.join(gm, "__g").select(role, F.year(g.game_date).alias("season"),
+                                   team.alias(f"{role}_team"), *names)
+    return rollup_total(j, [role, "season"], f"{role}_team",
+                        [F.sum(n).cast("bigint").alias(n) for n in names])
+
+
 # ------------------------------------------------------------- batting --
 def slash_line(df: DataFrame) -> DataFrame:
     """AVG, OBP, SLG (3 decimals) and OPS = round(obp + slg) of the already
@@ -208,9 +228,11 @@ BATTING_COLUMNS = ["batter", "batter_team", "split_type", "season", "pa", "ab",
                    "wraa", "wrc_plus", "park_factor"]
 
 
-def batting_counts(pa: DataFrame) -> DataFrame:
-    """Team rows and total rows of the batting counters, one pass (AGG-03)."""
-    return rollup_total(pa, ["batter", "season"], "batter_team", batting_counters())
+def batting_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
+                   last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
+    """Team rows and total rows of the batting counters (AGG-01, AGG-03)."""
+    return event_counts(pitches, games, "batter", batting_counters(), p=p, g=g,
+                        first=first, last=last)
 
 
 def batting_stats(pitches: DataFrame, games: DataFrame, constants: DataFrame,
@@ -224,8 +246,7 @@ def batting_stats(pitches: DataFrame, games: DataFrame, constants: DataFrame,
     without constants). ``parks``: season, team, basic (left join, team rows
     only).
     """
-    pa = plate_appearances(pitches, games, "batter", p=p, g=g, first=first, last=last)
-    counts = batting_counts(pa)
+    counts = batting_counts(pitches, games, first, last, p, g)
     const = constants.select("season", "wbb", "whbp", "w1b", "w2b", "w3b", "whr",
                              "lg_woba", "woba_scale", "lg_r_pa")
     pf = parks.select(F.col("season").alias("__ps"), F.col("team").alias("__pt"),
@@ -295,8 +316,14 @@ def innings(df: DataFrame) -> DataFrame:
     return df.withColumn("ip", innings_notation("outs"))
 
 
-def pitching_counts(pa: DataFrame) -> DataFrame:
-    return rollup_total(pa, ["pitcher", "season"], "pitcher_team", pitching_counters())
+def pitching_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
+                    last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
+    """Team and total rows of the pitching counters with derived outs
+    (AGG-02, AGG-03)."""
+    c = event_counts(pitches, games, "pitcher", pitching_counters(), p=p, g=g,
+                     first=first, last=last)
+    return c.withColumn("derived_outs", F.col("__out1") + 2 * F.col("__out2") + 3 * F.col("__out3")) \
+        .drop("__out1", "__out2", "__out3")
 
 
 def apportion_outs(counts: DataFrame) -> DataFrame:
@@ -325,8 +352,7 @@ def pitching_stats(pitches: DataFrame, games: DataFrame, official: DataFrame,
     official line are dropped. Team rows get apportioned outs and null
     official counts (so a null ERA).
     """
-    pa = plate_appearances(pitches, games, "pitcher", p=p, g=g, first=first, last=last)
-    counts = pitching_counts(pa)
+    counts = pitching_counts(pitches, games, first, last, p, g)
     off = official.select(F.col("player_id").alias("pitcher"), "season",
                           F.col("outs").alias("official_outs"), "wins", "losses",
                           "saves", F.col("games_played").alias("games"),

@@ -83,8 +83,7 @@ register_sql_counting = (T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES, _duck_pa("bat
 def q_counting_rollup(spark, sf_dir):
     """Filtered counts per batter-season-team plus total rows (DOM-01 core,
     AGG-01, AGG-03, FLT-01, JON-01, PRJ-06, SET-01)."""
-    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "batter")
-    out = stats.batting_counts(pa)
+    out = stats.batting_counts(T.pitches(spark, sf_dir), T.games(spark, sf_dir))
     return _big(out, ["season"]).select("batter", "batter_team", "split_type", "season",
                                         *COUNT_COLS)
 
@@ -232,8 +231,7 @@ FROM lines WHERE split_type = 'team'""")
 def q_apportion(spark, sf_dir):
     """Official outs apportioned to team rows (DOM-07, WIN-01..03, SCA-05);
     negative differences keep their truncating remainder."""
-    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "pitcher")
-    counts = stats.pitching_counts(pa)
+    counts = stats.pitching_counts(T.pitches(spark, sf_dir), T.games(spark, sf_dir))
     off = T.official_pitching(spark, sf_dir).select(
         F.col("player_id").alias("pitcher"), "season", F.col("outs").alias("official_outs"))
     df = stats.apportion_outs(counts.join(off, ["pitcher", "season"], "inner"))
@@ -495,8 +493,8 @@ ts AS (SELECT season, team, CAST(sum(h) AS DOUBLE) AS team_runs, CAST(sum(hr) AS
 
 
 def _team_rows(spark, sf_dir):
-    pa = stats.plate_appearances(T.pitches(spark, sf_dir), T.games(spark, sf_dir), "batter")
-    c = stats.batting_counts(pa).where(F.col("split_type") == "team")
+    c = stats.batting_counts(T.pitches(spark, sf_dir), T.games(spark, sf_dir)) \
+        .where(F.col("split_type") == "team")
     return c.select(F.col("batter").alias("player_id"), F.col("season").cast("bigint").alias("season"),
                     F.col("batter_team").alias("team"), "pa", "h", "hr")
 
