@@ -168,7 +168,10 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                          latest=latest_season)
     nexts = [f"next_{x}" for x in targets]
     cols = numeric_features(pairs, list(exclude) + nexts + ["split"])
-    pairs = impute_zero(pairs, cols + nexts)
+    # Cut the lineage once: every fit and metric reads the written pairs.
+    from seamstat.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    pairs = impute_zero(pairs, cols + nexts).checkpoint(eager=True)
     train = pairs.where(F.col("split") == "train")
     test = pairs.where(F.col("split") == "test")
     best = tune(train, cols, f"next_{tune_target or targets[0]}",

@@ -1204,10 +1204,15 @@ def q_blend_search(spark, sf_dir):
 
 
 def _model_inputs(spark, sf_dir):
+    """Training pairs written once to the shared checkpoint folder: every
+    fit and metric below reads them back instead of recomputing the
+    aggregation and self-join, and a lost executor does not either."""
     from seamstat.operators.modeling import impute_zero
+    from seamstat.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     pairs, cs = _pairs(spark, sf_dir)
     feats = ["lines", "qty", "returns"]
-    pairs = impute_zero(pairs, feats + ["next_lines", "next_qty"])
+    pairs = impute_zero(pairs, feats + ["next_lines", "next_qty"]).checkpoint(eager=True)
     return pairs, cs, feats
 
 

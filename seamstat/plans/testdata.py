@@ -42,15 +42,32 @@ PITCH_TYPES = ["FF", "SI", "SL", "CH", "CU", "FC"]
 FIRST_SEASON, LAST_SEASON = 1995, 2001
 
 
+def memo(fn):
+    """Build a derived table once per session and table directory: the
+    same DataFrame (same plan) is reused by every query of the session."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark, *args):
+        cache = spark.__dict__.setdefault("_seamstat_frames", {})
+        key = (fn.__name__, *args)
+        if key not in cache:
+            cache[key] = fn(spark, *args)
+        return cache[key]
+    return wrapper
+
+
 def _sql_list(xs):
     return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 
+@memo
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ games --
+@memo
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return o.select(
@@ -75,6 +92,7 @@ def _idx(x):
     return F.round(x * 100).cast("int")
 
 
+@memo
 def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     q = F.col("l_quantity")
@@ -149,6 +167,7 @@ CONST_COLS = ["season", "wbb", "whbp", "w1b", "w2b", "w3b", "whr", "lg_woba",
               "woba_scale", "lg_r_pa", "cfip"]
 
 
+@memo
 def constants(spark: SparkSession) -> DataFrame:
     schema = "season int, " + ", ".join(f"{c} decimal(10,3)" for c in CONST_COLS[1:])
     from decimal import Decimal
@@ -164,6 +183,7 @@ def duck_constants() -> str:
 
 
 # ------------------------------------------------------------ park factors --
+@memo
 def park_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (season, home team): 90 + games % 21 (home teams only)."""
     g = games(spark, sf_dir)
@@ -178,6 +198,7 @@ DUCK_PARKS = """parks_v AS (
 
 
 # ----------------------------------------------------------- official lines --
+@memo
 def official_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): official pitching line."""
     li = read(spark, sf_dir, "lineitem")
@@ -222,6 +243,7 @@ DUCK_OFFICIAL_PITCHING = """official_v AS (
   FROM lineitem GROUP BY 1, 2)"""
 
 
+@memo
 def official_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): official batting extras, loaded for items
     shipped before 2001 only (the latest season is not loaded yet)."""
@@ -258,6 +280,7 @@ def duck_with(*ctes: str) -> str:
 POSITIONS = ["C", "1B", "2B", "3B", "SS", "LF", "CF", "RF", "DH", "OF", "P"]
 
 
+@memo
 def player_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People records from ``supplier``: birth date and debut from keys,
     unknown for two nations."""
@@ -289,6 +312,7 @@ DUCK_BIO = f"""bio_v AS (
 
 
 # ---------------------------------------------------------- minor league --
+@memo
 def milb_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minor-league lines per (supplier, ship year, level, team) from the
     returned items: level from order priority, team from order status."""
@@ -341,6 +365,7 @@ DUCK_MILB = _duck_milb()
 
 
 # ------------------------------------------- remaining matrix inputs (Spark) --
+@memo
 def sprint_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
@@ -350,12 +375,14 @@ def sprint_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("competitive_runs"))
 
 
+@memo
 def lineup_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
         F.avg("l_linenumber").alias("avg_lineup_pos"), F.count(F.lit(1)).cast("int").alias("games"))
 
 
+@memo
 def team_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (season, team): runs, OPS proxy and home runs of the team's
     plate appearances."""
@@ -369,6 +396,7 @@ def team_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(ev == "home_run").cast("double").alias("team_hr"))
 
 
+@memo
 def milb_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minor-league pitching lines per (supplier, ship year, level, team)
     from the accepted items, with per-nine rates and FIP."""
@@ -391,6 +419,7 @@ def milb_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return milb_pitching_rates(g, constants(spark).select("season", "cfip"))
 
 
+@memo
 def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed game-log document per line item (a pitching appearance)."""
     li = read(spark, sf_dir, "lineitem")
@@ -406,6 +435,7 @@ def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.year("l_shipdate").cast("bigint").alias("season"), doc.alias("payload"))
 
 
+@memo
 def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seamstat.operators.aggs import quality_starts
     from seamstat.sources import landed_json as LJ
@@ -415,12 +445,14 @@ def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("season", F.col("season").cast("int"))
 
 
+@memo
 def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("player_id"),
                     F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
 
 
+@memo
 def matrix_inputs(spark: SparkSession, sf_dir: str) -> dict:
     """Every input of the feature matrices, derived from the driver tables."""
     from seamstat.operators.advanced import batting_advanced, pitching_advanced
