@@ -75,3 +75,10 @@ def id_minus(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 def latest_snapshot(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals the table's maximum (scalar subquery)."""
     return df.where(F.col(col) == df.select(F.max(col)).scalar())
+
+
+def lookup(ids: DataFrame, table: DataFrame, key: str = "player_id",
+           value: str = "player_name") -> DataFrame:
+    """Stored values for a set of ids (``= ANY(:ids)``), as a semi-join on
+    the distinct ids."""
+    return table.join(ids.select(key).distinct(), key, "left_semi").select(key, value)

@@ -248,3 +248,31 @@ def project(latest: DataFrame, fitted: Sequence[dict], id_cols: Sequence[str],
             .drop("__p", "pred_ridge", "pred_gbt")
     return out.select(*id_cols, *[(m["target"][len(prefix):] if m["target"].startswith(prefix)
                                    else m["target"]) + "_proj" for m in fitted])
+
+
+# ------------------------------------------------------------- reports --
+def leaderboard(df: DataFrame, by: str, k: int, where: Column | None = None,
+                tie: Sequence[str] = ("player_id",)) -> DataFrame:
+    """Top ``k`` rows by ``by`` descending, ties by ``tie`` (SRT-02, FLT-07,
+    MLO-15); planned as a per-partition top-k merged once."""
+    if where is not None:
+        df = df.where(where)
+    return df.orderBy(F.col(by).desc(), *tie).limit(k)
+
+
+def compare(preds: DataFrame, actuals: DataFrame, names: DataFrame, keys: Sequence[str],
+            targets: Sequence[str], by: str, k: int = 20) -> DataFrame:
+    """Prediction-vs-actual rows with names, top ``k`` by a prediction
+    (MLO-12)."""
+    p = preds.select(*keys, *[F.col(t).alias(f"pred_{t}") for t in targets])
+    a = actuals.select(*keys, *[F.col(t).alias(f"actual_{t}") for t in targets])
+    out = p.join(a, list(keys), "inner").join(names, "player_id", "left")
+    return out.orderBy(F.col(f"pred_{by}").desc(), *keys).limit(k)
+
+
+def derive_ratio(df: DataFrame, num: str, den: str, name: str, digits: int = 2) -> DataFrame:
+    """A ratio of already rounded projections, zero denominator read as 1
+    (MLO-14)."""
+    from seamstat.functions.exprs import np_round
+    d = F.when(F.col(den) == 0, F.lit(1)).otherwise(F.col(den))
+    return df.withColumn(name, np_round(F.col(num) / d, digits))
