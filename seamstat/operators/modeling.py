@@ -153,16 +153,16 @@ def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ())
     e = F.col(y) - F.col(yhat)
     g = df.groupBy(*by) if by else df
     mean_y = F.avg(y)
+    sst = F.sum(F.col(y) * F.col(y)) - F.count(F.lit(1)) * mean_y * mean_y
     return g.agg(F.avg(F.abs(e)).alias("mae"),
-                 (1 - F.sum(e * e) / (F.sum(F.col(y) * F.col(y)) - F.count(F.lit(1)) * mean_y * mean_y))
-                 .alias("r2"))
+                 (1 - F.sum(e * e) / F.nullif(sst, F.lit(0.0))).alias("r2"))
 
 
 def best_blend(df: DataFrame, y: str, a: str, b: str, steps: int = 20,
                by: Sequence[str] = ()) -> DataFrame:
     """Best blend weight w in {0, 1/steps, ..., 1} of ``(1-w) a + w b`` by
     R^2 (first maximum, i.e. the smallest weight on ties), with its R^2
-    (MLO-09).
+    (MLO-09). A constant target has no R^2 (null) and keeps weight 0.
 
     One pass computes six sums; R^2(w) for every w follows from them
     (residual = e0 - w d with e0 = y - a, d = b - a), so no copy of the
@@ -178,7 +178,7 @@ def best_blend(df: DataFrame, y: str, a: str, b: str, steps: int = 20,
     sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     ssr = F.col("see") - 2 * w * F.col("sed") + w * w * F.col("sdd")
     cand = s.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps)))) \
-        .withColumn("w", w).withColumn("r2", 1 - ssr / sst)
+        .withColumn("w", w).withColumn("r2", 1 - ssr / F.nullif(sst, F.lit(0.0)))
     pick = cand.groupBy(*by).agg(F.min_by(F.struct("w", "r2"),
                                           F.struct(-F.col("r2"), F.col("i"))).alias("b")) \
         if by else cand.agg(F.min_by(F.struct("w", "r2"), F.struct(-F.col("r2"), F.col("i"))).alias("b"))

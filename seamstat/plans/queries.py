@@ -1171,7 +1171,7 @@ def q_standardize(spark, sf_dir):
 def _duck_blend(target: str) -> str:
     return f"""SELECT '{target}' AS target, w AS best_weight, round(r2, 6) AS r2 FROM (
   SELECT i / 20.0 AS w, i,
-         1 - (see - 2 * (i / 20.0) * sed + (i / 20.0) * (i / 20.0) * sdd) / (syy - sy * sy / n) AS r2
+         1 - (see - 2 * (i / 20.0) * sed + (i / 20.0) * (i / 20.0) * sdd) / nullif(syy - sy * sy / n, 0.0) AS r2
   FROM (SELECT sum((y - a) * (y - a)) AS see, sum((y - a) * (b - a)) AS sed, sum((b - a) * (b - a)) AS sdd,
                sum(y) AS sy, sum(y * y) AS syy, count(*) AS n
         FROM (SELECT next_{target} AS y, {target} AS a,
