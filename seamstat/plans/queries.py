@@ -1070,7 +1070,8 @@ def q_split_span(spark, sf_dir):
     from seamstat.operators.modeling import season_split
     from seamstat.operators.quality import span_report
     cs = _cust_season(spark, sf_dir)
-    pairs = season_split(year_pairs(cs, ["lines"], "player_id", "season"), cs)
+    pairs = season_split(year_pairs(cs, ["lines"], "player_id", "season"), cs,
+                         latest=_latest_order_season(spark, sf_dir))
     return span_report(pairs, "season", "player_id", "split")
 
 
@@ -1120,9 +1121,10 @@ def q_context_swap(spark, sf_dir):
     """Latest-season rows moved to their projected team: roster join, then
     that team's park factor and strength of the latest season, park
     adjustment redone (DOM-30, JON-11, JON-12)."""
-    from seamstat.operators.joins import latest_snapshot
-    tot = latest_snapshot(_bat_totals(spark, sf_dir, None).select("player_id", "season", "slg"),
-                          "season")
+    g = stats.regular_games(T.games(spark, sf_dir))
+    latest = g.select(F.max(F.year("game_date"))).scalar()
+    tot = _bat_totals(spark, sf_dir, None).select("player_id", "season", "slg") \
+        .where(F.col("season") == latest)
     sup = T.read(spark, sf_dir, "supplier")
     roster = sup.select(F.col("s_suppkey").alias("player_id"),
                         F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
@@ -1139,11 +1141,18 @@ def q_context_swap(spark, sf_dir):
 
 
 # -------------------------------------------------------------- modelling --
+def _latest_order_season(spark, sf_dir):
+    """Latest season as a scalar subquery over one column of ``orders``
+    (a one-row partial aggregate; the pairs plan is not repeated)."""
+    return T.read(spark, sf_dir, "orders").select(F.max(F.year("o_orderdate"))).scalar()
+
+
 def _pairs(spark, sf_dir):
     from seamstat.operators.joins import year_pairs
     from seamstat.operators.modeling import season_split
     cs = _cust_season(spark, sf_dir)
-    return season_split(year_pairs(cs, ["lines", "qty"], "player_id", "season"), cs), cs
+    pairs = year_pairs(cs, ["lines", "qty"], "player_id", "season")
+    return season_split(pairs, cs, latest=_latest_order_season(spark, sf_dir)), cs
 
 
 @register("q_standardize", T.duck_with(_CUST_SEASON) + """,
@@ -1190,17 +1199,17 @@ pairs AS (SELECT c.*, n.lines AS next_lines, n.qty AS next_qty,
 def q_blend_search(spark, sf_dir):
     """Blend-weight search over 21 weights of two predictors (this season's
     value and the train mean of next season), first best R^2 on the test
-    split (MLO-09, MLO-10)."""
+    split (MLO-09, MLO-10). Targets are unpivoted to rows, so every target
+    is searched in one pass over the pairs."""
     from seamstat.operators.modeling import best_blend
     pairs, _ = _pairs(spark, sf_dir)
-    out = None
-    for t in ("lines", "qty"):
-        m = pairs.where(F.col("split") == "train").select(F.avg(f"next_{t}")).scalar()
-        test = pairs.where(F.col("split") == "test").withColumn("__b", m)
-        b = best_blend(test, f"next_{t}", t, "__b").select(
-            F.lit(t).alias("target"), "best_weight", F.round("r2", 6).alias("r2"))
-        out = b if out is None else out.unionByName(b)
-    return out
+    long = pairs.select("split", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(f"next_{t}").alias("y"), F.col(t).alias("a"))
+        for t in ("lines", "qty")])).alias("r")).select("split", "r.*")
+    means = long.where(F.col("split") == "train").groupBy("target").agg(F.avg("y").alias("b"))
+    test = long.where(F.col("split") == "test").join(F.broadcast(means), "target")
+    return best_blend(test, "y", "a", "b", by=["target"]).select(
+        "target", "best_weight", F.round("r2", 6).alias("r2"))
 
 
 def _model_inputs(spark, sf_dir):
