@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seamstat.functions import codes as K
 from seamstat.functions.exprs import is_barrel, pg_round_double
-from seamstat.operators.stats import G, P, GameCols, PitchCols, regular_games
+from seamstat.operators.stats import G, P, GameCols, PitchCols, prune_seasons, regular_games
 
 
 def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
@@ -28,7 +28,8 @@ def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
     side combine) and summing per season afterwards gives the same result
     while the join shuffles far fewer rows than there are pitches.
     """
-    pre = pitches.groupBy(F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
+    pre = prune_seasons(pitches, first, last) \
+        .groupBy(F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
         .agg(*[v.alias(k) for k, v in partials.items()])
     gm = regular_games(games, "R", g, first, last).select(F.col(g.game_pk).alias("__g"), g.game_date)
     return pre.join(gm, "__g").select("player_id", F.year(g.game_date).alias("season"),

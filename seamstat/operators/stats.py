@@ -72,6 +72,19 @@ def season_range(games: DataFrame, first: int | None, last: int | None,
     return games
 
 
+def prune_seasons(pitches: DataFrame, first: int | None, last: int | None,
+                  col: str = "season") -> DataFrame:
+    """When the pitch table carries a season (partition) column, bound it
+    too, so a season-partitioned layout is pruned at the scan."""
+    if col not in pitches.columns:
+        return pitches
+    if first is not None:
+        pitches = pitches.where(F.col(col) >= first)
+    if last is not None:
+        pitches = pitches.where(F.col(col) <= last)
+    return pitches
+
+
 def regular_games(games: DataFrame, game_type: str = "R", g: GameCols = G,
                   first: int | None = None, last: int | None = None) -> DataFrame:
     return season_range(games.where(F.col(g.game_type) == game_type), first, last, g)
@@ -152,7 +165,7 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
     """
     entity = p.batter if role == "batter" else p.pitcher
     ev = F.col(p.events)
-    pa = pitches.where(ev.isNotNull() & ~ev.isin(list(K.NOT_A_PA))).select(
+    pa = prune_seasons(pitches, first, last).where(ev.isNotNull() & ~ev.isin(list(K.NOT_A_PA))).select(
         F.col(p.game_pk).alias("__g"), F.col(entity).alias(role),
         F.col(p.inning_topbot).alias("__half"), F.col(p.events).alias("events"),
         F.col(p.bb_type).alias("bb_type"))

@@ -24,6 +24,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def write_pitches_by_season(pitches: DataFrame, games: DataFrame, path: str,
+                            game_pk: str = "game_pk", game_date: str = "game_date") -> None:
+    """Store pitch events partitioned by season (taken from the game), so
+    season-bounded reads prune whole directories; rows are clustered by game
+    inside each season (sorted within partitions, no global sort)."""
+    g = games.select(game_pk, F.year(game_date).alias("season"))
+    (pitches.join(g, game_pk, "inner")
+     .repartition("season", game_pk).sortWithinPartitions(game_pk)
+     .write.mode("overwrite").partitionBy("season").parquet(path))
+
+
 def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
 

@@ -105,3 +105,51 @@ def test_dq_reports(spark):
     r = Q.match_rate(df, ["x"]).first()
     assert r["x_matched"] == 2 and abs(r["x_rate"] - 2 / 3) < 1e-12
     assert Q.check_row_count(df, df.limit(2)).first()["stable"] is False
+
+
+def test_dynamic_partition_overwrite_replaces_only_touched(spark):
+    import os
+    import tempfile
+    run = tempfile.mkdtemp(prefix="seamstat-part-")
+    path = os.path.join(run, "t")
+    base = spark.createDataFrame([(1, 2020, 1), (2, 2021, 1)], "player_id bigint, season int, v int")
+    TB.write_table(base, path, partition_by=["season"])
+    TB.write_table(spark.createDataFrame([(3, 2021, 9)], "player_id bigint, season int, v int"),
+                   path, partition_by=["season"])
+    got = sorted((r["player_id"], r["season"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 2020, 1), (3, 2021, 9)]
+
+
+def test_read_sprint_speed_csv(spark):
+    import os
+    import tempfile
+    from seamstat.sources.landed_json import read_sprint_speed
+    run = tempfile.mkdtemp(prefix="seamstat-csv-")
+    for season, rows in ((2023, "player_id,sprint_speed,hp_to_1b,bolts,competitive_runs,extra\n5,28.1,4.20,3,40,x\n"),
+                         (2024, "player_id,sprint_speed,hp_to_1b,bolts,competitive_runs,extra\n5,27.9,4.25,,38,y\n")):
+        os.makedirs(os.path.join(run, str(season)))
+        with open(os.path.join(run, str(season), "s.csv"), "w") as f:
+            f.write(rows)
+    df = read_sprint_speed(spark, {s: os.path.join(run, str(s)) for s in (2023, 2024)})
+    got = sorted((r["season"], float(r["sprint_speed"]), r["bolts"]) for r in df.collect())
+    assert got == [(2023, 28.1, 3), (2024, 27.9, None)] and len(df.columns) == 6
+
+
+def test_season_partitioned_pitches_prune(spark):
+    import datetime as dt
+    import os
+    import tempfile
+    from seamstat.operators import stats
+    run = tempfile.mkdtemp(prefix="seamstat-pp-")
+    p = spark.createDataFrame([(1, 7, 9, "single", "Top", None), (2, 7, 9, "walk", "Top", None)],
+                              "game_pk bigint, batter bigint, pitcher bigint, events string, inning_topbot string, bb_type string")
+    g = spark.createDataFrame([(1, dt.date(2021, 5, 1), "R", "H", "A"), (2, dt.date(2022, 5, 1), "R", "H", "A")],
+                              "game_pk bigint, game_date date, game_type string, home_team string, away_team string")
+    path = os.path.join(run, "pitches")
+    TB.write_pitches_by_season(p, g, path)
+    stored = spark.read.parquet(path)
+    out = stats.batting_counts(stored, g, first=2022, last=2022)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*season", plan)
+    assert [r["bb"] for r in out.where("split_type = 'total'").collect()] == [1]
