@@ -197,10 +197,11 @@ def ratio_scores(df: DataFrame, num_pred: str, den_pred: str, num: str, den: str
 def fit_target(train: DataFrame, test: DataFrame, cols: Sequence[str], target: str,
                params: dict, threshold: float = 0.005,
                select_params: dict | None = None, alpha: float = 1.0,
-               blend_steps: int = 20) -> dict:
+               blend_steps: int = 20, evaluate: DataFrame | None = None) -> dict:
     """One target of the ensemble: importance selection, ridge on
     standardised columns, boosted trees on raw columns, best blend weight on
-    the evaluation set, MAE / R^2 there (MLO-04, -06, -07, -08, -09, -10)."""
+    ``test``, MAE / R^2 of the blend on ``evaluate`` (default ``test``)
+    (MLO-04, -06, -07, -08, -09, -10)."""
     keep = select_features(train, cols, target, threshold, select_params) or list(cols)
     scale = standardize_stats(train, keep)
     zcols = [c + "__z" for c in keep]
@@ -210,11 +211,13 @@ def fit_target(train: DataFrame, test: DataFrame, cols: Sequence[str], target: s
                           "weight": 0.0})
     blend = best_blend(scored, target, "pred_ridge", "pred_gbt", blend_steps).first()
     w = float(blend["best_weight"])
-    final = scored.withColumn("pred", (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt"))
+    model = {"target": target, "features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
+             "weight": w}
+    final = score(evaluate, model) if evaluate is not None else \
+        scored.withColumn("pred", (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt"))
     sc = regression_scores(final, target, "pred").first()
-    return {"target": target, "features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
-            "weight": w, "r2": float(blend["r2"]) if blend["r2"] is not None else None,
-            "mae": sc["mae"]}
+    model.update({"r2": sc["r2"], "mae": sc["mae"]})
+    return model
 
 
 def score(df: DataFrame, model: dict, out: str = "pred") -> DataFrame:

@@ -154,10 +154,15 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                       exclude: list[str], latest_rows: DataFrame | None = None,
                       grid: Mapping | None = None, tune_target: str | None = None,
                       select_params: Mapping | None = None,
-                      latest_season: int | None = None):
+                      latest_season: int | None = None, blend_on: str = "test"):
     """Year-over-year training, tuning, per-target ensembles and the
     projection of the latest season (MLO-01 .. MLO-14).
 
+    ``blend_on="test"`` picks blend weights on the test season (as the
+    published figures do, so their R^2 is optimistic); ``"validation"``
+    holds out the last training season for the weights and fits on the
+    seasons before it, leaving the test season untouched.
+
     Returns (metrics DataFrame, projections DataFrame, fitted models).
     """
     from seamstat.operators.joins import year_pairs
@@ -174,10 +179,18 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     pairs = impute_zero(pairs, cols + nexts).checkpoint(eager=True)
     train = pairs.where(F.col("split") == "train")
     test = pairs.where(F.col("split") == "test")
+    blend = test
+    if blend_on == "validation":
+        last_train = train.select(F.max("season")).scalar()
+        blend = train.where(F.col("season") == last_train)
+        train = train.where(F.col("season") < last_train)
+    elif blend_on != "test":
+        raise ValueError("blend_on is 'test' or 'validation'")
     best = tune(train, cols, f"next_{tune_target or targets[0]}",
                 dict(grid or K.PARAM_GRID)) if grid != {} else {}
-    fitted = [fit_target(train, test, cols, f"next_{x}", best, K.IMPORTANCE_THRESHOLD,
-                         dict(select_params) if select_params else None) for x in targets]
+    fitted = [fit_target(train, blend, cols, f"next_{x}", best, K.IMPORTANCE_THRESHOLD,
+                         dict(select_params) if select_params else None, evaluate=test)
+              for x in targets]
     if latest_rows is None:
         top = latest_season if latest_season is not None else features.select(F.max("season")).scalar()
         latest_rows = features.where(F.col("season") == top)

@@ -40,3 +40,14 @@ def test_train_project_and_context_swap(spark):
                            t["team_strength"])
     assert swapped.count() == latest.join(T.rosters(spark, SF), "player_id").count()
     assert "proj_team" in swapped.columns and "iso_park_adj" in swapped.columns
+
+
+def test_blend_on_validation_keeps_test_untouched(spark):
+    t = T.matrix_inputs(spark, SF)
+    feats = hitter_features(t, 1995, 2001)
+    small = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1}
+    metrics, proj, fitted = train_and_project(
+        feats, ["hr"], {"hr": 0}, K.HITTER_ID_COLUMNS, grid={}, select_params=small,
+        blend_on="validation")
+    r = metrics.first()
+    assert r["target"] == "next_hr" and 0.0 <= r["blend_weight"] <= 1.0 and r["mae"] is not None

@@ -153,3 +153,12 @@ def test_season_partitioned_pitches_prune(spark):
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*season", plan)
     assert [r["bb"] for r in out.where("split_type = 'total'").collect()] == [1]
+
+
+def test_roster_last_one_wins_t18(spark):
+    rows = spark.createDataFrame([(7, 2026, "AAA", 1), (7, 2026, "BBB", 2), (8, 2026, "CCC", 1)],
+                                 "player_id bigint, season int, team string, seq int")
+    stored = spark.createDataFrame([], "player_id bigint, season int, team string, seq int")
+    out = {r["player_id"]: r["team"] for r in
+           TB.upsert(stored, rows, ["player_id", "season"], order="seq").collect()}
+    assert out == {7: "BBB", 8: "CCC"}
