@@ -154,7 +154,8 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                       exclude: list[str], latest_rows: DataFrame | None = None,
                       grid: Mapping | None = None, tune_target: str | None = None,
                       select_params: Mapping | None = None,
-                      latest_season: int | None = None, blend_on: str = "test"):
+                      latest_season: int | None = None, blend_on: str = "test",
+                      params: Mapping | None = None):
     """Year-over-year training, tuning, per-target ensembles and the
     projection of the latest season (MLO-01 .. MLO-14).
 
@@ -186,8 +187,9 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
         train = train.where(F.col("season") < last_train)
     elif blend_on != "test":
         raise ValueError("blend_on is 'test' or 'validation'")
+    # grid={} skips tuning and uses ``params`` (or the boosted-tree defaults)
     best = tune(train, cols, f"next_{tune_target or targets[0]}",
-                dict(grid or K.PARAM_GRID)) if grid != {} else {}
+                dict(grid or K.PARAM_GRID)) if grid != {} else dict(params or {})
     fitted = [fit_target(train, blend, cols, f"next_{x}", best, K.IMPORTANCE_THRESHOLD,
                          dict(select_params) if select_params else None, evaluate=test)
               for x in targets]

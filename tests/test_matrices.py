@@ -48,6 +48,6 @@ def test_blend_on_validation_keeps_test_untouched(spark):
     small = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1}
     metrics, proj, fitted = train_and_project(
         feats, ["hr"], {"hr": 0}, K.HITTER_ID_COLUMNS, grid={}, select_params=small,
-        blend_on="validation")
+        blend_on="validation", params=small)
     r = metrics.first()
     assert r["target"] == "next_hr" and 0.0 <= r["blend_weight"] <= 1.0 and r["mae"] is not None
