@@ -768,8 +768,8 @@ def q_quality_events(spark, sf_dir):
     (SRC-08, DOM-26, AGG-14)."""
     from seamstat.operators.aggs import quality_starts
     from seamstat.sources import landed_json as LJ
-    from seamstat.sources.schemas import STATS_PAYLOAD
-    docs = LJ.parse(_game_log_json(spark, sf_dir), "payload", STATS_PAYLOAD)
+    from seamstat.sources.schemas import GAME_LOG_PAYLOAD
+    docs = LJ.parse(_game_log_json(spark, sf_dir), "payload", GAME_LOG_PAYLOAD)
     log = LJ.flatten_game_log(docs)
     return quality_starts(log, "player_id", "season", "games_started", "innings", "earned_runs")
 

@@ -439,8 +439,8 @@ def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seamstat.operators.aggs import quality_starts
     from seamstat.sources import landed_json as LJ
-    from seamstat.sources.schemas import STATS_PAYLOAD
-    log = LJ.flatten_game_log(LJ.parse(game_log_docs(spark, sf_dir), "payload", STATS_PAYLOAD))
+    from seamstat.sources.schemas import GAME_LOG_PAYLOAD
+    log = LJ.flatten_game_log(LJ.parse(game_log_docs(spark, sf_dir), "payload", GAME_LOG_PAYLOAD))
     return quality_starts(log, "player_id", "season", "games_started", "innings", "earned_runs") \
         .withColumn("season", F.col("season").cast("int"))
 

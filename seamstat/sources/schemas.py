@@ -33,6 +33,12 @@ SPLIT = _s(("season", StringType()), ("stat", STAT), ("team", TEAM), ("player",
            ("date", StringType()))
 STATS_PAYLOAD = _s(("stats", ArrayType(_s(("splits", ArrayType(SPLIT))))))
 
+# Game logs: only the fields a quality-start count reads are declared, so
+# the parser materialises three values per split.
+GAME_LOG_STAT = _s(("gamesStarted", LongType()), ("inningsPitched", StringType()),
+                   ("earnedRuns", LongType()))
+GAME_LOG_PAYLOAD = _s(("stats", ArrayType(_s(("splits", ArrayType(_s(("stat", GAME_LOG_STAT))))))))
+
 PEOPLE_PAYLOAD = _s(("people", ArrayType(_s(
     ("id", LongType()), ("fullName", StringType()), ("firstName", StringType()),
     ("lastName", StringType()), ("birthDate", StringType()), ("currentAge", LongType()),

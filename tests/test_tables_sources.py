@@ -53,7 +53,7 @@ def test_align_to_schema(spark):
 def test_quality_starts_b24(spark):
     from seamstat.operators.aggs import quality_starts
     from seamstat.sources import landed_json as LJ
-    from seamstat.sources.schemas import STATS_PAYLOAD
+    from seamstat.sources.schemas import GAME_LOG_PAYLOAD as STATS_PAYLOAD
     games = [(1, "6.0", 3), (1, "5.2", 0), (1, "7.0", 4), (0, "6.0", 0), (1, "6.1", None)]
     splits = [{"stat": {"gamesStarted": gs, "inningsPitched": ip,
                         **({} if er is None else {"earnedRuns": er})}} for gs, ip, er in games]
