@@ -120,3 +120,10 @@ CALLED_STRIKE = ("called_strike",)
 HARD_HIT_SPEED = 95.0
 IN_ZONE_MAX = 9
 GROUND_BALL = "ground_ball"
+
+
+# --- FIXED VALUES: columns refreshed when a stored minor-league line is
+# loaded again (the others keep their stored value) -------------------------
+MILB_BATTING_REFRESHED = ["games", "pa", "ab", "hits", "hr", "avg", "obp", "slg", "ops",
+                          "sb", "bb", "so", "tb"]
+MILB_PITCHING_KEPT = ["age"]
