@@ -18,7 +18,6 @@ from pyspark.sql.types import DecimalType
 
 from seamstat.functions.codes import barrel_tiers
 
-ColumnLike = "str | Column"
 
 DEC_COUNT = DecimalType(20, 0)
 DEC_VALUE = DecimalType(38, 18)

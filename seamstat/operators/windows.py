@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamstat.functions.exprs import c, int_div, int_mod
+from seamstat.functions.exprs import int_div, int_mod
 
 
 def rolling_wavg_columns(cols: Sequence[str], entity: str, order: str,

@@ -1283,3 +1283,60 @@ def q_pitcher_features(spark, sf_dir):
     """Full pitcher feature matrix (DOM-29), qualified on IP notation."""
     from seamstat.plans.matrices import pitcher_features
     return pitcher_features(T.matrix_inputs(spark, sf_dir), T.FIRST_SEASON, T.LAST_SEASON)
+
+
+def _duck_ridge() -> str:
+    feats = ["lines", "qty", "returns"]
+    z = {f: f"((coalesce({f}, 0.0) - m_{f}) / s_{f})" for f in feats}
+    sums = ", ".join([f"sum({z[a]} * {z[b]}) AS zz_{a}_{b}" for i, a in enumerate(feats)
+                      for b in feats[i:]] +
+                     [f"sum({z[a]} * (coalesce(next_lines, 0.0) - my)) AS zy_{a}" for a in feats])
+    moments = ", ".join([f"avg(coalesce({f}, 0.0)) AS m_{f}" for f in feats] +
+                        [f"CASE WHEN stddev_pop(coalesce({f}, 0.0)) = 0 THEN 1.0 "
+                         f"ELSE stddev_pop(coalesce({f}, 0.0)) END AS s_{f}" for f in feats] +
+                        ["avg(coalesce(next_lines, 0.0)) AS my"])
+
+    def a(i, j):
+        x, y = sorted((i, j))
+        return f"(zz_{feats[x]}_{feats[y]}{' + 1.0' if i == j else ''})"
+
+    def det(cols):
+        m = [[cols[c][r] for c in range(3)] for r in range(3)]
+        return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - "
+                f"{m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]}) + "
+                f"{m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+    A = [[a(r, c) for r in range(3)] for c in range(3)]
+    r = [f"zy_{f}" for f in feats]
+    d = det(A)
+    rows = []
+    for i, f in enumerate(feats):
+        cols = [r if c == i else A[c] for c in range(3)]
+        rows.append(f"SELECT '{f}__z' AS feature, round({det(cols)} / {d}, 4) AS coefficient FROM s")
+    rows.append("SELECT 'intercept' AS feature, round(my, 4) AS coefficient FROM s")
+    return (T.duck_with(_CUST_SEASON) + f""",
+latest AS (SELECT max(season) AS l FROM cs),
+pairs AS (SELECT c.*, n.lines AS next_lines,
+                 CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+                      WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+          FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season),
+train AS (SELECT * FROM pairs WHERE split = 'train'),
+mo AS (SELECT {moments} FROM train),
+s AS (SELECT {sums}, any_value(my) AS my FROM train, mo)
+""" + "\nUNION ALL ".join(rows))
+
+
+@register("q_ridge_coefficients", _duck_ridge())
+def q_ridge_coefficients(spark, sf_dir):
+    """Ridge (alpha 1, unpenalised intercept) on population-standardised
+    features; coefficients equal the closed form (Z'Z + I)^-1 Z'(y - mean y)
+    (MLO-06, MLO-07)."""
+    from seamstat.operators.modeling import fit_ridge, standardize, standardize_stats
+    pairs, _, feats = _model_inputs(spark, sf_dir)
+    train = pairs.where(F.col("split") == "train")
+    st = standardize_stats(train, feats)
+    z = [f + "__z" for f in feats]
+    model = fit_ridge(standardize(train, st, "__z"), z, "next_lines", 1.0)
+    coefs = [(n, float(v)) for n, v in zip(z, model.coefficients.toArray())]
+    coefs.append(("intercept", float(model.intercept)))
+    return spark.createDataFrame(coefs, "feature string, coefficient double") \
+        .select("feature", F.round("coefficient", 4).alias("coefficient"))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from seamstat.functions import codes as K
 from seamstat.functions.exprs import map_lookup, np_round, safe_num
-from seamstat.sources import schemas as S
 
 
 def parse(df: DataFrame, text_col: str, schema) -> DataFrame:
