@@ -757,7 +757,7 @@ WITH log AS (
          CAST(CAST(CAST(l_quantity AS INTEGER) // 6 AS VARCHAR) || '.' ||
               CAST(CAST(l_quantity AS INTEGER) % 3 AS VARCHAR) AS DOUBLE) AS ip,
          CASE WHEN l_returnflag = 'N' THEN NULL
-              ELSE CAST(round(l_tax * 100) AS INTEGER) % 5 END AS er
+              ELSE CAST(floor(l_tax * 100 + 0.5) AS INTEGER) % 5 END AS er
   FROM lineitem)
 SELECT player_id, season, count(*) FILTER (WHERE gs >= 1) AS games_started,
        count(*) FILTER (WHERE gs >= 1 AND ip >= 6.0 AND coalesce(er, 99) <= 3) AS quality_starts

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # FIXED VALUES (test mapping): event code by (l_quantity - 1) % 30, pitch
-# description by round(l_discount * 100), in natural order.
+# description by hundredths of l_discount, in natural order.
 EVENT_CYCLE = [
     "single", "field_out", "strikeout", "walk", "double", "field_out",
     "force_out", "home_run", "strikeout", "grounded_into_double_play",
@@ -89,7 +89,9 @@ DUCK_GAMES = """games_v AS (
 
 # ---------------------------------------------------------------- pitches --
 def _idx(x):
-    return F.round(x * 100).cast("int")
+    """Hundredths of a non-negative two-decimal value as an int
+    (floor(x * 100 + 0.5), primitive arithmetic)."""
+    return F.floor(x * 100 + 0.5).cast("int")
 
 
 @memo
@@ -135,15 +137,15 @@ DUCK_PITCHES = f"""pitches_v AS (
          CASE WHEN l_linestatus = 'F' THEN 'Top' ELSE 'Bot' END AS inning_topbot,
          CASE WHEN l_linenumber = 7 THEN NULL
               ELSE {_sql_list(EVENT_CYCLE)}[((CAST(l_quantity AS INTEGER) - 1) % {len(EVENT_CYCLE)}) + 1] END AS events,
-         {_sql_list(DESCRIPTION_CYCLE)}[CAST(round(l_discount * 100) AS INTEGER) + 1] AS description,
-         CASE WHEN CAST(round(l_tax * 100) AS INTEGER) <= 2 THEN 'ground_ball'
-              WHEN CAST(round(l_tax * 100) AS INTEGER) <= 4 THEN 'fly_ball'
-              WHEN CAST(round(l_tax * 100) AS INTEGER) <= 6 THEN 'line_drive'
-              WHEN CAST(round(l_tax * 100) AS INTEGER) = 7 THEN 'popup' END AS bb_type,
+         {_sql_list(DESCRIPTION_CYCLE)}[CAST(floor(l_discount * 100 + 0.5) AS INTEGER) + 1] AS description,
+         CASE WHEN CAST(floor(l_tax * 100 + 0.5) AS INTEGER) <= 2 THEN 'ground_ball'
+              WHEN CAST(floor(l_tax * 100 + 0.5) AS INTEGER) <= 4 THEN 'fly_ball'
+              WHEN CAST(floor(l_tax * 100 + 0.5) AS INTEGER) <= 6 THEN 'line_drive'
+              WHEN CAST(floor(l_tax * 100 + 0.5) AS INTEGER) = 7 THEN 'popup' END AS bb_type,
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity + 69.0 END AS launch_speed,
          CASE WHEN l_linenumber = 6 THEN NULL
-              ELSE CAST(l_linenumber * 9 - 12 + CAST(round(l_tax * 100) AS INTEGER) AS DOUBLE) END AS launch_angle,
-         CAST(CAST(round(l_tax * 100) AS INTEGER) AS DOUBLE) / 8.0 AS estimated_woba_using_speedangle,
+              ELSE CAST(l_linenumber * 9 - 12 + CAST(floor(l_tax * 100 + 0.5) AS INTEGER) AS DOUBLE) END AS launch_angle,
+         CAST(CAST(floor(l_tax * 100 + 0.5) AS INTEGER) AS DOUBLE) / 8.0 AS estimated_woba_using_speedangle,
          l_quantity / 4.0 + 80.0 AS release_speed,
          CASE WHEN l_linestatus = 'F' THEN 'R' ELSE 'L' END AS p_throws,
          CASE WHEN l_returnflag = 'A' THEN 'L' WHEN l_returnflag = 'R' THEN 'R' ELSE 'S' END AS stand,
@@ -426,7 +428,7 @@ def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("l_quantity").cast("int")
     ip = F.concat((q / 6).cast("int").cast("string"), F.lit("."), (q % 3).cast("string"))
     er = F.when(F.col("l_returnflag") == "N", F.lit(None).cast("bigint")) \
-        .otherwise((F.round(F.col("l_tax") * 100).cast("int") % 5).cast("bigint"))
+        .otherwise((_idx(F.col("l_tax")) % 5).cast("bigint"))
     gs = F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).cast("bigint")
     split = F.struct(F.struct(gs.alias("gamesStarted"), ip.alias("inningsPitched"),
                               er.alias("earnedRuns")).alias("stat"))
