@@ -1340,3 +1340,38 @@ def q_ridge_coefficients(spark, sf_dir):
     coefs.append(("intercept", float(model.intercept)))
     return spark.createDataFrame(coefs, "feature string, coefficient double") \
         .select("feature", F.round("coefficient", 4).alias("coefficient"))
+
+
+# -------------------------------------------------------------- streaming --
+_DUCK_STREAM = T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES) + """,
+p AS (SELECT p.game_pk, p.at_bat_number, p.batter, p.events, p.inning_topbot,
+             CAST(year(g.game_date) AS INTEGER) AS season
+      FROM pitches_v p JOIN games_v g ON g.game_pk = p.game_pk)
+SELECT game_pk, at_bat_number, batter, events, season FROM p WHERE inning_topbot = 'Bot'
+UNION ALL
+SELECT game_pk, at_bat_number, batter, events, season FROM p
+WHERE inning_topbot = 'Top' AND game_pk NOT IN (SELECT game_pk FROM p WHERE inning_topbot = 'Bot')"""
+
+
+@register("q_stream_reload", _DUCK_STREAM)
+def q_stream_reload(spark, sf_dir):
+    """Two landed deliveries of pitch events (top halves, then bottom
+    halves) loaded by the Structured Streaming reload: each delivery
+    replaces the games it carries inside their season partitions
+    (SNK-03, SNK-04, streaming). Returns the loaded table."""
+    import os
+    import uuid
+
+    from seamstat.session import checkpoint_table_path
+    from seamstat.streaming.incremental import start_reload
+    run = checkpoint_table_path(spark, f"stream_reload/{uuid.uuid4().hex}")
+    p = T.pitches(spark, sf_dir).join(T.games(spark, sf_dir).select("game_pk", "game_date"), "game_pk") \
+        .select("game_pk", "at_bat_number", "batter", "events", "inning_topbot",
+                F.year("game_date").alias("season"))
+    landed, table, ckpt = (os.path.join(run, x) for x in ("landed", "table", "stream"))
+    for i, half in enumerate(("Top", "Bot")):
+        p.where(F.col("inning_topbot") == half).write.parquet(os.path.join(landed, f"delivery={i}"))
+        q = start_reload(spark, os.path.join(landed, "delivery=*"), p.schema, table, ["game_pk"],
+                         checkpoint_location=ckpt)
+        q.awaitTermination()
+    return spark.read.parquet(table).select("game_pk", "at_bat_number", "batter", "events", "season")
