@@ -69,3 +69,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_table_path(spark: SparkSession, name: str) -> str:
     """Location for an intermediate table that cuts lineage (shared folder)."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def sized_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               shuffle_fraction: float = 0.25,
+               target_split_bytes: int = 512 * 1024 * 1024,
+               target_shuffle_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized to the data and the cluster.
+
+    * Scan splits of ``target_split_bytes`` (columnar reads touch only the
+      used columns, so a split decodes far less than its size).
+    * Initial shuffle partitions so that the largest shuffle (about
+      ``shuffle_fraction`` of the input after map-side pre-aggregation)
+      lands at ~``target_shuffle_bytes`` per partition, never fewer than
+      2 x the cluster's cores; AQE then coalesces small partitions and
+      splits skewed ones.
+
+    Example: 100 TB on 1000 executors x 8 cores gives 512 MB splits
+    (~200k scan tasks) and ~100k initial shuffle partitions of ~256 MB.
+    """
+    import math
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, math.ceil(input_bytes * shuffle_fraction / target_shuffle_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_shuffle_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_shuffle_bytes),
+        "spark.default.parallelism": str(2 * cores),
+    }

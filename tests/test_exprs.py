@@ -76,3 +76,12 @@ def test_map_lookup_default(spark):
     df = spark.createDataFrame([("C",), ("SS",), ("P",), (None,)], "pos string")
     got = one(df.select(E.map_lookup("pos", K.POSITION_GROUP, "other").alias("g")), "g")
     assert got == ["catcher", "speed_pos", "other", "other"]
+
+
+def test_sized_conf_100tb():
+    from seamstat.session import sized_conf
+    c = sized_conf(100 * 1024 ** 4, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 102400
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
+    small = sized_conf(10 * 1024 ** 2, 1, 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8
