@@ -1375,3 +1375,15 @@ def q_stream_reload(spark, sf_dir):
                          checkpoint_location=ckpt)
         q.awaitTermination()
     return spark.read.parquet(table).select("game_pk", "at_bat_number", "batter", "events", "season")
+
+
+@register("q_weighted_event_index", _BAT_WITH + """
+SELECT batter, batter_team, split_type, season, pa, woba, wraa, wrc_plus, park_factor
+FROM bat_lines""")
+def q_weighted_event_index(spark, sf_dir):
+    """Weighted event index (wOBA) with unintentional walks, runs above
+    average, and the park- and league-adjusted index on team rows
+    (DOM-03, DOM-04, DOM-05, JON-02, JON-03)."""
+    return q_batting_stats(spark, sf_dir).select(
+        "batter", "batter_team", "split_type", "season", "pa", "woba", "wraa", "wrc_plus",
+        "park_factor")
