@@ -87,13 +87,17 @@ def _pitch_partials(p: PitchCols, side_col: str, release: bool) -> dict[str, Col
 
 def hitter_split_features(pitches: DataFrame, games: DataFrame,
                           first: int | None = None, last: int | None = None,
-                          p: PitchCols = P, g: GameCols = G) -> DataFrame:
+                          p: PitchCols = P, g: GameCols = G,
+                          advanced: bool = False) -> DataFrame:
     """Per batter-season: vs-left / vs-right pitcher pitches, exit velocity,
     xwOBA and whiff rate with L-R gaps; first / second half exit velocity,
-    xwOBA, barrel rate and whiff rate with H2-H1 trends."""
+    xwOBA, barrel rate and whiff rate with H2-H1 trends. With
+    ``advanced=True`` the season advanced metrics come from the same pass."""
+    from seamstat.operators import advanced as A
+    spec = A.batting_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.batter, p, g, first, last,
-                         _pitch_partials(p, p.p_throws, release=False))
-    aggs = []
+                         {**_pitch_partials(p, p.p_throws, release=False), **A.spec_partials(spec)})
+    aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"pitches_vs_{side}"),
                  _avg_of(f"ls_s_{side}", f"ls_n_{side}", None, 1).alias(f"ev_vs_{side}"),
@@ -119,13 +123,17 @@ def hitter_split_features(pitches: DataFrame, games: DataFrame,
 
 def pitcher_split_features(pitches: DataFrame, games: DataFrame,
                            first: int | None = None, last: int | None = None,
-                           p: PitchCols = P, g: GameCols = G) -> DataFrame:
+                           p: PitchCols = P, g: GameCols = G,
+                           advanced: bool = False) -> DataFrame:
     """Per pitcher-season: vs-left / vs-right batter splits with R-L gaps;
     first / second half velocity, exit velocity, xwOBA and whiff rate with
-    H2-H1 trends."""
+    H2-H1 trends. With ``advanced=True`` the season advanced metrics come
+    from the same pass."""
+    from seamstat.operators import advanced as A
+    spec = A.pitching_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.pitcher, p, g, first, last,
-                         _pitch_partials(p, p.stand, release=True))
-    aggs = []
+                         {**_pitch_partials(p, p.stand, release=True), **A.spec_partials(spec)})
+    aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"vs{side}_pitches"),
                  _avg_of(f"ls_s_{side}", f"ls_n_{side}", None, 1).alias(f"vs{side}_exit_velo"),

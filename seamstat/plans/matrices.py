@@ -40,8 +40,9 @@ def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
     """One row per qualified hitter-season with every hitter feature.
 
     ``t`` keys: pitches, games, constants, parks (season, team, basic),
-    official_batting, batting_advanced, player_bio, sprint_speed,
-    lineup_position, team_strength, milb_batting.
+    official_batting, player_bio, sprint_speed, lineup_position,
+    team_strength, milb_batting, and optionally batting_advanced (else it
+    is computed in the same pitch pass as the splits).
     """
     bat = stats.batting_stats(t["pitches"], t["games"], t["constants"], t["parks"], first, last)
     bat = _to_double(bat, ["avg", "obp", "slg", "ops", "woba", "wraa", "wrc_plus", "park_factor"])
@@ -50,11 +51,16 @@ def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
         .drop("batter_team", "split_type", "park_factor", "wrc_plus")
     team_rows = bat.where(F.col("split_type") == "team").select(
         F.col("batter").alias("player_id"), "season", F.col("batter_team").alias("team"), "pa")
-    adv = _season_filter(t["batting_advanced"], first, last)
+    # Advanced metrics: a stored table, or computed in the split pass below.
+    adv = t.get("batting_advanced")
+    adv = _season_filter(adv, first, last) if adv is not None else None
     ob = t["official_batting"]
     extras = _season_filter(ob.where(F.col("plate_appearances") >= min_pa), first, last).select(
         *KEYS, F.col("stolen_bases").alias("sb"), F.col("caught_stealing").alias("cs"),
         F.col("runs").alias("r"), "rbi", F.col("total_bases").alias("tb"))
+    splits = hitter_split_features(t["pitches"], t["games"], first, last, advanced=adv is None)
+    if adv is None:
+        adv = splits.select(*KEYS, *[c for c in K.HITTER_ADVANCED + ["batted_balls"]])
     df = trad.join(FT.team_string(team_rows), KEYS, "left") \
         .join(adv, KEYS, "left").join(extras, KEYS, "left")
     bio = t["player_bio"].select("player_id", "bat_side", "primary_position", "birth_date",
@@ -63,7 +69,7 @@ def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
     df = FT.hitter_rates(df)
     df = FT.regress_to_mean(df, "pa", K.HITTER_RELIABILITY)
     df = FT.rolling_features(df, K.HITTER_ROLLING)
-    df = df.join(hitter_split_features(t["pitches"], t["games"], first, last), KEYS, "left")
+    df = df.join(splits.drop(*[c for c in adv.columns if c not in KEYS]), KEYS, "left")
     df = FT.age_curve(df, "hitter")
     parks = t["parks"].select("season", "team", F.col("basic").cast("double").alias("park_factor"))
     df = df.join(FT.weighted_context(team_rows, parks, ["park_factor"], "pa"), KEYS, "left")
@@ -84,8 +90,8 @@ def pitcher_features(t: Mapping[str, DataFrame], first: int | None = None,
     """One row per qualified pitcher-season (IP notation >= min_ip, T1).
 
     ``t`` keys: pitches, games, constants, parks, official_pitching,
-    pitching_advanced, quality_starts, player_bio, team_strength,
-    milb_pitching.
+    quality_starts, player_bio, team_strength, milb_pitching, and
+    optionally pitching_advanced (else computed with the splits).
     """
     pit = stats.pitching_stats(t["pitches"], t["games"], t["official_pitching"], t["constants"],
                                first, last)
@@ -98,7 +104,11 @@ def pitcher_features(t: Mapping[str, DataFrame], first: int | None = None,
     off = _season_filter(t["official_pitching"], first, last).select(
         *KEYS, "holds", "blown_saves", "save_opps", "inherited_runners", "inherited_runners_scored",
         "wild_pitches", "complete_games", "shutouts")
-    adv = _season_filter(t["pitching_advanced"], first, last)
+    adv = t.get("pitching_advanced")
+    adv = _season_filter(adv, first, last) if adv is not None else None
+    splits = pitcher_split_features(t["pitches"], t["games"], first, last, advanced=adv is None)
+    if adv is None:
+        adv = splits.select(*KEYS, *K.PITCHER_ADVANCED)
     qs = _season_filter(t["quality_starts"], first, last).select(*KEYS, "quality_starts")
     bio = t["player_bio"].select("player_id", "bat_side", "primary_position", "birth_date",
                                  "mlb_debut_date")
@@ -108,7 +118,7 @@ def pitcher_features(t: Mapping[str, DataFrame], first: int | None = None,
     df = FT.pitcher_rates(df)
     df = FT.regress_to_mean(df, "ip", K.PITCHER_RELIABILITY)
     df = FT.rolling_features(df, K.PITCHER_ROLLING)
-    df = df.join(pitcher_split_features(t["pitches"], t["games"], first, last), KEYS, "left")
+    df = df.join(splits.drop(*[c for c in adv.columns if c not in KEYS]), KEYS, "left")
     df = FT.age_curve(df, "pitcher")
     parks = t["parks"].select("season", "team", F.col("basic").cast("double").alias("park_factor"))
     df = df.join(FT.weighted_context(team_rows, parks, ["park_factor"], "ip"), KEYS, "left")

@@ -456,15 +456,14 @@ def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @memo
 def matrix_inputs(spark: SparkSession, sf_dir: str) -> dict:
-    """Every input of the feature matrices, derived from the driver tables."""
-    from seamstat.operators.advanced import batting_advanced, pitching_advanced
+    """Every input of the feature matrices, derived from the driver tables
+    (the advanced metrics are left to the matrices' single pitch pass)."""
     p, g = pitches(spark, sf_dir), games(spark, sf_dir)
     return {
         "pitches": p, "games": g, "constants": constants(spark),
         "parks": park_factors(spark, sf_dir),
         "official_batting": official_batting(spark, sf_dir),
         "official_pitching": official_pitching(spark, sf_dir),
-        "batting_advanced": batting_advanced(p, g), "pitching_advanced": pitching_advanced(p, g),
         "player_bio": player_bio(spark, sf_dir), "sprint_speed": sprint_speed(spark, sf_dir),
         "lineup_position": lineup_position(spark, sf_dir),
         "team_strength": team_strength(spark, sf_dir),
