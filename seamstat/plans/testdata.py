@@ -201,13 +201,17 @@ DUCK_PARKS = """parks_v AS (
 
 # ----------------------------------------------------------- official lines --
 @memo
-def official_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (supplier, ship year): official pitching line."""
+def supplier_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aggregate of lineitem per (supplier, ship year) from which the
+    official lines, sprint speed and lineup position are projected: a query
+    using several of them reuses one exchange instead of scanning again."""
     li = read(spark, sf_dir, "lineitem")
-    ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
+    ln, rf, ls, q = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
+    loaded = F.col("l_shipdate") < F.lit("2001-01-01").cast("timestamp_ntz")
     cnt = lambda cond: F.count_if(cond).cast("bigint")
     return li.groupBy(F.col("l_suppkey").alias("player_id"),
                       F.year("l_shipdate").alias("season")).agg(
+        # pitching
         F.floor(F.sum("l_quantity") / 57).cast("bigint").alias("outs"),
         cnt((ln == 1) & (ls == "F")).alias("wins"),
         cnt((ln == 2) & (ls == "F")).alias("losses"),
@@ -221,8 +225,32 @@ def official_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
         cnt(F.col("l_tax") >= 0.05).alias("inherited_runners"),
         cnt(F.col("l_tax") >= 0.07).alias("inherited_runners_scored"),
         cnt(F.col("l_discount") == 0.1).alias("wild_pitches"),
-        cnt((ln == 1) & (F.col("l_quantity") >= 48)).alias("complete_games"),
-        cnt((ln == 1) & (F.col("l_quantity") == 50)).alias("shutouts"))
+        cnt((ln == 1) & (q >= 48)).alias("complete_games"),
+        cnt((ln == 1) & (q == 50)).alias("shutouts"),
+        # batting, loaded for items shipped before 2001 only
+        cnt(loaded).alias("plate_appearances"),
+        cnt(loaded & (ln == 1) & (q >= 40)).alias("stolen_bases"),
+        cnt(loaded & (ln == 2) & (q >= 45)).alias("caught_stealing"),
+        cnt(loaded & (q >= 35)).alias("runs"),
+        cnt(loaded & (q <= 12)).alias("rbi"),
+        F.sum(F.when(loaded, (q / 10).cast("bigint"))).cast("bigint").alias("total_bases"),
+        # speed and lineup
+        (F.lit(25.0) + F.avg("l_discount") * 50).cast("decimal(5,2)").alias("sprint_speed"),
+        (F.lit(4.5) - F.avg("l_tax") * 5).cast("decimal(5,2)").alias("hp_to_1b"),
+        F.count_if(q == 50).cast("int").alias("bolts"),
+        F.avg("l_linenumber").alias("avg_lineup_pos"))
+
+
+_PITCHING_COLS = ["player_id", "season", "outs", "wins", "losses", "saves", "games_played",
+                  "games_started", "earned_runs", "holds", "blown_saves", "save_opps",
+                  "inherited_runners", "inherited_runners_scored", "wild_pitches",
+                  "complete_games", "shutouts"]
+
+
+@memo
+def official_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (supplier, ship year): official pitching line."""
+    return supplier_year(spark, sf_dir).select(*_PITCHING_COLS)
 
 
 DUCK_OFFICIAL_PITCHING = """official_v AS (
@@ -249,17 +277,9 @@ DUCK_OFFICIAL_PITCHING = """official_v AS (
 def official_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): official batting extras, loaded for items
     shipped before 2001 only (the latest season is not loaded yet)."""
-    li = read(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
-    ln, q = F.col("l_linenumber"), F.col("l_quantity")
-    cnt = lambda cond: F.count_if(cond).cast("bigint")
-    return li.groupBy(F.col("l_suppkey").alias("player_id"),
-                      F.year("l_shipdate").alias("season")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("plate_appearances"),
-        cnt((ln == 1) & (q >= 40)).alias("stolen_bases"),
-        cnt((ln == 2) & (q >= 45)).alias("caught_stealing"),
-        cnt(q >= 35).alias("runs"),
-        cnt(q <= 12).alias("rbi"),
-        F.sum((q / 10).cast("bigint")).cast("bigint").alias("total_bases"))
+    return supplier_year(spark, sf_dir).where(F.col("plate_appearances") > 0).select(
+        "player_id", "season", "plate_appearances", "stolen_bases", "caught_stealing", "runs",
+        "rbi", "total_bases")
 
 
 DUCK_OFFICIAL_BATTING = """official_b AS (
@@ -369,19 +389,15 @@ DUCK_MILB = _duck_milb()
 # ------------------------------------------- remaining matrix inputs (Spark) --
 @memo
 def sprint_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
-        (F.lit(25.0) + F.avg("l_discount") * 50).cast("decimal(5,2)").alias("sprint_speed"),
-        (F.lit(4.5) - F.avg("l_tax") * 5).cast("decimal(5,2)").alias("hp_to_1b"),
-        F.count_if(F.col("l_quantity") == 50).cast("int").alias("bolts"),
-        F.count(F.lit(1)).cast("int").alias("competitive_runs"))
+    return supplier_year(spark, sf_dir).select(
+        "player_id", "season", "sprint_speed", "hp_to_1b", "bolts",
+        F.col("games_played").cast("int").alias("competitive_runs"))
 
 
 @memo
 def lineup_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
-        F.avg("l_linenumber").alias("avg_lineup_pos"), F.count(F.lit(1)).cast("int").alias("games"))
+    return supplier_year(spark, sf_dir).select(
+        "player_id", "season", "avg_lineup_pos", F.col("games_played").cast("int").alias("games"))
 
 
 @memo
