@@ -220,6 +220,18 @@ def fit_target(train: DataFrame, test: DataFrame, cols: Sequence[str], target: s
     return model
 
 
+def fit_targets(train: DataFrame, test: DataFrame, cols: Sequence[str], targets: Sequence[str],
+                params: dict, parallelism: int = 4, **kw) -> list[dict]:
+    """Fit every target's ensemble; the per-target fits are independent
+    Spark jobs submitted from a small pool of driver threads (as
+    cross-validation does), so short jobs overlap on the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+    if parallelism <= 1 or len(targets) <= 1:
+        return [fit_target(train, test, cols, t, params, **kw) for t in targets]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(targets))) as pool:
+        return list(pool.map(lambda t: fit_target(train, test, cols, t, params, **kw), targets))
+
+
 def score(df: DataFrame, model: dict, out: str = "pred") -> DataFrame:
     """Ridge and tree predictions and their blend for a fitted target."""
     keep, scale = model["features"], model["scale"]

@@ -165,7 +165,7 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                       grid: Mapping | None = None, tune_target: str | None = None,
                       select_params: Mapping | None = None,
                       latest_season: int | None = None, blend_on: str = "test",
-                      params: Mapping | None = None):
+                      params: Mapping | None = None, parallelism: int = 4):
     """Year-over-year training, tuning, per-target ensembles and the
     projection of the latest season (MLO-01 .. MLO-14).
 
@@ -177,7 +177,7 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     Returns (metrics DataFrame, projections DataFrame, fitted models).
     """
     from seamstat.operators.joins import year_pairs
-    from seamstat.operators.modeling import (fit_target, impute_zero, metrics_frame,
+    from seamstat.operators.modeling import (fit_targets, impute_zero, metrics_frame,
                                              numeric_features, project, season_split, tune)
     spark = features.sparkSession
     pairs = season_split(year_pairs(features, targets, "player_id", "season"), features,
@@ -200,9 +200,10 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     # grid={} skips tuning and uses ``params`` (or the boosted-tree defaults)
     best = tune(train, cols, f"next_{tune_target or targets[0]}",
                 dict(grid or K.PARAM_GRID)) if grid != {} else dict(params or {})
-    fitted = [fit_target(train, blend, cols, f"next_{x}", best, K.IMPORTANCE_THRESHOLD,
-                         dict(select_params) if select_params else None, evaluate=test)
-              for x in targets]
+    fitted = fit_targets(train, blend, cols, [f"next_{x}" for x in targets], best, parallelism,
+                         threshold=K.IMPORTANCE_THRESHOLD,
+                         select_params=dict(select_params) if select_params else None,
+                         evaluate=test)
     if latest_rows is None:
         top = latest_season if latest_season is not None else features.select(F.max("season")).scalar()
         latest_rows = features.where(F.col("season") == top)

@@ -1256,15 +1256,15 @@ def q_project(spark, sf_dir):
     """Train ridge + boosted trees per target, tune on one target by
     3-fold CV, blend on the test split, project the latest season and round
     (MLO-04, -05, -08, -09, -13)."""
-    from seamstat.operators.modeling import fit_target, impute_zero, project, tune
+    from seamstat.operators.modeling import fit_targets, impute_zero, project, tune
     pairs, cs, feats = _model_inputs(spark, sf_dir)
     train = pairs.where(F.col("split") == "train")
     test = pairs.where(F.col("split") == "test")
     best = tune(train, feats, "next_lines", {"n_estimators": [5], "max_depth": [2, 3],
                                              "learning_rate": [0.1]}, parallelism=2)
     small = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}
-    fitted = [fit_target(train, test, feats, t, best, select_params=small)
-              for t in ("next_lines", "next_qty")]
+    fitted = fit_targets(train, test, feats, ["next_lines", "next_qty"], best, 2,
+                         select_params=small)
     latest = impute_zero(cs.where(F.col("season") == cs.select(F.max("season")).scalar()), feats)
     return project(latest, fitted, ["player_id", "season"], {"lines": 0, "qty": 0})
 
