@@ -1387,3 +1387,78 @@ def q_weighted_event_index(spark, sf_dir):
     return q_batting_stats(spark, sf_dir).select(
         "batter", "batter_team", "split_type", "season", "pa", "woba", "wraa", "wrc_plus",
         "park_factor")
+
+
+# ----------------------------------------------------------- landed files --
+def _speed_rows(spark, sf_dir):
+    """Per (supplier, ship year) sprint-speed lines as exact text."""
+    li = T.read(spark, sf_dir, "lineitem")
+    g = li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_quantity") == 50).alias("bolts"))
+    n = F.col("n")
+    txt = lambda whole, frac: F.concat(whole.cast("string"), F.lit("."),
+                                       F.lpad(frac.cast("string"), 2, "0"))
+    return g.select("player_id", "season",
+                    txt(25 + n % 5, n % 100).alias("sprint_speed"),
+                    txt(F.lit(4), (n * 7) % 100).alias("hp_to_1b"),
+                    F.when(F.col("bolts") > 0, F.col("bolts").cast("string")).alias("bolts"),
+                    n.cast("string").alias("competitive_runs"))
+
+
+@register("q_landed_csv", """
+WITH g AS (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS INTEGER) AS season, count(*) AS n,
+                  count(*) FILTER (WHERE l_quantity = 50) AS bolts
+           FROM lineitem GROUP BY 1, 2)
+SELECT CAST(player_id AS INTEGER) AS player_id, season,
+       CAST(CAST((25 + n % 5) || '.' || lpad(CAST(n % 100 AS VARCHAR), 2, '0') AS DECIMAL(5,2)) AS DOUBLE) AS sprint_speed,
+       CAST(CAST('4.' || lpad(CAST((n * 7) % 100 AS VARCHAR), 2, '0') AS DECIMAL(5,2)) AS DOUBLE) AS hp_to_1b,
+       CASE WHEN bolts > 0 THEN CAST(bolts AS INTEGER) END AS bolts,
+       CAST(n AS INTEGER) AS competitive_runs
+FROM g""")
+def q_landed_csv(spark, sf_dir):
+    """Season CSV files (one folder per season, extra columns, empty
+    fields) read back with declared types and the season tagged from the
+    file set (SRC-07, SCA-15)."""
+    import os
+    import uuid
+
+    from seamstat.session import checkpoint_table_path
+    from seamstat.sources.landed_json import read_sprint_speed
+    run = checkpoint_table_path(spark, f"landed_csv/{uuid.uuid4().hex}")
+    rows = _speed_rows(spark, sf_dir).withColumn("note", F.lit("x"))
+    rows.write.partitionBy("season").option("header", True).csv(run)
+    seasons = [r[0] for r in rows.select("season").distinct().collect()]
+    df = read_sprint_speed(spark, {s: os.path.join(run, f"season={s}") for s in sorted(seasons)})
+    return df.select("player_id", "season", F.col("sprint_speed").cast("double").alias("sprint_speed"),
+                     F.col("hp_to_1b").cast("double").alias("hp_to_1b"), "bolts", "competitive_runs")
+
+
+def _people_docs(spark, sf_dir):
+    """One landed people document per supplier (nested position / side)."""
+    bio = T.player_bio(spark, sf_dir)
+    person = F.struct(
+        F.col("player_id").alias("id"), F.col("full_name").alias("fullName"),
+        F.split_part("full_name", F.lit("#"), F.lit(1)).alias("lastName"),
+        F.split_part("full_name", F.lit("#"), F.lit(2)).alias("firstName"),
+        F.date_format("birth_date", "yyyy-MM-dd").alias("birthDate"),
+        F.struct(F.col("primary_position").alias("abbreviation")).alias("primaryPosition"),
+        F.struct(F.col("bat_side").alias("code")).alias("batSide"),
+        F.date_format("mlb_debut_date", "yyyy-MM-dd").alias("mlbDebutDate"))
+    return bio.select(F.to_json(F.struct(F.array(person).alias("people"))).alias("payload"))
+
+
+@register("q_landed_people", T.duck_with(T.DUCK_BIO) + """
+SELECT player_id, full_name, split_part(full_name, '#', 2) AS first_name,
+       split_part(full_name, '#', 1) AS last_name, CAST(birth_date AS VARCHAR) AS birth_date,
+       primary_position, bat_side, CAST(mlb_debut_date AS VARCHAR) AS mlb_debut_date
+FROM bio_v""")
+def q_landed_people(spark, sf_dir):
+    """People documents flattened: nested position and bat side, dates
+    parsed, missing fields null (SRC-04, SCA-17)."""
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import PEOPLE_PAYLOAD
+    docs = LJ.parse(_people_docs(spark, sf_dir), "payload", PEOPLE_PAYLOAD)
+    out = docs.select(*LJ.flatten_bio(F.col("doc")))
+    return out.select("player_id", "full_name", "first_name", "last_name",
+                      F.col("birth_date").cast("string").alias("birth_date"), "primary_position",
+                      "bat_side", F.col("mlb_debut_date").cast("string").alias("mlb_debut_date"))
