@@ -1462,3 +1462,36 @@ def q_landed_people(spark, sf_dir):
     return out.select("player_id", "full_name", "first_name", "last_name",
                       F.col("birth_date").cast("string").alias("birth_date"), "primary_position",
                       "bat_side", F.col("mlb_debut_date").cast("string").alias("mlb_debut_date"))
+
+
+@register("q_landed_rosters", """
+SELECT CAST(c_custkey AS INTEGER) AS player_id, 2026 AS season,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'T' || CAST(c_nationkey AS VARCHAR)
+            ELSE 'H' || CAST(c_nationkey % 5 + 1 AS VARCHAR) END AS team,
+       c_name AS full_name
+FROM customer""")
+def q_landed_rosters(spark, sf_dir):
+    """Roster documents flattened and loaded: the season is replaced and a
+    player listed on two rosters keeps the entry loaded last (SRC-09,
+    SNK-04, SNK-06, T18)."""
+    from seamstat.plans.loads import load_rosters
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import ACTIVE_40_MAN, ROSTER_PAYLOAD
+    c = T.read(spark, sf_dir, "customer")
+    first = c.select("c_custkey", "c_name",
+                     F.concat(F.lit("H"), (F.col("c_nationkey") % 5 + 1).cast("string")).alias("team"),
+                     F.lit(1).alias("load_seq"))
+    second = c.where(F.col("c_mktsegment") == "BUILDING").select(
+        "c_custkey", "c_name", F.concat(F.lit("T"), F.col("c_nationkey").cast("string")).alias("team"),
+        F.lit(2).alias("load_seq"))
+    entry = F.struct(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("fullName")).alias("person"),
+                     F.struct(F.lit("P").alias("abbreviation")).alias("position"),
+                     F.struct(F.lit("Active").alias("description")).alias("status"))
+    docs = first.unionByName(second).select(
+        F.lit(2026).alias("season"), "team", F.col("team").alias("team_name"), "load_seq",
+        F.to_json(F.struct(F.array(entry).alias("roster"))).alias("payload"))
+    rows = LJ.flatten_rosters(LJ.parse(docs, "payload", ROSTER_PAYLOAD), keep=("load_seq",)) \
+        .withColumn("entry_seq", F.col("load_seq") * 1000 + F.col("roster_pos")) \
+        .drop("load_seq", "roster_pos")
+    stored = spark.createDataFrame([], ACTIVE_40_MAN)
+    return load_rosters(stored, rows).select("player_id", "season", "team", "full_name")

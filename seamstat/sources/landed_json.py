@@ -132,12 +132,14 @@ def flatten_game_log(df: DataFrame, entity: str = "player_id",
 
 
 def flatten_rosters(df: DataFrame, team: str = "team", team_name: str = "team_name",
-                    season: str = "season", doc_col: str = "doc") -> DataFrame:
+                    season: str = "season", doc_col: str = "doc",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per roster entry; nested fields may be missing (SRC-09).
-    ``roster_pos`` is the entry's position in its payload."""
+    ``roster_pos`` is the entry's position in its payload; ``keep`` columns
+    of the document row are carried along."""
     r = F.posexplode(F.col(doc_col)["roster"]).alias("roster_pos", "r")
-    return df.select(F.col(season), F.col(team), F.col(team_name), r).select(
-        F.col("roster_pos"),
+    return df.select(F.col(season), F.col(team), F.col(team_name), *keep, r).select(
+        *keep, F.col("roster_pos"),
         F.col("r")["person"]["id"].cast("int").alias("player_id"),
         F.col(season).cast("int").alias("season"), F.col(team), F.col(team_name),
         F.col("r")["person"]["fullName"].alias("full_name"),
