@@ -153,7 +153,7 @@ def pitching_counters() -> list[tuple[str, Column]]:
 def event_counts(pitches: DataFrame, games: DataFrame, role: str,
                  counters: list[tuple[str, Column]], game_type: str = "R",
                  p: PitchCols = P, g: GameCols = G, first: int | None = None,
-                 last: int | None = None) -> DataFrame:
+                 last: int | None = None, pre_aggregate: bool = True) -> DataFrame:
     """Counters per (entity, season, team) plus total rows, with the
     aggregation pushed below the join with games.
 
@@ -162,6 +162,10 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
     entity and half-inning of a game instead of one per plate appearance.
     Team and season are functions of the game, so summing these rows per
     (entity, season, team) afterwards gives the same counts.
+
+    ``pre_aggregate=False`` joins plate appearances directly: better when the
+    games table is a small dimension that is broadcast anyway (the join is
+    then map-side and the pre-aggregation's exchange would be extra).
     """
     entity = p.batter if role == "batter" else p.pitcher
     ev = F.col(p.events)
@@ -170,7 +174,11 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
         F.col(p.inning_topbot).alias("__half"), F.col(p.events).alias("events"),
         F.col(p.bb_type).alias("bb_type"))
     names = [n for n, _ in counters]
-    pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
+    if pre_aggregate:
+        pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
+    else:
+        pre = pa.select("__g", role, "__half",
+                        *[F.when(cond, 1).otherwise(0).cast("bigint").alias(n) for n, cond in counters])
     gm = regular_games(games, game_type, g, first, last).select(
         F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
     top = F.col("__half") == "Top"

@@ -106,3 +106,13 @@ def test_pitching_stats_end_to_end(spark):
     assert t["pitcher_team"] == "HOM" and t["outs"] == 5 and t["era"] is None and t["wins"] is None
     assert tot["outs"] == 5 and tot["ip"] == Decimal("1.2") and tot["era"] == Decimal("5.40")
     assert tot["hr_fb"] == Decimal("0.500") and tot["k_pct"] == Decimal("20.0")
+
+
+def test_pre_aggregation_switch_same_counts(spark):
+    rows = [(g, 7 + g % 2, 9, e, "Top" if g % 3 else "Bot", None)
+            for g in range(1, 6) for e in ("single", "walk", "strikeout", "home_run")]
+    p = spark.createDataFrame(rows, PITCH_SCHEMA)
+    g = _games(spark, [(i, dt.date(2022, 5, i), "R", f"H{i % 2}", f"A{i % 3}") for i in range(1, 6)])
+    a = sorted(stats.event_counts(p, g, "batter", stats.batting_counters()).collect())
+    b = sorted(stats.event_counts(p, g, "batter", stats.batting_counters(), pre_aggregate=False).collect())
+    assert a == b and len(a) > 2
