@@ -59,3 +59,35 @@ def test_rows_only_queries_run(spark):
         df = QUERIES[name](spark, sf)
         assert df.count() > 0, name
     assert len(QUERIES["q_hitter_features"](spark, sf).columns) >= 140
+
+
+def test_flatten_milb_batting_src05(spark):
+    import json
+
+    from seamstat.sources import landed_json as LJ
+    from seamstat.sources.schemas import STATS_PAYLOAD
+    doc = json.dumps({"stats": [{"splits": [
+        {"player": {"id": 5}, "team": {"name": "Bees"},
+         "stat": {"plateAppearances": 120, "homeRuns": 4, "avg": ".281", "obp": ".---"}},
+        {"player": {"id": 6}, "team": {"name": "Owls"}, "stat": {"plateAppearances": 40}}]}]})
+    df = LJ.parse(spark.createDataFrame([(11, 2024, doc)], "sport_id int, season int, payload string"),
+                  "payload", STATS_PAYLOAD)
+    rows = {r["player_id"]: r for r in LJ.flatten_milb_batting(df).collect()}
+    assert rows[5]["level"] == "AAA" and rows[5]["pa"] == 120 and rows[5]["hr"] == 4
+    assert str(rows[5]["avg"]) == "0.281" and rows[5]["obp"] is None
+    assert rows[6]["hr"] == 0 and rows[6]["team_name"] == "Owls"
+
+
+def test_ratio_scores_and_compare_mlo11_mlo12(spark):
+    preds = spark.createDataFrame([(1, 2025, 100.0, 0.0), (2, 2025, 50.0, 10.0)],
+                                  "player_id bigint, season int, k double, bb double")
+    acts = spark.createDataFrame([(1, 2025, 90.0, 0.0), (2, 2025, 60.0, 12.0)],
+                                 "player_id bigint, season int, k double, bb double")
+    j = preds.alias("p").join(acts.alias("a"), ["player_id", "season"]).select(
+        F.col("p.k").alias("pk"), F.col("p.bb").alias("pbb"), F.col("a.k").alias("ak"),
+        F.col("a.bb").alias("abb"))
+    r = M.ratio_scores(j, "pk", "pbb", "ak", "abb").first()
+    assert abs(r["mae"] - (10 + 0) / 2) < 1e-12
+    names = spark.createDataFrame([(1, "A"), (2, "B")], "player_id bigint, full_name string")
+    top = M.compare(preds, acts, names, ["player_id", "season"], ["k", "bb"], "k", k=1).collect()
+    assert top[0]["full_name"] == "A" and top[0]["pred_k"] == 100.0 and top[0]["actual_k"] == 90.0
