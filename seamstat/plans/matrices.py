@@ -165,7 +165,8 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                       grid: Mapping | None = None, tune_target: str | None = None,
                       select_params: Mapping | None = None,
                       latest_season: int | None = None, blend_on: str = "test",
-                      params: Mapping | None = None, parallelism: int = 4):
+                      params: Mapping | None = None, parallelism: int = 4,
+                      ratios: Mapping[str, tuple[str, str]] | None = None):
     """Year-over-year training, tuning, per-target ensembles and the
     projection of the latest season (MLO-01 .. MLO-14).
 
@@ -174,6 +175,9 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     holds out the last training season for the weights and fits on the
     seasons before it, leaving the test season untouched.
 
+    ``ratios`` adds derived projections from the rounded ones, e.g.
+    ``{"k_bb": ("k", "bb")}`` (a zero denominator reads as 1, 2 decimals).
+
     Returns (metrics DataFrame, projections DataFrame, fitted models).
     """
     from seamstat.operators.joins import year_pairs
@@ -208,4 +212,7 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
         top = latest_season if latest_season is not None else features.select(F.max("season")).scalar()
         latest_rows = features.where(F.col("season") == top)
     proj = project(impute_zero(latest_rows, cols), fitted, ["player_id"], dict(digits))
+    from seamstat.operators.modeling import derive_ratio
+    for name, (num, den) in (ratios or {}).items():
+        proj = derive_ratio(proj, f"{num}_proj", f"{den}_proj", f"{name}_proj")
     return metrics_frame(spark, fitted), proj, fitted

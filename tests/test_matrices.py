@@ -29,13 +29,18 @@ def test_train_project_and_context_swap(spark):
     small = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1}
     metrics, proj, fitted = train_and_project(
         feats, ["pa", "hr"], {"pa": 0, "hr": 0}, K.HITTER_ID_COLUMNS,
-        grid={"n_estimators": [3], "max_depth": [2]}, select_params=small)
+        grid={"n_estimators": [3], "max_depth": [2]}, select_params=small,
+        ratios={"hr_per_pa": ("hr", "pa")})
     m = {r["target"]: r for r in metrics.collect()}
     assert set(m) == {"next_pa", "next_hr"}
     assert all(0.0 <= r["blend_weight"] <= 1.0 for r in m.values())
     latest = feats.where(F.col("season") == 2001)
     assert proj.count() == latest.count()
-    assert all(float(r["pa_proj"]).is_integer() for r in proj.collect())
+    rows = proj.collect()
+    assert all(float(r["pa_proj"]).is_integer() for r in rows)
+    for r in rows:
+        den = r["pa_proj"] if r["pa_proj"] != 0 else 1
+        assert abs(r["hr_per_pa_proj"] - round(r["hr_proj"] / den, 2)) < 1e-9
     swapped = swap_context(latest, T.rosters(spark, SF), T.park_factors(spark, SF),
                            t["team_strength"])
     assert swapped.count() == latest.join(T.rosters(spark, SF), "player_id").count()
