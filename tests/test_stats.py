@@ -116,3 +116,11 @@ def test_pre_aggregation_switch_same_counts(spark):
     a = sorted(stats.event_counts(p, g, "batter", stats.batting_counters()).collect())
     b = sorted(stats.event_counts(p, g, "batter", stats.batting_counters(), pre_aggregate=False).collect())
     assert a == b and len(a) > 2
+
+
+def test_fielders_choice_is_an_out_t19(spark):
+    rows = [(1, 5, 8, e, "Top", None) for e in ("fielders_choice", "field_error", "double_play")]
+    p = spark.createDataFrame(rows, PITCH_SCHEMA)
+    g = _games(spark, [(1, dt.date(2022, 5, 1), "R", "HOM", "AWY")])
+    tot = stats.pitching_counts(p, g).where("split_type = 'total'").first()
+    assert tot["derived_outs"] == 3 and tot["tbf"] == 3
