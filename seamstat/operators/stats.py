@@ -153,7 +153,7 @@ def pitching_counters() -> list[tuple[str, Column]]:
 def event_counts(pitches: DataFrame, games: DataFrame, role: str,
                  counters: list[tuple[str, Column]], game_type: str = "R",
                  p: PitchCols = P, g: GameCols = G, first: int | None = None,
-                 last: int | None = None, pre_aggregate: bool = True) -> DataFrame:
+                 last: int | None = None, pre_aggregate: bool | None = None) -> DataFrame:
     """Counters per (entity, season, team) plus total rows, with the
     aggregation pushed below the join with games.
 
@@ -165,7 +165,9 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
 
     ``pre_aggregate=False`` joins plate appearances directly: better when the
     games table is a small dimension that is broadcast anyway (the join is
-    then map-side and the pre-aggregation's exchange would be extra).
+    then map-side and the pre-aggregation's exchange would be extra). The
+    default (None) decides from the optimizer's size estimate of the
+    filtered games side against the broadcast threshold.
     """
     entity = p.batter if role == "batter" else p.pitcher
     ev = F.col(p.events)
@@ -174,13 +176,16 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
         F.col(p.inning_topbot).alias("__half"), F.col(p.events).alias("events"),
         F.col(p.bb_type).alias("bb_type"))
     names = [n for n, _ in counters]
+    gm = regular_games(games, game_type, g, first, last).select(
+        F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
+    if pre_aggregate is None:
+        from seamstat.session import fits_broadcast
+        pre_aggregate = not fits_broadcast(gm)
     if pre_aggregate:
         pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
     else:
         pre = pa.select("__g", role, "__half",
                         *[F.when(cond, 1).otherwise(0).cast("bigint").alias(n) for n, cond in counters])
-    gm = regular_games(games, game_type, g, first, last).select(
-        F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
     top = F.col("__half") == "Top"
     if role == "batter":
         team = F.when(top, F.col(g.away_team)).otherwise(F.col(g.home_team))
@@ -250,10 +255,11 @@ BATTING_COLUMNS = ["batter", "batter_team", "split_type", "season", "pa", "ab",
 
 
 def batting_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
-                   last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
+                   last: int | None = None, p: PitchCols = P, g: GameCols = G,
+                   pre_aggregate: bool | None = None) -> DataFrame:
     """Team rows and total rows of the batting counters (AGG-01, AGG-03)."""
     return event_counts(pitches, games, "batter", batting_counters(), p=p, g=g,
-                        first=first, last=last)
+                        first=first, last=last, pre_aggregate=pre_aggregate)
 
 
 def batting_stats(pitches: DataFrame, games: DataFrame, constants: DataFrame,
@@ -338,11 +344,12 @@ def innings(df: DataFrame) -> DataFrame:
 
 
 def pitching_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
-                    last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
+                    last: int | None = None, p: PitchCols = P, g: GameCols = G,
+                    pre_aggregate: bool | None = None) -> DataFrame:
     """Team and total rows of the pitching counters with derived outs
     (AGG-02, AGG-03)."""
     c = event_counts(pitches, games, "pitcher", pitching_counters(), p=p, g=g,
-                     first=first, last=last)
+                     first=first, last=last, pre_aggregate=pre_aggregate)
     return c.withColumn("derived_outs", F.col("__out1") + 2 * F.col("__out2") + 3 * F.col("__out3")) \
         .drop("__out1", "__out2", "__out3")
 

@@ -124,3 +124,27 @@ def test_fielders_choice_is_an_out_t19(spark):
     g = _games(spark, [(1, dt.date(2022, 5, 1), "R", "HOM", "AWY")])
     tot = stats.pitching_counts(p, g).where("split_type = 'total'").first()
     assert tot["derived_outs"] == 3 and tot["tbf"] == 3
+
+
+def test_split_paths_agree(spark):
+    from seamstat.operators.splits import hitter_split_features, pitcher_split_features
+    rows = [(g, 7 + g % 2, 9, d, t, s, float(80 + g), float(10 + g), 0.25 * (g % 4), 90.0 + g)
+            for g in range(1, 7) for d, t, s in (("swinging_strike", "L", "R"), ("foul", "R", "L"),
+                                                  ("ball", "R", "R"))]
+    p = spark.createDataFrame(rows, "game_pk bigint, batter bigint, pitcher bigint, description string, "
+                                    "p_throws string, stand string, launch_speed double, launch_angle double, "
+                                    "estimated_woba_using_speedangle double, release_speed double")
+    g = _games(spark, [(i, dt.date(2022, 4 + i, 1), "R", "H", "A") for i in range(1, 7)])
+    for fn in (hitter_split_features, pitcher_split_features):
+        a = sorted(fn(p, g, pre_aggregate=True).collect())
+        b = sorted(fn(p, g, pre_aggregate=False).collect())
+        assert a == b and len(a) >= 1
+
+
+def test_auto_path_uses_size_estimate(spark):
+    from seamstat.plans import testdata as T
+    from seamstat.session import estimated_bytes, fits_broadcast
+    small = T.games(spark, "/root/testdata/sf0.001")          # Parquet: file-size estimate
+    assert estimated_bytes(small) < 10 * 1024 ** 2 and fits_broadcast(small)
+    unknown = _games(spark, [(1, dt.date(2022, 5, 1), "R", "H", "A")])   # no statistics
+    assert not fits_broadcast(unknown)                          # unknown size counts as large
