@@ -14,6 +14,18 @@ from seamstat.session import ensure_checkpoint_dir
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def for_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a
+    cluster installs it there, or ships it with --py-files)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

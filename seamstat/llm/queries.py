@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import merkle, mixing, packing, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": packing.op1_packing,
     "op6_sharding": sharding.op6_sharding,
+    "op8_fingerprints": merkle.op8_fingerprints,
+    "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op6_sharding": sharding.ORACLE,
+    "op9_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
