@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merkle, mixing, packing, sharding, warc
+from . import langid, merkle, mixing, packing, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_langid": langid.op5_langid,
     "op6_sharding": sharding.op6_sharding,
+    "op7_quality": quality.op7_quality,
     "op8_fingerprints": merkle.op8_fingerprints,
     "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
