@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, merkle, mixing, packing, quality, sharding, toxicity, warc
+from . import langid, merkle, mixing, packing, quality, sharding, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op3_topk": topk.op3_topk,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_langid": langid.op5_langid,
     "op6_sharding": sharding.op6_sharding,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_topk": topk.ORACLE,
     "op6_sharding": sharding.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
