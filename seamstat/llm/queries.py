@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, merkle, mixing, packing, quality, sharding, topk, toxicity, warc
+from . import langid, merkle, mixing, neardup, packing, quality, sharding, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
+    "op2_neardup": neardup.op2_neardup,
     "op3_topk": topk.op3_topk,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_langid": langid.op5_langid,
