@@ -98,17 +98,11 @@ PARAM_GRID = {"n_estimators": [200, 400], "max_depth": [3, 4, 5],
 SEED = 42
 
 
-def barrel_tiers():
-    """Speed x angle boxes of a barrel, built from their rule.
-
-    Tier i (0..12) needs speed >= 98 + i and angle in [26 - i, hi] where the
-    upper bound is 30, then 31, then widens by one per tier (31 + i).
-    """
-    tiers = []
-    for i in range(13):
-        hi = 30 if i == 0 else 31 if i == 1 else 31 + i
-        tiers.append((98 + i, 26 - i, hi))
-    return tiers
+# --- FIXED VALUES: barrels, (least speed, least angle, greatest angle) ------
+BARREL_TIERS = [
+    (98, 26, 30), (99, 25, 31), (100, 24, 33), (101, 23, 34), (102, 22, 35),
+    (103, 21, 36), (104, 20, 37), (105, 19, 38), (106, 18, 39), (107, 17, 40),
+    (108, 16, 41), (109, 15, 42), (110, 14, 43)]
 
 
 # --- FIXED VALUES: pitch-type groups and batted-ball thresholds -------------
@@ -127,3 +121,51 @@ GROUND_BALL = "ground_ball"
 MILB_BATTING_REFRESHED = ["games", "pa", "ab", "hits", "hr", "avg", "obp", "slg", "ops",
                           "sb", "bb", "so", "tb"]
 MILB_PITCHING_KEPT = ["age"]
+
+
+# --- FIXED VALUES: official season lines, (stored column, payload field) ----
+OFFICIAL_BATTING = [
+    ("age", "age"), ("games_played", "gamesPlayed"), ("plate_appearances", "plateAppearances"),
+    ("at_bats", "atBats"), ("runs", "runs"), ("hits", "hits"), ("doubles", "doubles"),
+    ("triples", "triples"), ("home_runs", "homeRuns"), ("rbi", "rbi"),
+    ("strike_outs", "strikeOuts"), ("base_on_balls", "baseOnBalls"),
+    ("intentional_walks", "intentionalWalks"), ("hit_by_pitch", "hitByPitch"),
+    ("stolen_bases", "stolenBases"), ("caught_stealing", "caughtStealing"),
+    ("ground_into_dp", "groundIntoDoublePlay"), ("sac_bunts", "sacBunts"),
+    ("sac_flies", "sacFlies"), ("total_bases", "totalBases"), ("left_on_base", "leftOnBase"),
+    ("ground_outs", "groundOuts"), ("air_outs", "airOuts"),
+    ("number_of_pitches", "numberOfPitches"), ("catchers_interference", "catchersInterference"),
+    ("avg", "avg"), ("obp", "obp"), ("slg", "slg"), ("ops", "ops"), ("babip", "babip"),
+    ("stolen_base_pct", "stolenBasePercentage"), ("caught_stealing_pct", "caughtStealingPercentage"),
+    ("go_ao_ratio", "groundOutsToAirouts"), ("ab_per_hr", "atBatsPerHomeRun")]
+OFFICIAL_PITCHING = [
+    ("age", "age"), ("games_played", "gamesPlayed"), ("games_started", "gamesStarted"),
+    ("games_finished", "gamesFinished"), ("complete_games", "completeGames"),
+    ("shutouts", "shutouts"), ("wins", "wins"), ("losses", "losses"), ("saves", "saves"),
+    ("save_opps", "saveOpportunities"), ("holds", "holds"), ("blown_saves", "blownSaves"),
+    ("innings_pitched", "inningsPitched"), ("outs", "outs"), ("hits", "hits"), ("runs", "runs"),
+    ("earned_runs", "earnedRuns"), ("home_runs", "homeRuns"), ("strike_outs", "strikeOuts"),
+    ("base_on_balls", "baseOnBalls"), ("intentional_walks", "intentionalWalks"),
+    ("hit_by_pitch", "hitByPitch"), ("balks", "balks"), ("wild_pitches", "wildPitches"),
+    ("pickoffs", "pickoffs"), ("ground_outs", "groundOuts"), ("air_outs", "airOuts"),
+    ("doubles", "doubles"), ("triples", "triples"), ("at_bats", "atBats"),
+    ("total_bases", "totalBases"), ("batters_faced", "battersFaced"),
+    ("number_of_pitches", "numberOfPitches"), ("strikes", "strikes"),
+    ("stolen_bases", "stolenBases"), ("caught_stealing", "caughtStealing"),
+    ("ground_into_dp", "groundIntoDoublePlay"), ("sac_bunts", "sacBunts"),
+    ("sac_flies", "sacFlies"), ("catchers_interference", "catchersInterference"),
+    ("inherited_runners", "inheritedRunners"),
+    ("inherited_runners_scored", "inheritedRunnersScored"), ("era", "era"), ("whip", "whip"),
+    ("avg", "avg"), ("obp", "obp"), ("slg", "slg"), ("ops", "ops"),
+    ("strike_percentage", "strikePercentage"), ("win_percentage", "winPercentage"),
+    ("stolen_base_pct", "stolenBasePercentage"), ("caught_stealing_pct", "caughtStealingPercentage"),
+    ("go_ao_ratio", "groundOutsToAirouts"), ("k_walk_ratio", "strikeoutWalkRatio"),
+    ("k_per_9", "strikeoutsPer9Inn"), ("bb_per_9", "walksPer9Inn"), ("h_per_9", "hitsPer9Inn"),
+    ("r_per_9", "runsScoredPer9"), ("hr_per_9", "homeRunsPer9"),
+    ("pitches_per_inning", "pitchesPerInning")]
+# Payload fields that come as text (rates with sentinels such as ".---").
+OFFICIAL_TEXT = ["avg", "obp", "slg", "ops", "babip", "era", "whip", "inningsPitched",
+                 "stolenBasePercentage", "caughtStealingPercentage", "groundOutsToAirouts",
+                 "atBatsPerHomeRun", "strikePercentage", "winPercentage", "strikeoutWalkRatio",
+                 "strikeoutsPer9Inn", "walksPer9Inn", "hitsPer9Inn", "runsScoredPer9",
+                 "homeRunsPer9", "pitchesPerInning"]

@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from seamstat.functions.codes import barrel_tiers
+from seamstat.functions.codes import BARREL_TIERS
 
 
 DEC_COUNT = DecimalType(20, 0)
@@ -169,7 +169,7 @@ def is_barrel(speed, angle) -> Column:
     counts as no barrel."""
     s, a = c(speed), c(angle)
     conds = [(s >= F.lit(lo_speed)) & a.between(lo, hi)
-             for lo_speed, lo, hi in barrel_tiers()]
+             for lo_speed, lo, hi in BARREL_TIERS]
     out = conds[0]
     for cond in conds[1:]:
         out = out | cond

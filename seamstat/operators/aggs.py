@@ -12,17 +12,6 @@ from pyspark.sql import functions as F
 from seamstat.functions.exprs import c, count_when, safe_div
 
 
-def avg_when(cond: Column, x) -> Column:
-    """``AVG(CASE WHEN cond THEN x END)`` (nulls skipped)."""
-    return F.avg(F.when(cond, c(x)))
-
-
-def ratio_when(num: Column, den: Column) -> Column:
-    """``count_if(num) / NULLIF(count_if(den), 0)`` as an exact decimal."""
-    return safe_div(F.count_if(num).cast("decimal(20,0)"),
-                    F.count_if(den).cast("decimal(20,0)"))
-
-
 def rate_when(indicator: Column, over: Column) -> Column:
     """Mean of a 0/1 indicator over the rows where ``over`` holds."""
     return F.avg(F.when(over, indicator.cast("int")))
@@ -73,11 +62,6 @@ def group_means(df: DataFrame, by: Sequence[str], cols: Sequence[str],
     return df.groupBy(*by).agg(*[F.avg(x).alias(prefix + x) for x in cols])
 
 
-def bounds(df: DataFrame, col, name: str) -> DataFrame:
-    """One row: min and max of a column (or expression)."""
-    return df.agg(F.min(c(col)).alias(f"{name}_min"), F.max(c(col)).alias(f"{name}_max"))
-
-
 def season_bounds(spans: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
     """First and latest season covered by every table, and the next season.
 

@@ -75,11 +75,11 @@ def regress_to_mean(df: DataFrame, n_col: str, k_by_stat: Mapping[str, int],
 
     The mean is the unweighted, null-skipping mean over the rows of ``df``
     per ``by`` value, computed as a partial aggregate (one row per season)
-    and broadcast back; no window gathers a whole season in one task.
+    and joined back; no window gathers a whole season in one task.
     """
     stats = list(k_by_stat)
     means = group_means(df.select(by, *stats), [by], stats, prefix="__lg_")
-    out = df.join(F.broadcast(means), by, "left")
+    out = df.join(means, by, "left")
     n = _dbl(n_col)
     out = out.withColumns({
         f"{s}_regressed": (n * _dbl(s) + F.lit(float(k)) * F.col(f"__lg_{s}")) / (n + F.lit(float(k)))
@@ -142,11 +142,12 @@ def lineup_flags(df: DataFrame, col: str = "avg_lineup_pos") -> DataFrame:
 
 # ------------------------------------------------------ team context --
 def team_string(team_rows: DataFrame, team: str = "team", weight: str = "pa",
-                keys: Sequence[str] = KEYS) -> DataFrame:
+                keys: Sequence[str] = KEYS, count: str | None = None) -> DataFrame:
     """Display team string, teams by playing time descending then name
-    (``B/A/C``) (AGG-10)."""
+    (``B/A/C``), and with ``count`` their number (AGG-10)."""
+    more = [F.count(F.lit(1)).cast("bigint").alias(count)] if count else []
     return team_rows.groupBy(*keys).agg(
-        ordered_concat(team, f"{weight} DESC, {team}").alias("team"))
+        ordered_concat(team, f"{weight} DESC, {team}").alias("team"), *more)
 
 
 def weighted_context(team_rows: DataFrame, dim: DataFrame, cols: Sequence[str],

@@ -1,9 +1,7 @@
 """Join operators (JON-*). All joins are equi-joins.
 
-Broadcast policy: a side is broadcast explicitly only when its size is fixed
-by construction (a literal lookup table, a one-row aggregate, one row per
-season). Every other dimension is left to Spark, which broadcasts it only
-below ``spark.sql.autoBroadcastJoinThreshold`` (estimated) or
+Broadcast policy: no join here carries a broadcast hint. Spark broadcasts a
+side only below ``spark.sql.autoBroadcastJoinThreshold`` (estimated) or
 ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (measured at run time) and
 otherwise runs a sort-merge join; AQE splits skewed partitions.
 """
@@ -16,19 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_small(fact: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join a side whose row count is bounded by construction (broadcast)."""
-    return fact.join(F.broadcast(small), on, how)
-
-
-def assemble(base: DataFrame, sides: Sequence[DataFrame], keys: Sequence[str],
-             how: str = "left") -> DataFrame:
-    """Chain of left joins on the same keys; the base keeps its partitioning
-    across the chain, so only each side is shuffled."""
-    out = base
-    for s in sides:
-        out = out.join(s, list(keys), how)
-    return out
+def unique_by(side: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``side`` checked to have one row per key: a repeated key raises while
+    the join runs instead of multiplying rows (a partial aggregate)."""
+    cols = [x for x in side.columns if x not in keys]
+    one = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                  F.any_value(F.struct(*cols)).alias("__r"))
+    ok = F.when(F.col("__n") == 1, F.col("__r")).otherwise(
+        F.raise_error(F.lit(f"{name}: more than one row for a key")).cast(one.schema["__r"].dataType))
+    return one.select(*keys, ok.alias("__r")).select(*keys, *[F.col("__r")[x].alias(x) for x in cols])
 
 
 def year_pairs(features: DataFrame, targets: Sequence[str], entity: str,

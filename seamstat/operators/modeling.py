@@ -152,8 +152,7 @@ def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ())
     """MAE and R^2 (MLO-10) as one aggregate (optionally per group)."""
     e = F.col(y) - F.col(yhat)
     g = df.groupBy(*by) if by else df
-    mean_y = F.avg(y)
-    sst = F.sum(F.col(y) * F.col(y)) - F.count(F.lit(1)) * mean_y * mean_y
+    sst = F.var_pop(y) * F.count(y)   # no cancellation on a large mean
     return g.agg(F.avg(F.abs(e)).alias("mae"),
                  (1 - F.sum(e * e) / F.nullif(sst, F.lit(0.0))).alias("r2"))
 
@@ -164,7 +163,7 @@ def best_blend(df: DataFrame, y: str, a: str, b: str, steps: int = 20,
     R^2 (first maximum, i.e. the smallest weight on ties), with its R^2
     (MLO-09). A constant target has no R^2 (null) and keeps weight 0.
 
-    One pass computes six sums; R^2(w) for every w follows from them
+    One pass computes four aggregates; R^2(w) for every w follows from them
     (residual = e0 - w d with e0 = y - a, d = b - a), so no copy of the
     data per weight is made.
     """
@@ -172,13 +171,11 @@ def best_blend(df: DataFrame, y: str, a: str, b: str, steps: int = 20,
     d = F.col(b) - F.col(a)
     g = df.groupBy(*by) if by else df
     s = g.agg(F.sum(e0 * e0).alias("see"), F.sum(e0 * d).alias("sed"), F.sum(d * d).alias("sdd"),
-              F.sum(y).alias("sy"), F.sum(F.col(y) * F.col(y)).alias("syy"),
-              F.count(F.lit(1)).alias("n"))
+              (F.var_pop(y) * F.count(y)).alias("sst"))
     w = F.col("i") / F.lit(float(steps))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     ssr = F.col("see") - 2 * w * F.col("sed") + w * w * F.col("sdd")
     cand = s.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps)))) \
-        .withColumn("w", w).withColumn("r2", 1 - ssr / F.nullif(sst, F.lit(0.0)))
+        .withColumn("w", w).withColumn("r2", 1 - ssr / F.nullif(F.col("sst"), F.lit(0.0)))
     pick = cand.groupBy(*by).agg(F.min_by(F.struct("w", "r2"),
                                           F.struct(-F.col("r2"), F.col("i"))).alias("b")) \
         if by else cand.agg(F.min_by(F.struct("w", "r2"), F.struct(-F.col("r2"), F.col("i"))).alias("b"))

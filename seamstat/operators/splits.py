@@ -20,32 +20,20 @@ from seamstat.operators.stats import G, P, GameCols, PitchCols, prune_seasons, r
 
 
 def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
-                    p: PitchCols, g: GameCols, first, last, partials: dict[str, Column],
-                    pre_aggregate: bool | None = None) -> DataFrame:
-    """Partial sums and counts with each row's season and month.
-
-    Split metrics are sums and counts, so they can be combined in stages.
-    With a large games table (sort-merge join) the partials are combined per
-    (game, entity) on the map side first, so the join shuffles one row per
-    entity and game instead of one per pitch. When the filtered games fit
-    the broadcast bound (optimizer estimate, ``session.fits_broadcast``) the
-    join is map-side and partials are combined per (entity, season, month)
-    after it. Either way the final aggregate sums these partials.
+                    p: PitchCols, g: GameCols, first, last, partials: dict[str, Column]) -> DataFrame:
+    """Partial sums and counts per game with the game's season and month.
+
+    Split metrics are sums and counts, so they can be combined in stages:
+    partials are combined per (game, entity) on the map side first, so the
+    join with games shuffles one row per entity and game instead of one per
+    pitch. The final aggregate sums these partials.
     """
     gm = regular_games(games, "R", g, first, last).select(F.col(g.game_pk).alias("__g"), g.game_date)
-    if pre_aggregate is None:
-        from seamstat.session import fits_broadcast
-        pre_aggregate = not fits_broadcast(gm)
-    src = prune_seasons(pitches, first, last)
-    if pre_aggregate:
-        pre = src.groupBy(F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
-            .agg(*[v.alias(k) for k, v in partials.items()])
-        return pre.join(gm, "__g").select("player_id", F.year(g.game_date).alias("season"),
-                                          F.month(g.game_date).alias("__month"), *partials)
-    j = src.join(gm, src[p.game_pk] == gm["__g"])
-    return j.groupBy(F.col(entity).alias("player_id"), F.year(g.game_date).alias("season"),
-                     F.month(g.game_date).alias("__month")) \
+    pre = prune_seasons(pitches, first, last).groupBy(
+        F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
         .agg(*[v.alias(k) for k, v in partials.items()])
+    return pre.join(gm, "__g").select("player_id", F.year(g.game_date).alias("season"),
+                                      F.month(g.game_date).alias("__month"), *partials)
 
 
 def _cnt(mask: Column) -> Column:
@@ -100,7 +88,7 @@ def _pitch_partials(p: PitchCols, side_col: str, release: bool) -> dict[str, Col
 def hitter_split_features(pitches: DataFrame, games: DataFrame,
                           first: int | None = None, last: int | None = None,
                           p: PitchCols = P, g: GameCols = G,
-                          advanced: bool = False, pre_aggregate: bool | None = None) -> DataFrame:
+                          advanced: bool = False) -> DataFrame:
     """Per batter-season: vs-left / vs-right pitcher pitches, exit velocity,
     xwOBA and whiff rate with L-R gaps; first / second half exit velocity,
     xwOBA, barrel rate and whiff rate with H2-H1 trends. With
@@ -108,8 +96,7 @@ def hitter_split_features(pitches: DataFrame, games: DataFrame,
     from seamstat.operators import advanced as A
     spec = A.batting_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.batter, p, g, first, last,
-                         {**_pitch_partials(p, p.p_throws, release=False), **A.spec_partials(spec)},
-                         pre_aggregate)
+                         {**_pitch_partials(p, p.p_throws, release=False), **A.spec_partials(spec)})
     aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"pitches_vs_{side}"),
@@ -137,7 +124,7 @@ def hitter_split_features(pitches: DataFrame, games: DataFrame,
 def pitcher_split_features(pitches: DataFrame, games: DataFrame,
                            first: int | None = None, last: int | None = None,
                            p: PitchCols = P, g: GameCols = G,
-                           advanced: bool = False, pre_aggregate: bool | None = None) -> DataFrame:
+                           advanced: bool = False) -> DataFrame:
     """Per pitcher-season: vs-left / vs-right batter splits with R-L gaps;
     first / second half velocity, exit velocity, xwOBA and whiff rate with
     H2-H1 trends. With ``advanced=True`` the season advanced metrics come
@@ -145,8 +132,7 @@ def pitcher_split_features(pitches: DataFrame, games: DataFrame,
     from seamstat.operators import advanced as A
     spec = A.pitching_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.pitcher, p, g, first, last,
-                         {**_pitch_partials(p, p.stand, release=True), **A.spec_partials(spec)},
-                         pre_aggregate)
+                         {**_pitch_partials(p, p.stand, release=True), **A.spec_partials(spec)})
     aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"vs{side}_pitches"),
@@ -170,16 +156,3 @@ def pitcher_split_features(pitches: DataFrame, games: DataFrame,
         "xwoba_trend": col("xwoba_h2") - col("xwoba_h1"),
         "whiff_trend": col("whiff_h2") - col("whiff_h1"),
     })
-
-
-def pivot_splits(df: DataFrame, keys: list[str], side: str, values: list[str],
-                 aggs: dict[str, Column]) -> DataFrame:
-    """General pivot: one aggregation per (keys), one column per
-    (side value, aggregate), named ``{name}_{value}``; ``aggs`` maps a name
-    to an aggregate over the rows of that side."""
-    out = []
-    for v in values:
-        m = F.col(side) == v
-        for name, a in aggs.items():
-            out.append(a(m).alias(f"{name}_{v}") if callable(a) else a.alias(f"{name}_{v}"))
-    return df.groupBy(*keys).agg(*out)

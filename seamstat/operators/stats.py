@@ -20,7 +20,7 @@ from seamstat.functions import codes as K
 from seamstat.functions.exprs import (c, count_when, innings_notation, int_div,
                                       int_mod, pg_round, safe_div)
 from seamstat.operators.aggs import rollup_total
-from seamstat.operators.joins import join_small
+from seamstat.operators.joins import unique_by
 
 
 @dataclass(frozen=True)
@@ -153,7 +153,7 @@ def pitching_counters() -> list[tuple[str, Column]]:
 def event_counts(pitches: DataFrame, games: DataFrame, role: str,
                  counters: list[tuple[str, Column]], game_type: str = "R",
                  p: PitchCols = P, g: GameCols = G, first: int | None = None,
-                 last: int | None = None, pre_aggregate: bool | None = None) -> DataFrame:
+                 last: int | None = None) -> DataFrame:
     """Counters per (entity, season, team) plus total rows, with the
     aggregation pushed below the join with games.
 
@@ -161,13 +161,8 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
     a partial aggregate on the map side -- so the join shuffles one row per
     entity and half-inning of a game instead of one per plate appearance.
     Team and season are functions of the game, so summing these rows per
-    (entity, season, team) afterwards gives the same counts.
-
-    ``pre_aggregate=False`` joins plate appearances directly: better when the
-    games table is a small dimension that is broadcast anyway (the join is
-    then map-side and the pre-aggregation's exchange would be extra). The
-    default (None) decides from the optimizer's size estimate of the
-    filtered games side against the broadcast threshold.
+    (entity, season, team) afterwards gives the same counts. There is this
+    one plan at every size; Spark alone chooses how to join.
     """
     entity = p.batter if role == "batter" else p.pitcher
     ev = F.col(p.events)
@@ -178,14 +173,7 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
     names = [n for n, _ in counters]
     gm = regular_games(games, game_type, g, first, last).select(
         F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
-    if pre_aggregate is None:
-        from seamstat.session import fits_broadcast
-        pre_aggregate = not fits_broadcast(gm)
-    if pre_aggregate:
-        pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
-    else:
-        pre = pa.select("__g", role, "__half",
-                        *[F.when(cond, 1).otherwise(0).cast("bigint").alias(n) for n, cond in counters])
+    pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
     top = F.col("__half") == "Top"
     if role == "batter":
         team = F.when(top, F.col(g.away_team)).otherwise(F.col(g.home_team))
@@ -255,11 +243,10 @@ BATTING_COLUMNS = ["batter", "batter_team", "split_type", "season", "pa", "ab",
 
 
 def batting_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
-                   last: int | None = None, p: PitchCols = P, g: GameCols = G,
-                   pre_aggregate: bool | None = None) -> DataFrame:
+                   last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
     """Team rows and total rows of the batting counters (AGG-01, AGG-03)."""
     return event_counts(pitches, games, "batter", batting_counters(), p=p, g=g,
-                        first=first, last=last, pre_aggregate=pre_aggregate)
+                        first=first, last=last)
 
 
 def batting_stats(pitches: DataFrame, games: DataFrame, constants: DataFrame,
@@ -278,7 +265,7 @@ def batting_stats(pitches: DataFrame, games: DataFrame, constants: DataFrame,
                              "lg_woba", "woba_scale", "lg_r_pa")
     pf = parks.select(F.col("season").alias("__ps"), F.col("team").alias("__pt"),
                       F.col("basic").alias("__pf"))
-    df = join_small(counts, const, "season", "inner")
+    df = counts.join(unique_by(const, ["season"], "constants"), "season")
     df = df.join(pf, (df["season"] == pf["__ps"]) & (df["batter_team"] == pf["__pt"]) &
                  (df["split_type"] == "team"), "left")
     df = df.withColumn("park_factor", F.col("__pf"))
@@ -344,12 +331,11 @@ def innings(df: DataFrame) -> DataFrame:
 
 
 def pitching_counts(pitches: DataFrame, games: DataFrame, first: int | None = None,
-                    last: int | None = None, p: PitchCols = P, g: GameCols = G,
-                    pre_aggregate: bool | None = None) -> DataFrame:
+                    last: int | None = None, p: PitchCols = P, g: GameCols = G) -> DataFrame:
     """Team and total rows of the pitching counters with derived outs
     (AGG-02, AGG-03)."""
     c = event_counts(pitches, games, "pitcher", pitching_counters(), p=p, g=g,
-                     first=first, last=last, pre_aggregate=pre_aggregate)
+                     first=first, last=last)
     return c.withColumn("derived_outs", F.col("__out1") + 2 * F.col("__out2") + 3 * F.col("__out3")) \
         .drop("__out1", "__out2", "__out3")
 
@@ -385,11 +371,11 @@ def pitching_stats(pitches: DataFrame, games: DataFrame, official: DataFrame,
                           F.col("outs").alias("official_outs"), "wins", "losses",
                           "saves", F.col("games_played").alias("games"),
                           "games_started", "earned_runs")
-    df = counts.join(off, ["pitcher", "season"], "inner")
+    df = counts.join(unique_by(off, ["pitcher", "season"], "official lines"), ["pitcher", "season"])
     df = apportion_outs(df)
     team = F.col("split_type") == "team"
     df = df.withColumns({x: F.when(~team, F.col(x)).cast("bigint") for x in
                          ("wins", "losses", "saves", "games", "games_started", "earned_runs")})
-    df = join_small(df, constants.select("season", "cfip"), "season", "inner")
+    df = df.join(unique_by(constants.select("season", "cfip"), ["season"], "constants"), "season")
     df = fip(contact_rates(k_bb_rates(per_nine(innings(df)))))
     return df.select(*PITCHING_COLUMNS)

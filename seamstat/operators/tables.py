@@ -19,19 +19,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     only the partitions present in ``df`` are replaced (SNK-04)."""
     w = df.write.mode(mode)
     if partition_by:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
 def write_pitches_by_season(pitches: DataFrame, games: DataFrame, path: str,
                             game_pk: str = "game_pk", game_date: str = "game_date") -> None:
     """Store pitch events partitioned by season (taken from the game), so
-    season-bounded reads prune whole directories; rows are clustered by game
-    inside each season (sorted within partitions, no global sort)."""
+    season-bounded reads prune whole directories. Rows are ranged by season
+    and game, so a task holds one season (or a few small ones) and the number
+    of files follows the data, not tasks times seasons."""
     g = games.select(game_pk, F.year(game_date).alias("season"))
     (pitches.join(g, game_pk, "inner")
-     .repartition("season", game_pk).sortWithinPartitions(game_pk)
+     .repartitionByRange("season", game_pk).sortWithinPartitions("season", game_pk)
      .write.mode("overwrite").partitionBy("season").parquet(path))
 
 
@@ -52,12 +52,17 @@ def replace_partitions(target: DataFrame, incoming: DataFrame, col: str) -> Data
 
 
 def _dedup_last(incoming: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """One incoming row per key; the last by ``order`` wins."""
-    if order is None:
-        return incoming.dropDuplicates(list(keys))
+    """One incoming row per key; the last by ``order`` wins. A null order is
+    the lowest; ties, and rows without an order, go to the greatest row by
+    the other columns in turn, so the choice is the same on every run."""
     cols = [x for x in incoming.columns if x not in keys]
+    if not cols:
+        return incoming.distinct()
+    rank = [F.col(order).isNotNull(), F.col(order)] if order else []
     picked = incoming.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(x) for x in cols]), F.col(order)).alias("__r"))
+        F.max_by(F.struct(*[F.col(x) for x in cols]),
+                 F.struct(*[x.alias(f"r{i}") for i, x in enumerate(rank + [
+                     y for x in cols for y in (F.col(x).isNotNull(), F.col(x))])])).alias("__r"))
     return picked.select(*keys, *[F.col("__r")[x].alias(x) for x in cols])
 
 

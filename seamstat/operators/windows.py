@@ -13,9 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamstat.functions.exprs import int_div, int_mod
-
-
 def rolling_wavg_columns(cols: Sequence[str], entity: str, order: str,
                          n: int, suffix: str | None = None) -> dict[str, Column]:
     """Linearly weighted rolling mean over the last ``n`` rows (weights
@@ -67,34 +64,3 @@ def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         F.min_by(F.struct(*[F.col(x) for x in cols]),
                  F.struct(*order)).alias("__row"))
     return picked.select(*keys, *[F.col("__row")[x].alias(x) for x in cols])
-
-
-def apportion(df: DataFrame, keys: Sequence[str], team: str, derived: str,
-              official: str, out: str = "outs") -> DataFrame:
-    """Spread an official total over team rows.
-
-    diff = official - sum(derived) over the entity-season; each team row gets
-    ``derived + diff div n`` plus one when its rank (by team name) is within
-    ``diff % n``. A negative diff gives a negative remainder, so no row gets
-    the extra one and the sum can miss the official total (kept on purpose).
-    """
-    w = Window.partitionBy(*keys)
-    total = F.sum(derived).over(w)
-    n = F.count(F.lit(1)).over(w)
-    rn = F.row_number().over(w.orderBy(team))
-    diff = F.col(official) - F.col("__total")
-    return (df.withColumns({"__total": total, "__n": n, "__rn": rn})
-            .withColumn(out, F.col(derived) + int_div(diff, F.col("__n")) +
-                        F.when(F.col("__rn") <= int_mod(diff, F.col("__n")), 1).otherwise(0))
-            .drop("__total", "__n", "__rn"))
-
-
-def partition_stats(df: DataFrame, keys: Sequence[str], x: str,
-                    order: str) -> DataFrame:
-    """Partition sum, count and row number (WIN-01..03) in one Window."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({
-        f"{x}_partition_sum": F.sum(x).over(w),
-        "partition_rows": F.count(F.lit(1)).over(w),
-        "partition_rank": F.row_number().over(w.orderBy(order)),
-    })

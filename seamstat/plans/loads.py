@@ -7,7 +7,6 @@ persists it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from seamstat.functions import codes as K
 from seamstat.operators import tables as TB
@@ -52,10 +51,9 @@ def load_sprint_speed(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def load_rosters(stored: DataFrame, incoming: DataFrame, order: str = "entry_seq") -> DataFrame:
-    """The loaded season is replaced; a player listed twice keeps the last
+    """``order`` may be a struct (load, position in the payload). The loaded season is replaced; a player listed twice keeps the last
     entry in load order (SNK-04, SNK-06, T18)."""
-    seasons = incoming.select("season").distinct()
-    kept = stored.join(F.broadcast(seasons), "season", "left_anti")
+    kept = stored.join(incoming.select("season").distinct(), "season", "left_anti")
     empty = incoming.sparkSession.createDataFrame([], incoming.drop(order).schema)
     latest = TB.upsert(empty, incoming, S.ACTIVE_40_MAN_KEY, order=order)
     return kept.unionByName(latest.select(*stored.columns))

@@ -1,11 +1,13 @@
 """Player-season feature matrices (DOM-28, DOM-29) and next-season
 projections (DOM-30, MLO-*), composed from the engine's operators.
 
-Inputs are DataFrames in a dict (any storage); the result is one lazy plan.
-All side inputs are per-player-season or per-team-season aggregates joined
-on the same keys, so the base keeps its partitioning through the chain.
-``checkpoint_dir`` (default: the session's ``spark.checkpoint.dir``) is used
-to cut lineage of the wide plan once it is assembled.
+Inputs are DataFrames in a dict (any storage). The pitch table is read in two
+passes: one for the statistics, whose team and total rows are written once and
+feed the totals, the team string and every team context; one for splits and
+advanced metrics together. The assembled rows are written once too, before the
+season means, which join the rows to an aggregate of themselves. Both written
+tables are small (one row per player, season and team) and lie in the shared
+checkpoint folder, so a lost executor does not recompute a pitch pass.
 """
 
 from __future__ import annotations
@@ -35,6 +37,15 @@ def _to_double(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})
 
 
+def _team_context(t: Mapping[str, DataFrame], team_rows: DataFrame, weight: str) -> DataFrame:
+    """Park factor and team strength of a player-season's teams, weighted by
+    playing time, in one pass over the team rows."""
+    parks = t["parks"].select("season", "team", F.col("basic").cast("double").alias("park_factor"))
+    strength = t["team_strength"].select("season", "team", *K.TEAM_STRENGTH_COLUMNS)
+    both = parks.join(strength, ["season", "team"], "full_outer")
+    return FT.weighted_context(team_rows, both, ["park_factor", *K.TEAM_STRENGTH_COLUMNS], weight)
+
+
 def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
                     last: int | None = None, min_pa: int = K.MIN_PA) -> DataFrame:
     """One row per qualified hitter-season with every hitter feature.
@@ -46,41 +57,37 @@ def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
     """
     bat = stats.batting_stats(t["pitches"], t["games"], t["constants"], t["parks"], first, last)
     bat = _to_double(bat, ["avg", "obp", "slg", "ops", "woba", "wraa", "wrc_plus", "park_factor"])
+    bat = materialize(bat, "batting_lines")
     trad = bat.where((F.col("split_type") == "total") & (F.col("pa") >= min_pa)) \
         .withColumnRenamed("batter", "player_id") \
         .drop("batter_team", "split_type", "park_factor", "wrc_plus")
     team_rows = bat.where(F.col("split_type") == "team").select(
         F.col("batter").alias("player_id"), "season", F.col("batter_team").alias("team"), "pa")
-    # Advanced metrics: a stored table, or computed in the split pass below.
-    adv = t.get("batting_advanced")
-    adv = _season_filter(adv, first, last) if adv is not None else None
     ob = t["official_batting"]
     extras = _season_filter(ob.where(F.col("plate_appearances") >= min_pa), first, last).select(
         *KEYS, F.col("stolen_bases").alias("sb"), F.col("caught_stealing").alias("cs"),
         F.col("runs").alias("r"), "rbi", F.col("total_bases").alias("tb"))
+    # Advanced metrics: a stored table, or computed in the split pass.
+    adv = t.get("batting_advanced")
     splits = hitter_split_features(t["pitches"], t["games"], first, last, advanced=adv is None)
-    if adv is None:
-        adv = splits.select(*KEYS, *[c for c in K.HITTER_ADVANCED + ["batted_balls"]])
-    df = trad.join(FT.team_string(team_rows), KEYS, "left") \
-        .join(adv, KEYS, "left").join(extras, KEYS, "left")
+    df = trad.join(FT.team_string(team_rows), KEYS, "left").join(splits, KEYS, "left")
+    if adv is not None:
+        df = df.join(_season_filter(adv, first, last), KEYS, "left")
+    df = df.join(extras, KEYS, "left")
     bio = t["player_bio"].select("player_id", "bat_side", "primary_position", "birth_date",
                                  "mlb_debut_date")
     df = FT.experience(df.join(bio, "player_id", "left"))
-    df = FT.hitter_rates(df)
+    df = materialize(FT.hitter_rates(df), "hitter_rows")
     df = FT.regress_to_mean(df, "pa", K.HITTER_RELIABILITY)
     df = FT.rolling_features(df, K.HITTER_ROLLING)
-    df = df.join(splits.drop(*[c for c in adv.columns if c not in KEYS]), KEYS, "left")
     df = FT.age_curve(df, "hitter")
-    parks = t["parks"].select("season", "team", F.col("basic").cast("double").alias("park_factor"))
-    df = df.join(FT.weighted_context(team_rows, parks, ["park_factor"], "pa"), KEYS, "left")
+    df = df.join(_team_context(t, team_rows, "pa"), KEYS, "left")
     df = FT.park_adjusted(df, {"iso_park_adj": "iso"})
     df = df.join(t["sprint_speed"].select(*KEYS, "sprint_speed", "hp_to_1b", "bolts",
                                           "competitive_runs"), KEYS, "left")
     df = df.join(t["lineup_position"].select(*KEYS, "avg_lineup_pos",
                                              F.col("games").alias("lineup_games")), KEYS, "left")
     df = FT.lineup_flags(df)
-    strength = t["team_strength"].select("season", "team", *K.TEAM_STRENGTH_COLUMNS)
-    df = df.join(FT.weighted_context(team_rows, strength, K.TEAM_STRENGTH_COLUMNS, "pa"), KEYS, "left")
     milb = FT.milb_hitter_features(t["milb_batting"])
     return FT.with_milb(df, milb, K.HITTER_MILB_FILL)
 
@@ -97,34 +104,29 @@ def pitcher_features(t: Mapping[str, DataFrame], first: int | None = None,
                                first, last)
     pit = _to_double(pit, ["ip", "era", "k_pct", "bb_pct", "k_bb", "ba_against", "babip", "whip",
                            "k_9", "bb_9", "hr_9", "hr_fb", "fip"])
+    pit = materialize(pit, "pitching_lines")
     trad = pit.where((F.col("split_type") == "total") & (F.col("ip") >= min_ip)) \
-        .withColumnRenamed("pitcher", "player_id").drop("pitcher_team", "split_type")
+        .withColumnRenamed("pitcher", "player_id").drop("pitcher_team")
     team_rows = pit.where(F.col("split_type") != "total").select(
         F.col("pitcher").alias("player_id"), "season", F.col("pitcher_team").alias("team"), "ip")
     off = _season_filter(t["official_pitching"], first, last).select(
         *KEYS, "holds", "blown_saves", "save_opps", "inherited_runners", "inherited_runners_scored",
         "wild_pitches", "complete_games", "shutouts")
     adv = t.get("pitching_advanced")
-    adv = _season_filter(adv, first, last) if adv is not None else None
     splits = pitcher_split_features(t["pitches"], t["games"], first, last, advanced=adv is None)
-    if adv is None:
-        adv = splits.select(*KEYS, *K.PITCHER_ADVANCED)
+    if adv is not None:
+        splits = splits.join(_season_filter(adv, first, last), KEYS, "left")
     qs = _season_filter(t["quality_starts"], first, last).select(*KEYS, "quality_starts")
     bio = t["player_bio"].select("player_id", "bat_side", "primary_position", "birth_date",
                                  "mlb_debut_date")
     df = trad.join(off, KEYS, "left").join(FT.team_string(team_rows, weight="ip"), KEYS, "left") \
-        .join(adv, KEYS, "left").join(qs, KEYS, "left").join(bio, "player_id", "left")
-    df = FT.experience(df)
-    df = FT.pitcher_rates(df)
+        .join(splits, KEYS, "left").join(qs, KEYS, "left").join(bio, "player_id", "left")
+    df = materialize(FT.pitcher_rates(FT.experience(df)), "pitcher_rows")
     df = FT.regress_to_mean(df, "ip", K.PITCHER_RELIABILITY)
     df = FT.rolling_features(df, K.PITCHER_ROLLING)
-    df = df.join(splits.drop(*[c for c in adv.columns if c not in KEYS]), KEYS, "left")
     df = FT.age_curve(df, "pitcher")
-    parks = t["parks"].select("season", "team", F.col("basic").cast("double").alias("park_factor"))
-    df = df.join(FT.weighted_context(team_rows, parks, ["park_factor"], "ip"), KEYS, "left")
+    df = df.join(_team_context(t, team_rows, "ip"), KEYS, "left")
     df = FT.park_adjusted(df, {"era_park_adj": "era", "fip_park_adj": "fip"})
-    strength = t["team_strength"].select("season", "team", *K.TEAM_STRENGTH_COLUMNS)
-    df = df.join(FT.weighted_context(team_rows, strength, K.TEAM_STRENGTH_COLUMNS, "ip"), KEYS, "left")
     milb = FT.milb_pitcher_features(t["milb_pitching"])
     return FT.with_milb(df, milb, K.PITCHER_MILB_FILL)
 
@@ -133,11 +135,13 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a wide intermediate once to the shared checkpoint folder and
     read it back: later stages (model fits) start from a short lineage and
     a lost executor does not recompute the whole feature plan."""
+    import uuid
+
     from seamstat.session import checkpoint_table_path
     spark = df.sparkSession
-    path = path or checkpoint_table_path(spark, name)
+    path = path or checkpoint_table_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ------------------------------------------------------------ projection --
@@ -184,6 +188,7 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     from seamstat.operators.modeling import (fit_targets, impute_zero, metrics_frame,
                                              numeric_features, project, season_split, tune)
     spark = features.sparkSession
+    features = materialize(features, "features")
     pairs = season_split(year_pairs(features, targets, "player_id", "season"), features,
                          latest=latest_season)
     nexts = [f"next_{x}" for x in targets]

@@ -263,7 +263,7 @@ def q_pitch_rates(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- splits --
-from seamstat.functions.codes import barrel_tiers  # noqa: E402
+from seamstat.functions.codes import BARREL_TIERS  # noqa: E402
 from seamstat.operators import features as FT  # noqa: E402
 from seamstat.operators import splits as SP  # noqa: E402
 
@@ -283,7 +283,7 @@ def _duck_avg(mask: str, x: str, n: int) -> str:
 
 def _duck_barrel() -> str:
     conds = " OR ".join(f"(launch_speed >= {s} AND launch_angle BETWEEN {lo} AND {hi})"
-                        for s, lo, hi in barrel_tiers())
+                        for s, lo, hi in BARREL_TIERS)
     return f"(CASE WHEN {conds} THEN 1 ELSE 0 END)"
 
 
@@ -492,6 +492,14 @@ ts AS (SELECT season, team, CAST(sum(h) AS DOUBLE) AS team_runs, CAST(sum(hr) AS
        FROM tr GROUP BY season, team)"""
 
 
+# Team strength of a season from the batters' plate appearances.
+_STRENGTH_SQL = f"""ts AS (
+  SELECT season, batter_team AS team, CAST(count(*) FILTER (WHERE events IN {_q(K.HIT)}) AS DOUBLE) AS team_runs,
+         count(*) FILTER (WHERE events IN ('single', 'double', 'triple', 'home_run', 'walk')) / CAST(count(*) AS DOUBLE) AS team_ops,
+         CAST(count(*) FILTER (WHERE events = 'home_run') AS DOUBLE) AS team_hr
+  FROM pa GROUP BY 1, 2)"""
+
+
 def _team_rows(spark, sf_dir):
     c = stats.batting_counts(T.pitches(spark, sf_dir), T.games(spark, sf_dir)) \
         .where(F.col("split_type") == "team")
@@ -539,26 +547,12 @@ def q_team_string(spark, sf_dir):
     """Team codes ordered by playing time, descending, ties by name
     (AGG-10)."""
     tr = _team_rows(spark, sf_dir)
-    return FT.team_string(tr, "team", "pa").join(
-        tr.groupBy("player_id", "season").agg(F.count(F.lit(1)).cast("bigint").alias("n_teams")),
-        ["player_id", "season"])
+    return FT.team_string(tr, "team", "pa", count="n_teams")
 
 
 # ------------------------------------------------------------ minor league --
-_MILB_MIN_PA_ANALOG = 5   # analog volumes are ~1/10 of a minor-league season
-
-
 def _milb_feats(spark, sf_dir):
-    m = T.milb_batting(spark, sf_dir).where(F.col("pa") >= _MILB_MIN_PA_ANALOG)
-    b = FT.best_level(m, "pa")
-    pa = F.col("pa").cast("double")
-    return b.select("player_id", F.col("season").cast("bigint").alias("season"), "level",
-                    "team_name", pa.alias("milb_pa"), F.col("avg").alias("milb_avg"),
-                    F.col("obp").alias("milb_obp"), F.col("slg").alias("milb_slg"),
-                    F.col("ops").alias("milb_ops"),
-                    (F.col("slg") - F.col("avg")).alias("milb_iso"),
-                    (F.col("bb") / pa).alias("milb_bb_rate"), (F.col("so") / pa).alias("milb_k_rate"),
-                    (F.col("hr") / pa).alias("milb_hr_rate"), (F.col("sb") / pa).alias("milb_sb_rate"))
+    return _big(FT.milb_hitter_features(T.milb_batting(spark, sf_dir)), ["season"])
 
 
 _DUCK_BEST = T.DUCK_MILB + f""",
@@ -567,9 +561,9 @@ best AS (
     SELECT m.*, row_number() OVER (PARTITION BY player_id, season ORDER BY
              coalesce(CASE level WHEN 'AAA' THEN 1 WHEN 'AA' THEN 2 WHEN 'High-A' THEN 3
                                  WHEN 'Single-A' THEN 4 END, 99), pa DESC, team_name) AS rk
-    FROM milb_v m WHERE pa >= {_MILB_MIN_PA_ANALOG}) t WHERE rk = 1),
+    FROM milb_v m WHERE pa >= {K.MILB_MIN_PA}) t WHERE rk = 1),
 mf AS (
-  SELECT player_id, CAST(season AS BIGINT) AS season, level, team_name,
+  SELECT player_id, CAST(season AS BIGINT) AS season,
          CAST(pa AS DOUBLE) AS milb_pa, avg AS milb_avg, obp AS milb_obp, slg AS milb_slg,
          ops AS milb_ops, slg - avg AS milb_iso, bb / CAST(pa AS DOUBLE) AS milb_bb_rate,
          so / CAST(pa AS DOUBLE) AS milb_k_rate, hr / CAST(pa AS DOUBLE) AS milb_hr_rate,
@@ -874,11 +868,12 @@ def _cust_agg(o):
 
 
 def _stored_incoming(spark, sf_dir):
-    """Stored table: customer-season lines from finished orders; incoming
-    reload: lines from all orders of 1998 onward."""
+    """Stored table: customer-season lines from orders that are not pending;
+    incoming reload: lines from orders that are not finished. Every order is
+    in one of them, open ones in both."""
     o = T.read(spark, sf_dir, "orders")
-    stored = _cust_agg(o.where(F.col("o_orderstatus") == "F"))
-    incoming = _cust_agg(o.where(F.year("o_orderdate") >= 1998))
+    stored = _cust_agg(o.where(F.col("o_orderstatus") != "P"))
+    incoming = _cust_agg(o.where(F.col("o_orderstatus") != "F"))
     return stored, incoming
 
 
@@ -886,12 +881,12 @@ _DUCK_SI = """WITH stored AS (
   SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS BIGINT) AS season, count(*) AS n_orders,
          count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS hr,
          count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS rbi
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+  FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
 incoming AS (
   SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS BIGINT) AS season, count(*) AS n_orders,
          count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS hr,
          count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS rbi
-  FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1, 2)
+  FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2)
 """
 _SI_COLS = ["player_id", "season", "n_orders", "hr", "rbi"]
 
@@ -1101,43 +1096,9 @@ ORDER BY ops DESC, player_id, season LIMIT 20""")
 def q_topk(spark, sf_dir):
     """Leaderboard: top 20 qualified player-seasons by OPS, ties by id and
     season (SRT-02, MLO-15)."""
+    from seamstat.operators.modeling import leaderboard
     b = _bat_totals(spark, sf_dir).select("player_id", "season", "pa", "ops")
-    return b.orderBy(F.col("ops").desc(), "player_id", "season").limit(20)
-
-
-# ----------------------------------------------------------- context swap --
-@register("q_context_swap", _BAT_WITH + ", " + _TEAM_ROWS + """,
-latest AS (SELECT max(season) AS l FROM bat_lines),
-roster AS (SELECT s_suppkey AS player_id, 'H' || CAST(s_nationkey % 5 + 1 AS VARCHAR) AS team FROM supplier),
-cur AS (SELECT batter AS player_id, season, slg FROM bat_lines
-        WHERE split_type = 'total' AND season = (SELECT l FROM latest))
-SELECT c.player_id, r.team, c.season, CAST(pf.basic AS DOUBLE) AS park_factor,
-       ts.team_runs, ts.team_hr, c.slg,
-       c.slg * (100.0 / CASE WHEN CAST(pf.basic AS DOUBLE) = 0 THEN 100 ELSE CAST(pf.basic AS DOUBLE) END) AS slg_park_adj
-FROM cur c JOIN roster r ON r.player_id = c.player_id
-LEFT JOIN parks_v pf ON pf.team = r.team AND pf.season = c.season
-LEFT JOIN ts ON ts.team = r.team AND ts.season = c.season""")
-def q_context_swap(spark, sf_dir):
-    """Latest-season rows moved to their projected team: roster join, then
-    that team's park factor and strength of the latest season, park
-    adjustment redone (DOM-30, JON-11, JON-12)."""
-    g = stats.regular_games(T.games(spark, sf_dir))
-    latest = g.select(F.max(F.year("game_date"))).scalar()
-    tot = _bat_totals(spark, sf_dir, None).select("player_id", "season", "slg") \
-        .where(F.col("season") == latest)
-    sup = T.read(spark, sf_dir, "supplier")
-    roster = sup.select(F.col("s_suppkey").alias("player_id"),
-                        F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
-    tr = _team_rows(spark, sf_dir)
-    strength = tr.groupBy("season", "team").agg(F.sum("h").cast("double").alias("team_runs"),
-                                                F.sum("hr").cast("double").alias("team_hr"))
-    parks = T.park_factors(spark, sf_dir).select(
-        F.col("season").cast("bigint").alias("season"), "team",
-        F.col("basic").cast("double").alias("park_factor"))
-    df = tot.join(roster, "player_id").join(parks, ["season", "team"], "left") \
-        .join(strength, ["season", "team"], "left")
-    return FT.park_adjusted(df, {"slg_park_adj": "slg"}).select(
-        "player_id", "team", "season", "park_factor", "team_runs", "team_hr", "slg", "slg_park_adj")
+    return leaderboard(b, "ops", 20, tie=("player_id", "season"))
 
 
 # -------------------------------------------------------------- modelling --
@@ -1225,22 +1186,6 @@ def _model_inputs(spark, sf_dir):
     return pairs, cs, feats
 
 
-@register("q_ridge")
-def q_ridge(spark, sf_dir):
-    """Ridge (alpha 1) on standardised features, predictions for the test
-    split (MLO-03, MLO-06, MLO-07)."""
-    from seamstat.operators.modeling import (_assemble, fit_ridge, standardize,
-                                             standardize_stats)
-    pairs, _, feats = _model_inputs(spark, sf_dir)
-    train = pairs.where(F.col("split") == "train")
-    st = standardize_stats(train, feats)
-    z = [f + "__z" for f in feats]
-    model = fit_ridge(standardize(train, st, "__z"), z, "next_lines", 1.0)
-    test = _assemble(standardize(pairs.where(F.col("split") == "test"), st, "__z"), z)
-    return model.transform(test).select("player_id", "season", "next_lines",
-                                        F.round("pred_ridge", 6).alias("pred_ridge"))
-
-
 @register("q_gbt_importance")
 def q_gbt_importance(spark, sf_dir):
     """Boosted-tree feature importances and the kept set (MLO-04)."""
@@ -1269,23 +1214,7 @@ def q_project(spark, sf_dir):
     return project(latest, fitted, ["player_id", "season"], {"lines": 0, "qty": 0})
 
 
-# ------------------------------------------------------- feature matrices --
-@register("q_hitter_features")
-def q_hitter_features(spark, sf_dir):
-    """Full hitter feature matrix, one row per qualified player-season
-    (DOM-28; every hitter feature operator in one plan)."""
-    from seamstat.plans.matrices import hitter_features
-    return hitter_features(T.matrix_inputs(spark, sf_dir), T.FIRST_SEASON, T.LAST_SEASON)
-
-
-@register("q_pitcher_features")
-def q_pitcher_features(spark, sf_dir):
-    """Full pitcher feature matrix (DOM-29), qualified on IP notation."""
-    from seamstat.plans.matrices import pitcher_features
-    return pitcher_features(T.matrix_inputs(spark, sf_dir), T.FIRST_SEASON, T.LAST_SEASON)
-
-
-def _duck_ridge() -> str:
+def _duck_ridge(predict: bool = False) -> str:
     feats = ["lines", "qty", "returns"]
     z = {f: f"((coalesce({f}, 0.0) - m_{f}) / s_{f})" for f in feats}
     sums = ", ".join([f"sum({z[a]} * {z[b]}) AS zz_{a}_{b}" for i, a in enumerate(feats)
@@ -1313,7 +1242,7 @@ def _duck_ridge() -> str:
         cols = [r if c == i else A[c] for c in range(3)]
         rows.append(f"SELECT '{f}__z' AS feature, round({det(cols)} / {d}, 4) AS coefficient FROM s")
     rows.append("SELECT 'intercept' AS feature, round(my, 4) AS coefficient FROM s")
-    return (T.duck_with(_CUST_SEASON) + f""",
+    base = (T.duck_with(_CUST_SEASON) + f""",
 latest AS (SELECT max(season) AS l FROM cs),
 pairs AS (SELECT c.*, n.lines AS next_lines,
                  CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
@@ -1322,7 +1251,30 @@ pairs AS (SELECT c.*, n.lines AS next_lines,
 train AS (SELECT * FROM pairs WHERE split = 'train'),
 mo AS (SELECT {moments} FROM train),
 s AS (SELECT {sums}, any_value(my) AS my FROM train, mo)
-""" + "\nUNION ALL ".join(rows))
+""")
+    if not predict:
+        return base + "\nUNION ALL ".join(rows)
+    coefs = ", ".join(f"{det([r if c == i else A[c] for c in range(3)])} / {d} AS c_{f}" for i, f in enumerate(feats))
+    value = " + ".join(f"co.c_{f} * {z[f]}" for f in feats)
+    return base + f""", co AS (SELECT {coefs}, my AS c0 FROM s)
+SELECT player_id, season, coalesce(next_lines, 0.0) AS next_lines, round(co.c0 + {value}, 4) AS pred_ridge
+FROM pairs, mo, co WHERE split = 'test'"""
+
+
+@register("q_ridge", _duck_ridge(predict=True))
+def q_ridge(spark, sf_dir):
+    """Ridge (alpha 1) on standardised features, predictions for the test
+    split, equal to the closed form's (MLO-03, MLO-06, MLO-07)."""
+    from seamstat.operators.modeling import (_assemble, fit_ridge, standardize,
+                                             standardize_stats)
+    pairs, _, feats = _model_inputs(spark, sf_dir)
+    train = pairs.where(F.col("split") == "train")
+    st = standardize_stats(train, feats)
+    z = [f + "__z" for f in feats]
+    model = fit_ridge(standardize(train, st, "__z"), z, "next_lines", 1.0)
+    test = _assemble(standardize(pairs.where(F.col("split") == "test"), st, "__z"), z)
+    return model.transform(test).select("player_id", "season", "next_lines",
+                                        F.round("pred_ridge", 4).alias("pred_ridge"))
 
 
 @register("q_ridge_coefficients", _duck_ridge())
@@ -1423,14 +1375,13 @@ def q_landed_csv(spark, sf_dir):
     import uuid
 
     from seamstat.session import checkpoint_table_path
-    from seamstat.sources.landed_json import read_sprint_speed
+    from seamstat.sources.landed_json import read_sprint_speed_root
     run = checkpoint_table_path(spark, f"landed_csv/{uuid.uuid4().hex}")
     rows = _speed_rows(spark, sf_dir).withColumn("note", F.lit("x"))
     rows.write.partitionBy("season").option("header", True).csv(run)
-    seasons = [r[0] for r in rows.select("season").distinct().collect()]
-    df = read_sprint_speed(spark, {s: os.path.join(run, f"season={s}") for s in sorted(seasons)})
-    return df.select("player_id", "season", F.col("sprint_speed").cast("double").alias("sprint_speed"),
-                     F.col("hp_to_1b").cast("double").alias("hp_to_1b"), "bolts", "competitive_runs")
+    return read_sprint_speed_root(spark, run).select(
+        "player_id", "season", F.col("sprint_speed").cast("double").alias("sprint_speed"),
+        F.col("hp_to_1b").cast("double").alias("hp_to_1b"), "bolts", "competitive_runs")
 
 
 def _people_docs(spark, sf_dir):
@@ -1491,7 +1442,10 @@ def q_landed_rosters(spark, sf_dir):
         F.lit(2026).alias("season"), "team", F.col("team").alias("team_name"), "load_seq",
         F.to_json(F.struct(F.array(entry).alias("roster"))).alias("payload"))
     rows = LJ.flatten_rosters(LJ.parse(docs, "payload", ROSTER_PAYLOAD), keep=("load_seq",)) \
-        .withColumn("entry_seq", F.col("load_seq") * 1000 + F.col("roster_pos")) \
+        .withColumn("entry_seq", F.struct("load_seq", "roster_pos")) \
         .drop("load_seq", "roster_pos")
     stored = spark.createDataFrame([], ACTIVE_40_MAN)
     return load_rosters(stored, rows).select("player_id", "season", "team", "full_name")
+
+
+from seamstat.plans import landed_queries, matrix_queries, report_queries  # noqa: E402,F401  register theirs

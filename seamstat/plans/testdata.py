@@ -42,32 +42,15 @@ PITCH_TYPES = ["FF", "SI", "SL", "CH", "CU", "FC"]
 FIRST_SEASON, LAST_SEASON = 1995, 2001
 
 
-def memo(fn):
-    """Build a derived table once per session and table directory: the
-    same DataFrame (same plan) is reused by every query of the session."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark, *args):
-        cache = spark.__dict__.setdefault("_seamstat_frames", {})
-        key = (fn.__name__, *args)
-        if key not in cache:
-            cache[key] = fn(spark, *args)
-        return cache[key]
-    return wrapper
-
-
 def _sql_list(xs):
     return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 
-@memo
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ games --
-@memo
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return o.select(
@@ -94,7 +77,6 @@ def _idx(x):
     return F.floor(x * 100 + 0.5).cast("int")
 
 
-@memo
 def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     q = F.col("l_quantity")
@@ -127,7 +109,7 @@ def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("l_linenumber") % len(PITCH_TYPES) + 1).cast("int")).alias("pitch_type"),
         F.when(F.col("l_linenumber") <= 4, F.col("l_linenumber") * 2)
          .otherwise(F.col("l_linenumber") + 10).cast("int").alias("zone"),
-        (tax.cast("double") / 10.0).alias("estimated_ba_using_speedangle"),
+        (tax.cast("double") / 16.0).alias("estimated_ba_using_speedangle"),
         (F.col("l_linenumber") / 8.0 + 6.0).alias("release_extension"))
 
 
@@ -149,7 +131,11 @@ DUCK_PITCHES = f"""pitches_v AS (
          l_quantity / 4.0 + 80.0 AS release_speed,
          CASE WHEN l_linestatus = 'F' THEN 'R' ELSE 'L' END AS p_throws,
          CASE WHEN l_returnflag = 'A' THEN 'L' WHEN l_returnflag = 'R' THEN 'R' ELSE 'S' END AS stand,
-         l_shipdate AS ship_ts
+         l_shipdate AS ship_ts,
+         {_sql_list(PITCH_TYPES)}[l_linenumber % {len(PITCH_TYPES)} + 1] AS pitch_type,
+         CASE WHEN l_linenumber <= 4 THEN l_linenumber * 2 ELSE l_linenumber + 10 END AS zone,
+         CAST(CAST(floor(l_tax * 100 + 0.5) AS INTEGER) AS DOUBLE) / 16.0 AS estimated_ba_using_speedangle,
+         l_linenumber / 8.0 + 6.0 AS release_extension
   FROM lineitem)"""
 
 
@@ -169,7 +155,6 @@ CONST_COLS = ["season", "wbb", "whbp", "w1b", "w2b", "w3b", "whr", "lg_woba",
               "woba_scale", "lg_r_pa", "cfip"]
 
 
-@memo
 def constants(spark: SparkSession) -> DataFrame:
     schema = "season int, " + ", ".join(f"{c} decimal(10,3)" for c in CONST_COLS[1:])
     from decimal import Decimal
@@ -185,7 +170,6 @@ def duck_constants() -> str:
 
 
 # ------------------------------------------------------------ park factors --
-@memo
 def park_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (season, home team): 90 + games % 21 (home teams only)."""
     g = games(spark, sf_dir)
@@ -200,7 +184,6 @@ DUCK_PARKS = """parks_v AS (
 
 
 # ----------------------------------------------------------- official lines --
-@memo
 def supplier_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One aggregate of lineitem per (supplier, ship year) from which the
     official lines, sprint speed and lineup position are projected: a query
@@ -247,7 +230,6 @@ _PITCHING_COLS = ["player_id", "season", "outs", "wins", "losses", "saves", "gam
                   "complete_games", "shutouts"]
 
 
-@memo
 def official_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): official pitching line."""
     return supplier_year(spark, sf_dir).select(*_PITCHING_COLS)
@@ -273,7 +255,6 @@ DUCK_OFFICIAL_PITCHING = """official_v AS (
   FROM lineitem GROUP BY 1, 2)"""
 
 
-@memo
 def official_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, ship year): official batting extras, loaded for items
     shipped before 2001 only (the latest season is not loaded yet)."""
@@ -302,7 +283,6 @@ def duck_with(*ctes: str) -> str:
 POSITIONS = ["C", "1B", "2B", "3B", "SS", "LF", "CF", "RF", "DH", "OF", "P"]
 
 
-@memo
 def player_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People records from ``supplier``: birth date and debut from keys,
     unknown for two nations."""
@@ -334,21 +314,21 @@ DUCK_BIO = f"""bio_v AS (
 
 
 # ---------------------------------------------------------- minor league --
-@memo
 def milb_batting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minor-league lines per (supplier, ship year, level, team) from the
-    returned items: level from order priority, team from order status."""
-    li = read(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    """Minor-league lines per (supplier, ship year, level, team): level from
+    order priority, team from order status; an item stands for ten plate
+    appearances."""
+    li = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     pr = F.substring("o_orderpriority", 1, 1)
     level = (F.when(pr == "1", "AAA").when(pr == "2", "AA").when(pr == "3", "High-A")
              .when(pr == "4", "Single-A").otherwise("Rookie"))
     q = F.col("l_quantity")
-    cnt = lambda cond: F.count_if(cond).cast("bigint")
+    cnt = lambda cond: (10 * F.count_if(cond)).cast("bigint")
     g = j.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season"),
                   level.alias("level"), F.concat(F.lit("T"), F.col("o_orderstatus")).alias("team_name")) \
-        .agg(F.count(F.lit(1)).cast("bigint").alias("pa"), cnt(q >= 46).alias("hr"),
+        .agg(cnt(F.lit(True)).alias("pa"), cnt(q >= 46).alias("hr"),
              cnt(q <= 5).alias("bb"), cnt((q > 5) & (q <= 15)).alias("so"),
              cnt(F.col("l_linenumber") == 1).alias("sb"), cnt(q >= 30).alias("hits"),
              cnt(q >= 40).alias("xbh"))
@@ -368,14 +348,13 @@ def _duck_milb() -> str:
          CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'AAA' WHEN '2' THEN 'AA'
               WHEN '3' THEN 'High-A' WHEN '4' THEN 'Single-A' ELSE 'Rookie' END AS level,
          'T' || o_orderstatus AS team_name,
-         count(*) AS pa, count(*) FILTER (WHERE l_quantity >= 46) AS hr,
-         count(*) FILTER (WHERE l_quantity <= 5) AS bb,
-         count(*) FILTER (WHERE l_quantity > 5 AND l_quantity <= 15) AS so,
-         count(*) FILTER (WHERE l_linenumber = 1) AS sb,
-         count(*) FILTER (WHERE l_quantity >= 30) AS hits,
-         count(*) FILTER (WHERE l_quantity >= 40) AS xbh
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_returnflag = 'R' GROUP BY 1, 2, 3, 4),
+         10 * count(*) AS pa, 10 * count(*) FILTER (WHERE l_quantity >= 46) AS hr,
+         10 * count(*) FILTER (WHERE l_quantity <= 5) AS bb,
+         10 * count(*) FILTER (WHERE l_quantity > 5 AND l_quantity <= 15) AS so,
+         10 * count(*) FILTER (WHERE l_linenumber = 1) AS sb,
+         10 * count(*) FILTER (WHERE l_quantity >= 30) AS hits,
+         10 * count(*) FILTER (WHERE l_quantity >= 40) AS xbh
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4),
 milb_v AS (
   SELECT *, {rdiv('hits', 'pa - bb', 3)} AS avg, {rdiv('hits + bb', 'pa', 3)} AS obp,
          {rdiv('hits + xbh + 3 * hr', 'pa - bb', 3)} AS slg,
@@ -387,20 +366,17 @@ DUCK_MILB = _duck_milb()
 
 
 # ------------------------------------------- remaining matrix inputs (Spark) --
-@memo
 def sprint_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier_year(spark, sf_dir).select(
         "player_id", "season", "sprint_speed", "hp_to_1b", "bolts",
         F.col("games_played").cast("int").alias("competitive_runs"))
 
 
-@memo
 def lineup_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier_year(spark, sf_dir).select(
         "player_id", "season", "avg_lineup_pos", F.col("games_played").cast("int").alias("games"))
 
 
-@memo
 def team_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (season, team): runs, OPS proxy and home runs of the team's
     plate appearances."""
@@ -414,12 +390,11 @@ def team_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(ev == "home_run").cast("double").alias("team_hr"))
 
 
-@memo
 def milb_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minor-league pitching lines per (supplier, ship year, level, team)
-    from the accepted items, with per-nine rates and FIP."""
+    with per-nine rates and FIP; an item stands for three outs."""
     from seamstat.sources.landed_json import milb_pitching_rates
-    li = read(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A")
+    li = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     pr = F.substring("o_orderpriority", 1, 1)
@@ -428,16 +403,16 @@ def milb_pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("l_quantity")
     g = j.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("season"),
                   level.alias("level"), F.concat(F.lit("T"), F.col("o_orderstatus")).alias("team_name")) \
-        .agg((F.count(F.lit(1)) * 1.5).alias("ip"), F.count_if(q >= 46).alias("hr"),
+        .agg(F.count(F.lit(1)).cast("double").alias("ip"), F.count_if(q >= 46).alias("hr"),
              F.count_if(q <= 5).alias("bb"), F.count_if((q > 5) & (q <= 20)).alias("so"),
              F.count_if(q >= 30).alias("hits"),
              F.count_if(F.col("l_tax") >= 0.06).alias("er"))
-    g = g.withColumns({"era": F.round(F.col("er") * 9 / F.col("ip"), 2),
-                       "whip": F.round((F.col("hits") + F.col("bb")) / F.col("ip"), 2)})
+    from seamstat.functions.exprs import np_round
+    g = g.withColumns({"era": np_round(F.col("er") * 9 / F.col("ip"), 2),
+                       "whip": np_round((F.col("hits") + F.col("bb")) / F.col("ip"), 2)})
     return milb_pitching_rates(g, constants(spark).select("season", "cfip"))
 
 
-@memo
 def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed game-log document per line item (a pitching appearance)."""
     li = read(spark, sf_dir, "lineitem")
@@ -453,7 +428,6 @@ def game_log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.year("l_shipdate").cast("bigint").alias("season"), doc.alias("payload"))
 
 
-@memo
 def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seamstat.operators.aggs import quality_starts
     from seamstat.sources import landed_json as LJ
@@ -463,14 +437,12 @@ def quality_starts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("season", F.col("season").cast("int"))
 
 
-@memo
 def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("player_id"),
                     F.concat(F.lit("H"), (F.col("s_nationkey") % 5 + 1).cast("string")).alias("team"))
 
 
-@memo
 def matrix_inputs(spark: SparkSession, sf_dir: str) -> dict:
     """Every input of the feature matrices, derived from the driver tables
     (the advanced metrics are left to the matrices' single pitch pass)."""

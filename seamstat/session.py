@@ -53,12 +53,15 @@ def build_session(master: str | None = None, app: str = "seamstat",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    private scratch folder is chosen.
+    The cluster's setting always wins. Where it is unset, a ``local`` master
+    (tests) gets a scratch folder; any other master raises, since executors
+    could not see a folder of the driver's machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="seamstat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -100,40 +103,3 @@ def sized_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.default.parallelism": str(2 * cores),
     }
 
-
-_UNITS = {"B": 1, "KiB": 1024, "MiB": 1024 ** 2, "GiB": 1024 ** 3, "TiB": 1024 ** 4,
-          "PiB": 1024 ** 5, "EiB": 1024 ** 6}
-
-
-def estimated_bytes(df) -> float | None:
-    """The optimizer's size estimate of a DataFrame, read from the public
-    ``EXPLAIN COST`` command (no data is scanned)."""
-    import re
-    import uuid
-    spark = df.sparkSession
-    name = f"seamstat_est_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    try:
-        text = spark.sql(f"EXPLAIN COST SELECT * FROM {name}").first()[0]
-    finally:
-        spark.catalog.dropTempView(name)
-    m = re.search(r"sizeInBytes=([0-9.]+)\s*(EiB|PiB|TiB|GiB|MiB|KiB|B)", text)
-    return float(m.group(1)) * _UNITS[m.group(2)] if m else None
-
-
-def fits_broadcast(df) -> bool:
-    """True when the estimate is within the session's broadcast threshold
-    (the same bound Spark applies when it plans a broadcast join)."""
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-    try:
-        limit = float(limit)
-    except ValueError:  # e.g. "10MB"
-        import re
-        m = re.match(r"([0-9.]+)\s*([kmgt]?)b?", limit.strip().lower())
-        limit = float(m.group(1)) * {"": 1, "k": 1024, "m": 1024 ** 2, "g": 1024 ** 3,
-                                     "t": 1024 ** 4}[m.group(2)] if m else 0.0
-    if limit <= 0:
-        return False
-    size = estimated_bytes(df)
-    return size is not None and size <= limit

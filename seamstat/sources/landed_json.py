@@ -12,8 +12,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from seamstat.functions import codes as K
 from seamstat.functions.exprs import map_lookup, np_round, safe_num
+from seamstat.sources.readers import from_text, read_csv_by_name
+from seamstat.sources.schemas import SPRINT_SPEED
+
+SPEED_CSV = StructType([f for f in SPRINT_SPEED.fields if f.name != "season"])
 
 
 def parse(df: DataFrame, text_col: str, schema) -> DataFrame:
@@ -34,31 +40,55 @@ def json_field(text_col: str, path: str, default=None, to: str | None = None) ->
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
+def first_split(doc: Column) -> Column:
+    """``stats[0].splits[0]``; null where a payload has none."""
+    return F.get(F.get(doc["stats"], 0)["splits"], 0)
+
+
 def flatten_season_stats(doc: Column, fields: Mapping[str, str]) -> list[Column]:
     """First split only (``stats[0].splits[0].stat``), one column per field
     (SRC-02, SRC-03; T17)."""
-    stat = doc["stats"][0]["splits"][0]["stat"]
+    stat = first_split(doc)["stat"]
     return [stat[src].alias(dst) for dst, src in fields.items()]
 
 
+def official_lines(df: DataFrame, fields: list[tuple[str, str]], player: str = "player_id",
+                   season: str = "season") -> DataFrame:
+    """Official season lines of parsed payloads (SRC-02, SRC-03): the asked
+    player and season, the team of the first split, and one column per
+    (column, field). A payload without a split gives no row."""
+    split = first_split(F.col("doc"))
+    return df.where(split.isNotNull()).select(
+        F.col(player).cast("bigint").alias("player_id"), F.col(season).cast("int").alias("season"),
+        split["team"]["id"].alias("team_id"), split["team"]["name"].alias("team_name"),
+        *[split["stat"][src].alias(dst) for dst, src in fields])
+
+
+def people(df: DataFrame) -> DataFrame:
+    """Biographies of parsed people payloads; one without people gives no row."""
+    return df.where(F.get(F.col("doc")["people"], 0).isNotNull()).select(*flatten_bio(F.col("doc")))
+
+
 def flatten_bio(doc: Column) -> list[Column]:
     """People record: nested position, bat side and pitch hand (SRC-04)."""
-    p = doc["people"][0]
+    p = F.get(doc["people"], 0)
     return [p["id"].alias("player_id"), p["fullName"].alias("full_name"),
             p["firstName"].alias("first_name"), p["lastName"].alias("last_name"),
             F.to_date(p["birthDate"]).alias("birth_date"),
             p["currentAge"].cast("int").alias("current_age"),
-            p["birthCity"].alias("birth_city"), p["birthCountry"].alias("birth_country"),
+            p["birthCity"].alias("birth_city"), p["birthStateProvince"].alias("birth_state"),
+            p["birthCountry"].alias("birth_country"),
             p["height"].alias("height"), p["weight"].cast("int").alias("weight"),
             p["primaryPosition"]["abbreviation"].alias("primary_position"),
             p["primaryPosition"]["type"].alias("position_type"),
             p["batSide"]["code"].alias("bat_side"), p["pitchHand"]["code"].alias("pitch_hand"),
+            p["draftYear"].cast("int").alias("draft_year"),
             F.to_date(p["mlbDebutDate"]).alias("mlb_debut_date"), p["active"].alias("active")]
 
 
 def explode_splits(df: DataFrame, doc_col: str = "doc") -> DataFrame:
     """One row per split of ``stats[0].splits`` (SRC-05, SRC-06, SRC-08)."""
-    return df.withColumn("split", F.explode(F.col(doc_col)["stats"][0]["splits"]))
+    return df.withColumn("split", F.explode(F.get(F.col(doc_col)["stats"], 0)["splits"]))
 
 
 def flatten_milb_batting(df: DataFrame, sport_id: str = "sport_id",
@@ -88,8 +118,7 @@ def milb_pitching_rates(df: DataFrame, constants: DataFrame | None = None) -> Da
     is used."""
     ip = F.when(F.col("ip") > 0, F.col("ip").cast("double"))
     if constants is not None:
-        df = df.join(F.broadcast(constants.select("season", F.col("cfip").cast("double").alias("__cf"))),
-                     "season", "left")
+        df = df.join(constants.select("season", F.col("cfip").cast("double").alias("__cf")), "season", "left")
     else:
         df = df.withColumn("__cf", F.lit(None).cast("double"))
     per9 = lambda x: np_round(F.col(x) * 9 / ip, 2)
@@ -148,16 +177,21 @@ def flatten_rosters(df: DataFrame, team: str = "team", team_name: str = "team_na
 
 
 def read_sprint_speed(spark, paths: Mapping[int, str]) -> DataFrame:
-    """Per-season CSV files: project five columns and tag the season
+    """Per-season CSV files: project five columns by name and tag the season
     (SRC-07)."""
     out = None
     for season, path in paths.items():
-        df = spark.read.option("header", True).csv(path).select(
-            F.col("player_id").try_cast("int").alias("player_id"),
-            F.lit(season).cast("int").alias("season"),
-            F.col("sprint_speed").try_cast("decimal(5,2)").alias("sprint_speed"),
-            F.col("hp_to_1b").try_cast("decimal(5,2)").alias("hp_to_1b"),
-            F.col("bolts").try_cast("int").alias("bolts"),
-            F.col("competitive_runs").try_cast("int").alias("competitive_runs"))
+        df = read_csv_by_name(spark, [path], SPEED_CSV).withColumn("season", F.lit(season).cast("int"))
         out = df if out is None else out.unionByName(df)
-    return out
+    return out.select(*[f.name for f in SPRINT_SPEED.fields])
+
+
+def read_sprint_speed_root(spark, root: str) -> DataFrame:
+    """The same from one folder per season below ``root`` (``season=2024``):
+    one scan of all seasons, the season being the partition column. Columns
+    are matched by name; every file must have the first one's header."""
+    header = spark.read.option("header", True).csv(root).columns
+    raw = StructType([StructField(x, StringType()) for x in header])
+    df = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(root)
+    typed = {f.name: f.dataType for f in SPRINT_SPEED.fields}
+    return df.select(*[from_text(F.col(x).cast("string"), t).alias(x) for x, t in typed.items()])

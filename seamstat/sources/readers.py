@@ -11,39 +11,65 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType,
+from pyspark.sql.types import (DataType, DateType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType)
 
-_LONG = ["game_pk", "pitcher", "batter"]
-_INT = ["at_bat_number", "pitch_number", "zone", "balls", "strikes", "outs_when_up", "inning"]
-_TEXT = ["pitch_type", "pitch_name", "p_throws", "stand", "inning_topbot", "events",
-         "description", "type", "bb_type", "if_fielding_alignment", "of_fielding_alignment"]
-_DOUBLE = ["release_speed", "release_pos_x", "release_pos_z", "release_spin_rate", "spin_axis",
-           "pfx_x", "pfx_z", "plate_x", "plate_z", "launch_speed", "launch_angle",
-           "hit_distance_sc", "hc_x", "hc_y", "estimated_ba_using_speedangle",
-           "estimated_woba_using_speedangle", "sz_top", "sz_bot"]
-_RUNNERS = ["on_1b", "on_2b", "on_3b"]
-
-# The 42 pitch-level columns that are loaded.
-PITCHES = StructType(
-    [StructField(c, LongType()) for c in _LONG] + [StructField(c, IntegerType()) for c in _INT] +
-    [StructField(c, StringType()) for c in _TEXT] + [StructField(c, DoubleType()) for c in _DOUBLE] +
-    [StructField(c, LongType()) for c in _RUNNERS])
+_L, _I, _S, _D = LongType(), IntegerType(), StringType(), DoubleType()
+
+# FIXED VALUES: the 42 pitch-level columns that are loaded, with their types.
+PITCHES = StructType([StructField(name, kind) for name, kind in [
+    ("game_pk", _L), ("at_bat_number", _I), ("pitch_number", _I), ("pitcher", _L), ("batter", _L),
+    ("pitch_type", _S), ("pitch_name", _S), ("release_speed", _D), ("release_pos_x", _D),
+    ("release_pos_z", _D), ("release_spin_rate", _D), ("spin_axis", _D), ("pfx_x", _D),
+    ("pfx_z", _D), ("plate_x", _D), ("plate_z", _D), ("zone", _I), ("p_throws", _S),
+    ("stand", _S), ("balls", _I), ("strikes", _I), ("outs_when_up", _I), ("inning", _I),
+    ("inning_topbot", _S), ("events", _S), ("description", _S), ("type", _S),
+    ("launch_speed", _D), ("launch_angle", _D), ("hit_distance_sc", _D), ("hc_x", _D),
+    ("hc_y", _D), ("estimated_ba_using_speedangle", _D), ("estimated_woba_using_speedangle", _D),
+    ("bb_type", _S), ("on_1b", _L), ("on_2b", _L), ("on_3b", _L), ("if_fielding_alignment", _S),
+    ("of_fielding_alignment", _S), ("sz_top", _D), ("sz_bot", _D)]])
 GAMES = StructType([StructField("game_pk", LongType()), StructField("game_date", DateType()),
                     StructField("game_type", StringType()), StructField("home_team", StringType()),
                     StructField("away_team", StringType())])
 
 
+def from_text(x: Column, to: DataType) -> Column:
+    """A value of an untyped text column. A whole number may be written with
+    a fraction of zeros (``3.0``); what does not parse, and a fraction where a
+    whole number is due, is null."""
+    if isinstance(to, (IntegerType, LongType)):
+        number = x.try_cast("decimal(38,10)")
+        whole = F.when(number == F.floor(number), number)
+        return F.coalesce(x.try_cast(to), whole.try_cast(to))
+    return x.try_cast(to)
+
+
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
+    """CSV files with a header each, matched by column name: files are grouped
+    by their header, each group is one scan, and a file whose header differs
+    from its group's fails instead of shifting columns. Absent columns are
+    null, further ones are not kept."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(spark.read.option("header", True).csv(path).columns), []).append(path)
+    out = None
+    for header, files in groups.items():
+        raw = StructType([StructField(name, StringType()) for name in header])
+        df = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(files)
+        df = df.select(*[(from_text(F.col(f"`{f.name}`"), f.dataType) if f.name in header
+                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def read_pitches(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
                  schema: StructType = PITCHES) -> DataFrame:
-    """Pitch events from one or many landed files as one scan, typed by the
-    declared schema; numeric text that does not parse becomes null."""
+    """Pitch events from one or many landed files, typed by the declared
+    schema; CSV columns are matched by name and text that does not parse is
+    null."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
-        raw = spark.read.option("header", True).csv(paths)
-        have = set(raw.columns)
-        return raw.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
-                             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+        return read_csv_by_name(spark, paths, schema)
     return spark.read.schema(schema).format(fmt).load(paths)
 
 

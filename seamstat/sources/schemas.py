@@ -8,22 +8,18 @@ from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType,
                                DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
+from seamstat.functions import codes as K
+
 
 def _s(*fields):
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-# Landed JSON: season statistics (batting or pitching) for one player.
-SEASON_STAT_FIELDS = [
-    "gamesPlayed", "plateAppearances", "atBats", "runs", "hits", "doubles", "triples",
-    "homeRuns", "rbi", "baseOnBalls", "intentionalWalks", "strikeOuts", "hitByPitch",
-    "stolenBases", "caughtStealing", "totalBases", "sacFlies", "sacBunts",
-    "groundIntoDoublePlay", "leftOnBase", "gamesStarted", "wins", "losses", "saves",
-    "holds", "blownSaves", "saveOpportunities", "outs", "earnedRuns", "inheritedRunners",
-    "inheritedRunnersScored", "wildPitches", "completeGames", "shutouts", "battersFaced",
-    "age"]
-SEASON_STAT_TEXT = ["avg", "obp", "slg", "ops", "babip", "era", "whip",
-                    "inningsPitched"]
+# Landed JSON: season statistics (batting or pitching) for one player; every
+# field of both official lines.
+SEASON_STAT_TEXT = K.OFFICIAL_TEXT
+SEASON_STAT_FIELDS = [f for f in dict.fromkeys(
+    field for _, field in K.OFFICIAL_BATTING + K.OFFICIAL_PITCHING) if f not in SEASON_STAT_TEXT]
 
 STAT = _s(*[(f, LongType()) for f in SEASON_STAT_FIELDS],
           *[(f, StringType()) for f in SEASON_STAT_TEXT])
@@ -42,8 +38,9 @@ GAME_LOG_PAYLOAD = _s(("stats", ArrayType(_s(("splits", ArrayType(_s(("stat", GA
 PEOPLE_PAYLOAD = _s(("people", ArrayType(_s(
     ("id", LongType()), ("fullName", StringType()), ("firstName", StringType()),
     ("lastName", StringType()), ("birthDate", StringType()), ("currentAge", LongType()),
-    ("birthCity", StringType()), ("birthCountry", StringType()), ("height", StringType()),
-    ("weight", LongType()), ("active", BooleanType()),
+    ("birthCity", StringType()), ("birthStateProvince", StringType()),
+    ("birthCountry", StringType()), ("height", StringType()), ("weight", LongType()),
+    ("draftYear", LongType()), ("active", BooleanType()),
     ("primaryPosition", _s(("abbreviation", StringType()), ("type", StringType()))),
     ("batSide", _s(("code", StringType()))), ("pitchHand", _s(("code", StringType()))),
     ("mlbDebutDate", StringType())))))
@@ -87,8 +84,10 @@ ACTIVE_40_MAN_KEY = ["player_id", "season"]
 PLAYER_BIO = _s(("player_id", LongType()), ("full_name", StringType()),
                 ("first_name", StringType()), ("last_name", StringType()),
                 ("birth_date", DateType()), ("current_age", IntegerType()),
-                ("birth_city", StringType()), ("birth_country", StringType()),
+                ("birth_city", StringType()), ("birth_state", StringType()),
+                ("birth_country", StringType()),
                 ("height", StringType()), ("weight", IntegerType()),
                 ("primary_position", StringType()), ("position_type", StringType()),
                 ("bat_side", StringType()), ("pitch_hand", StringType()),
-                ("mlb_debut_date", DateType()), ("active", BooleanType()))
+                ("draft_year", IntegerType()), ("mlb_debut_date", DateType()),
+                ("active", BooleanType()))

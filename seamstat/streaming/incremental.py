@@ -1,12 +1,15 @@
 """Incremental, idempotent loads with Structured Streaming.
 
-The reference reloads event data game by game: delete the rows of the games
-being loaded, then insert them (SNK-03), and keeps per-season tables replaced
-whole (SNK-04). Here landed files are a streaming source; every micro-batch
-replaces, in the affected season partitions only, the rows whose key it
-carries. Replaying a batch after a failure gives the same table (the
-operation is idempotent), and the stream's checkpoint records progress, so a
-lost executor or driver restart resumes without duplicates.
+Event data is reloaded game by game: the rows of the loaded games are
+replaced (SNK-03). Landed files are a streaming source and the table is
+partitioned by season and by a bucket of the key, so a micro-batch rewrites
+only the buckets of the games it carries, not their whole seasons.
+
+A batch is applied in two steps. Its new bucket contents are staged under the
+batch's number, closed by a marker; then they replace the touched partitions.
+A replay of the batch finds the staged contents and publishes them again
+without reading the table, so a failure between or during the steps neither
+loses stored rows nor doubles new ones.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,42 +25,57 @@ from pyspark.sql.types import StructType
 from seamstat.operators.tables import replace_keys
 from seamstat.session import ensure_checkpoint_dir
 
+BUCKETS = 64
+
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if there is none. Any other failure is
+    raised: a table that cannot be read is not an empty one."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path raises AnalysisException
-        return False
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def with_bucket(df: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
 
 
-def apply_batch(batch: DataFrame, table_path: str, key: Sequence[str],
-                partition_col: str = "season") -> None:
+def apply_batch(batch: DataFrame, table_path: str, key: Sequence[str], partition_col: str = "season",
+                row_key: Sequence[str] | None = None, staging: str | None = None,
+                batch_id: int = 0, buckets: int = BUCKETS) -> None:
     """Replace the keys of ``batch`` inside the partitions it touches.
 
     The partition column must be a function of the key (a game belongs to
     one season), so every stored row of a replaced key is in a touched
-    partition.
+    partition. With ``row_key`` a row delivered twice in a batch is stored
+    once.
     """
     spark = batch.sparkSession
-    if _table_exists(spark, table_path):
-        current = spark.read.parquet(table_path)
-        touched = batch.select(partition_col).distinct()
-        affected = current.join(F.broadcast(touched), partition_col, "left_semi")
-        new = replace_keys(affected.select(*batch.columns), batch, key)
-    else:
-        new = batch
-    # The new partitions are read from the table being overwritten: cut the
-    # lineage first (reliable checkpoint in the shared checkpoint folder).
-    new = new.checkpoint(eager=True)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    new.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+    staging = staging or os.path.join(ensure_checkpoint_dir(spark), "staged",
+                                      os.path.basename(table_path.rstrip("/")))
+    staged, done = (os.path.join(staging, f"{batch_id}-{x}") for x in ("rows", "done"))
+    parts = [partition_col, "bucket"]
+    if _stored(spark, done) is None:
+        if row_key:
+            batch = batch.dropDuplicates(list(row_key))
+        new = with_bucket(batch, key, buckets)
+        current = _stored(spark, table_path)
+        if current is not None:
+            affected = current.join(new.select(*parts).distinct(), parts, "left_semi")
+            new = replace_keys(affected.select(*new.columns), new, key)
+        new.write.mode("overwrite").parquet(staged)
+        spark.range(1).write.mode("overwrite").parquet(done)
+    (spark.read.parquet(staged).repartitionByRange(*parts)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_path))
 
 
 def start_reload(spark: SparkSession, source_path: str, schema: StructType, table_path: str,
                  key: Sequence[str], partition_col: str = "season",
                  checkpoint_location: str | None = None, available_now: bool = True,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, row_key: Sequence[str] | None = None):
     """Start the incremental load; returns the StreamingQuery."""
     ckpt = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark), "streams",
                                                os.path.basename(table_path.rstrip("/")))
@@ -64,7 +83,8 @@ def start_reload(spark: SparkSession, source_path: str, schema: StructType, tabl
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_path)
-    w = (src.writeStream.foreachBatch(lambda df, _id: apply_batch(df, table_path, key, partition_col))
+    w = (src.writeStream.foreachBatch(lambda df, n: apply_batch(
+            df, table_path, key, partition_col, row_key, f"{ckpt}-staged", n))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from seamstat.operators import stats
@@ -108,14 +110,31 @@ def test_pitching_stats_end_to_end(spark):
     assert tot["hr_fb"] == Decimal("0.500") and tot["k_pct"] == Decimal("20.0")
 
 
-def test_pre_aggregation_switch_same_counts(spark):
+def test_counts_against_plain_counting(spark):
     rows = [(g, 7 + g % 2, 9, e, "Top" if g % 3 else "Bot", None)
             for g in range(1, 6) for e in ("single", "walk", "strikeout", "home_run")]
     p = spark.createDataFrame(rows, PITCH_SCHEMA)
     g = _games(spark, [(i, dt.date(2022, 5, i), "R", f"H{i % 2}", f"A{i % 3}") for i in range(1, 6)])
-    a = sorted(stats.event_counts(p, g, "batter", stats.batting_counters()).collect())
-    b = sorted(stats.event_counts(p, g, "batter", stats.batting_counters(), pre_aggregate=False).collect())
-    assert a == b and len(a) > 2
+    want = {}
+    for game, batter, _, event, half, _ in rows:
+        team = f"A{game % 3}" if half == "Top" else f"H{game % 2}"
+        for t in (team, "TOT"):
+            k = want.setdefault((batter, t), [0, 0, 0])
+            k[0] += 1
+            k[1] += event in ("single", "home_run")
+            k[2] += event == "walk"
+    got = {(r["batter"], r["batter_team"]): [r["pa"], r["h"], r["bb"]]
+           for r in stats.event_counts(p, g, "batter", stats.batting_counters()).collect()}
+    assert got == want
+
+
+def test_repeated_constants_raise(spark):
+    p = spark.createDataFrame([(1, 7, 9, "single", "Top", None)], PITCH_SCHEMA)
+    g = _games(spark, [(1, dt.date(2022, 5, 1), "R", "HOM", "AWY")])
+    parks = spark.createDataFrame([(2022, "HOM", 100.0)], "season int, team string, basic double")
+    twice = _consts(spark).unionByName(_consts(spark))
+    with pytest.raises(Exception, match="constants: more than one row"):
+        stats.batting_stats(p, g, twice, parks).collect()
 
 
 def test_fielders_choice_is_an_out_t19(spark):
@@ -124,27 +143,3 @@ def test_fielders_choice_is_an_out_t19(spark):
     g = _games(spark, [(1, dt.date(2022, 5, 1), "R", "HOM", "AWY")])
     tot = stats.pitching_counts(p, g).where("split_type = 'total'").first()
     assert tot["derived_outs"] == 3 and tot["tbf"] == 3
-
-
-def test_split_paths_agree(spark):
-    from seamstat.operators.splits import hitter_split_features, pitcher_split_features
-    rows = [(g, 7 + g % 2, 9, d, t, s, float(80 + g), float(10 + g), 0.25 * (g % 4), 90.0 + g)
-            for g in range(1, 7) for d, t, s in (("swinging_strike", "L", "R"), ("foul", "R", "L"),
-                                                  ("ball", "R", "R"))]
-    p = spark.createDataFrame(rows, "game_pk bigint, batter bigint, pitcher bigint, description string, "
-                                    "p_throws string, stand string, launch_speed double, launch_angle double, "
-                                    "estimated_woba_using_speedangle double, release_speed double")
-    g = _games(spark, [(i, dt.date(2022, 4 + i, 1), "R", "H", "A") for i in range(1, 7)])
-    for fn in (hitter_split_features, pitcher_split_features):
-        a = sorted(fn(p, g, pre_aggregate=True).collect())
-        b = sorted(fn(p, g, pre_aggregate=False).collect())
-        assert a == b and len(a) >= 1
-
-
-def test_auto_path_uses_size_estimate(spark):
-    from seamstat.plans import testdata as T
-    from seamstat.session import estimated_bytes, fits_broadcast
-    small = T.games(spark, "/root/testdata/sf0.001")          # Parquet: file-size estimate
-    assert estimated_bytes(small) < 10 * 1024 ** 2 and fits_broadcast(small)
-    unknown = _games(spark, [(1, dt.date(2022, 5, 1), "R", "H", "A")])   # no statistics
-    assert not fits_broadcast(unknown)                          # unknown size counts as large
