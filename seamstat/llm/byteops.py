@@ -37,21 +37,50 @@ def windows(offsets, width: int, step: int):
     return text, offsets[text] + end - width, end - before
 
 
-def stratified_sample(df: DataFrame, label: str, columns: list[Column], key: Column, per_label: int,
-                      max_labels: int) -> list:
+def stratified_rows(df: DataFrame, label: str, key: Column, per_label: int, max_labels: int) -> DataFrame | None:
     """About ``per_label`` rows of each of the ``max_labels`` most frequent
-    labels, chosen by a hash of ``key``; a bounded list on the driver.
+    labels, chosen by a hash of ``key``, with the hash as ``point``; at most
+    ``2 * per_label * max_labels`` rows. None without a labelled row.
 
     Rows with a null label are not drawn. The counts cover all rows.
     """
     counts = (df.where(F.col(label).isNotNull()).groupBy(label).count()
               .orderBy(F.desc("count"), label).limit(max_labels).collect())
     if not counts:
-        return []
+        return None
     point = F.pmod(F.xxhash64(key.cast("string"), F.lit("sample")), F.lit(1 << 30))
     keep = F.lit(False)
     for row in counts:
         cut = min(1 << 30, int((1 << 30) * per_label / row["count"]) + 1)
         keep = keep | ((F.col(label) == F.lit(row[0])) & (point < cut))
-    return (df.where(keep).select(F.col(label).alias("label"), point.alias("point"), *columns)
-            .orderBy("point", "label").limit(per_label * len(counts) * 2).collect())
+    return df.where(keep).withColumn("point", point).orderBy("point", label).limit(2 * per_label * len(counts))
+
+
+def stratified_sample(df: DataFrame, label: str, columns: list[Column], key: Column, per_label: int,
+                      max_labels: int) -> list:
+    """The same as a list on the driver: ``label``, ``point`` and ``columns``."""
+    rows = stratified_rows(df.select(F.col(label).alias("label"), *columns, key.alias("k")), "label", F.col("k"),
+                           per_label, max_labels)
+    return [] if rows is None else rows.collect()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, part: Column,
+                    train_if: Column, per_label: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
+    """((label, text part) pairs of a bounded sample, label counts of all
+    training rows) for labels 0 and 1.
+
+    An id that the labels state with both values is not learned from. The ids
+    are drawn from the labels alone; at most ``4 * per_label`` of them are
+    broadcast to fetch their texts, so no text is shuffled.
+    """
+    one = (labels.where(F.col(label).isin(0, 1) & train_if & F.col(f"`{id}`").isNotNull())
+           .groupBy(F.col(f"`{id}`").alias("l_id")).agg(F.min(label).alias("lo"), F.max(label).alias("hi"))
+           .where("lo = hi").select("l_id", F.col("lo").cast("int").alias("l_label")))
+    drawn = stratified_rows(one, "l_label", F.col("l_id"), per_label, 2)
+    if drawn is None:
+        return [], {}
+    counts = {r["l_label"]: r["count"] for r in one.groupBy("l_label").count().collect()}
+    rows = (docs.join(F.broadcast(drawn), F.col(f"`{id}`") == F.col("l_id"))
+            .where(part.isNotNull()).select("point", "l_label", part.alias("part")))
+    found = sorted((r["point"], r["l_label"], r["part"]) for r in rows.collect())
+    return [(y, t) for _, y, t in found], counts

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .byteops import stratified_sample, text_bytes, windows
+from .byteops import labelled_sample, text_bytes, windows
 from .common import crc_mod, for_workers, read_table, without
 
 CHUNK, STEP = 256, 192          # bytes of a chunk, and from chunk to chunk
@@ -161,34 +161,15 @@ def held_out(id: str = "doc_id"):
     return F.coalesce(crc_mod(F.col(f"`{id}`"), 4) == 2, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str) -> DataFrame:
-    """Training rows: documents whose id is not held out, with their label.
-    A label other than 0 or 1, or a null id, is not learned from; an id that
-    the labels state twice with different values is not either."""
-    one = (labels.where(F.col(label).isin(0, 1)).groupBy(F.col(f"`{id}`").alias("l_id"))
-           .agg(F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo = hi")
-           .select("l_id", F.col("lo").cast("int").alias("l_label")))
-    return (docs.select(F.col(f"`{id}`"), F.col(f"`{text}`")).where(~held_out(id))
-            .join(one, F.col(f"`{id}`") == F.col("l_id")))
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id: str = "doc_id", text: str = "text"):
-    """(network or None, log odds of label 1 over all training rows)."""
+    """(network or None, log odds of label 1 over all training labels)."""
     import math
 
-    rows = labelled(docs, labels, label, id, text)
     n = F.char_length(F.col(f"`{text}`"))
     at = F.pmod(F.xxhash64(F.col(f"`{id}`")), F.greatest(n - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    part = F.substring(F.col(f"`{text}`"), at, F.lit(SAMPLE_CHARS)).alias("part")
-    sample = stratified_sample(rows, "l_label", [part], F.col(f"`{id}`"), PER_LABEL, 2)
-    net = train([(r["label"], r["part"]) for r in sample])
-    counts = {r["l_label"]: r["n"] for r in labels_of(labels, label, id).collect()}
-    return net, math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
-
-
-def labels_of(labels: DataFrame, label: str, id: str) -> DataFrame:
-    return (labels.where(F.col(label).isin(0, 1) & ~held_out(id)).groupBy(F.col(label).cast("int").alias("l_label"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    part = F.substring(F.col(f"`{text}`"), at, F.lit(SAMPLE_CHARS))
+    sample, counts = labelled_sample(docs, labels, label, id, text, part, ~held_out(id), PER_LABEL)
+    return train(sample), math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
 
 
 def score_quality(docs: DataFrame, net: ByteCNN | None, prior_logit: float, text: str = "text",

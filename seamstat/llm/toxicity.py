@@ -2,10 +2,11 @@
 
 Every n-gram of a lower-cased text (3 to 6 characters, hashed to ``2**BITS``
 buckets) has a log-count ratio: how much more often toxic training documents
-hold it than others. These ratios are counted over all labelled training rows
-by Spark. A document's features are its n-gram frequencies times the ratios; a
-logistic regression on a bounded sample learns one weight a bucket, and the
-product of ratio and weight is all that scoring needs. Texts are scored whole.
+hold it than others. A document's features are its n-gram frequencies times
+the ratios; a logistic regression learns one weight a bucket, and the product
+of ratio and weight is all that scoring needs. Ratios and weights come from a
+bounded sample of labelled rows, the odds from all of them. Texts are scored
+whole.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .byteops import stratified_sample
+from .byteops import labelled_sample
 from .common import for_workers, read_table, without
-from .quality import held_out, labelled
+from .quality import held_out
 
 SIZES = (3, 4, 5, 6)
 BITS = 19
@@ -49,32 +50,20 @@ def buckets(text: str):
                 yield (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - BITS)
 
 
-def bucket_counts(rows: DataFrame) -> DataFrame:
-    """(bucket, toxic documents, other documents) over all training rows; each
-    task adds up its rows first, so at most ``2**BITS`` rows a task move."""
-    def count(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        have = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if t:
-                    own = np.zeros(1 << BITS, bool) if len(t) > PIECE else None
-                    if own is None:
-                        have[y][np.unique(np.concatenate([*buckets(t), np.zeros(0, np.uint32)]))] += 1
-                    else:
-                        for b in buckets(t):
-                            own[b] = True
-                        have[y] += own
-        at = np.flatnonzero(have.sum(axis=0))
-        for i in range(0, len(at), 65536):
-            k = at[i:i + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(have[1][k]), pa.array(have[0][k])],
-                                             ["bucket", "toxic", "other"])
+def log_count_ratios(sample):
+    """Log-count ratio of every bucket over (label, text) pairs; 0 for buckets
+    that are left out."""
+    import numpy as np
 
-    return (rows.select("l_label", "text").mapInArrow(count, "bucket long, toxic long, other long")
-            .groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
+    have = np.ones((2, 1 << BITS))
+    for y, t in sample:
+        own = np.zeros(1 << BITS, bool)
+        for b in buckets(t):
+            own[b] = True
+        have[y] += own
+    ratio = np.log((have[1] / have[1].sum()) / (have[0] / have[0].sum()))
+    ratio[(have.sum(axis=0) < MIN_DOCS + 2) | (np.abs(ratio) < MIN_RATIO)] = 0
+    return ratio.astype(np.float32)
 
 
 def features(text: str, known):
@@ -123,25 +112,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc
     """(weights or None, bias). None if the training rows lack a label."""
     import math
 
-    import numpy as np
-
-    for_workers(docs.sparkSession)
-    rows = labelled(docs, labels, label, id, text).select(
-        F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), "l_label")
-    n = {r["l_label"]: r["n"] for r in rows.groupBy("l_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    part = F.when(F.char_length(F.col(f"`{text}`")) <= SAMPLE_CHARS, F.col(f"`{text}`"))
+    sample, n = labelled_sample(docs, labels, label, id, text, part, ~held_out(id), PER_LABEL)
     odds = math.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
-    if not n.get(0) or not n.get(1):
+    if len({y for y, _ in sample}) < 2:
         return None, odds
-    counts = np.ones((2, 1 << BITS))
-    for batch in bucket_counts(rows).where(F.col("toxic") + F.col("other") >= MIN_DOCS).toArrow().to_batches():
-        k = batch.column(0).to_numpy()
-        counts[1][k] += batch.column(1).to_numpy()
-        counts[0][k] += batch.column(2).to_numpy()
-    ratio = np.log((counts[1] / counts[1].sum()) / (counts[0] / counts[0].sum()))
-    ratio[(counts.sum(axis=0) < MIN_DOCS + 2) | (np.abs(ratio) < MIN_RATIO)] = 0
-    short = rows.where(F.char_length("text") <= SAMPLE_CHARS)
-    sample = stratified_sample(short, "l_label", [F.col("text")], F.col("id"), PER_LABEL, 2)
-    return learn(ratio.astype(np.float32), [(r["label"], r["text"]) for r in sample], odds)
+    return learn(log_count_ratios(sample), sample, odds)
 
 
 def score_toxicity(docs: DataFrame, weights, bias: float, text: str = "text",
