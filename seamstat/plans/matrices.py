@@ -170,7 +170,8 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
                       select_params: Mapping | None = None,
                       latest_season: int | None = None, blend_on: str = "test",
                       params: Mapping | None = None, parallelism: int = 4,
-                      ratios: Mapping[str, tuple[str, str]] | None = None):
+                      ratios: Mapping[str, tuple[str, str]] | None = None,
+                      names: DataFrame | None = None):
     """Year-over-year training, tuning, per-target ensembles and the
     projection of the latest season (MLO-01 .. MLO-14).
 
@@ -181,6 +182,9 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
 
     ``ratios`` adds derived projections from the rounded ones, e.g.
     ``{"k_bb": ("k", "bb")}`` (a zero denominator reads as 1, 2 decimals).
+    A projection row has the player, the season after the latest, the
+    projected team if ``latest_rows`` went through ``swap_context``, and the
+    full name from ``names`` (player_id, full_name).
 
     Returns (metrics DataFrame, projections DataFrame, fitted models).
     """
@@ -216,7 +220,11 @@ def train_and_project(features: DataFrame, targets: list[str], digits: Mapping[s
     if latest_rows is None:
         top = latest_season if latest_season is not None else features.select(F.max("season")).scalar()
         latest_rows = features.where(F.col("season") == top)
-    proj = project(impute_zero(latest_rows, cols), fitted, ["player_id"], dict(digits))
+    team = [x for x in ("proj_team",) if x in latest_rows.columns]
+    proj = project(impute_zero(latest_rows, cols), fitted, ["player_id", "season", *team], dict(digits))
+    proj = proj.withColumn("season", (F.col("season") + 1).cast("int")).withColumnsRenamed({x: "team" for x in team})
+    if names is not None:
+        proj = proj.join(names.select("player_id", "full_name"), "player_id", "left")
     from seamstat.operators.modeling import derive_ratio
     for name, (num, den) in (ratios or {}).items():
         proj = derive_ratio(proj, f"{num}_proj", f"{den}_proj", f"{name}_proj")

@@ -1448,4 +1448,4 @@ def q_landed_rosters(spark, sf_dir):
     return load_rosters(stored, rows).select("player_id", "season", "team", "full_name")
 
 
-from seamstat.plans import landed_queries, matrix_queries, report_queries  # noqa: E402,F401  register theirs
+from seamstat.plans import landed_queries, matrix_queries, report_queries, store_queries  # noqa: E402,F401  register theirs

@@ -30,7 +30,12 @@ def test_train_project_and_context_swap(spark):
     metrics, proj, fitted = train_and_project(
         feats, ["pa", "hr"], {"pa": 0, "hr": 0}, K.HITTER_ID_COLUMNS,
         grid={"n_estimators": [3], "max_depth": [2]}, select_params=small,
-        ratios={"hr_per_pa": ("hr", "pa")})
+        ratios={"hr_per_pa": ("hr", "pa")}, names=T.player_bio(spark, SF),
+        latest_rows=swap_context(feats.where(F.col("season") == 2001), T.rosters(spark, SF),
+                                 T.park_factors(spark, SF), t["team_strength"]))
+    assert {"player_id", "season", "team", "full_name", "pa_proj"} <= set(proj.columns)
+    assert {r["season"] for r in proj.select("season").distinct().collect()} == {2002}
+    assert proj.where("team is null or full_name is null").count() == 0
     m = {r["target"]: r for r in metrics.collect()}
     assert set(m) == {"next_pa", "next_hr"}
     assert all(0.0 <= r["blend_weight"] <= 1.0 for r in m.values())
@@ -56,3 +61,26 @@ def test_blend_on_validation_keeps_test_untouched(spark):
         blend_on="validation", params=small)
     r = metrics.first()
     assert r["target"] == "next_hr" and 0.0 <= r["blend_weight"] <= 1.0 and r["mae"] is not None
+
+
+def test_matrix_reads_pitches_twice(spark, monkeypatch):
+    """Two passes over pitches: statistics once, splits and advanced once."""
+    from seamstat.plans import matrices
+    t = T.matrix_inputs(spark, SF)
+    plans = []
+    real = matrices.materialize
+
+    def spy(df, name, path=None):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, name, path)
+
+    monkeypatch.setattr(matrices, "materialize", spy)
+    # Stored side inputs, so that only the pitch table is read from lineitem.
+    stored = {k: (v if k in ("pitches", "games") else real(v, f"stored-{k}")) for k, v in t.items()}
+    last = hitter_features(stored)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [p.count("l_discount") > 0 or "lineitem" in p for _, p in plans]
+    pitch = [p.count("__half") > 0 for _, p in plans]
+    assert [n for n, _ in plans] == ["batting_lines", "hitter_rows"] and all(scans)
+    assert pitch == [True, False] and "l_orderkey" not in last
+    for _, p in plans:
+        assert len(__import__("re").findall(r"Relation \[l_orderkey", p)) == 1

@@ -162,3 +162,54 @@ def test_roster_last_one_wins_t18(spark):
     out = {r["player_id"]: r["team"] for r in
            TB.upsert(stored, rows, ["player_id", "season"], order="seq").collect()}
     assert out == {7: "BBB", 8: "CCC"}
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    from seamstat.sources.readers import PITCHES, read_pitches
+    (tmp_path / "a.csv").write_text("game_pk,batter,pitcher,zone,launch_speed\n1,10,20,3.0,99.5\n")
+    (tmp_path / "b.csv").write_text("pitcher,zone,batter,game_pk,more\n21,2.5,11.0,2,x\n")
+    (tmp_path / "c.csv").write_text("game_pk,batter,pitcher,zone,launch_speed\n3,x,,,-\n")
+    df = read_pitches(spark, [str(tmp_path / f"{x}.csv") for x in "abc"], "csv")
+    got = sorted((r["game_pk"], r["batter"], r["pitcher"], r["zone"], r["launch_speed"]) for r in df.collect())
+    assert got == [(1, 10, 20, 3, 99.5), (2, 11, 21, None, None), (3, None, None, None, None)]
+    assert df.schema.names == PITCHES.names and len(PITCHES) == 42
+
+
+def test_upsert_order_nulls_and_ties(spark):
+    schema = "k int, v int, o int"
+    stored = spark.createDataFrame([(1, 10, 1), (2, 20, 1)], schema)
+    new = spark.createDataFrame([(1, 11, None), (3, None, 5), (3, 31, 5), (3, 32, None), (4, 40, None), (4, 41, None)], schema)
+    for _ in range(2):
+        got = sorted(map(tuple, TB.upsert(stored, new.repartition(4), ["k"], order="o").collect()))
+        assert got == [(1, 11, None), (2, 20, 1), (3, 31, 5), (4, 41, None)]
+    none = TB.insert_absent(stored, new.repartition(3), ["k"])
+    assert sorted(r["v"] for r in none.where("k = 4").collect()) == [41]
+
+
+def test_repeated_official_lines_raise(spark):
+    import pytest
+    from seamstat.operators.joins import unique_by
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, 3)], "a int, b int, x int")
+    with pytest.raises(Exception, match="lines: more than one row"):
+        unique_by(df, ["a", "b"], "lines").collect()
+
+
+def test_no_scratch_folder_off_local(spark, monkeypatch):
+    import pytest
+    from seamstat import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())
