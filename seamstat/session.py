@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,12 @@ _DEFAULTS = {
 }
 
 
+@lru_cache(maxsize=1)
+def _scratch() -> tempfile.TemporaryDirectory:
+    """Scratch folder of a local run; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="seamstat-ckpt-", ignore_cleanup_errors=True)
+
+
 def build_session(master: str | None = None, app: str = "seamstat",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -62,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="seamstat-ckpt-")
+        d = _scratch().name
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
