@@ -525,15 +525,21 @@ FROM wpf w JOIN bat_lines b ON b.batter = w.player_id AND b.season = w.season AN
 def q_weighted_context(spark, sf_dir):
     """Playing-time-weighted park factor and team strength over a player's
     teams, and a park-adjusted rate (DOM-21, AGG-09, DOM-22)."""
-    tr = _team_rows(spark, sf_dir)
-    parks = T.park_factors(spark, sf_dir).withColumn("season", F.col("season").cast("bigint")) \
-        .withColumn("park_factor", F.col("basic").cast("double"))
+    from seamstat.plans.matrices import materialize
+    lines = materialize(_big(stats.batting_stats(
+        T.pitches(spark, sf_dir), T.games(spark, sf_dir), T.constants(spark), T.park_factors(spark, sf_dir)),
+        ["season"]), "batting_lines")
+    tr = lines.where("split_type = 'team'").select(F.col("batter").alias("player_id"), "season",
+                                                   F.col("batter_team").alias("team"), "pa", "h", "hr")
+    parks = T.park_factors(spark, sf_dir).select(F.col("season").cast("bigint").alias("season"), "team",
+                                                 F.col("basic").cast("double").alias("park_factor"))
     strength = tr.groupBy("season", "team").agg(F.sum("h").cast("double").alias("team_runs"),
                                                 F.sum("hr").cast("double").alias("team_hr"))
-    pf = FT.weighted_context(tr, parks, ["park_factor"], "pa")
-    st = FT.weighted_context(tr, strength, ["team_runs", "team_hr"], "pa")
-    tot = _bat_totals(spark, sf_dir, None).select("player_id", "season", "slg")
-    out = pf.join(st, ["player_id", "season"]).join(tot, ["player_id", "season"])
+    context = FT.weighted_context(tr, parks.join(strength, ["season", "team"], "full_outer"),
+                                  ["park_factor", "team_runs", "team_hr"], "pa")
+    tot = lines.where("split_type = 'total'").select(F.col("batter").alias("player_id"), "season",
+                                                     F.col("slg").cast("double").alias("slg"))
+    out = context.join(tot, ["player_id", "season"])
     return FT.park_adjusted(out, {"slg_park_adj": "slg"}).select(
         "player_id", "season", "park_factor", "team_runs", "team_hr", "slg", "slg_park_adj")
 
@@ -1080,7 +1086,8 @@ SELECT (SELECT count(*) FROM base) AS rows_before, (SELECT count(*) FROM joined)
 def q_row_count_check(spark, sf_dir):
     """Row count before and after the left-join chain (DQ-01)."""
     from seamstat.operators.quality import check_row_count
-    b = _bat_totals(spark, sf_dir, None).select("player_id", "season")
+    from seamstat.plans.matrices import materialize
+    b = materialize(_bat_totals(spark, sf_dir, None).select("player_id", "season"), "base_rows")
     ob = T.official_batting(spark, sf_dir).select(
         "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
     bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")

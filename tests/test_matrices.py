@@ -84,3 +84,15 @@ def test_matrix_reads_pitches_twice(spark, monkeypatch):
     assert pitch == [True, False] and "l_orderkey" not in last
     for _, p in plans:
         assert len(__import__("re").findall(r"Relation \[l_orderkey", p)) == 1
+
+
+def test_pitcher_projection(spark):
+    t = T.matrix_inputs(spark, SF)
+    small = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1}
+    metrics, proj, _ = train_and_project(
+        pitcher_features(t), ["k", "bb", "era"], {"k": 0, "bb": 0, "era": 2}, K.HITTER_ID_COLUMNS + ["split_type"],
+        grid={}, params=small, select_params=small, ratios={"k_bb": ("k", "bb")}, names=T.player_bio(spark, SF))
+    assert metrics.count() == 3
+    rows = proj.collect()
+    assert rows and all(r["full_name"] and r["season"] == 2002 for r in rows)
+    assert all(abs(r["k_bb_proj"] - round(r["k_proj"] / (r["bb_proj"] or 1), 2)) < 1e-9 for r in rows)
