@@ -30,7 +30,7 @@ LINK_PERCENT = 85       # link if 100 * common >= LINK_PERCENT * union
 TREES = 8
 BRANCH = 2
 LEVELS = 4
-SMALL = 512             # documents compared exhaustively
+SMALL = 2048            # documents compared exhaustively
 SIGNATURE = 128         # minwise values, a byte each, of a signature
 LIKELY = 0.70           # signature agreement of pairs to confirm (4.7 sigma under 0.85)
 
