@@ -30,14 +30,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not mark."""
+    """Documents that the toxicity classifier does not mark. Null and empty
+    texts have the labels' odds as their score, and stay."""
     weights, bias = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, weights, bias).where("predicted = 0").select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate group; of rows with its id, one."""
+    """The first document of each near-duplicate group; of rows with its id,
+    one. Documents without words are in no group, and stay."""
     key = free_name(docs.columns, "kept_id")
     kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
     return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
@@ -45,12 +47,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: a document taken more than once has repeated rows."""
+    """The mix of sources: a document taken more than once has repeated rows;
+    a document without words is taken or left like its source's others."""
     return mixing.take_mix(mixing.systematic_mix(docs), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each taken document lies in the token sequences."""
+    """Where each piece of each taken document lies in the token sequences;
+    repeated rows are packed repeatedly, an empty text is one end token."""
     return packing.pack(packing.digest_pieces(docs)).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
