@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seamstat.functions.exprs import c, count_when, safe_div
+from seamstat.functions.exprs import c, count_when
 
 
 def rate_when(indicator: Column, over: Column) -> Column:

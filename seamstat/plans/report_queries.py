@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamstat.functions import codes as K
 from seamstat.plans import testdata as T
 from seamstat.plans.queries import (_BAT_WITH, _CUST_SEASON, _STRENGTH_SQL, _bat_totals, _cust_season, _duck_roll,
                                     register)

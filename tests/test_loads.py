@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from seamstat.plans import loads as L
 from seamstat.sources import schemas as S
