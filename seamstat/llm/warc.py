@@ -98,8 +98,8 @@ def write_monolithic(pages: DataFrame, path: str, id: str = "page_id", url: str
     # The sink ends each value with the line feed that ends the record.
     line = with_revisits(pages, id, payload).select(record.alias("r")).select(
         F.expr("substring(r, 1, char_length(r) - 1)").alias("value"))
-    (line.write.mode("error").option("compression", "gzip").option("lineSep", "\n")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    (line.write.mode("error").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+     .option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path))
 
 
 def _open(path: str):
