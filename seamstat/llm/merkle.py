@@ -13,6 +13,8 @@ digits a leaf, leaves joined by ``,``, paragraphs by ``;``, sections by ``/``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ LEAF_CHARS = 64
 LEAF = (r"(?s)\A.{1,4}|" + "|".join(rf"(?<=\A.{{{n}}}).{{1,{n}}}" for n in (4, 8, 16, 32))
         + rf"|.{{1,{LEAF_CHARS}}}")
 LEAF_HEX = 6
-FAN = 16                # cut points a level: FAN * FAN ranges of ids
+RANGE_ROWS = 2_000      # documents a range of ids
+MAX_FAN = 256           # at most MAX_FAN * MAX_FAN ranges
 
 
 def _md5(c: Column) -> Column:
@@ -95,10 +98,12 @@ def edited_branches(a: Column, b: Column) -> Column:
         differing(s["x"], s["y"], ";"), lambda p: F.struct(s["at"].alias("section"), p["at"].alias("paragraph")))))
 
 
-def id_ranges(df: DataFrame, id: str, fan: int = FAN) -> Column:
-    """Range number (0 to fan * fan - 1, ascending with the id; -1 for null)
-    by cut points at the id's quantiles: ``fan * fan`` numbers to the driver,
-    whatever the table's size. The look-up is two scans of ``fan`` numbers."""
+def id_ranges(df: DataFrame, id: str, range_rows: int = RANGE_ROWS) -> Column:
+    """Range number (ascending with the id; -1 for null) by cut points at the
+    id's quantiles. The number of ranges follows the number of rows, up to
+    ``MAX_FAN ** 2`` cut points on the driver. The look-up is two scans of the
+    square root of that."""
+    fan = min(MAX_FAN, max(2, math.ceil(math.sqrt(df.count() / range_rows))))
     n = fan * fan
     cuts = df.select(F.percentile_approx(F.col(f"`{id}`"), [k / n for k in range(1, n)], 20 * n)).first()[0]
     if not cuts:
@@ -111,7 +116,8 @@ def id_ranges(df: DataFrame, id: str, fan: int = FAN) -> Column:
     return F.when(v.isNull(), F.lit(-1)).otherwise(top * fan + low)
 
 
-def next_in_order(df: DataFrame, id: str, columns: dict[str, str], tie: str, fan: int = FAN) -> DataFrame:
+def next_in_order(df: DataFrame, id: str, columns: dict[str, str], tie: str,
+                  range_rows: int = RANGE_ROWS) -> DataFrame:
     """For rows in descending order of ``id`` (nulls last, then ``tie``
     descending), add ``columns`` (source -> name) of the next row; the last
     row's next is the first.
@@ -121,10 +127,10 @@ def next_in_order(df: DataFrame, id: str, columns: dict[str, str], tie: str, fan
     every row's successor and the texts move once.
     """
     rng, mark = free_name(df.columns, "order_range"), free_name(df.columns, "order_guest")
-    ranged = df.withColumn(rng, id_ranges(df, id, fan))
+    ranged = df.withColumn(rng, id_ranges(df, id, range_rows))
     heads = ranged.groupBy(rng).agg(F.max(F.struct(F.col(f"`{id}`").alias("i"), F.col(tie).alias("t"))).alias("h"))
     heads = heads.select(F.col(rng).alias("h_range"), F.col("h.i").alias("h_id"), F.col("h.t").alias("h_tie"))
-    # At most fan * fan + 1 rows.
+    # One row a range.
     after = Window.orderBy(F.col("h_range").desc())
     hosts = heads.withColumn("h_host", F.coalesce(
         F.lag("h_range").over(after),
@@ -148,7 +154,8 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(following, F.lit(1), half))
 
 
-def fingerprints_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "text", fan: int = FAN) -> DataFrame:
+def fingerprints_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "text",
+                            range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per document: ``n_chars``, ``fingerprint``, and the edited
     text's ``edited_sha256``, ``edited_fingerprint``, ``near_edited`` and
     ``near_next`` (likeness to the edited text and to the next document).
@@ -161,7 +168,7 @@ def fingerprints_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "te
     df = docs.select(F.col(f"`{id}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     df = df.withColumn("tie", F.xxhash64("text"))
     df = with_fingerprint(df, "text", "fingerprint")
-    df = next_in_order(df, "key", {"text": "next_text", "fingerprint": "next_fp"}, "tie", fan)
+    df = next_in_order(df, "key", {"text": "next_text", "fingerprint": "next_fp"}, "tie", range_rows)
     df = df.withColumn("edited", edited_text(F.col("text"), F.col("next_text"))).drop("next_text")
     df = with_fingerprint(df, "edited", "edited_fingerprint")
     return df.select(F.col("key").alias(id), F.char_length("text").cast("long").alias("n_chars"),

@@ -102,7 +102,7 @@ def py_fingerprint(text):
 
 
 def test_fingerprints_against_brute_force(messy, messy_rows):
-    got = merkle.fingerprints_with_edits(messy, fan=2).collect()
+    got = merkle.fingerprints_with_edits(messy, range_rows=3).collect()
     rows = [r for r in messy_rows if r["doc_id"] not in (9, None)]
     by_id = {r["doc_id"]: r for r in got}
     assert len(got) == len(messy_rows)
