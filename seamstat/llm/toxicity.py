@@ -21,11 +21,11 @@ from .quality import held_out
 
 SIZES = (3, 4, 5, 6)
 BITS = 19
-MIN_DOCS = 4            # buckets of fewer training documents are left out
-MIN_RATIO = 0.7         # and those of nearly equal odds
+MIN_DOCS = 10           # buckets of fewer training documents are left out
+MIN_RATIO = 0.1         # and those of nearly equal odds
 PER_LABEL = 4_000       # bound of the sample: rows a label ...
 SAMPLE_CHARS = 20_000   # ... of at most this many characters
-EPOCHS, RATE, DECAY = 8, 0.3, 1e-5
+EPOCHS, RATE, DECAY = 8, 0.3, 3e-4
 THRESHOLD = 0.3
 PIECE = 1 << 18         # characters hashed at a time
 
