@@ -13,7 +13,7 @@ from seamstat.functions import codes as K
 from seamstat.plans import testdata as T
 from seamstat.plans.queries import (_BAT_WITH, _DUCK_BEST, _PIT_WITH, _SEASON_PITCHES, _duck_barrel,
                                     _duck_pa, _duck_pitching_select, _duck_roll, _half_sql,
-                                    _pitcher_split_sql, _platoon_sql, _q, register)
+                                    _pitcher_split_sql, _pitching, _platoon_sql, _q, register)
 
 INTS = "tinyint smallint int bigint".split()
 
@@ -285,3 +285,55 @@ def q_pitcher_features(spark, sf_dir):
     """Full pitcher feature matrix, every column (DOM-29)."""
     from seamstat.plans.matrices import pitcher_features
     return rounded(pitcher_features(T.matrix_inputs(spark, sf_dir)))
+
+
+_ROLE_COLS = ["sv_hld", "starter_pct", "is_starter", "ip_per_start", "fb_brk_velo_diff",
+              "fb_offspeed_velo_diff", "gb_fb_ratio", "ir_scored_pct", "babip_minus_xwoba",
+              "avg_lineup_pos", "is_leadoff", "is_heart", "is_bottom"]
+
+
+@register("q_role_flags", _PIT_WITH + ", full_lines AS (" + _duck_pitching_select() + "), " + _SEASON_PITCHES + f""",
+adv AS (SELECT pitcher AS player_id, season, {_spec(PITCHING_ADVANCED)} FROM sp GROUP BY 1, 2),
+lineup AS (SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS season, avg(l_linenumber) AS avg_lineup_pos
+           FROM lineitem GROUP BY 1, 2),
+base AS (
+  SELECT f.pitcher AS player_id, f.season, f.saves, f.games, f.games_started, f.ip, f.babip,
+         o.holds, o.inherited_runners, o.inherited_runners_scored,
+         a.fb_velo, a.brk_velo, a.offspeed_velo, a.gb_rate, a.fb_rate, a.xwoba_against,
+         l.avg_lineup_pos
+  FROM full_lines f
+  LEFT JOIN official_v o ON o.player_id = f.pitcher AND o.season = f.season
+  LEFT JOIN adv a ON a.player_id = f.pitcher AND a.season = f.season
+  LEFT JOIN lineup l ON l.player_id = f.pitcher AND l.season = f.season
+  WHERE f.split_type = 'total'),
+r AS (
+  SELECT *, CAST(games_started AS DOUBLE) / CASE WHEN games = 0 THEN NULL ELSE CAST(games AS DOUBLE) END AS starter_pct
+  FROM base)
+SELECT player_id, season,
+       coalesce(CAST(saves AS DOUBLE), 0.0) + coalesce(CAST(holds AS DOUBLE), 0.0) AS sv_hld,
+       starter_pct, CAST(coalesce(starter_pct >= 0.5, false) AS INTEGER) AS is_starter,
+       ip / CASE WHEN games_started = 0 THEN NULL ELSE CAST(games_started AS DOUBLE) END AS ip_per_start,
+       fb_velo - brk_velo AS fb_brk_velo_diff, fb_velo - offspeed_velo AS fb_offspeed_velo_diff,
+       gb_rate / CASE WHEN fb_rate = 0 THEN NULL ELSE fb_rate END AS gb_fb_ratio,
+       inherited_runners_scored / CASE WHEN inherited_runners = 0 THEN NULL
+                                       ELSE CAST(inherited_runners AS DOUBLE) END AS ir_scored_pct,
+       babip - xwoba_against AS babip_minus_xwoba, avg_lineup_pos,
+       CAST(coalesce(avg_lineup_pos <= 1.5, false) AS INTEGER) AS is_leadoff,
+       CAST(coalesce(avg_lineup_pos >= 2.5 AND avg_lineup_pos <= 5.0, false) AS INTEGER) AS is_heart,
+       CAST(coalesce(avg_lineup_pos >= 7.0, false) AS INTEGER) AS is_bottom
+FROM r""")
+def q_role_flags(spark, sf_dir):
+    """Pitcher role features (saves+holds, starter share and flag, innings
+    per start, velocity gaps, ground/fly ratio, inherited runners scored)
+    and lineup-slot flags (DOM-18, DOM-25)."""
+    from seamstat.operators import features as FT
+    from seamstat.operators.advanced import pitching_advanced
+    pit = _pitching(spark, sf_dir).where(F.col("split_type") == "total").select(
+        F.col("pitcher").alias("player_id"), "season", "saves", "games", "games_started", "ip", "babip")
+    off = T.official_pitching(spark, sf_dir).select("player_id", "season", "holds", "inherited_runners",
+                                                    "inherited_runners_scored")
+    keys = ["player_id", "season"]
+    df = pit.join(off, keys, "left").join(pitching_advanced(T.pitches(spark, sf_dir), T.games(spark, sf_dir)), keys, "left") \
+        .join(T.lineup_position(spark, sf_dir).select(*keys, "avg_lineup_pos"), keys, "left")
+    return FT.lineup_flags(FT.pitcher_rates(df)).select(
+        "player_id", F.col("season").cast("bigint").alias("season"), *_ROLE_COLS)

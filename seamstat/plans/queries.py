@@ -659,93 +659,6 @@ def q_age_curve(spark, sf_dir):
                      "age_catcher", "is_speed_pos", "age_speed_pos")
 
 
-# ------------------------------------------------------------- role flags --
-_ADV = """adv AS (
-  SELECT pitcher AS player_id, season,
-         avg(release_speed) FILTER (WHERE p_throws = 'R') AS fb_velo,
-         avg(release_speed) FILTER (WHERE p_throws = 'L') AS brk_velo,
-         avg(release_speed) FILTER (WHERE description = 'ball') AS offspeed_velo,
-         count(*) FILTER (WHERE bb_type = 'ground_ball') / CAST(count(*) AS DOUBLE) AS gb_rate,
-         count(*) FILTER (WHERE bb_type = 'fly_ball') / CAST(count(*) AS DOUBLE) AS fb_rate,
-         avg(estimated_woba_using_speedangle) AS xwoba_against
-  FROM sp GROUP BY pitcher, season),
-lineup AS (
-  SELECT l_suppkey AS player_id, CAST(year(l_shipdate) AS BIGINT) AS season,
-         avg(l_linenumber) AS avg_lineup_pos
-  FROM lineitem GROUP BY 1, 2)"""
-
-
-def _adv(spark, sf_dir):
-    p = T.pitches(spark, sf_dir)
-    g = stats.regular_games(T.games(spark, sf_dir)).select("game_pk", "game_date")
-    sp = p.join(g, "game_pk").withColumn("season", F.year("game_date").cast("bigint"))
-    n = F.count(F.lit(1)).cast("double")
-    rs = F.col("release_speed")
-    return sp.groupBy(F.col("pitcher").alias("player_id"), "season").agg(
-        F.avg(F.when(F.col("p_throws") == "R", rs)).alias("fb_velo"),
-        F.avg(F.when(F.col("p_throws") == "L", rs)).alias("brk_velo"),
-        F.avg(F.when(F.col("description") == "ball", rs)).alias("offspeed_velo"),
-        (F.count_if(F.col("bb_type") == "ground_ball") / n).alias("gb_rate"),
-        (F.count_if(F.col("bb_type") == "fly_ball") / n).alias("fb_rate"),
-        F.avg("estimated_woba_using_speedangle").alias("xwoba_against"))
-
-
-def _lineup(spark, sf_dir):
-    li = T.read(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("player_id"),
-                      F.year("l_shipdate").cast("bigint").alias("season")) \
-        .agg(F.avg("l_linenumber").alias("avg_lineup_pos"))
-
-
-_ROLE_COLS = ["sv_hld", "starter_pct", "is_starter", "ip_per_start", "fb_brk_velo_diff",
-              "fb_offspeed_velo_diff", "gb_fb_ratio", "ir_scored_pct", "babip_minus_xwoba",
-              "avg_lineup_pos", "is_leadoff", "is_heart", "is_bottom"]
-
-
-@register("q_role_flags", _PIT_WITH + ", full_lines AS (" + _duck_pitching_select() + "), " +
-          _SEASON_PITCHES + ", " + _ADV + """,
-base AS (
-  SELECT f.pitcher AS player_id, f.season, f.saves, f.games, f.games_started, f.ip, f.babip,
-         o.holds, o.inherited_runners, o.inherited_runners_scored,
-         a.fb_velo, a.brk_velo, a.offspeed_velo, a.gb_rate, a.fb_rate, a.xwoba_against,
-         l.avg_lineup_pos
-  FROM full_lines f
-  LEFT JOIN official_v o ON o.player_id = f.pitcher AND o.season = f.season
-  LEFT JOIN adv a ON a.player_id = f.pitcher AND a.season = f.season
-  LEFT JOIN lineup l ON l.player_id = f.pitcher AND l.season = f.season
-  WHERE f.split_type = 'total'),
-r AS (
-  SELECT *, CAST(games_started AS DOUBLE) / CASE WHEN games = 0 THEN NULL ELSE CAST(games AS DOUBLE) END AS starter_pct
-  FROM base)
-SELECT player_id, season,
-       coalesce(CAST(saves AS DOUBLE), 0.0) + coalesce(CAST(holds AS DOUBLE), 0.0) AS sv_hld,
-       starter_pct, CAST(coalesce(starter_pct >= 0.5, false) AS INTEGER) AS is_starter,
-       ip / CASE WHEN games_started = 0 THEN NULL ELSE CAST(games_started AS DOUBLE) END AS ip_per_start,
-       fb_velo - brk_velo AS fb_brk_velo_diff, fb_velo - offspeed_velo AS fb_offspeed_velo_diff,
-       gb_rate / CASE WHEN fb_rate = 0 THEN NULL ELSE fb_rate END AS gb_fb_ratio,
-       inherited_runners_scored / CASE WHEN inherited_runners = 0 THEN NULL
-                                       ELSE CAST(inherited_runners AS DOUBLE) END AS ir_scored_pct,
-       babip - xwoba_against AS babip_minus_xwoba, avg_lineup_pos,
-       CAST(coalesce(avg_lineup_pos <= 1.5, false) AS INTEGER) AS is_leadoff,
-       CAST(coalesce(avg_lineup_pos >= 2.5 AND avg_lineup_pos <= 5.0, false) AS INTEGER) AS is_heart,
-       CAST(coalesce(avg_lineup_pos >= 7.0, false) AS INTEGER) AS is_bottom
-FROM r""")
-def q_role_flags(spark, sf_dir):
-    """Pitcher role features (saves+holds, starter share and flag, innings
-    per start, velocity gaps, ground/fly ratio, inherited runners scored)
-    and lineup-slot flags (DOM-18, DOM-25)."""
-    pit = _pitching(spark, sf_dir).where(F.col("split_type") == "total").select(
-        F.col("pitcher").alias("player_id"), "season", "saves", "games", "games_started", "ip", "babip")
-    off = T.official_pitching(spark, sf_dir).select(
-        "player_id", F.col("season").cast("bigint").alias("season"), "holds", "inherited_runners",
-        "inherited_runners_scored")
-    df = pit.join(off, ["player_id", "season"], "left") \
-        .join(_adv(spark, sf_dir), ["player_id", "season"], "left") \
-        .join(_lineup(spark, sf_dir), ["player_id", "season"], "left")
-    df = FT.lineup_flags(FT.pitcher_rates(df))
-    return df.select("player_id", "season", *_ROLE_COLS)
-
-
 # --------------------------------------------------------- quality starts --
 _game_log_json = T.game_log_docs
 
