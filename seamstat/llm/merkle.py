@@ -180,3 +180,40 @@ def fingerprints_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "te
 
 def op8_fingerprints(spark, sf_dir: str) -> DataFrame:
     return fingerprints_with_edits(read_table(spark, sf_dir, "documents"))
+
+
+def _duck_prints(name: str, src: str) -> str:
+    """CTEs up to ``<name>_f`` (id, fingerprint, distinct leaves) of the texts (id, t) in ``src``."""
+    return rf"""{name}_p AS (
+  SELECT id, i, par, sum(CASE WHEN i > 1 AND par = chr(10) THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sec
+  FROM (SELECT id, unnest(ps) AS par, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT id, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ps FROM {src}))),
+{name}_l AS (
+  SELECT id, i, coalesce(sec, 0) AS sec, list_transform(list_filter([0, 4, 8, 16, 32] || range(64, greatest(length(par), 64), 64), lambda o: o < length(par)),
+         lambda o: md5(substr(par, o + 1, CASE WHEN o < 4 THEN 4 WHEN o < 64 THEN o ELSE 64 END))) AS h FROM {name}_p),
+{name}_s AS (
+  SELECT id, sec, md5(string_agg(md5(array_to_string(h, ',')), ';' ORDER BY i)) AS sh,
+         string_agg(array_to_string(list_transform(h, lambda y: substr(y, 1, 6)), ','), ';' ORDER BY i) AS ss FROM {name}_l GROUP BY id, sec),
+{name}_r AS (SELECT id, md5(string_agg(sh, '/' ORDER BY sec)) || ':' || string_agg(ss, '/' ORDER BY sec) AS f FROM {name}_s GROUP BY id),
+{name}_f AS (SELECT s.id, coalesce(r.f, md5('') || ':') AS f,
+             list_distinct(list_filter(regexp_split_to_array(split_part(coalesce(r.f, ':'), ':', 2), '[,;/]'), lambda y: y <> '')) AS ls
+      FROM {src} s LEFT JOIN {name}_r r USING (id))"""
+
+
+def _duck_likeness(a: str, b: str) -> str:
+    return (f"CASE WHEN split_part({a}.f, ':', 1) = split_part({b}.f, ':', 1) THEN 1.0::DOUBLE WHEN len({a}.ls) + len({b}.ls) = 0 THEN 0.0::DOUBLE "
+            f"ELSE 2.0::DOUBLE * len(list_intersect({a}.ls, {b}.ls)) / (len({a}.ls) + len({b}.ls))::DOUBLE END")
+
+
+ORACLE = rf"""
+WITH d AS (SELECT doc_id AS id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT id, t, coalesce(lead(id) OVER w, first_value(id) OVER w) AS nid FROM d
+      WINDOW w AS (ORDER BY id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+n AS (SELECT o.id, o.nid, o.t, length(o.t) AS c, substr(o.t, 1, length(o.t) - length(o.t) // 2) || substr(x.t, 1, length(o.t) // 2) AS e
+      FROM o JOIN d x ON x.id = o.nid),
+e AS (SELECT id, e AS t FROM n),
+{_duck_prints('a', 'd')},
+{_duck_prints('b', 'e')}
+SELECT n.id AS doc_id, n.c::BIGINT AS n_chars, sha256(n.e) AS edited_sha256, x.f AS fingerprint, y.f AS edited_fingerprint,
+       {_duck_likeness('x', 'y')} AS near_edited, {_duck_likeness('x', 'z')} AS near_next
+FROM n JOIN a_f x ON x.id = n.id JOIN b_f y ON y.id = n.id JOIN a_f z ON z.id = n.nid
+"""

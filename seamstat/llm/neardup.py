@@ -539,3 +539,24 @@ def _sets_of(own: DataFrame, asked: DataFrame, reps: DataFrame) -> DataFrame:
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+c AS (SELECT min(doc_id) AS rep, len(any_value(g)) AS n, list_sort(g) AS k FROM s WHERE len(g) > 0 GROUP BY list_sort(g)),
+x AS (SELECT rep, n, unnest(k) AS t FROM c),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS m, any_value(a.n) AS na, any_value(b.n) AS nb
+      FROM x a JOIN x b ON a.t = b.t AND a.rep < b.rep GROUP BY a.rep, b.rep),
+l AS (SELECT a, b FROM p WHERE 100 * m >= 85 * (na + nb - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(u, v) AS (SELECT rep, rep FROM c UNION SELECT r.u, e.b FROM r JOIN e ON r.v = e.a),
+m AS (SELECT u AS rep, min(v) AS component FROM r GROUP BY u)
+SELECT s.doc_id, coalesce(len(g), 0)::BIGINT AS n_shingles, coalesce(m.component, s.doc_id) AS component_id,
+       s.doc_id = coalesce(m.component, s.doc_id) AS kept
+FROM s LEFT JOIN c ON len(s.g) > 0 AND list_sort(s.g) = c.k LEFT JOIN m ON m.rep = c.rep
+"""

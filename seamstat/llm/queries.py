@@ -22,8 +22,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_neardup": neardup.ORACLE,
     "op3_topk": topk.ORACLE,
     "op6_sharding": sharding.ORACLE,
+    "op8_fingerprints": merkle.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
