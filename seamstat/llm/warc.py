@@ -18,7 +18,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import for_workers, free_name, read_table, shared_path
+from .common import for_workers, free_name, landed, read_table, shared_path
 
 MIN_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 20_000
@@ -50,20 +50,26 @@ def with_revisits(pages: DataFrame, id: str = "page_id", payload: str = "html",
     names = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
     keep = [c for c in pages.columns if c.lower() not in names]
     raw = F.coalesce(F.col(f"`{payload}`"), F.lit("")).cast("binary")
-    # What the digest joins compare: the id's own null is a value too.
     df = pages.select(*[F.col(f"`{c}`") for c in keep], F.octet_length(raw).cast("long").alias("payload_bytes"),
                       F.sha2(raw, 256).alias("payload_digest"))
-    thin = df.where(F.col("payload_bytes") >= min_bytes).select(F.col(f"`{id}`").alias("r_id"), F.col("payload_digest").alias("r_digest"))
-    first = (thin.groupBy("r_digest").agg(F.min("r_id").alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select(F.col("r_digest").alias("f_digest"), "first"))
-    revisits = (thin.join(first, F.col("r_digest") == F.col("f_digest"))
-                .where((F.col("r_id") > F.col("first")) | F.col("r_id").isNull() & F.col("first").isNotNull())
-                .select(F.coalesce(F.col("r_id"), F.lit(-1)).alias("r_key"), "r_digest", "first").distinct())
-    key = free_name(df.columns, "warc_key")
-    df = df.withColumn(key, F.coalesce(F.col(f"`{id}`"), F.lit(-1)))
-    return (df.join(revisits, (F.col(key) == F.col("r_key")) & (F.col("payload_digest") == F.col("r_digest")), "left")
-            .withColumn("record_type", F.when(F.col("first").isNull(), "response").otherwise("revisit"))
-            .withColumnRenamed("first", "refers_to").drop(key, "r_key", "r_digest"))
+    key = F.struct(F.col(f"`{id}`").isNull().alias("n"), F.coalesce(F.col(f"`{id}`"), F.lit(0)).alias("i"))
+    k_id = free_name(df.columns, "warc_key")
+    df = df.withColumn(k_id, key)
+    thin = df.where(F.col("payload_bytes") >= min_bytes).select(
+        F.col(f"`{id}`").alias("r_id"), F.col(k_id).alias("r_key"), F.col("payload_digest").alias("r_digest"))
+    first = (thin.groupBy("r_digest").agg(F.min("r_id").alias("r_first"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select(F.col("r_digest").alias("f_digest"), "r_first"))
+    # Landed, so that Spark knows its real size: where it is small, the
+    # payloads are joined where they lie and are not shuffled.
+    revisits = landed(
+        thin.join(first, F.col("r_digest") == F.col("f_digest"))
+        .where((F.col("r_id") > F.col("r_first")) | F.col("r_id").isNull() & F.col("r_first").isNotNull())
+        .select("r_key", "r_digest", "r_first").distinct(), "revisits")
+    names = {x: free_name(df.columns, x) for x in revisits.columns}
+    revisits = revisits.withColumnsRenamed(names)
+    return (df.join(revisits, (F.col(k_id) == F.col(names["r_key"])) & (F.col("payload_digest") == F.col(names["r_digest"])), "left")
+            .withColumn("record_type", F.when(F.col(names["r_first"]).isNull(), "response").otherwise("revisit"))
+            .withColumnRenamed(names["r_first"], "refers_to").drop(k_id, names["r_key"], names["r_digest"]))
 
 
 def record_text(id: str = "page_id", url: str = "url", payload: str = "html") -> F.Column:

@@ -140,6 +140,14 @@ def test_archive_round_trip(spark):
         assert g["payload"] is None if revisit else bytes(g["payload"]) == raw
 
 
+def test_null_id_is_not_minus_one(spark):
+    big = "y" * 200
+    df = spark.createDataFrame([(-1, None, big), (None, None, big), (0, None, big)], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in
+           warc.with_revisits(df.withColumn("r_first", F.lit("own"))).collect()}
+    assert got == {-1: ("response", None), None: ("revisit", -1), 0: ("revisit", -1)}
+
+
 def test_archive_of_no_pages(spark):
     df, _ = pages(spark)
     assert warc.archive_pages(df.limit(0)).count() == 0
