@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,10 +66,11 @@ def stratified_sample(df: DataFrame, label: str, columns: list[Column], key: Col
     return [] if rows is None else rows.collect()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, part: Column,
-                    train_if: Column, per_label: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str,
+                    part: Callable[[Column, Column], Column], train_if: Column, per_label: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
     """((label, text part) pairs of a bounded sample, label counts of all
-    training rows) for labels 0 and 1.
+    training rows) for labels 0 and 1; ``part`` takes the text and the id, and
+    a null part is left out.
 
     An id that the labels state with both values is not learned from. The ids
     are drawn from the labels alone; at most ``4 * per_label`` of them are
@@ -80,7 +83,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, tex
     if drawn is None:
         return [], {}
     counts = {r["l_label"]: r["count"] for r in one.groupBy("l_label").count().collect()}
-    rows = (docs.join(F.broadcast(drawn), F.col(f"`{id}`") == F.col("l_id"))
-            .where(part.isNotNull()).select("point", "l_label", part.alias("part")))
+    own = docs.select(F.col(f"`{id}`").alias("d_id"), F.col(f"`{text}`").alias("d_text"))
+    rows = (own.join(F.broadcast(drawn.select("l_id", "l_label", "point")), F.col("d_id") == F.col("l_id"))
+            .select("point", "l_label", part(F.col("d_text"), F.col("d_id")).alias("part")).where("part IS NOT NULL"))
     found = sorted((r["point"], r["l_label"], r["part"]) for r in rows.collect())
     return [(y, t) for _, y, t in found], counts

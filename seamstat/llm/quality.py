@@ -165,9 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id: str = "d
     """(network or None, log odds of label 1 over all training labels)."""
     import math
 
-    n = F.char_length(F.col(f"`{text}`"))
-    at = F.pmod(F.xxhash64(F.col(f"`{id}`")), F.greatest(n - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    part = F.substring(F.col(f"`{text}`"), at, F.lit(SAMPLE_CHARS))
+    def part(t, i):
+        at = F.pmod(F.xxhash64(i), F.greatest(F.char_length(t) - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
+        return F.substring(t, at, F.lit(SAMPLE_CHARS))
+
     sample, counts = labelled_sample(docs, labels, label, id, text, part, ~held_out(id), PER_LABEL)
     return train(sample), math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
 

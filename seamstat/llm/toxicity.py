@@ -112,7 +112,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc
     """(weights or None, bias). None if the training rows lack a label."""
     import math
 
-    part = F.when(F.char_length(F.col(f"`{text}`")) <= SAMPLE_CHARS, F.col(f"`{text}`"))
+    def part(t, _):
+        return F.when(F.char_length(t) <= SAMPLE_CHARS, t)
+
     sample, n = labelled_sample(docs, labels, label, id, text, part, ~held_out(id), PER_LABEL)
     odds = math.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
     if len({y for y, _ in sample}) < 2:
