@@ -1,17 +1,13 @@
-"""Projection helpers (PRJ-02, PRJ-04, PRJ-07, PRJ-08, FLT-03 .. FLT-07)."""
+"""Projection helpers (PRJ-02, PRJ-04, PRJ-07, PRJ-08)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))
-
-
 def rename_template(df: DataFrame, cols: Iterable[str], template: str) -> DataFrame:
     """Rename by a template such as ``'{}_prior'`` or ``'vsL_{}'``."""
     return df.withColumnsRenamed({c: template.format(c) for c in cols})
@@ -30,19 +26,3 @@ def with_literal(df: DataFrame, name: str, value, dtype: str | None = None) -> D
 
 def shift_key(df: DataFrame, col: str = "season", n: int = 1) -> DataFrame:
     return df.withColumn(col, F.col(col) + n)
-
-
-def where_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    return df.where(F.col(col).between(lo, hi))
-
-
-def where_in(df: DataFrame, col: str, values: Iterable) -> DataFrame:
-    return df.where(F.col(col).isin(list(values)))
-
-
-def min_sample(df: DataFrame, col: str, n) -> DataFrame:
-    return df.where(F.col(col) >= n)
-
-
-def where_mask(df: DataFrame, cond: Column) -> DataFrame:
-    return df.where(cond)
