@@ -12,6 +12,7 @@ whatever the table's size, and each round is landed in the shared folder.
 from __future__ import annotations
 
 import math
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -30,6 +31,11 @@ FAN_IN = 8              # groups merged into one from round to round
 # FIXED VALUE: the split pattern of this vocabulary's byte-level pre-tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# The split pattern steps back over white space and gives up at a million
+# characters of it, so a long run is cut out before the pattern sees it.
+LONG_RUN = 100_000
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 
 @lru_cache(maxsize=2)
 def load_encoding(tokenizer: str):
@@ -63,6 +69,20 @@ def load_encoding(tokenizer: str):
     return tiktoken.Encoding(tokenizer, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(enc, text: str) -> list[int]:
+    """Ids of a text of any length. The split pattern takes a run of white
+    space up to its last character as one piece (at the end of the text the
+    whole run), so such a piece may be encoded on its own."""
+    ids, at = [], 0
+    if len(text) >= LONG_RUN:
+        for run in re.finditer(f"[{SPACES}]{{{LONG_RUN},}}", text):
+            end = run.end() - (run.end() < len(text))
+            ids += enc.encode_ordinary(text[at:run.start()])
+            ids += enc._encode_single_piece(text[run.start():end])
+            at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 PIECE_FIELDS = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                 T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())]
 
@@ -93,7 +113,7 @@ def tokenise(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer:
                 part = batch.slice(at, 256)
                 rows, piece, start, length, ids = [], [], [], [], []
                 for row, t in enumerate(part.column(1).to_pylist()):
-                    own = enc.encode_ordinary(t) if t else []
+                    own = encode(enc, t) if t else []
                     own.append(end_id)
                     raw = np.array(own, dtype="<u4").tobytes()
                     for k, (s, n) in enumerate(piece_spans(len(own), capacity)):

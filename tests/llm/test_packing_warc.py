@@ -30,6 +30,17 @@ def test_ids_equal_the_tokenizer_files(reference_ids):
         assert [*enc.encode_ordinary(t), packing.END_ID] == reference_ids(t), repr(t)
 
 
+def test_ids_of_long_runs_equal_the_tokenizer_files(spark, reference_ids):
+    runs = [" " * 3_000_000, "\n" * 1_500_000, "a " + " \n\t\u3000\xa0\x85" * 300_000 + "b", "x\n" + "\n" * 1_200_000 + ".",
+            "\t" * 1_100_000 + "7 c" + " " * 1_100_000 + "é  d", "\x1c" * 200_000 + " " * 150_000 + "'s", "y" * 1_500_000]
+    df = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string")
+    got = {}
+    for r in packing.tokenise(df).orderBy("doc_id", "piece").collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], b"") + bytes(r["ids"])
+    for i, t in enumerate(runs):
+        assert got[i] == b"".join(k.to_bytes(4, "little") for k in reference_ids(t)), i
+
+
 def check_places(rows, capacity):
     by = {}
     for r in rows:
