@@ -43,7 +43,7 @@ def load_encoding(tokenizer: str):
 
     The file's merges are in order of their ids, which is what a rank table
     states, so both libraries give the same ids; the file is refused if that
-    does not hold. Strings of special tokens in a text are ordinary text.
+    does not hold. ``encode`` gives the file's added tokens their ids.
     """
     import json
 
@@ -58,7 +58,9 @@ def load_encoding(tokenizer: str):
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
+    if any(t.get(k) for t in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{tokenizer}: added tokens that depend on the text around them")
     vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
     for i, m in enumerate(merges):
         if vocab["".join(m.split(" ") if isinstance(m, str) else m)] != 256 + i:
@@ -66,13 +68,25 @@ def load_encoding(tokenizer: str):
     if spec.get("normalizer") or spec["pre_tokenizer"].get("type") != "ByteLevel":
         raise ValueError(f"{tokenizer}: not a plain byte-level BPE")
     ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
-    return tiktoken.Encoding(tokenizer, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(tokenizer, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 def encode(enc, text: str) -> list[int]:
-    """Ids of a text of any length. The split pattern takes a run of white
-    space up to its last character as one piece (at the end of the text the
-    whole run), so such a piece may be encoded on its own."""
+    """Ids of a text as the tokenizer file gives them: its added tokens first
+    (the longest where two begin), then the text between them."""
+    added = sorted(enc.special_tokens_set, key=len, reverse=True)
+    if not any(a in text for a in added):
+        return encode_between(enc, text)
+    ids = []
+    for i, part in enumerate(re.split("(" + "|".join(map(re.escape, added)) + ")", text)):
+        ids += [enc.encode_single_token(part)] if i % 2 else encode_between(enc, part)
+    return ids
+
+
+def encode_between(enc, text: str) -> list[int]:
+    """Ids of a text of any length without added tokens. The split pattern
+    takes a run of white space up to its last character as one piece (at the
+    end of the text the whole run), so such a piece may be encoded alone."""
     ids, at = [], 0
     if len(text) >= LONG_RUN:
         for run in re.finditer(f"[{SPACES}]{{{LONG_RUN},}}", text):

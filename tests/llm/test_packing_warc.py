@@ -41,6 +41,22 @@ def test_ids_of_long_runs_equal_the_tokenizer_files(spark, reference_ids):
         assert got[i] == b"".join(k.to_bytes(4, "little") for k in reference_ids(t)), i
 
 
+def test_added_tokens_have_the_ids_of_the_tokenizer_as_loaded(spark):
+    import public_tokenizers
+    tok = tokenizers.Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"  {end}\n\n{end}  x", f"it{end}'s <|endoftext|", f"<|{end}|>", f"{end} " * 2000,
+             " " * 120_000 + end + "\n" * 120_000, "none"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in packing.tokenise(df).orderBy("doc_id", "piece").collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], b"") + bytes(r["ids"])
+    for i, t in enumerate(texts):
+        want = [*tok.encode(t, add_special_tokens=False).ids, packing.END_ID]
+        assert got[i] == b"".join(k.to_bytes(4, "little") for k in want), t[:60]
+    assert got[0] == b"".join(k.to_bytes(4, "little") for k in (64, 220, 50256, 275, packing.END_ID))
+
+
 def check_places(rows, capacity):
     by = {}
     for r in rows:
