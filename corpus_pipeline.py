@@ -37,11 +37,11 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = neardup.LINK_PERCENT) -> DataFrame:
     """The first document of each near-duplicate group; of rows with its id,
     one. Documents without words are in no group, and stay."""
     key = free_name(docs.columns, "kept_id")
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    kept = neardup.near_duplicates(docs, percent=percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
     return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
             .dropDuplicates(["doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
 

@@ -1,13 +1,13 @@
 """Near-duplicate documents: chosen-path set similarity join.
 
 A document is the set of its distinct five-word shingles. Documents with equal
-sets are one class. Class representatives walk down ``TREES`` independent
-trees: at a node a document follows the branch of its minwise token (the
+sets are one class. Class representatives walk down independent trees: at a node a document follows the branch of its minwise token (the
 smallest under the node's hash). A node of at most ``SMALL`` documents is
 compared exhaustively; a larger one branches again, by ``BRANCH`` minwise
 tokens chosen from the node's path, so that a similar pair meets in some leaf
 with the target recall. A node that branching cannot break up after
-``LEVELS`` is compared by pairs of blocks instead, so nothing is capped.
+``LEVELS`` is compared by pairs of blocks instead, so nothing is capped. The
+link bound sets the number of trees and the agreement asked of signatures.
 
 Inside a compared cell, signatures name likely pairs. First the pairs of a
 maximum spanning forest are confirmed on full sets and joined into components;
@@ -27,12 +27,12 @@ from .common import for_workers, landed, read_table
 
 SHINGLE_WORDS = 5
 LINK_PERCENT = 85       # link if 100 * common >= LINK_PERCENT * union
-TREES = 8
 BRANCH = 2
 LEVELS = 4
 SMALL = 2048            # documents compared exhaustively
 SIGNATURE = 128         # minwise values, a byte each, of a signature
-LIKELY = 0.70           # signature agreement of pairs to confirm (4.7 sigma under 0.85)
+UNMET = 1e-6            # chance that a pair at the link bound meets in no tree ...
+UNLIKE = 1e-5           # ... and that its signatures agree too little to be confirmed
 
 # Hash constants: odd 64-bit numbers drawn from a fixed seed by rule below.
 SEED = 20240229
@@ -40,14 +40,35 @@ SEED = 20240229
 PROFILE = "doc_id long, n_shingles long, set_key binary, roots array<long>, signature binary"
 
 
-def _constants():
+def trees(percent: int) -> int:
+    """Trees for a pair at the link bound to meet but with chance UNMET, if it
+    has to pass all levels: a branch goes on with the pair's similarity."""
+    same, lost = percent / 100, 0.0
+    for _ in range(LEVELS):
+        lost = (1 - same + same * lost) ** BRANCH
+    apart = 1 - same * (1 - lost)
+    return max(1, math.ceil(math.log(UNMET) / math.log(apart))) if apart > 0 else 1
+
+
+def agreement(percent: int) -> int:
+    """Places of a signature in which a pair at the link bound agrees but with
+    chance UNLIKE (a lower binomial tail)."""
+    same, below = percent / 100, 0.0
+    for k in range(SIGNATURE):
+        below += math.comb(SIGNATURE, k) * same ** k * (1 - same) ** (SIGNATURE - k)
+        if below > UNLIKE:
+            return k
+    return SIGNATURE
+
+
+def _constants(n_trees: int):
     import numpy as np
 
     rng = np.random.default_rng(SEED)
     def odd(n):
         return rng.integers(0, 1 << 63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return {"byte": odd(1)[0], "word": odd(SHINGLE_WORDS + 1), "min": odd(TREES + SIGNATURE),
-            "add": odd(TREES + SIGNATURE), "key": odd(2)}
+    return {"byte": odd(1)[0], "word": odd(SHINGLE_WORDS + 1), "min": odd(n_trees + SIGNATURE),
+            "add": odd(n_trees + SIGNATURE), "key": odd(2)}
 
 
 def _mix(h):
@@ -66,10 +87,10 @@ class Shingler:
 
     SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
-    def __init__(self):
+    def __init__(self, n_trees: int = 1):
         import numpy as np
 
-        self.c = _constants()
+        self.c = _constants(n_trees)
         self.lower = np.arange(256, dtype=np.uint64)
         self.lower[65:91] += np.uint64(32)
         self.lower += np.uint64(1)
@@ -120,7 +141,7 @@ class Shingler:
         """Minwise values of a set under all hash functions."""
         import numpy as np
 
-        out = np.full(TREES + SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
+        out = np.full(len(self.c["min"]), np.iinfo(np.uint64).max, np.uint64)
         for at in range(0, len(s), 512):
             out = np.minimum(out, (s[at:at + 512, None] * self.c["min"] + self.c["add"]).min(axis=0))
         return out
@@ -132,7 +153,7 @@ class Shingler:
             + np.uint64(len(s)).tobytes()
 
 
-def profiles(docs: DataFrame, id: str, text: str) -> DataFrame:
+def profiles(docs: DataFrame, id: str, text: str, n_trees: int) -> DataFrame:
     """Set size, set key (equal sets have equal keys), one branch a tree and
     the signature of every document; whole texts, one row a row."""
     for_workers(docs.sparkSession)
@@ -142,7 +163,7 @@ def profiles(docs: DataFrame, id: str, text: str) -> DataFrame:
         import pyarrow as pa
 
         from .byteops import text_bytes
-        sh = Shingler()
+        sh = Shingler(n_trees)
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
@@ -153,8 +174,8 @@ def profiles(docs: DataFrame, id: str, text: str) -> DataFrame:
                     n.append(len(s))
                     m = _mix(sh.minima(s)) if len(s) else None
                     key.append(sh.set_key(s) if len(s) else None)
-                    roots.append(m[:TREES].view(np.int64) if len(s) else None)
-                    sig.append(m[TREES:].astype(np.uint8).tobytes() if len(s) else None)
+                    roots.append(m[:n_trees].view(np.int64) if len(s) else None)
+                    sig.append(m[n_trees:].astype(np.uint8).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
                      pa.array(roots, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
@@ -270,11 +291,11 @@ def _cells(batches):
         yield t, start[:-1], start[1:]
 
 
-def likely_pairs(sig):
-    """(i, j, agreement) of rows of ``sig`` that agree in LIKELY of places."""
+def likely_pairs(sig, need: int):
+    """(i, j, agreement) of rows of ``sig`` that agree in ``need`` places."""
     import numpy as np
 
-    need, out = math.ceil(LIKELY * SIGNATURE), []
+    out = []
     for a in range(0, len(sig), 64):
         own = sig[a:a + 64]
         same = (own[:, None, :] == sig[None, a:, :]).sum(axis=2, dtype=np.int16)
@@ -308,7 +329,7 @@ def _dealt(cells: DataFrame) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell", "doc")
 
 
-def spanning_pairs(cells: DataFrame) -> DataFrame:
+def spanning_pairs(cells: DataFrame, need: int) -> DataFrame:
     """Maximum spanning forest of the likely pairs of each cell: distinct
     (a, b). Cells come as (cell, doc, signature)."""
     def pairs(batches):
@@ -321,11 +342,11 @@ def spanning_pairs(cells: DataFrame) -> DataFrame:
             a, b = [], []
             two = first[last - first == 2]
             if len(two):
-                hit = two[(sig[two] == sig[two + 1]).sum(axis=1) >= LIKELY * SIGNATURE]
+                hit = two[(sig[two] == sig[two + 1]).sum(axis=1) >= need]
                 a.append(doc[hit])
                 b.append(doc[hit + 1])
             for s, e in zip(first[last - first > 2], last[last - first > 2], strict=True):
-                i, j, same = likely_pairs(sig[s:e])
+                i, j, same = likely_pairs(sig[s:e], need)
                 order = np.lexsort((doc[s + j], doc[s + i], -same))
                 kept = order[forest(e - s, i[order], j[order])] if len(order) else order
                 a.append(doc[s + i[kept]])
@@ -408,7 +429,7 @@ def links_between(cells: DataFrame, percent: int) -> DataFrame:
     return _dealt(cells).select("cell", "doc", "label", "set").mapInArrow(find, "a long, b long").distinct()
 
 
-def doubtful(cells: DataFrame) -> DataFrame:
+def doubtful(cells: DataFrame, need: int) -> DataFrame:
     """(cell, doc, label) of documents that have a likely partner with another
     label in the cell. Cells come as (cell, doc, label, signature)."""
     def find(batches):
@@ -421,7 +442,7 @@ def doubtful(cells: DataFrame) -> DataFrame:
             mark = np.zeros(len(label), bool)
             for s, e in zip(first, last, strict=True):
                 if e - s > 1 and (label[s:e] != label[s]).any():
-                    i, j, _ = likely_pairs(sig[s:e])
+                    i, j, _ = likely_pairs(sig[s:e], need)
                     differ = label[s + i] != label[s + j]
                     mark[s + i[differ]] = True
                     mark[s + j[differ]] = True
@@ -472,7 +493,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     null_id = -(1 << 63)
     own = docs.select(F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(null_id)).alias("doc_id"),
                       F.col(f"`{text}`").alias("text"))
-    every = landed(profiles(own, "doc_id", "text"), "profiles")
+    need = agreement(percent)
+    every = landed(profiles(own, "doc_id", "text", trees(percent)), "profiles")
     some = every.where("n_shingles > 0")
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     member = some.select("doc_id", "set_key").join(classes, "set_key").select("doc_id", "rep")
@@ -494,7 +516,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
         tied = stuck.select("node", F.xxhash64("node", part).alias("cell"), "doc")
         first = first.unionByName(tied.select("cell", "doc").unionByName(
             tied.select("node", "cell").distinct().join(pivots, "node").select("cell", "doc")).distinct())
-    pairs = landed(spanning_pairs(first.join(sig, "doc").select("cell", "doc", "signature")), "pairs")
+    pairs = landed(spanning_pairs(first.join(sig, "doc").select("cell", "doc", "signature"), need), "pairs")
 
     asked = pairs.select(F.col("a").alias("d")).unionByName(pairs.select(F.col("b").alias("d"))).distinct()
     sets = landed(_sets_of(own, asked, reps), "sets")
@@ -514,7 +536,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
         wide = labelled(stuck.select("node", "doc"))
         more = block_cells(wide.select("node", "doc", "label"))
         again = again.select("cell", "doc", "label").unionByName(labelled(more).select("cell", "doc", "label"))
-    open_rows = landed(doubtful(again.join(sig, "doc").select("cell", "doc", "label", "signature")), "doubtful")
+    open_rows = landed(doubtful(again.join(sig, "doc").select("cell", "doc", "label", "signature"), need), "doubtful")
     # Every document of a doubtful pair has been in a likely pair before, so its set is there.
     found = links_between(open_rows.join(sets.select(F.col("doc_id").alias("doc"), "set"), "doc")
                           .select("cell", "doc", "label", "set"), percent)

@@ -70,6 +70,44 @@ def test_components_against_brute_force(spark, monkeypatch, seed, small):
     assert got(neardup.near_duplicates(df)) == brute(rows)
 
 
+def edited(seed, pairs, n=300):
+    """Pairs of texts of ``n`` shingles of which 30 differ: Jaccard 270 / 330."""
+    rows = []
+    for p in range(pairs):
+        words = [f"{seed}w{p}x{k}" for k in range(n + 4)]
+        other = list(words)
+        for k in range(6):
+            other[20 + 45 * k] = f"new{p}x{k}"
+        rows += [(2 * p, " ".join(words)), (2 * p + 1, " ".join(other))]
+    return rows
+
+
+def test_candidates_follow_the_bound(spark, messy):
+    import corpus_pipeline as cp
+
+    rows = edited(1, 1500)
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.80 < len(a & b) / len(a | b) < 0.85
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert neardup.near_duplicates(df).where("kept").count() == 3000
+    assert neardup.near_duplicates(df, percent=80).where("kept").count() == 1500
+    assert cp.one_of_each(spark, df, SF, 80).count() == 1500
+    assert cp.one_of_each(spark, df, SF).count() == 3000
+    # Signatures of pairs at a bound fall short of the agreement asked hardly ever.
+    assert (neardup.agreement(85), neardup.trees(85)) == (90, 8)
+    rng = np.random.default_rng(3)
+    for percent in (85, 80, 70, 50):
+        same = rng.binomial(neardup.SIGNATURE, percent / 100, size=200_000)
+        assert (same < neardup.agreement(percent)).mean() < 5e-5 and neardup.trees(percent) >= neardup.trees(85)
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_components_at_other_bounds(spark, percent):
+    rows = copies(4, groups=20)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(neardup.near_duplicates(df, percent=percent)) == brute(rows, percent)
+
+
 def test_near_duplicates_of_awkward_rows(messy, no_docs, messy_rows):
     out = neardup.near_duplicates(messy).collect()
     null = -1 << 63
