@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamstat.llm import langid, mixing, neardup, packing, toxicity
-from seamstat.llm.common import free_name, landed, read_table
+from seamstat.llm.common import WORD_PATTERN, free_name, landed, read_table
 
 MIN_LANGUAGE_SCORE = 0.3    # mean probability a position of the best language
 
@@ -38,12 +38,18 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = neardup.LINK_PERCENT) -> DataFrame:
-    """The first document of each near-duplicate group; of rows with its id,
-    one. Documents without words are in no group, and stay."""
-    key = free_name(docs.columns, "kept_id")
-    kept = neardup.near_duplicates(docs, percent=percent).where("kept").select(F.col("doc_id").alias(key)).distinct()
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
-            .dropDuplicates(["doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The first row of each near-duplicate group, whatever the ids of its
+    rows. Documents without words are in no group, and stay."""
+    first = (neardup.grouped(docs, percent=percent).where("component IS NOT NULL").groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "text_key")).alias("first"))
+             .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")))
+    key = free_name(docs.columns, "text_key")
+    words = F.coalesce(F.col("text").rlike(WORD_PATTERN), F.lit(False))
+    own = docs.where(words).withColumn(key, neardup.text_key(F.col("text"))).alias("own")
+    kept = own.join(first.alias("first"), F.col("own.doc_id").eqNullSafe(F.col("first.kept_id"))
+                    & (F.col(f"own.{key}") == F.col("first.kept_key")), "left_semi").dropDuplicates(["doc_id", key])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).unionByName(docs.where(~words).select(*columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

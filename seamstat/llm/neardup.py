@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import for_workers, landed, read_table
@@ -37,7 +37,7 @@ UNLIKE = 1e-5           # ... and that its signatures agree too little to be con
 # Hash constants: odd 64-bit numbers drawn from a fixed seed by rule below.
 SEED = 20240229
 
-PROFILE = "doc_id long, n_shingles long, set_key binary, roots array<long>, signature binary"
+PROFILE = "doc_id long, text_key binary, n_shingles long, set_key binary, roots array<long>, signature binary"
 
 
 def trees(percent: int) -> int:
@@ -153,9 +153,10 @@ class Shingler:
             + np.uint64(len(s)).tobytes()
 
 
-def profiles(docs: DataFrame, id: str, text: str, n_trees: int) -> DataFrame:
+def profiles(docs: DataFrame, n_trees: int) -> DataFrame:
     """Set size, set key (equal sets have equal keys), one branch a tree and
-    the signature of every document; whole texts, one row a row."""
+    the signature of every document; whole texts, one row a row. Documents
+    come as (doc_id, text_key, text)."""
     for_workers(docs.sparkSession)
 
     def profile(batches):
@@ -167,7 +168,7 @@ def profiles(docs: DataFrame, id: str, text: str, n_trees: int) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                raw, off = text_bytes(part.column(1))
+                raw, off = text_bytes(part.column(2))
                 n, key, roots, sig = [], [], [], []
                 for j in range(part.num_rows):
                     s = sh.shingles(raw[off[j]:off[j + 1]])
@@ -177,16 +178,15 @@ def profiles(docs: DataFrame, id: str, text: str, n_trees: int) -> DataFrame:
                     roots.append(m[:n_trees].view(np.int64) if len(s) else None)
                     sig.append(m[n_trees:].astype(np.uint8).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
                      pa.array(roots, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                    ["doc_id", "n_shingles", "set_key", "roots", "signature"])
+                    ["doc_id", "text_key", "n_shingles", "set_key", "roots", "signature"])
 
-    return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")) \
-        .mapInArrow(profile, PROFILE)
+    return docs.select("doc_id", "text_key", "text").mapInArrow(profile, PROFILE)
 
 
-def shingle_sets(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc_id, set): sorted distinct shingle hashes, eight bytes each."""
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc, set) from (doc, text): sorted distinct shingle hashes, eight bytes each."""
     def sets(batches):
         import pyarrow as pa
 
@@ -198,10 +198,9 @@ def shingle_sets(docs: DataFrame, id: str, text: str) -> DataFrame:
                 raw, off = text_bytes(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([sh.shingles(raw[off[j]:off[j + 1]]).tobytes()
-                                               for j in range(part.num_rows)], pa.binary())], ["doc_id", "set"])
+                                               for j in range(part.num_rows)], pa.binary())], ["doc", "set"])
 
-    return docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")) \
-        .mapInArrow(sets, "doc_id long, set binary")
+    return docs.select("doc", "text").mapInArrow(sets, "doc long, set binary")
 
 
 def leaves(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -210,7 +209,7 @@ def leaves(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     Only the node and the document's number move while nodes are counted;
     signatures are fetched for documents that share a node with another.
     """
-    rows = reps.select(F.col("doc_id").alias("doc"), F.posexplode("roots").alias("tree", "token")).select(
+    rows = reps.select("doc", F.posexplode("roots").alias("tree", "token")).select(
         "doc", F.xxhash64("tree", "token").alias("node"))
     small, stuck = [], None
     for level in range(LEVELS + 1):
@@ -224,7 +223,7 @@ def leaves(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             stuck = large
             break
         place = F.pmod(F.xxhash64("node", "branch"), F.lit(SIGNATURE)).cast("int")
-        rows = (large.join(reps.select(F.col("doc_id").alias("doc"), "signature"), "doc")
+        rows = (large.join(reps.select("doc", "signature"), "doc")
                 .withColumn("branch", F.explode(F.sequence(F.lit(0), F.lit(BRANCH - 1))))
                 .select("doc", F.xxhash64("node", "branch", F.substring("signature", place + 1, F.lit(1))).alias("node")))
     out = small[0]
@@ -382,8 +381,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))],
                                              ["a", "b"])
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y"))
+    left = sets.select(F.col("doc").alias("a"), F.col("set").alias("x"))
+    right = sets.select(F.col("doc").alias("b"), F.col("set").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
@@ -480,33 +479,44 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         e = new
 
 
+def text_key(text) -> Column:
+    """Sixteen bytes that tell texts apart (null text: null)."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
                     percent: int = LINK_PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: one row per row.
 
     A null text, or one without words, has an empty set and is linked with
-    nothing. Rows with equal ids are one document for the components; each
-    keeps its own set size. A null id is the smallest id there is (its
-    component_id is null). Equal texts are always in one component. Extra
-    columns are not read. An empty table gives an empty result.
+    nothing. Rows are linked by their texts alone: rows with equal ids, or
+    null ones, are documents of their own. ``component_id`` is the smallest id
+    of the component; a null id is the smallest there is (component_id is null
+    then). Equal texts are always in one component. Extra columns are not
+    read. An empty table gives an empty result.
     """
+    return grouped(docs, id, text, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
+    """``near_duplicates`` with ``text_key`` and ``component``, a number for
+    each component (null without words), which ids do not tell apart."""
     null_id = -(1 << 63)
     own = docs.select(F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(null_id)).alias("doc_id"),
-                      F.col(f"`{text}`").alias("text"))
+                      text_key(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text"))
     need = agreement(percent)
-    every = landed(profiles(own, "doc_id", "text", trees(percent)), "profiles")
+    every = landed(profiles(own, trees(percent)), "profiles")
     some = every.where("n_shingles > 0")
-    classes = some.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    member = some.select("doc_id", "set_key").join(classes, "set_key").select("doc_id", "rep")
-    # An id with several sets joins the classes of all of them.
-    same_id = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
-    reps = landed(some.join(classes.select(F.col("set_key").alias("k"), "rep"),
-                            (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep")))
-                  .dropDuplicates(["doc_id", "set_key"])
-                  .select("doc_id", "set_key", "roots", "signature"), "classes")
+    # One row stands for its class of equal sets, under a number of its own.
+    classes = some.groupBy(F.col("set_key").alias("k")).agg(F.min(F.struct("doc_id", "text_key")).alias("rep"))
+    reps = landed(some.join(classes, (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep.doc_id"))
+                            & (F.col("text_key") == F.col("rep.text_key")))
+                  .dropDuplicates(["set_key"])
+                  .select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text_key", "set_key", "roots",
+                          "signature"), "classes")
 
     small, stuck = leaves(reps)
-    sig = reps.select(F.col("doc_id").alias("doc"), "signature")
+    sig = reps.select("doc", "signature")
     cells = small.withColumnRenamed("node", "cell")
     first = cells
     if stuck is not None:
@@ -538,25 +548,29 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
         again = again.select("cell", "doc", "label").unionByName(labelled(more).select("cell", "doc", "label"))
     open_rows = landed(doubtful(again.join(sig, "doc").select("cell", "doc", "label", "signature"), need), "doubtful")
     # Every document of a doubtful pair has been in a likely pair before, so its set is there.
-    found = links_between(open_rows.join(sets.select(F.col("doc_id").alias("doc"), "set"), "doc")
+    found = links_between(open_rows.join(sets, "doc")
                           .select("cell", "doc", "label", "set"), percent)
-    all_links = links.unionByName(found).unionByName(same_id.select("a", "b"))
-    label = components(all_links)
+    label = components(links.unionByName(found)).withColumnRenamed("doc", "l_doc")
 
-    least = member.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(
-        label, F.col("rep") == F.col("doc"), "left").select(
-        F.col("doc_id").alias("m_id"), F.coalesce("label", "rep").alias("component"))
-    out = every.select("doc_id", "n_shingles").join(least, F.col("doc_id") == F.col("m_id"), "left")
-    root = F.coalesce("component", "doc_id")
-    real = F.when(F.col("doc_id") != null_id, F.col("doc_id"))
-    return out.select(real.alias("doc_id"), "n_shingles", F.when(root != null_id, root).alias("component_id"),
-                      (F.col("doc_id") == root).alias("kept"))
+    member = reps.join(label, F.col("doc") == F.col("l_doc"), "left").select(
+        F.col("set_key").alias("k"), F.col("doc_id").alias("least"), F.coalesce("label", "doc").alias("component"))
+    roots = member.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("root"))
+    member = member.join(roots, F.col("component") == F.col("c")).select("k", "component", "root")
+    rows = some.select("doc_id", "text_key", "n_shingles", "set_key").join(member, F.col("set_key") == F.col("k"))
+    out = rows.select("doc_id", "text_key", "n_shingles", "component", "root").unionByName(
+        every.where("n_shingles = 0").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component"),
+                                             F.col("doc_id").alias("root")))
+    return out.select(F.when(F.col("doc_id") != null_id, F.col("doc_id")).alias("doc_id"), "text_key", "n_shingles",
+                      "component", F.when(F.col("root") != null_id, F.col("root")).alias("component_id"),
+                      (F.col("doc_id") == F.col("root")).alias("kept"))
 
 
 def _sets_of(own: DataFrame, asked: DataFrame, reps: DataFrame) -> DataFrame:
-    """Sets of the asked representatives (the class's set, if an id has two)."""
-    wanted = own.join(asked, F.col("doc_id") == F.col("d"), "left_semi")
-    return shingle_sets(wanted, "doc_id", "text").dropDuplicates(["doc_id"])
+    """(doc, set) of the asked classes, from a text of each class's own row."""
+    wanted = asked.join(reps.select("doc", "doc_id", "text_key"), F.col("d") == F.col("doc")).select(
+        "doc", F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"))
+    texts = own.join(wanted, (F.col("doc_id") == F.col("r_id")) & (F.col("text_key") == F.col("r_key")))
+    return shingle_sets(texts).dropDuplicates(["doc"])
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

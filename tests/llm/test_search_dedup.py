@@ -118,6 +118,20 @@ def test_near_duplicates_of_awkward_rows(messy, no_docs, messy_rows):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("same_id", [None, 3])
+def test_rows_of_one_id_are_documents_of_their_own(spark, messy, same_id):
+    import corpus_pipeline as cp
+
+    texts = [prose(700 + k, 60) for k in range(40)]
+    rows = [(same_id, t) for t in texts] + [(100, texts[0] + " more"), (101, texts[1] + " more"), (same_id, texts[2]),
+                                            (same_id, None), (same_id, " "), (102, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sizes = neardup.grouped(df).where("component IS NOT NULL").groupBy("component").count().collect()
+    assert sorted(r["count"] for r in sizes) == [1] * 36 + [2] * 4
+    kept = sorted((r["text"] or "", r["doc_id"] or -1) for r in cp.one_of_each(spark, df, SF).collect())
+    assert kept == sorted([*((t, same_id or -1) for t in texts), ("", same_id or -1), (" ", same_id or -1)])
+
+
 def test_shingle_hashes_tell_texts_apart():
     sh = neardup.Shingler()
     texts = ["a b c d e", "a b c d f", "b a c d e", "a b c d", "a b c", "a", "b", "ab", "a b", "ab c d e f", "a bc d e f",
