@@ -547,7 +547,11 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
         more = block_cells(wide.select("node", "doc", "label"))
         again = again.select("cell", "doc", "label").unionByName(labelled(more).select("cell", "doc", "label"))
     open_rows = landed(doubtful(again.join(sig, "doc").select("cell", "doc", "label", "signature"), need), "doubtful")
-    # Every document of a doubtful pair has been in a likely pair before, so its set is there.
+    # Documents whose likely partners all lie in other blocks have been in no pair so far.
+    new = open_rows.select(F.col("doc").alias("d")).distinct().join(
+        sets.select(F.col("doc").alias("d")), "d", "left_anti")
+    if stuck is not None:
+        sets = sets.unionByName(landed(_sets_of(own, new, reps), "more-sets"))
     found = links_between(open_rows.join(sets, "doc")
                           .select("cell", "doc", "label", "set"), percent)
     label = components(links.unionByName(found)).withColumnRenamed("doc", "l_doc")

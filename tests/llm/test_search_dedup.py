@@ -108,6 +108,26 @@ def test_components_at_other_bounds(spark, percent):
     assert got(neardup.near_duplicates(df, percent=percent)) == brute(rows, percent)
 
 
+def test_pairs_that_meet_in_blocks_only(spark, monkeypatch):
+    """One tree, no branching and small cells: partners lie in other blocks."""
+    monkeypatch.setattr(neardup, "trees", lambda percent: 1)
+    monkeypatch.setattr(neardup, "LEVELS", 0)
+    monkeypatch.setattr(neardup, "SMALL", 8)
+    sh, hot = neardup.Shingler(1), prose(5, 30)
+
+    def least(t):
+        return sh.minima(sh.shingles(np.frombuffer(t.encode(), np.uint8)))[0]
+
+    # Unlike documents whose minwise token is in the shared sentence, each with one near copy.
+    pairs = [(f"{hot} {body} end", f"{hot} {body} stop{k}") for k, body in
+             ((k, prose(900 + k, 40).replace(" ", f"{k} ")) for k in range(1000))]
+    pairs = [p for p in pairs if least(p[0]) == least(p[1]) == least(hot)][:60]
+    assert len(pairs) == 60
+    rows = [(2 * k + i, t) for k, p in enumerate(pairs) for i, t in enumerate(p)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(neardup.near_duplicates(df)) == brute(rows)
+
+
 def test_near_duplicates_of_awkward_rows(messy, no_docs, messy_rows):
     out = neardup.near_duplicates(messy).collect()
     null = -1 << 63
