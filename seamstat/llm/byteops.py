@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import free_name
 
 
 def text_bytes(column):
@@ -39,30 +42,38 @@ def windows(offsets, width: int, step: int):
     return text, offsets[text] + end - width, end - before
 
 
-def stratified_rows(df: DataFrame, label: str, key: Column, per_label: int, max_labels: int) -> DataFrame | None:
-    """About ``per_label`` rows of each of the ``max_labels`` most frequent
-    labels, chosen by a hash of ``key``, with the hash as ``point``; at most
-    ``2 * per_label * max_labels`` rows. None without a labelled row.
+def stratified_rows(df: DataFrame, label: str, key: Column, per_label: int,
+                    max_rows: int | None = None) -> DataFrame | None:
+    """About ``per_label`` rows of every label, one at least, chosen by a hash
+    of ``key``, with the hash as ``point``; at most ``2 * per_label`` rows a
+    label. None without a labelled row. With more labels than ``max_rows``
+    allows at ``per_label`` rows each, every label has fewer rows.
 
     Rows with a null label are not drawn. The counts cover all rows.
     """
-    counts = (df.where(F.col(label).isNotNull()).groupBy(label).count()
-              .orderBy(F.desc("count"), label).limit(max_labels).collect())
+    point = F.pmod(F.xxhash64(key.cast("string"), F.lit("sample")), F.lit(1 << 30))
+    counts = (df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min(point).alias("least")).collect())
     if not counts:
         return None
-    point = F.pmod(F.xxhash64(key.cast("string"), F.lit("sample")), F.lit(1 << 30))
-    keep = F.lit(False)
-    for row in counts:
-        cut = min(1 << 30, int((1 << 30) * per_label / row["count"]) + 1)
-        keep = keep | ((F.col(label) == F.lit(row[0])) & (point < cut))
-    return df.where(keep).withColumn("point", point).orderBy("point", label).limit(2 * per_label * len(counts))
+    if max_rows is not None:
+        per_label = max(1, min(per_label, max_rows // len(counts)))
+    cuts = [(r["label"], max(r["least"] + 1, min(1 << 30, int((1 << 30) * per_label / r["n"]) + 1))) for r in counts]
+    name, cut, place = (free_name(df.columns, c) for c in ("cut_label", "cut_point", "cut_place"))
+    schema = T.StructType([T.StructField(name, df.schema[label].dataType), T.StructField(cut, T.LongType())])
+    cuts = F.broadcast(df.sparkSession.createDataFrame(cuts, schema))
+    drawn = df.withColumn("point", point).join(cuts, (F.col(label) == F.col(name)) & (F.col("point") < F.col(cut)))
+    first = Window.partitionBy(label).orderBy("point")
+    return (drawn.withColumn(place, F.row_number().over(first)).where(F.col(place) <= 2 * per_label)
+            .drop(name, cut, place).orderBy("point", label))
 
 
 def stratified_sample(df: DataFrame, label: str, columns: list[Column], key: Column, per_label: int,
                       max_labels: int) -> list:
-    """The same as a list on the driver: ``label``, ``point`` and ``columns``."""
+    """The same as a list on the driver: ``label``, ``point`` and ``columns``;
+    every label is drawn, and about ``per_label * max_labels`` rows in all."""
     rows = stratified_rows(df.select(F.col(label).alias("label"), *columns, key.alias("k")), "label", F.col("k"),
-                           per_label, max_labels)
+                           per_label, per_label * max_labels)
     return [] if rows is None else rows.collect()
 
 
@@ -79,7 +90,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, tex
     one = (labels.where(F.col(label).isin(0, 1) & train_if & F.col(f"`{id}`").isNotNull())
            .groupBy(F.col(f"`{id}`").alias("l_id")).agg(F.min(label).alias("lo"), F.max(label).alias("hi"))
            .where("lo = hi").select("l_id", F.col("lo").cast("int").alias("l_label")))
-    drawn = stratified_rows(one, "l_label", F.col("l_id"), per_label, 2)
+    drawn = stratified_rows(one, "l_label", F.col("l_id"), per_label)
     if drawn is None:
         return [], {}
     counts = {r["l_label"]: r["count"] for r in one.groupBy("l_label").count().collect()}

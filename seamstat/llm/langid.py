@@ -20,7 +20,7 @@ WINDOW = 128            # bytes a recurrent state runs over
 HIDDEN = 8              # units a direction
 BLOCK = 512             # windows computed together
 PER_LANG = 800          # bound of the sample: documents a language ...
-MAX_LANGS = 64          # ... of this many most frequent languages ...
+FULL_LANGS = 64         # ... fewer with more languages than this, all are learned ...
 SAMPLE_CHARS = 2_000    # ... and characters drawn from each document
 STEPS, BATCH, TRAIN_WINDOW, RATE = 700, 128, 48, 0.02
 UNDETERMINED = "und"
@@ -137,7 +137,9 @@ class ByteGRU:
 
 
 def train(samples, seed: int = 11, steps: int = STEPS) -> ByteGRU | None:
-    """Fit on (label, text) pairs, classes drawn evenly. None without any."""
+    """Fit on (label, text) pairs, classes drawn evenly; with more than
+    FULL_LANGS classes in more steps, so that none is read less. None without
+    any pair."""
     import numpy as np
 
     by: dict[str, list[bytes]] = {}
@@ -147,6 +149,7 @@ def train(samples, seed: int = 11, steps: int = STEPS) -> ByteGRU | None:
     labels = sorted(by)
     if not labels:
         return None
+    steps = steps * max(len(labels), FULL_LANGS) // FULL_LANGS
     net = ByteGRU(labels, ByteGRU.initial(len(labels)))
     rng = np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -185,8 +188,9 @@ def predict_batch(net: ByteGRU, column):
     own = np.diff(offsets)
     total = np.zeros((len(own), len(net.labels)))
     at = np.arange(WINDOW)
-    for i in range(0, len(text), BLOCK):
-        t, s, f = text[i:i + BLOCK], start[i:i + BLOCK], fresh[i:i + BLOCK]
+    block = max(1, BLOCK * FULL_LANGS // max(len(net.labels), FULL_LANGS))
+    for i in range(0, len(text), block):
+        t, s, f = text[i:i + block], start[i:i + block], fresh[i:i + block]
         seq = raw[(s + WINDOW)[None, :] + at[:, None]]
         # A short text's window reaches before it: not its neighbour's bytes.
         new = at[:, None] >= WINDOW - np.minimum(f, own[t])[None, :]
@@ -205,7 +209,8 @@ def training_rows(docs: DataFrame, id: str, text: str, lang: str, train_if) -> l
     at = F.pmod(F.xxhash64(F.col(f"`{id}`")), F.greatest(n - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
     part = F.substring(F.col(f"`{text}`"), at, F.lit(SAMPLE_CHARS))
     own = docs.where(F.coalesce(train_if, F.lit(False)) & F.col(f"`{text}`").rlike(r"\p{L}"))
-    return stratified_sample(own, lang, [part.alias("part")], F.col(f"`{id}`"), PER_LANG, MAX_LANGS)
+    key = F.coalesce(F.col(f"`{id}`").cast("string"), F.xxhash64(F.col(f"`{text}`")).cast("string"))
+    return stratified_sample(own, lang, [part.alias("part")], key, PER_LANG, FULL_LANGS)
 
 
 def identify(docs: DataFrame, net: ByteGRU | None, text: str = "text") -> DataFrame:

@@ -156,3 +156,16 @@ def test_sample_is_bounded_and_stratified(spark):
     rows = byteops.stratified_sample(df, "label", [F.col("id")], F.col("id"), 80, 5)
     by = {k: sum(r["label"] == k for r in rows) for k in ("rare", "often")}
     assert 50 <= by["rare"] <= 110 and 50 <= by["often"] <= 110 and len(rows) == sum(by.values())
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 2)
+    rows = [(None if k == 150 else 1000 * k + j, f"l{k}", f"text {k} {j}") for k in range(151)
+            for j in range(1 if k % 10 == 0 else 30)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    train = {lang for i, lang, _ in rows if i is None or zlib.crc32(str(i).encode()) % 3 != 1}
+    monkeypatch.setattr(langid, "PER_LANG", 8)
+    drawn = langid.training_rows(df, "doc_id", "text", "lang", ~langid.held_out())
+    assert {r["label"] for r in drawn} == train and len(train) > 64
+    assert len(drawn) <= 2 * 8 * 64
+    assert langid.train([(r["label"], r["part"]) for r in drawn], steps=2).labels == sorted(train)
