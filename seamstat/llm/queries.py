@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, merkle, mixing, neardup, packing, quality, sharding, topk, toxicity, warc
+from . import (
+    collocations,
+    langid,
+    merge_pieces,
+    merkle,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    sharding,
+    topk,
+    toxicity,
+    warc,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": merkle.op8_fingerprints,
     "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
+    "op11_sentencepiece": merge_pieces.op11_sentencepiece,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -28,4 +45,5 @@ ORACLE: dict[str, str] = {
     "op8_fingerprints": merkle.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
