@@ -118,27 +118,36 @@ def _tables():
     return lower, gap, end
 
 
-def suffix_keys(texts: list[bytes], langs, number: dict, depth: int):
-    """Keys of all words of a block of texts: language, word, next word, ...
-    up to ``depth`` words, and -1 from the end of the word's piece on.
-    ``number`` numbers the words and grows."""
+def suffix_keys(texts: list[bytes], langs: list[bytes], depth: int):
+    """(names, keys): the distinct words of a block of texts, then the
+    languages, as an Arrow array; and for every word in the block its suffix
+    as places in ``names``: language, word, next word, ... up to ``depth``
+    words, and -1 from the end of the word's piece on."""
     import numpy as np
+    import pyarrow as pa
 
     lower, gap, end = _tables()
     raw = b"\n".join(texts)
     at = np.frombuffer(raw, np.uint8)
     gaps = gap[at]
-    start = np.flatnonzero(~gaps & np.concatenate([[True], gaps[:-1]])) if len(at) else np.zeros(0, np.int64)
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], gaps, [True]]).astype(np.int8)))
+    start, size = edge[::2], edge[1::2] - edge[::2]
     piece = np.cumsum(end[at], dtype=np.int32)[start]
-    words = [w for w in raw.translate(lower).split(b" ") if w]
-    word = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words))
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    letters = np.frombuffer(raw.translate(lower), np.uint8)[~gaps]
+    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    word, names = coded.indices.to_numpy(), coded.dictionary
+    tags = {x: len(names) + i for i, x in enumerate(dict.fromkeys(langs))}
     text_end = np.cumsum([len(t) + 1 for t in texts])
-    lang = np.asarray(langs, np.int32)[np.searchsorted(text_end, start, side="right")]
+    tag = np.array([tags[x] for x in langs], np.int32)
     keys = np.full((depth + 1, len(word)), -1, np.int32)
-    keys[0] = lang
+    if len(word):
+        keys[0] = tag[np.searchsorted(text_end, start, side="right")]
     for d in range(min(depth, len(word))):
         keys[d + 1, :len(word) - d] = np.where(piece[d:] == piece[:len(piece) - d], word[d:], -1)
-    return keys
+    # A language is a name that no word can be.
+    return pa.concat_arrays([names, pa.array([b"\n" + x for x in tags], pa.binary())]), keys
 
 
 def _mixed(h):
@@ -148,7 +157,21 @@ def _mixed(h):
     return h ^ (h >> np.uint64(29))
 
 
-def _routed(keys, names, row, depth, weight, buckets: int):
+def _places(own, size: int):
+    """(distinct values, each value's place among them) of integers below ``size``."""
+    import numpy as np
+
+    if len(own) * 8 < size:
+        return np.unique(own, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[own] = True
+    used = np.flatnonzero(seen)
+    place = np.zeros(size, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    return used, place[own]
+
+
+def _routed(names, keys, row, depth, weight, buckets: int):
     """Payload rows, one a bucket, of counted phrases: the names they use, and
     by phrase its number of keys, its keys (as places in the names) and count.
     The bucket follows from all of a phrase's keys, by their bytes."""
@@ -157,43 +180,41 @@ def _routed(keys, names, row, depth, weight, buckets: int):
     import numpy as np
     import pyarrow as pa
 
-    code = np.array([zlib.crc32(x) | zlib.crc32(x, 1) << 32 for x in names], np.uint64)
+    code = np.array([zlib.crc32(x) | zlib.crc32(x, 1) << 32 for x in names.to_pylist()], np.uint64)
     h = depth.astype(np.uint64)
     for d in range(keys.shape[0]):
         own = depth > d
         h[own] = _mixed(h[own] * np.uint64(0x9E3779B97F4A7C15) + code[keys[d, row[own]]])
     bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((depth, bucket))
+    kinds = keys.shape[0] + 1
+    order = np.argsort(bucket * kinds + depth, kind="stable")
     bucket, row, depth, weight = bucket[order], row[order], depth[order], weight[order]
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
-    out = {"bucket": [], "names": [], "lengths": [], "keys": [], "counts": []}
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, int)
+    used_all, lengths, packed, counts = [np.zeros(0, np.int64)], [], [], []
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-        long = depth[s:e]
-        own = np.concatenate([keys[:d, row[s:e][long == d]].T.ravel() for d in range(1, keys.shape[0] + 1)])
-        used, place = np.unique(own, return_inverse=True)
-        out["bucket"].append(int(bucket[s]))
-        out["names"].append([names[i] for i in used])
-        out["lengths"].append(np.bincount(long, minlength=keys.shape[0] + 1).astype(np.int64).tobytes())
-        out["keys"].append(place.astype(np.int32).tobytes())
-        out["counts"].append(weight[s:e].astype(np.int64).tobytes())
+        n = np.bincount(depth[s:e], minlength=kinds)
+        ends = s + np.cumsum(n)
+        own = np.concatenate([keys[:d, row[ends[d] - n[d]:ends[d]]].T.ravel() for d in range(1, kinds)])
+        used, place = _places(own, len(names))
+        used_all.append(used)
+        lengths.append(n.astype(np.int64).tobytes())
+        packed.append(place.astype(np.int32).tobytes())
+        counts.append(weight[s:e].astype(np.int64).tobytes())
+    offsets = np.concatenate([[0], np.cumsum([len(u) for u in used_all[1:]])]).astype(np.int32)
+    listed = pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(np.concatenate(used_all))))
     return pa.RecordBatch.from_arrays(
-        [pa.array(out["bucket"], pa.int32()), pa.array(out["names"], pa.list_(pa.binary())),
-         *(pa.array(out[c], pa.binary()) for c in ("lengths", "keys", "counts"))], list(out))
+        [pa.array(bucket[cuts[:-1]] if len(bucket) else [], pa.int32()), listed,
+         *(pa.array(c, pa.binary()) for c in (lengths, packed, counts))],
+        ["bucket", "names", "lengths", "keys", "counts"])
 
 
 def block_phrases(docs: DataFrame, buckets: int, depth: int) -> DataFrame:
     """Counts of all phrases of up to ``depth`` words within blocks of about
     ``BLOCK_BYTES``, packed a row per bucket. Texts come as (lang, text)."""
     def blocks(batches):
-        import numpy as np
-
         def flush(texts, langs):
-            number: dict[bytes, int] = {}
-            tags = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-            for x in tags:                  # languages are names of their own kind
-                number[b"\n" + x] = len(number)
-            keys = suffix_keys(texts, [tags[x] for x in langs], number, depth)
-            return _routed(keys, list(number), *equal_partitions(keys), buckets)
+            names, keys = suffix_keys(texts, langs, depth)
+            return _routed(names, keys, *equal_partitions(keys), buckets)
 
         texts, langs, size = [], [], 0
         for batch in batches:
@@ -223,11 +244,14 @@ def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        number: dict[bytes, int] = {}
         grouped: list[list] = [[] for _ in range(depth + 2)]
-        for r in table.select(["names", "lengths", "keys", "counts"]).to_pylist():
-            own = np.array([number.setdefault(x, len(number)) for x in r["names"]], np.int32)
-            keys = own[np.frombuffer(r["keys"], np.int32)]
+        listed = table.column("names").combine_chunks()
+        listed = listed.chunk(0) if isinstance(listed, pa.ChunkedArray) else listed
+        coded = listed.flatten().dictionary_encode()
+        number, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        first = listed.offsets.to_numpy() - listed.offsets[0].as_py()
+        for k, r in enumerate(table.select(["lengths", "keys", "counts"]).to_pylist()):
+            keys = number[first[k] + np.frombuffer(r["keys"], np.int32)]
             counts = np.frombuffer(r["counts"], np.int64)
             at = place = 0
             for d, n in enumerate(np.frombuffer(r["lengths"], np.int64).tolist()):
@@ -235,7 +259,6 @@ def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
                     grouped[d].append((keys[place:place + d * n].reshape(n, d).T, counts[at:at + n]))
                 at += n
                 place += d * n
-        names = list(number)
         lang, words, phrase, f = [], [], [], []
         for d in range(1, depth + 2):
             if not grouped[d]:
