@@ -30,6 +30,7 @@ LINK_PERCENT = 85       # link if 100 * common >= LINK_PERCENT * union
 BRANCH = 2
 LEVELS = 4
 SMALL = 2048            # documents compared exhaustively
+LOCAL_EDGES = 200_000   # edges joined by one task at a time
 SIGNATURE = 128         # minwise values, a byte each, of a signature
 UNMET = 1e-6            # chance that a pair at the link bound meets in no tree ...
 UNLIKE = 1e-5           # ... and that its signatures agree too little to be confirmed
@@ -81,43 +82,48 @@ def _mix(h):
 
 
 class Shingler:
-    """Shingle hashes of texts. A word's hash is a polynomial in its bytes
-    (lower-cased A-Z) modulo 2**64, taken from prefix sums; a shingle's is a
-    mix of its words' hashes by place."""
+    """Shingle hashes of texts. A word's hash is the sum, modulo 2**64, of a
+    mixed number for each byte (lower-cased A-Z) and its place in the word, so
+    no two patterns of bytes cancel by construction; a shingle's is a mix of
+    its words' hashes by place."""
 
     SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
+    PLACES = 32             # places of a word whose numbers are tabled
 
     def __init__(self, n_trees: int = 1):
         import numpy as np
 
         self.c = _constants(n_trees)
-        self.lower = np.arange(256, dtype=np.uint64)
-        self.lower[65:91] += np.uint64(32)
-        self.lower += np.uint64(1)
+        self.lower = np.arange(256, dtype=np.int64)
+        self.lower[65:91] += 32
         self.space = np.zeros(256, bool)
         self.space[list(self.SPACE)] = True
-        self.powers = self.inverse = np.ones(1, np.uint64)
+        self.table = self.numbers(np.repeat(np.arange(self.PLACES), 256), np.tile(self.lower, self.PLACES))
 
-    def _reach(self, n):
+    def numbers(self, place, byte):
+        """The mixed number of a byte (lower-cased) at a place of its word."""
         import numpy as np
 
-        if len(self.powers) <= n:
-            size = max(1 << 16, 1 << (n + 1).bit_length())
-            base = int(self.c["byte"])
-            self.powers = np.cumprod(np.full(size, base, np.uint64))
-            self.inverse = np.cumprod(np.full(size, pow(base, -1, 1 << 64), np.uint64))
+        return _mix((place.astype(np.uint64) * np.uint64(256) + byte.astype(np.uint64)) * self.c["byte"] + self.c["key"][1])
 
     def words(self, raw):
         """Hashes of the words of ``raw`` (bytes as numpy array)."""
         import numpy as np
 
-        n = len(raw)
-        self._reach(n)
         gap = self.space[raw]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
         start, end = edge[::2], edge[1::2]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.lower[raw] * self.powers[:n], dtype=np.uint64)])
-        value = (sums[end] - sums[start]) * self.inverse[start]
+        size = end - start
+        if not len(size):
+            return np.zeros(0, np.uint64)
+        letters = raw[~gap].astype(np.int64)
+        first = np.cumsum(size) - size
+        place = np.arange(len(letters)) - np.repeat(first, size)
+        far = place >= self.PLACES
+        number = self.table[np.where(far, 0, place) * 256 + letters]
+        if far.any():
+            number[far] = self.numbers(place[far], self.lower[letters[far]])
+        value = np.add.reduceat(number, first)
         return _mix(value ^ (end - start).astype(np.uint64) * self.c["key"][0])
 
     def shingles(self, raw):
@@ -388,14 +394,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def links_between(cells: DataFrame, percent: int) -> DataFrame:
     """Links inside cells between documents of different labels, confirmed on
-    full sets: (a, b), a spanning forest of the labels a cell. Cells come as
-    (cell, doc, label, set)."""
+    full sets: pairs of labels (a, b), a spanning forest of a cell's. Cells
+    come as (cell, doc, label, set)."""
     def find(batches):
         import numpy as np
         import pyarrow as pa
 
         for t, first, last in _cells(batches):
-            doc, label, raw = t.column(1).to_numpy(), t.column(2).to_numpy(), t.column(3).to_pylist()
+            label, raw = t.column(2).to_numpy(), t.column(3).to_pylist()
             a, b = [], []
             for s, e in zip(first, last, strict=True):
                 sets = [np.frombuffer(r, np.uint64) for r in raw[s:e]]
@@ -420,8 +426,8 @@ def links_between(cells: DataFrame, percent: int) -> DataFrame:
                 i, j = np.nonzero(np.triu(100 * common >= percent * (size[:, None] + size[None, :] - common), 1))
                 names, lab = np.unique(label[s:e], return_inverse=True)
                 for k in forest(len(names), lab[i], lab[j]):
-                    a.append(doc[s + i[k]])
-                    b.append(doc[s + j[k]])
+                    a.append(names[lab[i[k]]])
+                    b.append(names[lab[j[k]]])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -450,15 +456,54 @@ def doubtful(cells: DataFrame, need: int) -> DataFrame:
     return _dealt(cells).select("cell", "doc", "label", "signature").mapInArrow(find, "cell long, doc long, label long")
 
 
+def joined_here(edges: DataFrame) -> DataFrame:
+    """(u, v) edges of the same components, at most one a document: those of a
+    task's edges are joined where they lie, and each document points at the
+    smallest of its part. Fewer edges and shorter paths are left to the steps
+    between tasks."""
+    def local(batches):
+        up: dict[int, int] = {}
+
+        def top(x):
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = top(a), top(b)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            if len(up) > 2 * LOCAL_EDGES:
+                yield flush(up, top)
+                up.clear()
+        if up:
+            yield flush(up, top)
+
+    def flush(up, top):
+        import pyarrow as pa
+
+        ends = [(x, top(x)) for x in list(up)]
+        ends = [(x, y) for x, y in ends if x != y]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ends], pa.int64()), pa.array([y for _, y in ends], pa.int64())],
+                                          ["u", "v"])
+
+    return edges.select("u", "v").mapInArrow(local, "u long, v long")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(doc, label): the smallest document of each connected component, for
-    documents with an edge. Alternates large-star and small-star steps, which
-    halve distances, until the edges no longer change."""
+    documents with an edge. Each task first joins the edges it holds. While
+    there are more than ``LOCAL_EDGES`` edges, large-star and small-star steps
+    alternate, which halve distances, until the edges no longer change; a
+    smaller number of edges is joined by one task."""
     def low(e):
         return e.groupBy("u").agg(F.min("v").alias("m"))
 
-    e = landed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(),
-               label)
+    e = landed(joined_here(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")), label)
+    if e.count() <= LOCAL_EDGES:
+        return landed(joined_here(e.coalesce(1)), label).select(F.col("u").alias("doc"), F.col("v").alias("label"))
     while True:
         # Large star: every larger neighbour of u goes to the least of u's neighbourhood.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -554,10 +599,10 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
         sets = sets.unionByName(landed(_sets_of(own, new, reps), "more-sets"))
     found = links_between(open_rows.join(sets, "doc")
                           .select("cell", "doc", "label", "set"), percent)
-    label = components(links.unionByName(found)).withColumnRenamed("doc", "l_doc")
-
-    member = reps.join(label, F.col("doc") == F.col("l_doc"), "left").select(
-        F.col("set_key").alias("k"), F.col("doc_id").alias("least"), F.coalesce("label", "doc").alias("component"))
+    # The late links join components of the first ones; only those are joined again.
+    over = components(found, "merged").select(F.col("doc").alias("o_doc"), F.col("label").alias("o_label"))
+    member = labelled(reps).join(over, F.col("label") == F.col("o_doc"), "left").select(
+        F.col("set_key").alias("k"), F.col("doc_id").alias("least"), F.coalesce("o_label", "label").alias("component"))
     roots = member.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("root"))
     member = member.join(roots, F.col("component") == F.col("c")).select("k", "component", "root")
     rows = some.select("doc_id", "text_key", "n_shingles", "set_key").join(member, F.col("set_key") == F.col("k"))
