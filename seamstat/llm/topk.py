@@ -28,7 +28,8 @@ QUERY_BLOCK = 512
 SHARDS_PER_GROUP = 4
 LEAF = 128
 
-PART = "kind int, number long, query_id long, vec_id long, score long, payload binary"
+PART = "kind int, number long, asked long, query_id long, vec_id long, score long, payload binary"
+ASK_BITS = 32           # a query's number: its shard, then its place there
 SAFE = float(1 << 53)   # sums of integers below this are exact in doubles
 
 
@@ -183,7 +184,8 @@ def unpack_arrays(raw: bytes, n: int):
 
 def vectors_of(table, dims: int, scale: int):
     """(ids, integer vectors) of valid rows of an Arrow table (id, vector);
-    shorter vectors are filled with zeros."""
+    shorter vectors are filled with zeros. A component so large that a sum of
+    products could pass 62 bits raises an error."""
     import numpy as np
     import pyarrow as pa
 
@@ -191,7 +193,10 @@ def vectors_of(table, dims: int, scale: int):
     out = np.zeros((len(col), dims))
     for i, v in enumerate(col.to_numpy(zero_copy_only=False)):
         out[i, :len(v)] = v
-    return table.column(0).to_numpy().astype(np.int64), np.floor(scale * out).astype(np.int64)
+    whole = np.floor(scale * out)
+    if whole.size and np.abs(whole).max() > math.isqrt((1 << 62) // max(1, dims)) - 1:
+        raise ValueError("a vector's component is too large for exact 64-bit scores")
+    return table.column(0).to_numpy().astype(np.int64), whole.astype(np.int64)
 
 
 def valid_rows(df: DataFrame, id: str, vector: str) -> DataFrame:
@@ -212,8 +217,11 @@ def top_k(df: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int =
     ``floor(scale * x)``; ties go to the smaller id. Rows with a null id, a
     null vector or a null or non-finite component take no part; a shorter
     vector counts as filled with zeros. A row repeated with the same id and
-    vector counts once. Extra columns are not read. An empty table gives an
-    empty result.
+    vector counts once. Rows of one id with different vectors are queries of
+    their own, each with its own list (under the one ``query_id``), and
+    candidates of their own for other ids. A component for which sums of
+    products could pass 62 bits raises an error. Extra columns are not read.
+    An empty table gives an empty result.
     """
     for_workers(df.sparkSession)
     rows = valid_rows(df, id, vector)
@@ -231,27 +239,28 @@ def top_k(df: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int =
 
         ids, vec = vectors_of(table.select(["id", "v"]), dims, scale)
         shard = Shard.build(ids, vec, k)
-        out = {c: [] for c in ("kind", "number", "query_id", "vec_id", "score", "payload")}
+        out = {c: [] for c in ("kind", "number", "asked", "query_id", "vec_id", "score", "payload")}
 
         def put(*row):
             for c, x in zip(out, row, strict=True):
                 out[c].append(x)
 
         # Kind 0: a shard; 1: a query with its bar; 2: a result.
-        put(0, key[0].as_py(), None, None, None, pack_arrays(*shard.arrays()))
+        put(0, key[0].as_py(), None, None, None, None, pack_arrays(*shard.arrays()))
         asks = np.flatnonzero(ids % query_step == 0)
         asks = asks[np.lexsort((*vec[asks].T, ids[asks]))] if len(asks) and dims else asks
         asks = [a for j, a in enumerate(asks) if not j or ids[a] != ids[asks[j - 1]] or (vec[a] != vec[asks[j - 1]]).any()]
         top, top_ids = empty_top(len(asks), k)
         shard.search(ids[asks], vec[asks], top, top_ids)
         for j, a in enumerate(asks):
-            put(1, key[0].as_py(), int(ids[a]), None, int(top[j, -1]), pack_arrays(vec[a]))
+            asked = (key[0].as_py() << ASK_BITS) + j
+            put(1, key[0].as_py(), asked, int(ids[a]), None, int(top[j, -1]), pack_arrays(vec[a]))
             for s, i in zip(top[j].tolist(), top_ids[j].tolist(), strict=True):
                 if s != NONE:
-                    put(2, None, int(ids[a]), i, s, None)
+                    put(2, None, asked, int(ids[a]), i, s, None)
         return pa.table(out, schema=pa.schema([
-            ("kind", pa.int32()), ("number", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()),
-            ("score", pa.int64()), ("payload", pa.binary())]))
+            ("kind", pa.int32()), ("number", pa.int64()), ("asked", pa.int64()), ("query_id", pa.int64()),
+            ("vec_id", pa.int64()), ("score", pa.int64()), ("payload", pa.binary())]))
 
     dealt = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"))
     at_home = landed(dealt.applyInArrow(home, PART), "shards")
@@ -261,18 +270,19 @@ def top_k(df: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int =
     trees = at_home.where("kind = 0").select(
         "number", "payload", F.pmod(F.col("number"), F.lit(groups)).cast("int").alias("group"), every_block)
     asks = at_home.where("kind = 1").select(
-        "query_id", "number", "score", "payload",
-        F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), every_group)
+        "asked", "query_id", "number", "score", "payload",
+        F.pmod(F.xxhash64("asked", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), every_group)
 
     def away(_key, some, shards_of_group):
         """A block of queries against the shards of a group, one by one."""
         import numpy as np
         import pyarrow as pa
 
-        out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        out = pa.schema([("asked", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not some.num_rows or not shards_of_group.num_rows:
             return out.empty_table()
-        some = some.sort_by("query_id")
+        some = some.sort_by("asked")
+        asked = some.column("asked").to_numpy()
         ids = some.column("query_id").to_numpy()
         at = some.column("number").to_numpy()
         bar = some.column("score").to_numpy()
@@ -287,15 +297,16 @@ def top_k(df: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int =
             shard.search(ids[who], vec[who], t, i)
             top[who], top_ids[who] = t, i
         real = top_ids != MAX_ID
-        return pa.table([np.broadcast_to(ids[:, None], top.shape)[real], top_ids[real], top[real]], schema=out)
+        return pa.table([np.broadcast_to(asked[:, None], top.shape)[real], np.broadcast_to(ids[:, None], top.shape)[real],
+                         top_ids[real], top[real]], schema=out)
 
     if groups == 1 and shards == 1:
-        found = at_home.where("kind = 2").select("query_id", "vec_id", "score")
+        found = at_home.where("kind = 2").select("asked", "query_id", "vec_id", "score")
     else:
-        found = at_home.where("kind = 2").select("query_id", "vec_id", "score").unionByName(
+        found = at_home.where("kind = 2").select("asked", "query_id", "vec_id", "score").unionByName(
             asks.groupBy("block", "group").cogroup(trees.groupBy("block", "group"))
-            .applyInArrow(away, "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .applyInArrow(away, "asked long, query_id long, vec_id long, score long"))
+    best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
