@@ -5,11 +5,12 @@ replaced (SNK-03). Landed files are a streaming source and the table is
 partitioned by season and by a bucket of the key, so a micro-batch rewrites
 only the buckets of the games it carries, not their whole seasons.
 
-A batch is applied in two steps. Its new bucket contents are staged under the
-batch's number, closed by a marker; then they replace the touched partitions.
-A replay of the batch finds the staged contents and publishes them again
-without reading the table, so a failure between or during the steps neither
-loses stored rows nor doubles new ones.
+A batch is applied in two steps (``store.change_partitions``). Its new bucket
+contents are staged under the batch's number, closed by a marker; then they
+replace the touched partitions, which are the only ones read. A replay of the
+batch finds the staged contents and publishes them again without reading the
+table, so a failure between or during the steps neither loses stored rows nor
+doubles new ones.
 """
 
 from __future__ import annotations
@@ -17,31 +18,13 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from seamstat.operators.store import BUCKETS, change_partitions, with_bucket
 from seamstat.operators.tables import replace_keys
 from seamstat.session import ensure_checkpoint_dir
 
-BUCKETS = 64
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if there is none. Any other failure is
-    raised: a table that cannot be read is not an empty one."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def with_bucket(df: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
-
 
 def apply_batch(batch: DataFrame, table_path: str, key: Sequence[str], partition_col: str = "season",
                 row_key: Sequence[str] | None = None, staging: str | None = None,
@@ -56,20 +39,14 @@ def apply_batch(batch: DataFrame, table_path: str, key: Sequence[str], partition
     spark = batch.sparkSession
     staging = staging or os.path.join(ensure_checkpoint_dir(spark), "staged",
                                       os.path.basename(table_path.rstrip("/")))
-    staged, done = (os.path.join(staging, f"{batch_id}-{x}") for x in ("rows", "done"))
-    parts = [partition_col, "bucket"]
-    if _stored(spark, done) is None:
-        if row_key:
-            batch = batch.dropDuplicates(list(row_key))
-        new = with_bucket(batch, key, buckets)
-        current = _stored(spark, table_path)
-        if current is not None:
-            affected = current.join(new.select(*parts).distinct(), parts, "left_semi")
-            new = replace_keys(affected.select(*new.columns), new, key)
-        new.write.mode("overwrite").parquet(staged)
-        spark.range(1).write.mode("overwrite").parquet(done)
-    (spark.read.parquet(staged).repartitionByRange(*parts)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_path))
+    if row_key:
+        batch = batch.dropDuplicates(list(row_key))
+
+    def contents(current, new):
+        return new if current is None else replace_keys(current.select(*new.columns), new, key)
+
+    change_partitions(spark, table_path, with_bucket(batch, key, buckets), [partition_col, "bucket"], contents,
+                      staging, str(batch_id))
 
 
 def start_reload(spark: SparkSession, source_path: str, schema: StructType, table_path: str,
