@@ -18,6 +18,34 @@ def check_row_count(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.withColumn("stable", F.col("rows_before") == F.col("rows_after"))
 
 
+def observed(df: DataFrame, name: str, cols: Sequence[str] = ()):
+    """``df`` that counts its rows, and the non-null values of ``cols``, while
+    some job reads it, and the observation that holds the counts afterwards.
+    The counts belong to the first action that runs the returned rows."""
+    from pyspark.sql import Observation
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                      *[F.count(F.col(f"`{c}`")).alias(f"{c}_matched") for c in cols]), seen
+
+
+def observed_chain(base: DataFrame, chain, write, cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Row-count check and match rates of a join chain without a second pass
+    (DQ-01, DQ-03): rows are counted on their way in and on their way out of
+    ``chain`` (rows -> rows) while ``write`` (rows -> anything) runs it once.
+    Returns the two reports, as ``check_row_count`` and ``match_rate`` do."""
+    rows, before = observed(base, "before")
+    out, after = observed(chain(rows), "after", cols)
+    write(out)
+    spark = base.sparkSession
+    n0, n1 = before.get["n_rows"], after.get["n_rows"]
+    check = spark.createDataFrame([(n0, n1, n0 == n1)], "rows_before bigint, rows_after bigint, stable boolean")
+    matched = [after.get[f"{c}_matched"] for c in cols]
+    rates = spark.createDataFrame(
+        [(n1, *matched, *[m / n1 if n1 else None for m in matched])],
+        ", ".join(["n_rows bigint", *[f"{c}_matched bigint" for c in cols], *[f"{c}_rate double" for c in cols]]))
+    return check, rates
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")) \

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from seamstat.functions import codes as K
-from seamstat.functions.exprs import map_lookup, np_round, safe_num
+from seamstat.functions.exprs import map_lookup, py_round, safe_num
 from seamstat.sources.readers import from_text, read_csv_by_name
 from seamstat.sources.schemas import SPRINT_SPEED
 
@@ -113,20 +113,19 @@ def flatten_milb_batting(df: DataFrame, sport_id: str = "sport_id",
 def milb_pitching_rates(df: DataFrame, constants: DataFrame | None = None) -> DataFrame:
     """Per-nine rates and FIP of minor-league lines (DOM-24): k_9 = so*9/ip
     (2 decimals), k_bb = k_9 - bb_9 (a difference), FIP without HBP plus the
-    season constant or 3.10; null when innings are missing or zero. Python's
-    float rounding has no exact Spark twin; half-to-even on the binary value
-    is used."""
+    season constant or 3.10; null when innings are missing or zero. Rounded
+    as the language rounds floats, on the exact binary value."""
     ip = F.when(F.col("ip") > 0, F.col("ip").cast("double"))
     if constants is not None:
         df = df.join(constants.select("season", F.col("cfip").cast("double").alias("__cf")), "season", "left")
     else:
         df = df.withColumn("__cf", F.lit(None).cast("double"))
-    per9 = lambda x: np_round(F.col(x) * 9 / ip, 2)
+    per9 = lambda x: py_round(F.col(x) * 9 / ip, 2)
     out = df.withColumns({"k_9": per9("so"), "bb_9": per9("bb"), "hr_9": per9("hr")})
     fip = (13 * F.col("hr") + 3 * F.col("bb") - 2 * F.col("so")) / ip + \
         F.coalesce(F.col("__cf"), F.lit(K.MILB_FIP_CONSTANT_DEFAULT))
-    return out.withColumns({"k_bb": np_round(F.col("k_9") - F.col("bb_9"), 2),
-                            "fip": np_round(fip, 2)}).drop("__cf")
+    return out.withColumns({"k_bb": py_round(F.col("k_9") - F.col("bb_9"), 2),
+                            "fip": py_round(fip, 2)}).drop("__cf")
 
 
 def flatten_milb_pitching(df: DataFrame, constants: DataFrame | None = None,

@@ -44,15 +44,33 @@ def from_text(x: Column, to: DataType) -> Column:
     return x.try_cast(to)
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, line): the first line of every file below ``paths``. One
+    distributed pass over the files as text, whatever their number; only the
+    split at a file's start is looked at, and its lines are numbered in order."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.col("value"), F.monotonically_increasing_id().alias("place"))
+    return (lines.where(F.col("at") == 0).groupBy("file")
+            .agg(F.min_by("value", "place").alias("line")))
+
+
+def header_columns(line: str) -> tuple[str, ...]:
+    """Column names of a header line (quoted names may hold commas)."""
+    import csv
+    return tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
+
+
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
     """CSV files with a header each, matched by column name: files are grouped
     by their header, each group is one scan, and a file whose header differs
     from its group's fails instead of shifting columns. Absent columns are
-    null, further ones are not kept."""
+    null, further ones are not kept. The headers come from one pass over all
+    files; one row a file reaches the driver, which lists the files anyway."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(spark.read.option("header", True).csv(path).columns), []).append(path)
-    out = None
+    for r in sorted(first_lines(spark, paths).collect(), key=lambda r: r["file"]):
+        groups.setdefault(header_columns(r["line"]), []).append(r["file"])
+    out = spark.createDataFrame([], schema) if not groups else None
     for header, files in groups.items():
         raw = StructType([StructField(name, StringType()) for name in header])
         df = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(files)
