@@ -194,22 +194,22 @@ def ratio_scores(df: DataFrame, num_pred: str, den_pred: str, num: str, den: str
 def fit_target(train: DataFrame, test: DataFrame, cols: Sequence[str], target: str,
                params: dict, threshold: float = 0.005,
                select_params: dict | None = None, alpha: float = 1.0,
-               blend_steps: int = 20, evaluate: DataFrame | None = None) -> dict:
+               blend_steps: int = 20, evaluate: DataFrame | None = None, moments=None) -> dict:
     """One target of the ensemble: importance selection, ridge on
     standardised columns, boosted trees on raw columns, best blend weight on
     ``test``, MAE / R^2 of the blend on ``evaluate`` (default ``test``)
-    (MLO-04, -06, -07, -08, -09, -10)."""
+    (MLO-04, -06, -07, -08, -09, -10). ``moments`` are the cross moments of
+    ``train`` over ``cols`` and every target; the ridge fit reads no row."""
+    from seamstat.operators.gram import cross_moments, ridge
     keep = select_features(train, cols, target, threshold, select_params) or list(cols)
-    scale = standardize_stats(train, keep)
-    zcols = [c + "__z" for c in keep]
-    ridge = fit_ridge(standardize(train, scale, "__z"), zcols, target, alpha)
+    if moments is None:
+        moments = cross_moments(train, [*cols, target])
+    linear = ridge(moments, keep, target, alpha)
     trees = gbt(params, target).fit(_assemble(train, keep))
-    scored = score(test, {"features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
-                          "weight": 0.0})
+    scored = score(test, {"features": keep, "ridge": linear, "gbt": trees, "weight": 0.0})
     blend = best_blend(scored, target, "pred_ridge", "pred_gbt", blend_steps).first()
     w = float(blend["best_weight"])
-    model = {"target": target, "features": keep, "scale": scale, "ridge": ridge, "gbt": trees,
-             "weight": w}
+    model = {"target": target, "features": keep, "ridge": linear, "gbt": trees, "weight": w}
     final = score(evaluate, model) if evaluate is not None else \
         scored.withColumn("pred", (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt"))
     sc = regression_scores(final, target, "pred").first()
@@ -223,6 +223,10 @@ def fit_targets(train: DataFrame, test: DataFrame, cols: Sequence[str], targets:
     Spark jobs submitted from a small pool of driver threads (as
     cross-validation does), so short jobs overlap on the cluster."""
     from concurrent.futures import ThreadPoolExecutor
+
+    from seamstat.operators.gram import cross_moments
+    # One pass serves the ridge fits of every target.
+    kw = {"moments": cross_moments(train, [*cols, *targets]), **kw}
     if parallelism <= 1 or len(targets) <= 1:
         return [fit_target(train, test, cols, t, params, **kw) for t in targets]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(targets))) as pool:
@@ -231,14 +235,10 @@ def fit_targets(train: DataFrame, test: DataFrame, cols: Sequence[str], targets:
 
 def score(df: DataFrame, model: dict, out: str = "pred") -> DataFrame:
     """Ridge and tree predictions and their blend for a fitted target."""
-    keep, scale = model["features"], model["scale"]
-    zcols = [c + "__z" for c in keep]
-    z = _assemble(standardize(df, scale, "__z"), zcols)
-    r = model["ridge"].transform(z).drop("features")
+    keep, w = model["features"], model["weight"]
+    r = df.withColumn("pred_ridge", model["ridge"].predict())
     g = model["gbt"].transform(_assemble(r, keep)).drop("features")
-    w = model["weight"]
-    return g.withColumn(out, (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt")) \
-        .drop(*zcols)
+    return g.withColumn(out, (1 - w) * F.col("pred_ridge") + w * F.col("pred_gbt"))
 
 
 def metrics_frame(spark, fitted: Sequence[dict]) -> DataFrame:

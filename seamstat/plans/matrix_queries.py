@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seamstat.functions import codes as K
 from seamstat.plans import testdata as T
+from seamstat.plans.oracle_sql import exact
 from seamstat.plans.queries import (_BAT_WITH, _DUCK_BEST, _PIT_WITH, _SEASON_PITCHES, _duck_barrel,
                                     _duck_pa, _duck_pitching_select, _duck_roll, _half_sql,
                                     _pitcher_split_sql, _pitching, _platoon_sql, _q, register)
@@ -199,9 +200,9 @@ mp1 AS (
   FROM mp0 WHERE ip >= {K.MILB_MIN_IP}),
 mpf AS (
   SELECT player_id, mp1.season, ip AS milb_ip, round_even(er * 9 / ip, 2) AS milb_era, round_even((hits + bb) / ip, 2) AS milb_whip,
-         round_even(so * 9 / ip, 2) AS milb_k_9, round_even(bb * 9 / ip, 2) AS milb_bb_9, round_even(hr * 9 / ip, 2) AS milb_hr_9,
-         round_even((13 * hr + 3 * bb - 2 * so) / ip + coalesce(CAST(c.cfip AS DOUBLE), 3.10), 2) AS milb_fip,
-         round_even(so * 9 / ip, 2) - round_even(bb * 9 / ip, 2) AS milb_k_bb
+         {exact('so * 9 / ip', 2)} AS milb_k_9, {exact('bb * 9 / ip', 2)} AS milb_bb_9, {exact('hr * 9 / ip', 2)} AS milb_hr_9,
+         {exact('(13 * hr + 3 * bb - 2 * so) / ip + coalesce(CAST(c.cfip AS DOUBLE), 3.10)', 2)} AS milb_fip,
+         {exact('so * 9 / ip', 2)} - {exact('bb * 9 / ip', 2)} AS milb_k_bb
   FROM mp1 LEFT JOIN constants_v c ON c.season = mp1.season WHERE rk = 1)"""
 
 _QS = """qs AS (

@@ -23,3 +23,9 @@ def rdiv(p: str, q: str, n: int) -> str:
 def round_dbl(x: str, n: int) -> str:
     """Round a double the way a SQL ``numeric`` cast does (decimal first)."""
     return f"CAST(round(CAST(({x}) AS DECIMAL(38,12)), {n}) AS DOUBLE)"
+
+
+def exact(x: str, n: int) -> str:
+    """Round a double on its exact binary value, half to even: printing with
+    ``n`` decimals is correctly rounded."""
+    return f"CAST(printf('%.{n}f', CAST({x} AS DOUBLE)) AS DOUBLE)"

@@ -777,6 +777,16 @@ def q_season_bounds(spark, sf_dir):
 
 
 # ------------------------------------------------------- table maintenance --
+def _store(rows: DataFrame, keys, name: str, buckets: int = 8):
+    """A stored table with these rows, in the shared folder."""
+    import uuid
+
+    from seamstat.operators.store import KeyedStore
+    from seamstat.session import checkpoint_table_path
+    path = checkpoint_table_path(rows.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    return KeyedStore(rows.sparkSession, path, keys, buckets).create(rows)
+
+
 def _cust_agg(o):
     pr = F.col("o_orderpriority")
     return o.groupBy(F.col("o_custkey").alias("player_id"),
@@ -816,9 +826,8 @@ SELECT * FROM stored s WHERE NOT EXISTS (
 UNION ALL SELECT * FROM incoming""")
 def q_replace_keys(spark, sf_dir):
     """Delete-by-key then insert: an idempotent reload (SNK-03, SNK-04)."""
-    from seamstat.operators.tables import replace_keys
     s, i = _stored_incoming(spark, sf_dir)
-    return replace_keys(s, i, ["player_id", "season"]).select(*_SI_COLS)
+    return _store(s, ["player_id", "season"], "replace_keys").replace_keys(i).read().select(*_SI_COLS)
 
 
 @register("q_insert_absent", _DUCK_SI + """
@@ -827,9 +836,8 @@ SELECT * FROM incoming i WHERE NOT EXISTS (
   SELECT 1 FROM stored s WHERE i.player_id = s.player_id AND i.season = s.season)""")
 def q_insert_absent(spark, sf_dir):
     """Insert only keys not stored yet (SNK-05, ON CONFLICT DO NOTHING)."""
-    from seamstat.operators.tables import insert_absent
     s, i = _stored_incoming(spark, sf_dir)
-    return insert_absent(s, i, ["player_id", "season"]).select(*_SI_COLS)
+    return _store(s, ["player_id", "season"], "insert_absent").insert_absent(i).read().select(*_SI_COLS)
 
 
 @register("q_upsert", _DUCK_SI + """
@@ -840,9 +848,8 @@ SELECT coalesce(i.player_id, s.player_id) AS player_id, coalesce(i.season, s.sea
 FROM stored s FULL OUTER JOIN incoming i ON i.player_id = s.player_id AND i.season = s.season""")
 def q_upsert(spark, sf_dir):
     """Full upsert: incoming values win on conflict (SNK-06)."""
-    from seamstat.operators.tables import upsert
     s, i = _stored_incoming(spark, sf_dir)
-    return upsert(s, i, ["player_id", "season"]).select(*_SI_COLS)
+    return _store(s, ["player_id", "season"], "upsert").upsert(i).read().select(*_SI_COLS)
 
 
 @register("q_upsert_partial", _DUCK_SI + """
@@ -854,9 +861,9 @@ FROM stored s FULL OUTER JOIN incoming i ON i.player_id = s.player_id AND i.seas
 def q_upsert_partial(spark, sf_dir):
     """Upsert refreshing only listed columns; ``rbi`` keeps the stored
     value on conflict (SNK-07)."""
-    from seamstat.operators.tables import upsert
     s, i = _stored_incoming(spark, sf_dir)
-    return upsert(s, i, ["player_id", "season"], update_cols=["n_orders", "hr"]).select(*_SI_COLS)
+    store = _store(s, ["player_id", "season"], "upsert_partial")
+    return store.upsert(i, update_cols=["n_orders", "hr"]).read().select(*_SI_COLS)
 
 
 @register("q_upsert_coalesce", _DUCK_SI + """,
@@ -868,12 +875,12 @@ FROM sn s FULL OUTER JOIN inn i ON i.player_id = s.player_id AND i.season = s.se
 def q_upsert_coalesce(spark, sf_dir):
     """Upsert keeping stored non-null values, ``COALESCE(existing, new)``
     (SNK-08)."""
-    from seamstat.operators.tables import upsert_coalesce
     s, i = _stored_incoming(spark, sf_dir)
     sn = s.select("player_id", "season", F.when(F.col("n_orders") > 1, F.concat(
         F.lit("S"), F.col("player_id").cast("string"))).alias("name"))
     inn = i.select("player_id", "season", F.concat(F.lit("I"), F.col("player_id").cast("string")).alias("name"))
-    return upsert_coalesce(sn, inn, ["player_id", "season"], ["name"])
+    store = _store(sn, ["player_id", "season"], "upsert_coalesce")
+    return store.upsert_coalesce(inn, ["name"]).read().select("player_id", "season", "name")
 
 
 # ------------------------------------------------------------------- JSON --
@@ -948,13 +955,22 @@ LEFT JOIN bio_v bio ON bio.player_id = b.batter
 WHERE b.split_type = 'total'""")
 def q_match_rate(spark, sf_dir):
     """Share of rows matched by each left join, one pass (DQ-03)."""
-    from seamstat.operators.quality import match_rate
-    b = _bat_totals(spark, sf_dir, None).select("player_id", "season")
-    ob = T.official_batting(spark, sf_dir).select(
-        "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
-    bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")
-    df = b.join(ob, ["player_id", "season"], "left").join(bio, "player_id", "left")
-    return match_rate(df, ["stolen_bases", "birth_date"])
+    return _checked_chain(spark, sf_dir)[1]
+
+
+def _checked_chain(spark, sf_dir):
+    """The left-join chain written once, its rows counted while it runs."""
+    from seamstat.operators.quality import observed_chain
+    from seamstat.plans.matrices import materialize
+
+    def chain(base):
+        ob = T.official_batting(spark, sf_dir).select(
+            "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
+        bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")
+        return base.join(ob, ["player_id", "season"], "left").join(bio, "player_id", "left")
+
+    base = _bat_totals(spark, sf_dir, None).select("player_id", "season")
+    return observed_chain(base, chain, lambda df: materialize(df, "checked_chain"), ["stolen_bases", "birth_date"])
 
 
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -963,9 +979,9 @@ _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineit
 @register("q_table_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _TABLES))
 def q_table_counts(spark, sf_dir):
-    """Row count of every table as rows (SNK-11)."""
-    from seamstat.operators.tables import table_counts
-    return table_counts(**{t: T.read(spark, sf_dir, t) for t in _TABLES})
+    """Row count of every table as rows, from the files' footers (SNK-11)."""
+    from seamstat.sources.footers import footer_counts
+    return footer_counts(spark, **{t: f"{sf_dir}/{t}.parquet" for t in _TABLES})
 
 
 @register("q_split_span", T.duck_with(_CUST_SEASON) + """,
@@ -998,14 +1014,7 @@ SELECT (SELECT count(*) FROM base) AS rows_before, (SELECT count(*) FROM joined)
        (SELECT count(*) FROM base) = (SELECT count(*) FROM joined) AS stable""")
 def q_row_count_check(spark, sf_dir):
     """Row count before and after the left-join chain (DQ-01)."""
-    from seamstat.operators.quality import check_row_count
-    from seamstat.plans.matrices import materialize
-    b = materialize(_bat_totals(spark, sf_dir, None).select("player_id", "season"), "base_rows")
-    ob = T.official_batting(spark, sf_dir).select(
-        "player_id", F.col("season").cast("bigint").alias("season"), "stolen_bases")
-    bio = T.player_bio(spark, sf_dir).select("player_id", "birth_date")
-    after = b.join(ob, ["player_id", "season"], "left").join(bio, "player_id", "left")
-    return check_row_count(b, after)
+    return _checked_chain(spark, sf_dir)[0]
 
 
 # ------------------------------------------------------------------ top-k --
@@ -1106,44 +1115,129 @@ def _model_inputs(spark, sf_dir):
     return pairs, cs, feats
 
 
-@register("q_gbt_importance")
+_FEATS = ["lines", "qty", "returns"]
+
+
+def _duck_boost(select: str, rounds: int = 200, rate: float = 0.05, target: str = "lines") -> str:
+    """Depth-one boosting round by round in SQL, in whole units of 10^-6:
+    every distinct value of a feature is a threshold; sums of residuals below
+    it and above give the gain. ``state`` has a row per pair and round."""
+    longs = " UNION ALL ".join(f"SELECT id, {i} AS f, {f} AS v FROM x WHERE split = 'train'" for i, f in enumerate(_FEATS))
+    value = "CASE best.f " + " ".join(f"WHEN {i} THEN x.{f}" for i, f in enumerate(_FEATS)) + " END"
+    return T.duck_with(_CUST_SEASON).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+latest AS (SELECT max(season) AS l FROM cs),
+x AS (SELECT row_number() OVER (ORDER BY c.player_id, c.season) AS id, c.player_id, c.season,
+             {", ".join(f"coalesce(c.{f}, 0.0) AS {f}" for f in _FEATS)},
+             n.{target} AS next_{target}, CAST(round(n.{target} * 1000000) AS BIGINT) AS y,
+             CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
+                  WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
+      FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season),
+long AS ({longs}),
+base AS (SELECT sum(y) // count(*) AS b FROM x WHERE split = 'train'),
+state(k, id, y, p, f, gain) AS (
+  SELECT 0, id, y, CAST(b AS BIGINT), -1, CAST(0 AS DOUBLE) FROM x, base
+  UNION ALL
+  SELECT s.k + 1, s.id, s.y, s.p + CASE WHEN {value} <= best.v THEN best.wl ELSE best.wr END, best.f, best.gain
+  FROM state s JOIN x ON x.id = s.id, (
+    SELECT f, v, gain, CAST(floor(CAST({rate} AS DOUBLE) * gl / wl) AS BIGINT) AS wl,
+           CAST(floor(CAST({rate} AS DOUBLE) * gr / wr) AS BIGINT) AS wr
+    FROM (
+      SELECT f, v, gl, gr, wl, wr, gl * gl / wl + gr * gr / wr - ga * ga / wa AS gain
+      FROM (
+        SELECT f, v, n, nl, CAST(g AS DOUBLE) AS ga, CAST(gls AS DOUBLE) AS gl, CAST(g - gls AS DOUBLE) AS gr,
+               CAST(n AS DOUBLE) + 1 AS wa, CAST(nl AS DOUBLE) + 1 AS wl, CAST(n - nl AS DOUBLE) + 1 AS wr
+        FROM (
+          SELECT f, v, sum(c) OVER (PARTITION BY f ORDER BY v) AS nl, sum(r) OVER (PARTITION BY f ORDER BY v) AS gls,
+                 sum(c) OVER (PARTITION BY f) AS n, sum(r) OVER (PARTITION BY f) AS g
+          FROM (SELECT l.f, l.v, count(*) AS c, sum(t.y - t.p) AS r FROM state t JOIN long l ON l.id = t.id
+                GROUP BY l.f, l.v)))
+      WHERE nl < n)
+    WHERE gain > 0 ORDER BY gain DESC, f, v LIMIT 1) best
+  WHERE s.k < {rounds})
+{select}"""
+
+
+def _boosted(spark, sf_dir, rounds: int = 200, rate: float = 0.05, target: str = "lines"):
+    """Training pairs, and depth-one trees fitted on all of them."""
+    from seamstat.operators.stumps import boost, joint_counts, make_bins
+    pairs, _, feats = _model_inputs(spark, sf_dir)
+    train = pairs.where(F.col("split") == "train")
+    bins = make_bins(train, feats, bins=4096)
+    counts = joint_counts(train, bins, [f"next_{target}"])
+    return pairs, feats, boost(counts[0], bins, rounds, rate) if counts else None
+
+
+@register("q_gbt_importance", _duck_boost(""",
+splits AS (SELECT DISTINCT k, f, gain FROM state WHERE k > 0),
+mean AS (SELECT f, avg(gain) AS g FROM splits GROUP BY f)
+SELECT n.feature, round(coalesce(m.g, 0) / (SELECT sum(g) FROM mean), 6) AS importance,
+       coalesce(m.g, 0) / (SELECT sum(g) FROM mean) >= 0.005 AS kept
+FROM (VALUES (0, 'lines'), (1, 'qty'), (2, 'returns')) AS n(f, feature) LEFT JOIN mean m ON m.f = n.f"""))
 def q_gbt_importance(spark, sf_dir):
-    """Boosted-tree feature importances and the kept set (MLO-04)."""
-    from seamstat.operators.modeling import feature_importances
+    """Importances (mean gain, normalised) of 200 boosted depth-one trees on
+    all distinct thresholds, and the kept set (MLO-04, MLO-08)."""
+    _, feats, model = _boosted(spark, sf_dir)
+    rows = list(zip(feats, model.importances()))
+    return spark.createDataFrame(rows, "feature string, importance double").select(
+        "feature", F.round("importance", 6).alias("importance"),
+        (F.col("importance") >= K.IMPORTANCE_THRESHOLD).alias("kept"))
+
+
+@register("q_gbt_predict", _duck_boost("""
+SELECT x.player_id, x.season, x.next_qty, round(s.p / CAST(1000000 AS DOUBLE), 4) AS pred_gbt
+FROM x JOIN state s ON s.id = x.id WHERE x.split = 'test' AND s.k = (SELECT max(k) FROM state)""", target="qty"))
+def q_gbt_predict(spark, sf_dir):
+    """Predictions of 200 boosted depth-one trees for the test split, scored
+    by one built-in expression (MLO-08)."""
+    pairs, _, model = _boosted(spark, sf_dir, target="qty")
+    return pairs.where(F.col("split") == "test").select(
+        "player_id", "season", "next_qty", F.round(model.predict(), 4).alias("pred_gbt"))
+
+
+@register("q_gbt_grid")
+def q_gbt_grid(spark, sf_dir):
+    """Grid of rounds, learning rates and least leaf sizes under 3-fold
+    cross-validation from one pass of counts: every prefix of a fit is scored
+    on the way (MLO-05)."""
+    from seamstat.operators.stumps import grid_search, joint_counts, make_bins
     pairs, _, feats = _model_inputs(spark, sf_dir)
-    imp = feature_importances(spark, pairs.where(F.col("split") == "train"), feats, "next_lines",
-                              {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1})
-    return imp.withColumn("kept", F.col("importance") >= K.IMPORTANCE_THRESHOLD)
+    train = pairs.where(F.col("split") == "train")
+    bins = make_bins(train, feats)
+    folds = joint_counts(train, bins, ["next_lines"], F.pmod(F.col("player_id") + F.col("season"), F.lit(3)))
+    grid = K.PARAM_GRID
+    rows = grid_search(folds, bins, grid["n_estimators"], grid["learning_rate"], grid["min_child_weight"])
+    best = max(range(len(rows)), key=lambda i: (rows[i]["r2"] or float("-inf"), -i)) if rows else -1
+    return spark.createDataFrame(
+        [(r["n_estimators"], r["learning_rate"], r["min_child_weight"], r["r2"], i == best) for i, r in enumerate(rows)],
+        "n_estimators int, learning_rate double, min_child_weight int, r2 double, best boolean")
 
 
 @register("q_project")
 def q_project(spark, sf_dir):
-    """Train ridge + boosted trees per target, tune on one target by
-    3-fold CV, blend on the test split, project the latest season and round
-    (MLO-04, -05, -08, -09, -13)."""
-    from seamstat.operators.modeling import fit_targets, impute_zero, project, tune
+    """Customer-season lines: selection, the grid with all rounds under
+    3-fold cross-validation, ridge and boosted trees per target, blend on the
+    test split, the latest season projected and rounded (MLO-04, -05, -08,
+    -09, -13)."""
+    from seamstat.operators import ensemble as E
     pairs, cs, feats = _model_inputs(spark, sf_dir)
-    train = pairs.where(F.col("split") == "train")
-    test = pairs.where(F.col("split") == "test")
-    best = tune(train, feats, "next_lines", {"n_estimators": [5], "max_depth": [2, 3],
-                                             "learning_rate": [0.1]}, parallelism=2)
-    small = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}
-    fitted = fit_targets(train, test, feats, ["next_lines", "next_qty"], best, 2,
-                         select_params=small)
+    train, test = (pairs.where(F.col("split") == s) for s in ("train", "test"))
+    members, _, _ = E.fit(train, feats, ["next_lines", "next_qty"])
+    E.blend(members, test, test)
+    from seamstat.operators.modeling import impute_zero
     latest = impute_zero(cs.where(F.col("season") == cs.select(F.max("season")).scalar()), feats)
-    return project(latest, fitted, ["player_id", "season"], {"lines": 0, "qty": 0})
+    return E.project(latest, members, ["player_id", "season"], {"lines": 0, "qty": 0})
 
 
-def _duck_ridge(predict: bool = False) -> str:
+def _duck_ridge(predict: bool = False, target: str = "lines") -> str:
     feats = ["lines", "qty", "returns"]
     z = {f: f"((coalesce({f}, 0.0) - m_{f}) / s_{f})" for f in feats}
     sums = ", ".join([f"sum({z[a]} * {z[b]}) AS zz_{a}_{b}" for i, a in enumerate(feats)
                       for b in feats[i:]] +
-                     [f"sum({z[a]} * (coalesce(next_lines, 0.0) - my)) AS zy_{a}" for a in feats])
+                     [f"sum({z[a]} * (coalesce(next_{target}, 0.0) - my)) AS zy_{a}" for a in feats])
     moments = ", ".join([f"avg(coalesce({f}, 0.0)) AS m_{f}" for f in feats] +
                         [f"CASE WHEN stddev_pop(coalesce({f}, 0.0)) = 0 THEN 1.0 "
                          f"ELSE stddev_pop(coalesce({f}, 0.0)) END AS s_{f}" for f in feats] +
-                        ["avg(coalesce(next_lines, 0.0)) AS my"])
+                        [f"avg(coalesce(next_{target}, 0.0)) AS my"])
 
     def a(i, j):
         x, y = sorted((i, j))
@@ -1164,7 +1258,7 @@ def _duck_ridge(predict: bool = False) -> str:
     rows.append("SELECT 'intercept' AS feature, round(my, 4) AS coefficient FROM s")
     base = (T.duck_with(_CUST_SEASON) + f""",
 latest AS (SELECT max(season) AS l FROM cs),
-pairs AS (SELECT c.*, n.lines AS next_lines,
+pairs AS (SELECT c.*, n.{target} AS next_{target},
                  CASE WHEN c.season <= (SELECT l FROM latest) - 2 THEN 'train'
                       WHEN c.season = (SELECT l FROM latest) - 1 THEN 'test' ELSE 'other' END AS split
           FROM cs c JOIN cs n ON n.player_id = c.player_id AND n.season - 1 = c.season),
@@ -1177,7 +1271,7 @@ s AS (SELECT {sums}, any_value(my) AS my FROM train, mo)
     coefs = ", ".join(f"{det([r if c == i else A[c] for c in range(3)])} / {d} AS c_{f}" for i, f in enumerate(feats))
     value = " + ".join(f"co.c_{f} * {z[f]}" for f in feats)
     return base + f""", co AS (SELECT {coefs}, my AS c0 FROM s)
-SELECT player_id, season, coalesce(next_lines, 0.0) AS next_lines, round(co.c0 + {value}, 4) AS pred_ridge
+SELECT player_id, season, coalesce(next_{target}, 0.0) AS next_{target}, round(co.c0 + {value}, 4) AS pred_ridge
 FROM pairs, mo, co WHERE split = 'test'"""
 
 
@@ -1214,6 +1308,29 @@ def q_ridge_coefficients(spark, sf_dir):
         .select("feature", F.round("coefficient", 4).alias("coefficient"))
 
 
+def _duck_ridge_targets() -> str:
+    one = [f"SELECT 'next_{t}' AS target, * FROM ({_duck_ridge(target=t)})" for t in ("lines", "qty", "returns")]
+    return "\nUNION ALL ".join(one)
+
+
+@register("q_ridge_targets", _duck_ridge_targets())
+def q_ridge_targets(spark, sf_dir):
+    """Ridge coefficients of three targets from one pass of cross moments,
+    each equal to its closed form (MLO-06, MLO-07)."""
+    from seamstat.operators.gram import cross_moments, ridge_all
+    from seamstat.operators.joins import year_pairs
+    from seamstat.operators.modeling import impute_zero, season_split
+    cs, targets = _cust_season(spark, sf_dir), ["lines", "qty", "returns"]
+    pairs = season_split(year_pairs(cs, targets, "player_id", "season"), cs, latest=_latest_order_season(spark, sf_dir))
+    nexts = [f"next_{t}" for t in targets]
+    train = impute_zero(pairs.where(F.col("split") == "train"), _FEATS + nexts)
+    fits = ridge_all(cross_moments(train, _FEATS + nexts), _FEATS, nexts)
+    rows = [(t, c, w) for t, r in fits.items() for c, w in [*zip([f + "__z" for f in _FEATS], r.coefficients),
+                                                            ("intercept", r.intercept)]]
+    return spark.createDataFrame(rows, "target string, feature string, coefficient double").select(
+        "target", "feature", F.round("coefficient", 4).alias("coefficient"))
+
+
 # -------------------------------------------------------------- streaming --
 _DUCK_STREAM = T.duck_with(T.DUCK_GAMES, T.DUCK_PITCHES) + """,
 p AS (SELECT p.game_pk, p.at_bat_number, p.batter, p.events, p.inning_topbot,
@@ -1312,8 +1429,18 @@ def _people_docs(spark, sf_dir):
         F.split_part("full_name", F.lit("#"), F.lit(1)).alias("lastName"),
         F.split_part("full_name", F.lit("#"), F.lit(2)).alias("firstName"),
         F.date_format("birth_date", "yyyy-MM-dd").alias("birthDate"),
-        F.struct(F.col("primary_position").alias("abbreviation")).alias("primaryPosition"),
+        (F.col("player_id") % 20 + 20).alias("currentAge"),
+        F.concat(F.lit("City "), (F.col("player_id") % 9).cast("string")).alias("birthCity"),
+        F.when(F.col("player_id") % 4 != 0, F.concat(F.lit("S"), (F.col("player_id") % 50).cast("string"))).alias("birthStateProvince"),
+        F.concat(F.lit("Land "), (F.col("player_id") % 6).cast("string")).alias("birthCountry"),
+        F.concat((F.col("player_id") % 2 + 5).cast("string"), F.lit("' "), (F.col("player_id") % 12).cast("string"), F.lit('"')).alias("height"),
+        (F.col("player_id") % 80 + 160).alias("weight"),
+        F.when(F.col("player_id") % 3 == 0, F.col("player_id") % 20 + 1985).alias("draftYear"),
+        (F.col("player_id") % 5 != 0).alias("active"),
+        F.struct(F.col("primary_position").alias("abbreviation"),
+                 F.when(F.col("primary_position") == "P", "Pitcher").otherwise("Fielder").alias("type")).alias("primaryPosition"),
         F.struct(F.col("bat_side").alias("code")).alias("batSide"),
+        F.when(F.col("player_id") % 7 != 0, F.struct(F.when(F.col("player_id") % 2 == 0, "L").otherwise("R").alias("code"))).alias("pitchHand"),
         F.date_format("mlb_debut_date", "yyyy-MM-dd").alias("mlbDebutDate"))
     return bio.select(F.to_json(F.struct(F.array(person).alias("people"))).alias("payload"))
 
@@ -1321,18 +1448,22 @@ def _people_docs(spark, sf_dir):
 @register("q_landed_people", T.duck_with(T.DUCK_BIO) + """
 SELECT player_id, full_name, split_part(full_name, '#', 2) AS first_name,
        split_part(full_name, '#', 1) AS last_name, CAST(birth_date AS VARCHAR) AS birth_date,
-       primary_position, bat_side, CAST(mlb_debut_date AS VARCHAR) AS mlb_debut_date
+       CAST(player_id % 20 + 20 AS INTEGER) AS current_age, 'City ' || (player_id % 9) AS birth_city,
+       CASE WHEN player_id % 4 <> 0 THEN 'S' || (player_id % 50) END AS birth_state, 'Land ' || (player_id % 6) AS birth_country,
+       (player_id % 2 + 5) || ''' ' || (player_id % 12) || '"' AS height, CAST(player_id % 80 + 160 AS INTEGER) AS weight,
+       primary_position, CASE WHEN primary_position = 'P' THEN 'Pitcher' ELSE 'Fielder' END AS position_type, bat_side,
+       CASE WHEN player_id % 7 <> 0 THEN CASE WHEN player_id % 2 = 0 THEN 'L' ELSE 'R' END END AS pitch_hand,
+       CASE WHEN player_id % 3 = 0 THEN CAST(player_id % 20 + 1985 AS INTEGER) END AS draft_year,
+       CAST(mlb_debut_date AS VARCHAR) AS mlb_debut_date, player_id % 5 <> 0 AS active
 FROM bio_v""")
 def q_landed_people(spark, sf_dir):
-    """People documents flattened: nested position and bat side, dates
-    parsed, missing fields null (SRC-04, SCA-17)."""
+    """People documents flattened, all 18 columns: nested position, bat side
+    and pitch hand, dates parsed, missing fields null (SRC-04, SCA-17)."""
     from seamstat.sources import landed_json as LJ
     from seamstat.sources.schemas import PEOPLE_PAYLOAD
     docs = LJ.parse(_people_docs(spark, sf_dir), "payload", PEOPLE_PAYLOAD)
     out = docs.select(*LJ.flatten_bio(F.col("doc")))
-    return out.select("player_id", "full_name", "first_name", "last_name",
-                      F.col("birth_date").cast("string").alias("birth_date"), "primary_position",
-                      "bat_side", F.col("mlb_debut_date").cast("string").alias("mlb_debut_date"))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("birth_date", "mlb_debut_date")})
 
 
 @register("q_landed_rosters", """
@@ -1368,4 +1499,5 @@ def q_landed_rosters(spark, sf_dir):
     return load_rosters(stored, rows).select("player_id", "season", "team", "full_name")
 
 
-from seamstat.plans import landed_queries, matrix_queries, report_queries, store_queries  # noqa: E402,F401  register theirs
+from seamstat.plans import (  # noqa: E402,F401  register theirs
+    landed_queries, matrix_queries, projection_queries, report_queries, store_queries)

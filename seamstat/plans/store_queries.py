@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from seamstat.operators import projections as PR
 from seamstat.operators import tables as TB
 from seamstat.plans import testdata as T
+from seamstat.plans.oracle_sql import exact
 from seamstat.plans.queries import (_CUST_SEASON, _PIT_WITH, _cust_season, _duck_pitching_select, _pitching, register)
 from seamstat.sources import landed_json as LJ
 from seamstat.sources import readers
@@ -149,9 +150,9 @@ g AS (
 SELECT CAST(l_suppkey AS BIGINT) AS player_id, CAST(g.season AS BIGINT) AS season,
        CASE sport_id WHEN 11 THEN 'AAA' WHEN 12 THEN 'AA' WHEN 13 THEN 'High-A' WHEN 14 THEN 'Single-A' END AS level,
        CAST(n AS BIGINT) AS games, ip, CAST(so AS BIGINT) AS so, CAST(bb AS BIGINT) AS bb, CAST(hr AS BIGINT) AS hr,
-       CAST(NULL AS DOUBLE) AS era, round_even(so * 9 / ip, 2) AS k_9, round_even(bb * 9 / ip, 2) AS bb_9,
-       round_even(hr * 9 / ip, 2) AS hr_9, round_even(round_even(so * 9 / ip, 2) - round_even(bb * 9 / ip, 2), 2) AS k_bb,
-       round_even((13 * hr + 3 * bb - 2 * so) / ip + coalesce(CAST(c.cfip AS DOUBLE), 3.10), 2) AS fip
+       CAST(NULL AS DOUBLE) AS era, """ + f"""{exact('so * 9 / ip', 2)} AS k_9, {exact('bb * 9 / ip', 2)} AS bb_9,
+       {exact('hr * 9 / ip', 2)} AS hr_9, {exact(exact('so * 9 / ip', 2) + ' - ' + exact('bb * 9 / ip', 2), 2)} AS k_bb,
+       {exact('(13 * hr + 3 * bb - 2 * so) / ip + coalesce(CAST(c.cfip AS DOUBLE), 3.10)', 2)} AS fip
 FROM g LEFT JOIN constants_v c ON c.season = g.season""")
 def q_milb_json_pitching(spark, sf_dir):
     """Minor-league pitching pages flattened, with per-nine rates and FIP
