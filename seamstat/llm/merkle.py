@@ -98,22 +98,36 @@ def edited_branches(a: Column, b: Column) -> Column:
         differing(s["x"], s["y"], ";"), lambda p: F.struct(s["at"].alias("section"), p["at"].alias("paragraph")))))
 
 
-def id_ranges(df: DataFrame, id: str, range_rows: int = RANGE_ROWS) -> Column:
-    """Range number (ascending with the id; -1 for null) by cut points at the
-    id's quantiles. The number of ranges follows the number of rows, up to
-    ``MAX_FAN ** 2`` cut points on the driver. The look-up is two scans of the
-    square root of that."""
-    fan = min(MAX_FAN, max(2, math.ceil(math.sqrt(df.count() / range_rows))))
+def id_ranges(df: DataFrame, id: str, tie: str, range_rows: int = RANGE_ROWS) -> Column:
+    """Range number, ascending with the id and then with ``tie`` (a hash, so
+    its values are spread evenly); null ids have negative numbers. Cut points
+    are the id's quantiles: an id that many rows share is a cut point many
+    times over, and its rows are dealt by ``tie`` to that many ranges more.
+    The number of ranges follows the number of rows, up to ``MAX_FAN ** 2`` cut
+    points on the driver. The look-up is four scans of the square root of
+    that."""
+    rows, nulls = df.agg(F.count(F.lit(1)), F.count_if(F.col(f"`{id}`").isNull())).first()
+    fan = min(MAX_FAN, max(2, math.ceil(math.sqrt(rows / range_rows))))
     n = fan * fan
     cuts = df.select(F.percentile_approx(F.col(f"`{id}`"), [k / n for k in range(1, n)], 20 * n)).first()[0]
+    v, even = F.col(f"`{id}`"), F.col(f"`{tie}`").cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+
+    def share(parts):
+        return F.least(F.floor(even * parts), parts - 1).cast("int")
+
+    spare = min(MAX_FAN * MAX_FAN, max(1, math.ceil(nulls / range_rows)))
+    at_null = share(F.lit(spare)) - F.lit(spare)
     if not cuts:
-        return F.lit(-1)
+        return at_null
     coarse = F.array(*[F.lit(c) for c in cuts[fan - 1::fan]])
     fine = F.array(*[F.array(*[F.lit(c) for c in cuts[k * fan:k * fan + fan - 1]]) for k in range(fan)])
-    v = F.col(f"`{id}`")
-    top = F.size(F.filter(coarse, lambda c: c <= v))
-    low = F.size(F.filter(F.get(fine, top), lambda c: c <= v))
-    return F.when(v.isNull(), F.lit(-1)).otherwise(top * fan + low)
+
+    def count(test):
+        top = F.size(F.filter(coarse, test))
+        return top * fan + F.size(F.filter(F.get(fine, top), test))
+
+    below, upto = count(lambda c: c < v), count(lambda c: c <= v)
+    return F.when(v.isNull(), at_null).otherwise(below + share(upto - below + 1))
 
 
 def next_in_order(df: DataFrame, id: str, columns: dict[str, str], tie: str,
@@ -122,12 +136,13 @@ def next_in_order(df: DataFrame, id: str, columns: dict[str, str], tie: str,
     descending), add ``columns`` (source -> name) of the next row; the last
     row's next is the first.
 
-    Rows are grouped by ranges of ids. Each range also gets a copy of the
-    first row of the range after it, so one window over a bounded range sees
-    every row's successor and the texts move once.
+    Rows are grouped by ranges of ids and ties, so that null ids, or an id that
+    many rows share, are spread like the rest. Each range also gets a copy of
+    the first row of the range after it, so one window over a bounded range
+    sees every row's successor and the texts move once.
     """
     rng, mark = free_name(df.columns, "order_range"), free_name(df.columns, "order_guest")
-    ranged = df.withColumn(rng, id_ranges(df, id, range_rows))
+    ranged = df.withColumn(rng, id_ranges(df, id, tie, range_rows))
     heads = ranged.groupBy(rng).agg(F.max(F.struct(F.col(f"`{id}`").alias("i"), F.col(tie).alias("t"))).alias("h"))
     heads = heads.select(F.col(rng).alias("h_range"), F.col("h.i").alias("h_id"), F.col("h.t").alias("h_tie"))
     # One row a range.
@@ -160,8 +175,8 @@ def fingerprints_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "te
     text's ``edited_sha256``, ``edited_fingerprint``, ``near_edited`` and
     ``near_next`` (likeness to the edited text and to the next document).
 
-    A null text is empty; an empty text has the root of no sections. Null ids
-    come after all others. Rows with equal ids are in order of a hash of
+    A null text is empty; an empty text has the root of no sections. Whole
+    texts are hashed, however long. Null ids come after all others. Rows with equal ids are in order of a hash of
     their text; repeated rows give repeated results. A single row is its own
     next. Extra columns are not read. An empty table gives an empty result.
     """

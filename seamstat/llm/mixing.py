@@ -5,12 +5,14 @@ Every source gets a target number of words; each of its documents is expected
 source, the running sum of expected copies is shifted by one random offset,
 and a document is emitted once for every integer boundary its stretch
 crosses. The line runs by word count (in classes of 1/16 octave) and by a
-hash of the id within a class, so that neighbours have nearly equal sizes
+hash of the id and the text within a class, so that neighbours have nearly equal sizes
 and the words taken follow the target closely.
 
 The running sum is a two-level prefix sum: a count per (source, class, hash
-range) first, then a rank inside each of those small buckets. No window ever
-spans a source, so a source with a third of all rows is spread like the rest.
+range) first, then a rank inside each of those small buckets. The number of
+hash ranges follows the number of rows. No window of rows ever spans a source,
+so a source with a third of all rows is spread like the rest, and so are rows
+that share an id.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from .common import free_name, hash60, landed, without, word_count
 # FIXED VALUES: weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-HASH_RANGE_BITS = 5     # 32 hash ranges a (source, class)
+HASH_RANGE_BITS = 5     # 32 hash ranges a (source, class), and twice as many ...
+RANGE_ROWS = 20_000     # ... until all rows are this many to a range
 OFFSET_HEX = 5          # offsets are multiples of 2**-20
 
 
@@ -63,6 +66,11 @@ def source_targets(sizes: DataFrame, key: str, size: str, weights=WEIGHTS,
     return r.withColumn("target", F.coalesce(target, F.col("cap").cast("double"))).select(key, size, "target")
 
 
+def range_bits(rows: int) -> int:
+    """Leading bits of the hash that name a range."""
+    return min(40, max(HASH_RANGE_BITS, (max(1, rows) // RANGE_ROWS).bit_length()))
+
+
 def systematic_mix(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id",
                    weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = "mix") -> DataFrame:
     """All rows of ``docs`` with ``size``, ``source_size``, ``target``,
@@ -71,19 +79,19 @@ def systematic_mix(docs: DataFrame, text: str = "text", source: str = "source",
     A null source is a source of its own, last in the order. A null text has
     size 0 and takes 0 words; a source without words has target 0 and its
     documents 0 copies. Repeated rows are sampled one by one. Rows with equal
-    ids are ordered by size and a hash of their text, so reruns agree. Input
-    columns named like an output column are replaced. An empty table gives an
-    empty result.
+    ids are told apart by a hash of their text, so reruns agree. Input columns named like an output column are
+    replaced. An empty table gives an empty result.
     """
     df = docs.withColumn(n_size := free_name(docs.columns, "mix_size"), word_count(F.col(text)))
     df = df.withColumn(n_tie := free_name(df.columns, "mix_tie"), F.xxhash64(F.col(text)))
     df = df.withColumn(n_src := free_name(df.columns, "mix_source"),
                        F.coalesce(F.concat(F.lit("0"), F.col(source).cast("string")), F.lit("1")))
     df = df.withColumn(n_hash := free_name(df.columns, "mix_hash"),
-                       hash60(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))))
+                       hash60(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(":"),
+                                       F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")))))
     df = df.withColumn(n_cls := free_name(df.columns, "mix_class"), size_class(F.col(n_size)))
     df = df.withColumn(n_sub := free_name(df.columns, "mix_range"),
-                       F.shiftright(F.col(n_hash), 60 - HASH_RANGE_BITS))
+                       F.shiftright(F.col(n_hash), 60 - range_bits(docs.count())))
     bucket = [n_src, n_cls, n_sub]
 
     # Used twice below; landing it spares a second pass over the texts.
@@ -130,7 +138,7 @@ ORACLE = r"""
 WITH d AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 15))::BIGINT AS h
   FROM documents),
 c AS (SELECT *, greatest(length(bin(size)) - 5, 0) AS shift FROM d),
 r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY (size >> shift) << shift, h, doc_id, size) AS pos FROM c),

@@ -128,6 +128,47 @@ def test_fingerprints_against_brute_force(messy, messy_rows):
     assert by_id[2]["near_next"] > 0.8 and by_id[7]["near_edited"] > 0.4
 
 
+def shared_ids(spark, n=240):
+    """A third of the rows without an id, a third with one id, all texts unlike."""
+    ids = [None] * n + [7] * n + list(range(1000, 1000 + n // 2)) + list(range(-n // 2, 0))
+    rows = [(i, f"text {k} {k * 7919 % 1000003}") for k, i in enumerate(ids)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def test_rows_that_share_an_id_are_spread_and_in_order(spark):
+    rows, df = shared_ids(spark)
+    tied = df.withColumn("tie", F.xxhash64("text"))
+    sizes = [r["count"] for r in tied.groupBy(merkle.id_ranges(tied, "doc_id", "tie", 20).alias("r")).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 4 * 20
+    tie = {r["text"]: r["tie"] for r in tied.collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]), reverse=True)
+    got = {r["edited_sha256"] for r in merkle.fingerprints_with_edits(df, range_rows=20).collect()}
+    want = set()
+    for (_, a), (_, b) in zip(order, order[1:] + order[:1]):
+        half = len(a) // 2
+        want.add(hashlib.sha256((a[:len(a) - half] + b[:half]).encode()).hexdigest())
+    assert got == want
+
+
+def test_mix_of_rows_that_share_an_id(spark, monkeypatch):
+    rows, df = shared_ids(spark)
+    df = df.withColumn("source", F.lit("one"))
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+    monkeypatch.setattr(mixing, "HASH_RANGE_BITS", 1)
+    assert mixing.range_bits(len(rows)) == 6 and mixing.range_bits(0) == 1
+    out = mixing.systematic_mix(df, weights=(1,), max_repeat=3)
+    got = out.agg(F.sum("taken"), F.max("target")).first()
+    assert abs(got[0] - got[1]) <= 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "MapInArrow" not in plan
+    again = sorted(map(tuple, mixing.systematic_mix(df.repartition(2), weights=(1,)).select("text", "taken").collect()))
+    assert again == sorted(map(tuple, out.select("text", "taken").collect()))
+    # A hash range of the line holds about as many rows as any other.
+    key = mixing.hash60(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5("text")))
+    sizes = [r["count"] for r in df.groupBy(F.shiftright(key, 60 - 6)).count().collect()]
+    assert max(sizes) <= 4 * len(rows) / 64
+
+
 def test_fingerprint_of_no_rows_and_one_row(no_docs, messy):
     assert merkle.fingerprints_with_edits(no_docs).count() == 0
     one = merkle.fingerprints_with_edits(messy.where("doc_id = 2")).first()
