@@ -77,25 +77,38 @@ def stratified_sample(df: DataFrame, label: str, columns: list[Column], key: Col
     return [] if rows is None else rows.collect()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str,
-                    part: Callable[[Column, Column], Column], train_if: Column, per_label: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
-    """((label, text part) pairs of a bounded sample, label counts of all
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str,
+                  part: Callable[[Column, Column], Column], train_if: Column,
+                  per_label: int) -> tuple[DataFrame | None, dict[int, int]]:
+    """((point, l_label, part) of a bounded sample, label counts of all
     training rows) for labels 0 and 1; ``part`` takes the text and the id, and
-    a null part is left out.
+    a null part is left out. No rows come with None.
 
     An id that the labels state with both values is not learned from. The ids
     are drawn from the labels alone; at most ``4 * per_label`` of them are
-    broadcast to fetch their texts, so no text is shuffled.
+    broadcast to fetch their texts. An id with several rows is learned from
+    once, by the row with the smallest hash of its text, so the sample is
+    bounded whatever the ids are.
     """
     one = (labels.where(F.col(label).isin(0, 1) & train_if & F.col(f"`{id}`").isNotNull())
            .groupBy(F.col(f"`{id}`").alias("l_id")).agg(F.min(label).alias("lo"), F.max(label).alias("hi"))
            .where("lo = hi").select("l_id", F.col("lo").cast("int").alias("l_label")))
     drawn = stratified_rows(one, "l_label", F.col("l_id"), per_label)
     if drawn is None:
-        return [], {}
+        return None, {}
     counts = {r["l_label"]: r["count"] for r in one.groupBy("l_label").count().collect()}
     own = docs.select(F.col(f"`{id}`").alias("d_id"), F.col(f"`{text}`").alias("d_text"))
     rows = (own.join(F.broadcast(drawn.select("l_id", "l_label", "point")), F.col("d_id") == F.col("l_id"))
-            .select("point", "l_label", part(F.col("d_text"), F.col("d_id")).alias("part")).where("part IS NOT NULL"))
-    found = sorted((r["point"], r["l_label"], r["part"]) for r in rows.collect())
+            .where("d_text IS NOT NULL").withColumn("d_hash", F.xxhash64("d_text")))
+    # The text is cut first: what the aggregate carries is bounded a row.
+    cut = rows.select("l_id", "l_label", "point", "d_hash", part(F.col("d_text"), F.col("d_id")).alias("part")).where("part IS NOT NULL")
+    return (cut.groupBy("l_id").agg(F.min_by(F.struct("point", "l_label", "part"), F.struct("d_hash", "part")).alias("r"))
+            .select("r.point", "r.l_label", "r.part")), counts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str,
+                    part: Callable[[Column, Column], Column], train_if: Column, per_label: int) -> tuple[list[tuple[int, str]], dict[int, int]]:
+    """``labelled_rows`` as a list of (label, text part) on the driver."""
+    rows, counts = labelled_rows(docs, labels, label, id, text, part, train_if, per_label)
+    found = [] if rows is None else sorted((r["point"], r["l_label"], r["part"]) for r in rows.collect())
     return [(y, t) for _, y, t in found], counts

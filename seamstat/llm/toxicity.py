@@ -5,8 +5,9 @@ buckets) has a log-count ratio: how much more often toxic training documents
 hold it than others. A document's features are its n-gram frequencies times
 the ratios; a logistic regression learns one weight a bucket, and the product
 of ratio and weight is all that scoring needs. Ratios and weights come from a
-bounded sample of labelled rows, the odds from all of them. Texts are scored
-whole.
+bounded sample of labelled rows, the odds from all of them; a very long text of
+the sample is learned from by several windows. The fit is one task of a worker,
+which returns the weights alone. Texts are scored whole.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .byteops import labelled_sample
+from .byteops import labelled_rows
 from .common import for_workers, read_table, without
 from .quality import held_out
 
@@ -24,7 +25,8 @@ BITS = 19
 MIN_DOCS = 10           # buckets of fewer training documents are left out
 MIN_RATIO = 0.1         # and those of nearly equal odds
 PER_LABEL = 4_000       # bound of the sample: rows a label ...
-SAMPLE_CHARS = 20_000   # ... of at most this many characters
+SAMPLE_CHARS = 20_000   # ... and characters a row: of a longer text as many in ...
+WINDOWS = 8             # ... windows, evenly spaced from its start to its end
 EPOCHS, RATE, DECAY = 8, 0.3, 3e-4
 THRESHOLD = 0.3
 PIECE = 1 << 18         # characters hashed at a time
@@ -89,9 +91,11 @@ def learn(ratio, sample, odds: float, seed: int = 0):
 
     import numpy as np
 
-    known = ratio != 0
-    rows = [(y, *features(t, known)) for y, t in sample if t]
-    rows = [(y, u, f * ratio[u]) for y, u, f in rows]
+    known, rows = ratio != 0, []
+    for y, t in sample:
+        if t:
+            u, f = features(t, known)
+            rows.append((y, u.astype(np.uint32), f * ratio[u]))
     w, grad = np.zeros(len(ratio), np.float32), np.full(len(ratio), 1e-3, np.float32)
     pos = sum(y for y, *_ in rows)
     own_odds = math.log((pos + 1) / (len(rows) - pos + 1))
@@ -108,18 +112,51 @@ def learn(ratio, sample, odds: float, seed: int = 0):
     return (w * ratio).astype(np.float32), b + odds - own_odds
 
 
+def windowed(t, chars: int = SAMPLE_CHARS, parts: int = WINDOWS):
+    """A text of at most ``chars`` characters whole, of a longer one ``parts``
+    windows of ``chars / parts``, the first at its start and the last at its
+    end. A space goes between windows."""
+    n, size = F.char_length(t), chars // parts
+    steps = [F.substring(t, F.floor((n - size) * i / (parts - 1)).cast("int") + 1, F.lit(size)) for i in range(parts)]
+    return F.when(n <= chars, t).otherwise(F.concat_ws(" ", *steps))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text"):
-    """(weights or None, bias). None if the training rows lack a label."""
+    """(weights or None, bias). None if the training rows lack a label.
+
+    No labelled row is left out for its length. Rows with a null id or text
+    are not learned from, an id with several rows is learned from once.
+    """
     import math
 
-    def part(t, _):
-        return F.when(F.char_length(t) <= SAMPLE_CHARS, t)
+    import numpy as np
 
-    sample, n = labelled_sample(docs, labels, label, id, text, part, ~held_out(id), PER_LABEL)
+    for_workers(docs.sparkSession)
+    rows, n = labelled_rows(docs, labels, label, id, text, lambda t, _: windowed(t), ~held_out(id), PER_LABEL)
     odds = math.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
-    if len({y for y, _ in sample}) < 2:
+    if len(n) < 2:
+        return None, odds
+
+    def train(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        found = sorted(r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+        sample = [(y, t) for _, y, t in found]
+        if len({y for y, _ in sample}) == 2:
+            weights, bias = learn(log_count_ratios(sample), sample, odds)
+            at = np.flatnonzero(weights).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at.tobytes()], pa.binary()), pa.array([weights[at].tobytes()], pa.binary()),
+                 pa.array([bias], pa.float64())], ["place", "weight", "bias"])
+
+    # The sample is bounded in rows and characters, so one task holds it.
+    model = rows.coalesce(1).mapInArrow(train, "place binary, weight binary, bias double").collect()
+    if not model:
         return None, odds
-    return learn(log_count_ratios(sample), sample, odds)
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[np.frombuffer(model[0]["place"], np.uint32)] = np.frombuffer(model[0]["weight"], np.float32)
+    return weights, model[0]["bias"]
 
 
 def score_toxicity(docs: DataFrame, weights, bias: float, text: str = "text",
