@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from seamstat.llm import langid, mixing, neardup, packing, toxicity
 from seamstat.llm.common import WORD_PATTERN, free_name, landed, read_table
 
-MIN_LANGUAGE_SCORE = 0.3    # mean probability a position of the best language
+OVER_CHANCE = 0.25      # of the way from chance to certainty that the best language has to go
+NEAR_PERCENT = 80       # similarity of near duplicates
 
 # Trained classifiers decide in the first stages, which SQL cannot express.
 ORACLE_SQL = None
@@ -23,9 +24,14 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language. Texts without a letter (null and
-    empty ones too) go, and those in which no language stands out."""
-    out = langid.identify(docs, langid.fit(docs))
-    keep = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    empty ones too) go, and those in which no language stands out: the mean
+    probability of the best one has to pass chance (1 / number of languages)
+    by ``OVER_CHANCE`` of the rest. Repeated rows are judged alike."""
+    net = langid.fit(docs)
+    out = langid.identify(docs, net)
+    chance = 1 / max(1, len(net.labels)) if net is not None else 1.0
+    least = chance + OVER_CHANCE * (1 - chance)
+    keep = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= round(least, 5))
     return out.where(keep).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -37,9 +43,9 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = neardup.LINK_PERCENT) -> DataFrame:
-    """The first row of each near-duplicate group, whatever the ids of its
-    rows. Documents without words are in no group, and stay."""
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
+    """The first row of each near-duplicate group (shingle sets at least
+    ``percent`` alike), whatever the ids of its rows. Documents without words are in no group, and stay."""
     first = (neardup.grouped(docs, percent=percent).where("component IS NOT NULL").groupBy("component")
              .agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "text_key")).alias("first"))
              .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")))

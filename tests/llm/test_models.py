@@ -1,5 +1,6 @@
 """Classifiers: gradients, held-out accuracy and awkward input."""
 import os
+import random
 import zlib
 
 import numpy as np
@@ -140,6 +141,45 @@ def test_scores_of_awkward_rows(spark, messy, no_docs, messy_rows, module, score
     assert nothing[0] is None and score(messy, *nothing).count() == len(messy_rows)
 
 
+def test_long_labelled_texts_are_learned_from(spark):
+    """Every labelled text is longer than what is learned of one, and the words
+    that tell the labels apart lie at its end or in its middle."""
+    r = random.Random(6)
+    calm, rude = "river stone maple quiet window".split(), "grub snarl vex spite gnash".split()
+    rows, labels = [], []
+    for i in range(120):
+        y = i % 2
+        text = [r.choice(calm) for _ in range(6000)]
+        at = 5900 if i % 3 else 2500
+        text[at:at + 100] = [r.choice(rude if y else calm) for _ in range(100)]
+        rows.append((i, " ".join(text)))
+        labels.append((i, y))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert min(len(t) for _, t in rows) > toxicity.SAMPLE_CHARS
+    weights, bias = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert weights is not None
+    tests = [(0, " ".join(rude * 5)), (1, " ".join(calm * 5))]
+    got = {q["doc_id"]: q["score"] for q in toxicity.score_toxicity(
+        spark.createDataFrame(tests, "doc_id long, text string"), weights, bias).collect()}
+    assert got[0] > 0.7 > 0.3 > got[1]
+
+
+def test_windows_of_a_long_text(spark):
+    n = toxicity.SAMPLE_CHARS
+    texts = ["a" * n, "a" * 10 + "b" * n + "c" * 10, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(toxicity.windowed(F.col("t"))).collect()]
+    assert got[0] == texts[0] and got[2] == ""
+    assert len(got[1]) == n + toxicity.WINDOWS - 1 and got[1].startswith("a" * 10 + "b") and got[1].endswith("b" + "c" * 10)
+
+
+def test_one_row_is_learned_from_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(3, "other"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    rows, counts = byteops.labelled_rows(docs, labels, "toxic", "doc_id", "text", lambda t, _: t, F.lit(True), 10)
+    assert sorted(r["l_label"] for r in rows.collect()) == [0, 1] and counts == {0: 1, 1: 1}
+
+
 def test_labels_that_disagree_are_left_out(spark, messy):
     labels = spark.createDataFrame([(0, 1), (0, 0), (1, 1), (1, 1), (2, 2), (7, 0), (99, 1), (None, 1)],
                                    "doc_id long, quality int")

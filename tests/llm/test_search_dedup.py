@@ -91,8 +91,8 @@ def test_candidates_follow_the_bound(spark, messy):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert neardup.near_duplicates(df).where("kept").count() == 3000
     assert neardup.near_duplicates(df, percent=80).where("kept").count() == 1500
-    assert cp.one_of_each(spark, df, SF, 80).count() == 1500
-    assert cp.one_of_each(spark, df, SF).count() == 3000
+    assert cp.one_of_each(spark, df, SF).count() == 1500
+    assert cp.one_of_each(spark, df, SF, 85).count() == 3000
     # Signatures of pairs at a bound fall short of the agreement asked hardly ever.
     assert (neardup.agreement(85), neardup.trees(85)) == (90, 8)
     rng = np.random.default_rng(3)
@@ -161,13 +161,35 @@ def test_shingle_hashes_tell_texts_apart():
     again = sh.shingles(np.frombuffer(b"  A\tB\x0b\x0cC d E\r\n", np.uint8))
     assert sh.set_key(again) == keys[0] and len(again) == 1
     assert len(sh.shingles(np.frombuffer(b" \t\n", np.uint8))) == 0
+    # A word of two letters in the pattern that cancels in polynomials modulo powers of two.
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    long = [thue, thue.translate(str.maketrans("ab", "ba")), thue[::-1] + "a", "a" * 1024, "a" * 1023 + "b", "b" + "a" * 1023]
+    assert len({int(sh.words(np.frombuffer(w.encode(), np.uint8))[0]) for w in long}) == len(long)
+
+
+def test_words_that_differ_in_a_pattern_are_not_linked(spark):
+    thue = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{thue} b c d e f"), (2, f"{other} b c d e f"), (3, thue), (4, other), (5, thue.upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(neardup.near_duplicates(df)) == brute(rows)
+
+
+def test_words_alone_hash_as_they_do_in_a_text():
+    sh = neardup.Shingler()
+    r = random.Random(2)
+    words = ["".join(r.choice("abcXYZ") for _ in range(r.choice([1, 3, 31, 32, 33, 90]))) for _ in range(200)]
+    whole = sh.words(np.frombuffer(" ".join(words).encode(), np.uint8))
+    assert whole.tolist() == [int(sh.words(np.frombuffer(w.lower().encode(), np.uint8))[0]) for w in words]
 
 
 def test_forest_joins_once():
     assert neardup.forest(4, [0, 1, 0, 2], [1, 2, 2, 3]) == [0, 1, 3]
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("edges_here", [200_000, 10])
+def test_components_of_a_long_chain(spark, monkeypatch, edges_here):
+    monkeypatch.setattr(neardup, "LOCAL_EDGES", edges_here)
     n = 300
     order = list(range(n))
     random.Random(1).shuffle(order)
@@ -215,6 +237,26 @@ def test_search_of_few_and_no_rows(spark):
     assert topk.top_k(df.where("vec_id = 1")).count() == 0
 
 
+@pytest.mark.parametrize("kw", [{}, dict(shard_rows=8, query_block=2, shards_per_group=1)])
+def test_rows_of_one_id_are_queries_of_their_own(spark, kw):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(40)]
+    rows += [(0, [2.0, 0.0, 1.0]), (0, [2.0, 0.0, 1.0]), (20, [0.0, -3.0, 0.0]), (7, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, **kw).collect())
+    assert out == brute_top(rows, 20, 20) and len(out) == 4 * 20
+
+
+def test_components_beyond_exact_scores_raise(spark):
+    schema = "vec_id long, embedding array<double>"
+    with pytest.raises(Exception, match="too large for exact"):
+        topk.top_k(spark.createDataFrame([(0, [1e300, 0.0]), (1, [1.0, 1.0])], schema)).collect()
+    near = [(0, [2.0 ** 23, -(2.0 ** 23)]), (1, [2.0 ** 23, 2.0 ** 23 - 1.0]), (2, [1.0, 0.0])]
+    out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in
+                 topk.top_k(spark.createDataFrame(near, schema)).collect())
+    assert out == brute_top(near, 20, 20)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 def test_pipeline_stages_on_awkward_rows(spark, messy, no_docs, messy_rows):
     import corpus_pipeline as cp
@@ -224,7 +266,6 @@ def test_pipeline_stages_on_awkward_rows(spark, messy, no_docs, messy_rows):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns, name
         assert stage(spark, no_docs, SF).count() == 0, name
-        assert stage(spark, messy, SF).columns == messy.columns, name
         docs = out.cache()
     last = cp.STAGES[-1][1]
     assert last(spark, no_docs, SF).count() == 0
@@ -238,7 +279,7 @@ def test_pipeline_stages_keep_what_they_should(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     kept = cp.one_of_each(spark, docs, SF)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [k for k, _, _, own in brute(rows) if own]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [k for k, _, _, own in brute(rows, 80) if own]
     spoken = cp.language(spark, docs, SF).count()
     assert spoken >= 0.97 * len(rows)
     mixed = cp.mixed(spark, docs, SF)
