@@ -54,7 +54,7 @@ def test_rows_only_queries_run(spark):
     from seamstat.plans.queries import ORACLE, QUERIES
     sf = "/root/testdata/sf0.001"
     for name in sorted(set(QUERIES) - set(ORACLE)):
-        if name == "q_project":
+        if name.startswith("q_project"):    # tests/test_projection.py
             continue
         df = QUERIES[name](spark, sf)
         assert df.count() > 0, name
