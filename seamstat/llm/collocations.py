@@ -33,7 +33,7 @@ SALTS = 8               # of a part that many candidates share
 # FIXED VALUES: the characters that end a piece of text.
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 
-PAYLOAD = "bucket int, names array<binary>, lengths binary, keys binary, counts binary"
+PAYLOAD = "bucket int, phrases binary"
 
 
 def equal_partitions(keys, weights=None, least: int = 1):
@@ -171,10 +171,46 @@ def _places(own, size: int):
     return used, place[own]
 
 
+def _small(values):
+    """The same integers in the narrowest unsigned type that holds them."""
+    import numpy as np
+
+    top = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
+def _pack(names, groups) -> bytes:
+    """Names (an Arrow array) and, by number of keys, (columns of places in
+    the names, counts), compressed."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+
+    _, offsets, raw = names.buffers()
+    at = np.frombuffer(offsets, np.int32)[names.offset:names.offset + len(names) + 1]
+    raw = raw.to_pybytes()[at[0]:at[-1]] if raw is not None else b""
+    data = (_small(np.diff(at)), raw, [([_small(c) for c in keys], _small(n)) for keys, n in groups])
+    return pa.Codec("zstd", compression_level=1).compress(pickle.dumps(data, protocol=5), asbytes=True)
+
+
+def _unpack(packed: bytes):
+    """What ``_pack`` was given; names as an Arrow array."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    sizes, raw, groups = pickle.loads(zstandard.ZstdDecompressor().decompress(packed))
+    offsets = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]), groups
+
+
 def _routed(names, keys, row, depth, weight, buckets: int):
-    """Payload rows, one a bucket, of counted phrases: the names they use, and
-    by phrase its number of keys, its keys (as places in the names) and count.
-    The bucket follows from all of a phrase's keys, by their bytes."""
+    """Rows, one a bucket, of counted phrases. The bucket follows from all of
+    a phrase's keys, by their bytes. Phrases lie ordered by number of keys and
+    first word, which compresses well."""
     import zlib
 
     import numpy as np
@@ -187,25 +223,25 @@ def _routed(names, keys, row, depth, weight, buckets: int):
         h[own] = _mixed(h[own] * np.uint64(0x9E3779B97F4A7C15) + code[keys[d, row[own]]])
     bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
     kinds = keys.shape[0] + 1
-    order = np.argsort(bucket * kinds + depth, kind="stable")
+    first = keys[min(1, kinds - 2), row]
+    order = np.argsort((bucket * kinds + depth) * (len(names) + 1) + first, kind="stable")
     bucket, row, depth, weight = bucket[order], row[order], depth[order], weight[order]
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, int)
-    used_all, lengths, packed, counts = [np.zeros(0, np.int64)], [], [], []
+    packed = []
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-        n = np.bincount(depth[s:e], minlength=kinds)
-        ends = s + np.cumsum(n)
-        own = np.concatenate([keys[:d, row[ends[d] - n[d]:ends[d]]].T.ravel() for d in range(1, kinds)])
+        ends = s + np.cumsum(np.bincount(depth[s:e], minlength=kinds))
+        spans = [(d, ends[d - 1], ends[d]) for d in range(1, kinds)]
+        own = np.concatenate([keys[:d, row[x:y]].ravel() for d, x, y in spans])
         used, place = _places(own, len(names))
-        used_all.append(used)
-        lengths.append(n.astype(np.int64).tobytes())
-        packed.append(place.astype(np.int32).tobytes())
-        counts.append(weight[s:e].astype(np.int64).tobytes())
-    offsets = np.concatenate([[0], np.cumsum([len(u) for u in used_all[1:]])]).astype(np.int32)
-    listed = pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(np.concatenate(used_all))))
+        groups, at = [], 0
+        for d, x, y in spans:
+            n = int(y - x)
+            groups.append((place[at:at + d * n].reshape(d, n), weight[x:y]))
+            at += d * n
+        packed.append(_pack(names.take(pa.array(used)), groups))
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[cuts[:-1]] if len(bucket) else [], pa.int32()), listed,
-         *(pa.array(c, pa.binary()) for c in (lengths, packed, counts))],
-        ["bucket", "names", "lengths", "keys", "counts"])
+        [pa.array(bucket[cuts[:-1]] if len(bucket) else [], pa.int32()), pa.array(packed, pa.binary())],
+        ["bucket", "phrases"])
 
 
 def block_phrases(docs: DataFrame, buckets: int, depth: int) -> DataFrame:
@@ -244,21 +280,16 @@ def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        grouped: list[list] = [[] for _ in range(depth + 2)]
-        listed = table.column("names").combine_chunks()
-        listed = listed.chunk(0) if isinstance(listed, pa.ChunkedArray) else listed
-        coded = listed.flatten().dictionary_encode()
+        parts = [_unpack(x) for x in table.column("phrases").to_pylist()]
+        coded = pa.concat_arrays([n for n, _ in parts]).dictionary_encode()
         number, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        first = listed.offsets.to_numpy() - listed.offsets[0].as_py()
-        for k, r in enumerate(table.select(["lengths", "keys", "counts"]).to_pylist()):
-            keys = number[first[k] + np.frombuffer(r["keys"], np.int32)]
-            counts = np.frombuffer(r["counts"], np.int64)
-            at = place = 0
-            for d, n in enumerate(np.frombuffer(r["lengths"], np.int64).tolist()):
-                if d and n:
-                    grouped[d].append((keys[place:place + d * n].reshape(n, d).T, counts[at:at + n]))
-                at += n
-                place += d * n
+        grouped: list[list] = [[] for _ in range(depth + 2)]
+        at = 0
+        for own, groups in parts:
+            for d, (keys, counts) in enumerate(groups, 1):
+                if len(counts):
+                    grouped[d].append((np.stack([number[at + k.astype(np.int64)] for k in keys]), counts.astype(np.int64)))
+            at += len(own)
         lang, words, phrase, f = [], [], [], []
         for d in range(1, depth + 2):
             if not grouped[d]:
