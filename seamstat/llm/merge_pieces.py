@@ -27,10 +27,10 @@ from .common import for_workers, read_table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"        # FIXED VALUE: the mark that stands for a space in pieces
 UNKNOWN_SURFACE = " ⁇ "    # FIXED VALUE: what an unknown id decodes to
-REMEMBERED = 200_000    # words a task remembers, at most ...
-REMEMBERED_CHARS = 48   # ... of at most this many characters
-SHORT = 64              # characters up to which the agenda is a plain list
-NEVER = float("-inf")   # score of a pair whose join is no piece
+REMEMBERED = 600_000    # words a worker remembers, at most
+SHORT = 48              # characters of a word that is remembered; longer texts have a heap
+NEVER = 1 << 30         # rank of a pair whose join is no piece
+PAD = 0xFFFF            # no symbol
 ROWS = 256
 
 # FIXED VALUES: numbers of the model file's fields and of its piece types.
@@ -71,6 +71,7 @@ class MergeVocabulary:
     def __init__(self, path: str):
         import struct
 
+        import numpy as np
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -80,7 +81,7 @@ class MergeVocabulary:
         trainer = dict(fields(next((v for k, v in model if k == 2), b"")))
         normalizer = dict(fields(next((v for k, v in model if k == 3), b"")))
         kinds = [p.get(3, NORMAL) for p in pieces]
-        if trainer.get(3, 1) != BPE or {USER_DEFINED, UNUSED} & set(kinds):
+        if trainer.get(3, 1) != BPE or {USER_DEFINED, UNUSED} & set(kinds) or len(pieces) > PAD:
             raise ValueError(f"{path}: not a plain merge-type vocabulary")
         self.prefix = bool(normalizer.get(3, 1))
         self.strips = bool(normalizer.get(4, 1))
@@ -90,43 +91,86 @@ class MergeVocabulary:
                       for p, k in zip(pieces, kinds, strict=True) if k == NORMAL}
         self.id_of = {p: i for i, (p, k) in enumerate(zip(self.pieces, kinds, strict=True)) if k == NORMAL}
         self.byte_id = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, kinds, strict=True)) if k == BYTE}
-        self.byte_of = {i: b for b, i in self.byte_id.items()}
+        self.byte_of = np.zeros(len(pieces), np.uint8)
+        self.byte_of[list(self.byte_id.values())] = list(self.byte_id)
         self.falls_back = bool(trainer.get(35, 0))
         self.unknown = kinds.index(UNKNOWN)
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
-        self.shown = [p.replace(SPACE, " ") for p in self.pieces]
+        self.first, self.last = (struct.pack("<I", i) for i in (self.begin, self.end))
+        self.shown = np.array([p.replace(SPACE, " ") for p in self.pieces], dtype=object)
+        self.kind_of = np.array(kinds, np.uint8)
+        # Every pair of pieces whose join is a piece, by key; equal scores have equal
+        # ranks. The last row stands for all other pairs.
+        order = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True))}
+        pairs = sorted((a << 16 | b, order[self.score[p]], i) for p, i in self.id_of.items() for k in range(1, len(p))
+                       if (a := self.id_of.get(p[:k])) is not None and (b := self.id_of.get(p[k:])) is not None)
+        self.pair_key, self.pair_rank, self.pair_join = (
+            np.array([row[c] for row in pairs] + [end], kind)
+            for c, end, kind in ((0, 0xFFFFFFFF, np.uint32), (1, NEVER, np.int32), (2, 0, np.uint16)))
+        self.first_id = np.full(0x110000, self.unknown, np.uint16)
+        for p, i in self.id_of.items():
+            if len(p) == 1:
+                self.first_id[ord(p)] = i
+        self.unknown_raw = struct.pack("<I", self.unknown)
         inner = re.compile(f"[^{SPACE}]{SPACE}")
         joined = {c for p in self.score if len(p) > 1 for c in p}
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
         self.words = None if any(inner.search(p) for p in self.score) else \
             re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def merged_word(self, word: str) -> list[str]:
-        """The same for a short text: the agenda is a list with a place for
-        each adjacent pair, and the first of the best scores is next."""
-        score, symbol = self.score.get, list(word)
-        agenda = [score(a + b, NEVER) for a, b in zip(symbol, symbol[1:], strict=False)]
-        while agenda:
-            best = max(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            piece = symbol[i] + symbol.pop(i + 1)
-            symbol[i] = piece
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = score(piece + symbol[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = score(symbol[i - 1] + piece, NEVER)
-        return symbol
+    def pairs_of(self, a, b):
+        """Place in the table of pairs of each pair of symbols, or its end."""
+        import numpy as np
+
+        key = a.astype(np.uint32) << np.uint32(16) | b.astype(np.uint32)
+        at = np.searchsorted(self.pair_key, key)
+        return np.where(self.pair_key[at] == key, at, len(self.pair_key) - 1)
+
+    def merge_words(self, words: list[str]) -> list[bytes]:
+        """Ids of many short texts. Each has its agenda, a row with the rank
+        of every adjacent pair, of which the first of the best is next; the
+        agendas of all texts move on together, a join each at a time."""
+        import numpy as np
+
+        out: list[bytes] = [b""] * len(words)
+        size = np.array([len(w) for w in words])
+        for block in np.array_split(np.argsort(size, kind="stable"), max(1, -(-len(words) // 4096))) if words else ():
+            own, n = [words[k] for k in block], size[block]
+            points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32)
+            inside = np.arange(n.max()) < n[:, None]
+            ids = np.full(inside.shape, PAD, np.uint16)
+            ids[inside] = self.first_id[points]
+            who, pair = block, self.pairs_of(ids[:, :-1], ids[:, 1:])
+            while True:
+                rank = self.pair_rank[pair]
+                i = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(who), np.int64)
+                go = rank[np.arange(len(who)), i] < NEVER if rank.shape[1] else np.zeros(len(who), bool)
+                for k, row in zip(who[~go].tolist(), ids[~go], strict=True):
+                    out[k] = row[row != PAD].astype("<u4").tobytes()
+                if not go.any():
+                    break
+                who, ids, pair, i = who[go], ids[go], pair[go], i[go]
+                row, at = np.arange(len(who)), np.arange(ids.shape[1] - 1)
+                join = self.pair_join[pair[row, i]]
+                ids = np.take_along_axis(ids, at + (at > i[:, None]), axis=1)
+                ids[row, i] = join
+                at = at[:-1]
+                pair = np.take_along_axis(pair, at + (at >= i[:, None]), axis=1)
+                some = np.flatnonzero(i > 0)
+                pair[some, i[some] - 1] = self.pairs_of(ids[some, i[some] - 1], join[some])
+                some = np.flatnonzero(i < pair.shape[1])
+                pair[some, i[some]] = self.pairs_of(join[some], ids[some, i[some] + 1])
+        # A character that is no piece: its bytes take its place.
+        for k, raw in enumerate(out):
+            if self.unknown_raw in raw and self.unknown in np.frombuffer(raw, "<u4"):
+                out[k] = self.raw_ids(words[k])
+        return out
 
     def merged(self, text: str) -> list[str]:
         """Symbols of a normalised text after all joins."""
         from heapq import heapify, heappop, heappush
 
-        if len(text) <= SHORT:
-            return self.merged_word(text)
 
         score, symbol = self.score, list(text)
         n = len(symbol)
@@ -157,7 +201,10 @@ class MergeVocabulary:
                     heappush(agenda, (-s, h, symbol[h] + piece, i))
         return [s for s in symbol if s]
 
-    def ids_of(self, part: str) -> list[int]:
+    def raw_ids(self, part: str) -> bytes:
+        """Ids of a part of a normalised text."""
+        from struct import pack
+
         ids = []
         for s in self.merged(part):
             i = self.id_of.get(s)
@@ -167,55 +214,67 @@ class MergeVocabulary:
                 ids += [self.byte_id[b] for b in s.encode()]
             else:
                 ids.append(self.unknown)
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text, with the begin and end ids."""
-        normal = self.library.normalize(text)
-        ids = [self.begin]
-        if self.words is None:
-            ids += self.ids_of(normal)
-        else:
-            known = self.known
-            for word in self.words.findall(normal):
-                own = known.get(word)
-                if own is None:
-                    own = self.ids_of(word)
-                    if len(word) <= REMEMBERED_CHARS:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = own
-                ids += own
-        ids.append(self.end)
-        if not self.falls_back:     # a run of unknown characters is one id
-            ids = [i for k, i in enumerate(ids) if i != self.unknown or ids[k - 1] != i]
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
+        return pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, with the begin and end ids, as little-endian unsigned
+        32-bit integers. Words not met before are encoded together."""
+        parts = [[n] if self.words is None else self.words.findall(n) for n in map(self.library.normalize, texts)]
+        known = self.known
+        found = [list(map(known.get, words)) for words in parts]
+        new = dict.fromkeys(w for words, own in zip(parts, found, strict=True) if None in own
+                            for w, x in zip(words, own, strict=True) if x is None)
+        if new:
+            short = [w for w in new if len(w) <= SHORT]
+            new.update(zip(short, self.merge_words(short), strict=True))
+            for w, raw in new.items():
+                if raw is None:
+                    new[w] = self.raw_ids(w)
+            for words, own in zip(parts, found, strict=True):
+                if None in own:
+                    own[:] = [new[w] if x is None else x for w, x in zip(words, own, strict=True)]
+            if len(known) + len(short) > REMEMBERED:
+                known.clear()
+            known.update((w, new[w]) for w in short)
+        out = [b"".join([self.first, *own, self.last]) for own in found]
+        return out if self.falls_back else [self.one_unknown(raw) for raw in out]
+
+    def one_unknown(self, raw: bytes) -> bytes:
+        """A run of unknown characters is one id."""
+        import numpy as np
+
+        ids = np.frombuffer(raw, "<u4")
+        again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
+        return ids[~again].tobytes()
+
+    def decode(self, raw: bytes) -> str:
         """Text of ids: byte ids in a row are UTF-8 (a byte that is not part
         of a character is U+FFFD), control ids are nothing, and the space
         that normalising puts in front is taken off."""
-        text, run, started = [], bytearray(), False
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                run.append(self.byte_of[i])
+        import numpy as np
+
+        ids = np.frombuffer(raw, "<u4")
+        kinds = self.kind_of[ids]
+        text, started = [], False
+        # Runs of ids of one kind; controls are runs too, as they end a run of bytes.
+        cuts = np.flatnonzero(np.concatenate([[True], kinds[1:] != kinds[:-1], [True]])) if len(ids) else [0]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            kind, own = kinds[s], ids[s:e]
+            if kind == CONTROL:
                 continue
-            if run:
-                text.append(bytes_text(run))
-                run.clear()
+            if kind == BYTE:
+                text.append(bytes_text(bytes(self.byte_of[own])))
                 started = True
-            if kind == CONTROL:
                 continue
-            shown = UNKNOWN_SURFACE if kind == UNKNOWN else self.shown[i]
-            if not started:
-                if kind != UNKNOWN and (self.prefix or self.strips) and shown[:1] == " ":
-                    shown = shown[1:]
+            shown = self.shown[own].tolist() if kind == NORMAL else [UNKNOWN_SURFACE] * len(own)
+            for k, x in enumerate(shown):
+                if started:
+                    break
+                if kind == NORMAL and (self.prefix or self.strips) and x[:1] == " ":
+                    x = shown[k] = x[1:]
                     started = not self.strips
-                started = started or bool(shown)
-            text.append(shown)
-        if run:
-            text.append(bytes_text(run))
+                started = started or bool(x)
+            text += shown
         return "".join(text)
 
 
@@ -276,13 +335,13 @@ def encode(docs: DataFrame, id: str = "doc_id", text: str = "text", model: str =
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 n, raw, back, same = [], [], [], []
-                for t in part.column(1).to_pylist():
-                    ids = v.encode(t or "")
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for t, own in zip(texts, v.encode(texts), strict=True):
+                    raw.append(own)
+                    back.append(v.decode(own))
+                    ids = np.frombuffer(own, "<u4").tolist()
                     n.append(len(ids))
-                    raw.append(np.array(ids, dtype="<u4").tobytes())
-                    back.append(v.decode(ids))
-                    same.append(v.library.encode(t or "", add_bos=True, add_eos=True) == ids
-                                and v.library.decode(ids) == back[-1])
+                    same.append(v.library.encode(t, add_bos=True, add_eos=True) == ids and v.library.decode(ids) == back[-1])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(raw, pa.binary()), pa.array(back, pa.string()),
                      pa.array(same, pa.bool_())], ["key", "n_tokens", "ids", "decoded", "agrees"])
