@@ -43,67 +43,85 @@ def equal_partitions(keys, weights=None, least: int = 1):
     name it. Partitions of less weight than ``least`` are abandoned, with all
     that is in them.
 
-    All open partitions are split in the same step: rows below, equal to and
-    above the partition's pivot go to three new ones; an equal one moves on to
-    the next key. So a step costs a few passes over the open rows, and an
+    All open partitions of a depth are split in the same step: rows below and
+    above the partition's pivot go to two new ones, those equal to it to the
+    next depth. So a step costs a few passes over the open rows, and an
     infrequent partition leaves them at once.
     """
     import numpy as np
 
-    depth_limit, n = keys.shape
+    limit, n = keys.shape
     w = np.ones(n, np.int64) if weights is None else weights
-    rows = np.arange(n if w.sum() >= least else 0)
-    sizes, depth = np.array([n], np.int64), np.zeros(1, np.int64)
+    rows = np.arange(n if n and w.sum() >= least else 0, dtype=np.int32)
+    sizes = np.array([n], np.int32)
     found = []
 
-    def emit(row, at, weight):
+    def emit(row, depth, weight):
         if len(row):
-            found.append((row, at, weight))
-
-    while len(rows):
-        # A partition of one row needs no more splitting: its prefixes follow.
-        one = sizes == 1
-        if one.any():
+            found.append((row, np.full(len(row), depth, np.int32), weight))
+
+    def alone(row, depth):
+        """A partition of one row needs no splitting: its prefixes follow."""
+        for d in range(depth, limit):
+            row = row[keys[d, row] >= 0]
+            emit(row, d + 1, w[row])
+
+    for d in range(limit):
+        key, deeper = keys[d][rows], []
+        while len(rows):
+            one = sizes == 1
+            if one.any():
+                own = np.repeat(one, sizes)
+                alone(rows[own], d)
+                rows, key, sizes = rows[~own], key[~own], sizes[~one]
+                if not len(rows):
+                    break
             starts = np.cumsum(sizes) - sizes
-            row, at = rows[starts[one]], depth[one]
-            for d in range(depth_limit):
-                own = row[at <= d]
-                ends = keys[d, own] < 0
-                row, at = (np.concatenate([row[at > d], own[~ends]]),
-                           np.concatenate([at[at > d], np.full(len(own) - ends.sum(), d)]))
-                own = own[~ends]
-                emit(own, np.full(len(own), d + 1), w[own])
-            rows, sizes, depth = rows[np.repeat(~one, sizes)], sizes[~one], depth[~one]
-            if not len(rows):
-                break
-        starts = np.cumsum(sizes) - sizes
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        key = keys[depth[of], rows]
-        pivot = key[starts + sizes // 2]
-        own = pivot[of]
-        below, equal = key < own, key == own
-        rest = [np.add.reduceat(m, starts, dtype=np.int64) for m in (below, equal)]
-        rest.append(sizes - rest[0] - rest[1])
-        if weights is None:
-            heavy = rest
-        else:
-            weight = w[rows]
-            heavy = [np.add.reduceat(weight * m, starts) for m in (below, equal)]
-            heavy.append(np.add.reduceat(weight, starts) - heavy[0] - heavy[1])
-        named = (pivot >= 0) & (heavy[1] >= least)
-        emit(rows[starts + sizes // 2][named], depth[named] + 1, heavy[1][named])
-        open_equal = named & (depth + 1 < depth_limit)
-        parts = [(below, (heavy[0] >= least) & (rest[0] > 0), rest[0], depth),
-                 (equal, open_equal, rest[1], depth + 1),
-                 (~(below | equal), (heavy[2] >= least) & (rest[2] > 0), rest[2], depth)]
-        rows = np.concatenate([rows[m & keep[of]] for m, keep, _, _ in parts])
-        sizes = np.concatenate([s[keep] for _, keep, s, _ in parts])
-        depth = np.concatenate([d[keep] for _, keep, _, d in parts])
+            middle = starts + sizes // 2
+            pivot = key[middle]
+            own = np.repeat(pivot, sizes)
+            below, equal = key < own, key == own
+            n_below, n_equal = (np.add.reduceat(m, starts, dtype=np.int32) for m in (below, equal))
+            n_above = sizes - n_below - n_equal
+            heavy = n_below, n_equal, n_above
+            if weights is not None:
+                weight = w[rows]
+                heavy = [np.add.reduceat(weight * m, starts) for m in (below, equal)]
+                heavy.append(np.add.reduceat(weight, starts) - heavy[0] - heavy[1])
+            named = (pivot >= 0) & (heavy[1] >= least)
+            emit(rows[middle[named]], d + 1, heavy[1][named].astype(np.int64))
+            if d + 1 < limit and named.any():
+                deeper.append((rows[equal & np.repeat(named, sizes)], n_equal[named]))
+            parts = []
+            for m, count, heavier in ((below, n_below, heavy[0]), (~(below | equal), n_above, heavy[2])):
+                keep = (count > 0) & (heavier >= least)
+                m = m if (keep | (count == 0)).all() else m & np.repeat(keep, sizes)
+                parts.append((rows[m], key[m], count[keep]))
+            rows, key, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        rows, sizes = (np.concatenate([np.zeros(0, np.int32), *x]) for x in zip(*deeper, strict=True)) if deeper else \
+            (rows[:0], sizes[:0])
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def may_be_frequent(keys, counts, least: int):
+    """Rows whose every key has ``least`` occurrences in all: no other can be in
+    an equal partition of that size. Each pass may rule out more."""
+    import numpy as np
+
+    left = np.arange(keys.shape[1])
+    while len(left):
+        ok = np.ones(len(left), bool)
+        for k in keys:
+            own = k[left]
+            ok &= np.bincount(own, weights=counts[left])[own] >= least
+        if ok.sum() > 0.9 * len(left):
+            return left[ok]
+        left = left[ok]
+    return left
+
+
 def _tables():
     """Byte tables: lower-cased with every separator as a space, whether a
     byte separates words, and whether it ends a piece."""
@@ -273,7 +291,7 @@ def block_phrases(docs: DataFrame, buckets: int, depth: int) -> DataFrame:
 COUNTS = "lang string, words int, phrase string, f long"
 
 
-def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
+def frequent_phrases(blocks: DataFrame, buckets: int, depth: int, least: int) -> DataFrame:
     """(lang, words, phrase, f) of the phrases with ``least`` occurrences at
     least, and a row with 0 words that counts all words of the language."""
     def merge(table):
@@ -295,7 +313,10 @@ def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
             if not grouped[d]:
                 continue
             keys = np.concatenate([k for k, _ in grouped[d]], axis=1)
-            row, at, weight = equal_partitions(keys, np.concatenate([c for _, c in grouped[d]]), least if d > 1 else 1)
+            counts, own_least = np.concatenate([c for _, c in grouped[d]]), least if d > 1 else 1
+            left = may_be_frequent(keys, counts, own_least)
+            keys, counts = keys[:, left], counts[left]
+            row, at, weight = equal_partitions(keys, counts, own_least)
             whole = at == d
             for i, n in zip(keys[:, row[whole]].T.tolist(), weight[whole].tolist(), strict=True):
                 lang.append(names[i[0]][1:])
@@ -306,7 +327,7 @@ def frequent_phrases(blocks: DataFrame, depth: int, least: int) -> DataFrame:
                          pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(f, pa.int64())],
                         names=["lang", "words", "phrase", "f"])
 
-    return blocks.groupBy("bucket").applyInArrow(merge, COUNTS)
+    return blocks.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(merge, COUNTS)
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = WORDS,
@@ -318,7 +339,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth
     own = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNDETERMINED)).alias("lang"), t.alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    return frequent_phrases(block_phrases(own, buckets, depth), depth, least)
+    return frequent_phrases(block_phrases(own, buckets, depth), buckets, depth, least)
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
