@@ -111,7 +111,6 @@ class MergeVocabulary:
         for p, i in self.id_of.items():
             if len(p) == 1:
                 self.first_id[ord(p)] = i
-        self.unknown_raw = struct.pack("<I", self.unknown)
         inner = re.compile(f"[^{SPACE}]{SPACE}")
         joined = {c for p in self.score if len(p) > 1 for c in p}
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
@@ -134,6 +133,7 @@ class MergeVocabulary:
         import numpy as np
 
         out: list[bytes] = [b""] * len(words)
+        odd: list[int] = []
         size = np.array([len(w) for w in words])
         for block in np.array_split(np.argsort(size, kind="stable"), max(1, -(-len(words) // 4096))) if words else ():
             own, n = [words[k] for k in block], size[block]
@@ -146,8 +146,14 @@ class MergeVocabulary:
                 rank = self.pair_rank[pair]
                 i = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(who), np.int64)
                 go = rank[np.arange(len(who)), i] < NEVER if rank.shape[1] else np.zeros(len(who), bool)
-                for k, row in zip(who[~go].tolist(), ids[~go], strict=True):
-                    out[k] = row[row != PAD].astype("<u4").tobytes()
+                done = ids[~go]
+                real = done != PAD
+                raw, ends = done[real].astype("<u4").tobytes(), (4 * real.sum(axis=1).cumsum()).tolist()
+                start = 0
+                for k, end in zip(who[~go].tolist(), ends, strict=True):
+                    out[k] = raw[start:end]
+                    start = end
+                odd += who[~go][(done == self.unknown).any(axis=1)].tolist()
                 if not go.any():
                     break
                 who, ids, pair, i = who[go], ids[go], pair[go], i[go]
@@ -162,9 +168,8 @@ class MergeVocabulary:
                 some = np.flatnonzero(i < pair.shape[1])
                 pair[some, i[some]] = self.pairs_of(join[some], ids[some, i[some] + 1])
         # A character that is no piece: its bytes take its place.
-        for k, raw in enumerate(out):
-            if self.unknown_raw in raw and self.unknown in np.frombuffer(raw, "<u4"):
-                out[k] = self.raw_ids(words[k])
+        for k in odd:
+            out[k] = self.raw_ids(words[k])
         return out
 
     def merged(self, text: str) -> list[str]:
