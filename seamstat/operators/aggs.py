@@ -37,6 +37,17 @@ def filtered_counts(spec: Sequence[tuple[str, Column]]) -> list[Column]:
     return [count_when(cond).alias(name) for name, cond in spec]
 
 
+def together(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a key side by side, in partitions of about the advisory size,
+    before an aggregate whose groups are wide and many: each task then holds
+    its own groups instead of a part of nearly all, so its partial aggregate
+    reduces, and its memory follows the size of a partition. A large key is
+    dealt over several partitions."""
+    place = "__place"
+    return df.withColumn(place, F.pmod(F.xxhash64(*keys), F.lit(65536)).cast("int")) \
+        .hint("rebalance", F.col(place)).drop(place)
+
+
 def rollup_total(df: DataFrame, keys: Sequence[str], team: str,
                  aggs: Sequence[Column], total_label: str = "TOT",
                  split_col: str = "split_type") -> DataFrame:

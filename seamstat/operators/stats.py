@@ -11,15 +11,16 @@ ratio.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from seamstat.functions import codes as K
-from seamstat.functions.exprs import (c, count_when, innings_notation, int_div,
+from seamstat.functions.exprs import (c, innings_notation, int_div,
                                       int_mod, pg_round, safe_div)
-from seamstat.operators.aggs import rollup_total
+from seamstat.operators.aggs import rollup_total, together
 from seamstat.operators.joins import unique_by
 
 
@@ -157,32 +158,42 @@ def event_counts(pitches: DataFrame, games: DataFrame, role: str,
     """Counters per (entity, season, team) plus total rows, with the
     aggregation pushed below the join with games.
 
-    Plate appearances are first counted per (game, entity, half-inning) --
-    a partial aggregate on the map side -- so the join shuffles one row per
-    entity and half-inning of a game instead of one per plate appearance.
-    Team and season are functions of the game, so summing these rows per
-    (entity, season, team) afterwards gives the same counts. There is this
-    one plan at every size; Spark alone chooses how to join.
+    Plate appearances are first counted per (game, entity, half-inning) and
+    kind -- the set of counters one adds to, as bits -- so the join shuffles
+    narrow rows, at most one per plate appearance, whatever the number of
+    counters. Team and season are functions of the game; the counters are
+    formed where the rows of an entity and season lie together, so no task
+    holds wide groups of entities spread over all games. There is this one
+    plan at every size; Spark alone chooses how to join.
     """
+    if len(counters) > 30:
+        raise ValueError("at most 30 counters")
     entity = p.batter if role == "batter" else p.pitcher
     ev = F.col(p.events)
     pa = prune_seasons(pitches, first, last).where(ev.isNotNull() & ~ev.isin(list(K.NOT_A_PA))).select(
         F.col(p.game_pk).alias("__g"), F.col(entity).alias(role),
         F.col(p.inning_topbot).alias("__half"), F.col(p.events).alias("events"),
         F.col(p.bb_type).alias("bb_type"))
+    # Bit 0 is the top half-inning, bit i + 1 counter i.
+    bits = [F.col("__half") == "Top", *(cond for _, cond in counters)]
+    half = reduce(lambda x, y: x + y, (F.when(b, F.lit(1 << i)).otherwise(F.lit(0))
+                                       for i, b in enumerate(bits)))
     names = [n for n, _ in counters]
     gm = regular_games(games, game_type, g, first, last).select(
         F.col(g.game_pk).alias("__g"), g.game_date, g.home_team, g.away_team)
-    pre = pa.groupBy("__g", role, "__half").agg(*[count_when(cond).alias(n) for n, cond in counters])
-    top = F.col("__half") == "Top"
+    pre = pa.select("__g", role, half.alias("__half")).groupBy("__g", role, "__half") \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    top = F.col("__half").bitwiseAND(F.lit(1)) != 0
     if role == "batter":
         team = F.when(top, F.col(g.away_team)).otherwise(F.col(g.home_team))
     else:
         team = F.when(top, F.col(g.home_team)).otherwise(F.col(g.away_team))
     j = pre.join(gm, "__g").select(role, F.year(g.game_date).alias("season"),
-                                   team.alias(f"{role}_team"), *names)
-    return rollup_total(j, [role, "season"], f"{role}_team",
-                        [F.sum(n).cast("bigint").alias(n) for n in names])
+                                   team.alias(f"{role}_team"), "__half", "__n")
+    has = lambda i: F.col("__half").bitwiseAND(F.lit(2 << i)) != 0
+    return rollup_total(together(j, [role, "season"]), [role, "season"], f"{role}_team",
+                        [F.sum(F.when(has(i), F.col("__n")).otherwise(F.lit(0))).cast("bigint").alias(n)
+                         for i, n in enumerate(names)])
 
 
 # ------------------------------------------------------------- batting --
