@@ -4,9 +4,8 @@ matrices).
 
 Every metric is decomposable -- a mean is a sum and a count, a rate is two
 counts -- so the metrics are declared once as specs and computed from the
-per-game partial aggregates that the split features use (``splits``): one
-scan and one pre-aggregation shuffle of pitches serve splits and advanced
-metrics together.
+per-pitch values that the split features use (``splits``): one scan and one
+join of pitches serve splits and advanced metrics together.
 """
 
 from __future__ import annotations
@@ -76,24 +75,25 @@ def pitching_advanced_spec(p: PitchCols = P, zone: str = "zone", pitch_type: str
     }
 
 
-def spec_partials(spec: dict, prefix: str = "adv") -> dict[str, Column]:
-    """Per-game partial aggregates of a spec (sums and counts)."""
-    out: dict[str, Column] = {}
+def spec_values(spec: dict, prefix: str = "adv") -> dict[str, tuple[Column, Column | None]]:
+    """Per-pitch values of a spec (mask, summed value or None for 1), whose
+    sums are its sums and counts."""
+    out: dict[str, tuple[Column, Column | None]] = {}
     for i, (name, s) in enumerate(spec.items()):
         key = f"__{prefix}{i}"
         if s[0] == "mean":
-            out[key + "_s"] = F.sum(F.when(s[1], s[2]).cast("double"))
-            out[key + "_n"] = F.count(F.when(s[1], s[2]))
+            out[key + "_s"] = s[1], s[2].cast("double")
+            out[key + "_n"] = s[1] & s[2].isNotNull(), None
         elif s[0] == "ratio":
-            out[key + "_s"] = F.count_if(s[1])
-            out[key + "_n"] = F.count_if(s[2])
+            out[key + "_s"] = s[1], None
+            out[key + "_n"] = s[2], None
         else:
-            out[key + "_s"] = F.count_if(s[1])
+            out[key + "_s"] = s[1], None
     return out
 
 
 def spec_finals(spec: dict, prefix: str = "adv") -> list[Column]:
-    """Season values from the summed partials."""
+    """Season values from the summed values."""
     out = []
     for i, (name, s) in enumerate(spec.items()):
         key = f"__{prefix}{i}"
@@ -107,7 +107,7 @@ def spec_finals(spec: dict, prefix: str = "adv") -> list[Column]:
 
 def _advanced(pitches, games, entity, spec, first, last, p, g):
     from seamstat.operators.splits import _season_pitches
-    df = _season_pitches(pitches, games, entity, p, g, first, last, spec_partials(spec))
+    df = _season_pitches(pitches, games, entity, p, g, first, last, spec_values(spec))
     return df.groupBy("player_id", "season").agg(*spec_finals(spec))
 
 

@@ -1,51 +1,60 @@
 """Platoon and half-season split features (DOM-13, DOM-14, JON-07).
 
-Both come from ONE scan of pitches: partial sums and counts per (game,
-entity) are combined on the map side, joined to regular-season games, and
-summed per (entity, season). Every split value is a conditional aggregate of
-those partials -- a pivot done inside the aggregation (no per-side
-aggregation, no join per side). A side or half with no pitches yields
-nulls, as a left join of the pivoted rows would. Averages and ratios are
-formed only at the end from sums and counts.
+Both come from ONE scan of pitches: the pitches' few columns are joined to
+regular-season games, rows of an entity and season are laid together, and
+their values are summed per (entity, season). Every split value is a
+conditional aggregate of the values -- a pivot done inside the aggregation
+(no per-side aggregation, no join per side). A side or half with no pitches
+yields nulls, as a left join of the pivoted rows would. Averages and ratios
+are formed only at the end from sums and counts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamstat.functions import codes as K
 from seamstat.functions.exprs import is_barrel, pg_round_double
+from seamstat.operators.aggs import together
 from seamstat.operators.stats import G, P, GameCols, PitchCols, prune_seasons, regular_games
 
+# A value of a pitch: the mask where it counts, and what is summed there (None: 1).
+Value = tuple[Column, Column | None]
+
 
 def _season_pitches(pitches: DataFrame, games: DataFrame, entity: str,
-                    p: PitchCols, g: GameCols, first, last, partials: dict[str, Column]) -> DataFrame:
-    """Partial sums and counts per game with the game's season and month.
+                    p: PitchCols, g: GameCols, first, last, values: dict[str, Value]) -> DataFrame:
+    """Values of each pitch, to be summed, with its game's season and month.
 
-    Split metrics are sums and counts, so they can be combined in stages:
-    partials are combined per (game, entity) on the map side first, so the
-    join with games shuffles one row per entity and game instead of one per
-    pitch. The final aggregate sums these partials.
+    The join and the exchange move narrow rows: the masks as bits of one
+    number and the columns that the values are formed from. The values, of
+    which there are many, are formed behind them.
     """
-    gm = regular_games(games, "R", g, first, last).select(F.col(g.game_pk).alias("__g"), g.game_date)
-    pre = prune_seasons(pitches, first, last).groupBy(
-        F.col(p.game_pk).alias("__g"), F.col(entity).alias("player_id")) \
-        .agg(*[v.alias(k) for k, v in partials.items()])
-    return pre.join(gm, "__g").select("player_id", F.year(g.game_date).alias("season"),
-                                      F.month(g.game_date).alias("__month"), *partials)
-
-
-def _cnt(mask: Column) -> Column:
-    return F.count_if(mask)
+    if len(values) > 62:
+        raise ValueError("at most 62 values")
+    gm = regular_games(games, "R", g, first, last).select(F.col(g.game_pk).alias("__g"),
+                                                          F.col(g.game_date).alias("__date"))
+    masks = reduce(lambda x, y: x + y, (F.when(m, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                                        for i, (m, _) in enumerate(values.values())))
+    rows = prune_seasons(pitches, first, last).withColumns(
+        {"__g": F.col(p.game_pk), "__player": F.col(entity), "__masks": masks}).join(gm, "__g") \
+        .withColumns({"__season": F.year("__date"), "__month": F.month("__date")})
+    return together(rows, ["__player", "__season"]).select(
+        F.col("__player").alias("player_id"), F.col("__season").alias("season"), "__month",
+        *[(F.when(F.col("__masks").bitwiseAND(F.lit(1 << i)) != 0, x) if x is not None else
+           F.shiftright("__masks", i).bitwiseAND(F.lit(1))).alias(k)
+          for i, (k, (_, x)) in enumerate(values.items())])
 
 
-def _sum(mask: Column, x: Column) -> Column:
-    return F.sum(F.when(mask, x))
+def _sum(mask: Column, x: Column) -> Value:
+    return mask, x
 
 
-def _n(mask: Column, x: Column) -> Column:
-    return F.count(F.when(mask, x))
+def _n(mask: Column, x: Column | None = None) -> Value:
+    return (mask if x is None else mask & x.isNotNull()), None
 
 
 def _tot(name: str, mask: Column | None = None) -> Column:
@@ -63,20 +72,20 @@ def _whiff_of(w: str, sw: str, mask: Column | None) -> Column:
     return pg_round_double(num / F.nullif(den, F.lit(0)), 3)
 
 
-def _pitch_partials(p: PitchCols, side_col: str, release: bool) -> dict[str, Column]:
+def _pitch_values(p: PitchCols, side_col: str, release: bool) -> dict[str, Value]:
     ls, xw, d = F.col(p.launch_speed), F.col(p.xwoba), F.col(p.description)
     tracked = ls.isNotNull()
     whiff, swing = d.isin(list(K.WHIFF)), d.isin(list(K.SWING))
-    out: dict[str, Column] = {}
+    out: dict[str, Value] = {}
     for side in ("L", "R"):
         m = F.col(side_col) == side
-        out.update({f"n_{side}": _cnt(m), f"ls_s_{side}": _sum(m & tracked, ls),
+        out.update({f"n_{side}": _n(m), f"ls_s_{side}": _sum(m & tracked, ls),
                     f"ls_n_{side}": _n(m & tracked, ls), f"xw_s_{side}": _sum(m & tracked, xw),
-                    f"xw_n_{side}": _n(m & tracked, xw), f"wh_{side}": _cnt(m & whiff),
-                    f"sw_{side}": _cnt(m & swing)})
+                    f"xw_n_{side}": _n(m & tracked, xw), f"wh_{side}": _n(m & whiff),
+                    f"sw_{side}": _n(m & swing)})
     t = F.lit(True)
     out.update({"ls_s": _sum(tracked, ls), "ls_n": _n(tracked, ls), "xw_s": _sum(tracked, xw),
-                "xw_n": _n(tracked, xw), "wh": _cnt(whiff), "sw": _cnt(swing)})
+                "xw_n": _n(tracked, xw), "wh": _n(whiff), "sw": _n(swing)})
     if release:
         out.update({"rs_s": _sum(t, F.col(p.release_speed)), "rs_n": _n(t, F.col(p.release_speed))})
     else:
@@ -96,7 +105,7 @@ def hitter_split_features(pitches: DataFrame, games: DataFrame,
     from seamstat.operators import advanced as A
     spec = A.batting_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.batter, p, g, first, last,
-                         {**_pitch_partials(p, p.p_throws, release=False), **A.spec_partials(spec)})
+                         {**_pitch_values(p, p.p_throws, release=False), **A.spec_values(spec)})
     aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"pitches_vs_{side}"),
@@ -132,7 +141,7 @@ def pitcher_split_features(pitches: DataFrame, games: DataFrame,
     from seamstat.operators import advanced as A
     spec = A.pitching_advanced_spec(p) if advanced else {}
     df = _season_pitches(pitches, games, p.pitcher, p, g, first, last,
-                         {**_pitch_partials(p, p.stand, release=True), **A.spec_partials(spec)})
+                         {**_pitch_values(p, p.stand, release=True), **A.spec_values(spec)})
     aggs = A.spec_finals(spec)
     for side in ("L", "R"):
         aggs += [F.nullif(_tot(f"n_{side}"), F.lit(0)).cast("bigint").alias(f"vs{side}_pitches"),
