@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seamstat.functions import codes as K
 from seamstat.plans import testdata as T
 from seamstat.plans.queries import _dbl, _store, register
-from seamstat.session import checkpoint_table_path
+from seamstat.session import checkpoint_table_path, small_methods
 from seamstat.sources import landed_json as LJ
 from seamstat.sources import schemas as S
 from seamstat.sources.readers import PITCHES
@@ -139,9 +139,10 @@ def q_landed_pitches_csv(spark, sf_dir):
     run = checkpoint_table_path(spark, f"landed_pitches/{uuid.uuid4().hex}")
     p = T.read(spark, sf_dir, "lineitem").select(*[F.expr(x).alias(c) for c, x in PITCH_COLUMNS.items()])
     top, bot = (os.path.join(run, x) for x in ("top", "bot"))
-    p.where("inning_topbot = 'Top'").write.option("header", True).csv(top)
     floats = _dbl(p.where("inning_topbot <> 'Top'"), ["batter", "at_bat_number", "zone", "on_1b"])
-    floats.select(F.lit("x").alias("extra"), *reversed(p.columns)).write.option("header", True).csv(bot)
+    with small_methods(spark):
+        p.where("inning_topbot = 'Top'").write.option("header", True).csv(top)
+        floats.select(F.lit("x").alias("extra"), *reversed(p.columns)).write.option("header", True).csv(bot)
     return read_pitches(spark, [top, bot], "csv")
 
 

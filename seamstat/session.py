@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -81,6 +82,20 @@ def checkpoint_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Within it, a stage whose generated method is too long for the JVM's
+    compiler (8000 bytes) runs as operators with short methods: a projection
+    of many expressions would else be interpreted. The setting is put back."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def sized_conf(input_bytes: int, executors: int, cores_per_executor: int,
                shuffle_fraction: float = 0.25,
                target_split_bytes: int = 512 * 1024 * 1024,

@@ -36,11 +36,12 @@ GAMES = StructType([StructField("game_pk", LongType()), StructField("game_date",
 def from_text(x: Column, to: DataType) -> Column:
     """A value of an untyped text column. A whole number may be written with
     a fraction of zeros (``3.0``); what does not parse, and a fraction where a
-    whole number is due, is null."""
+    whole number is due, is null. A text with a point goes to the decimal at
+    once: a cast that fails costs an exception."""
     if isinstance(to, (IntegerType, LongType)):
         number = x.try_cast("decimal(38,10)")
         whole = F.when(number == F.floor(number), number)
-        return F.coalesce(x.try_cast(to), whole.try_cast(to))
+        return F.coalesce(F.when(~x.contains("."), x.try_cast(to)), whole.try_cast(to))
     return x.try_cast(to)
 
 
