@@ -6,7 +6,7 @@ passes: one for the statistics, whose team and total rows are written once and
 feed the totals, the team string and every team context; one for splits and
 advanced metrics together. The assembled rows are written once too, before the
 season means, which join the rows to an aggregate of themselves, and so are the
-minor-league lines, which join twice (same and prior season). The written
+pitchers' minor-league lines, which join twice (same and prior season). The written
 tables are small (one row per player, season and team) and lie in the shared
 checkpoint folder, so a lost executor does not recompute a pitch pass.
 """
@@ -89,7 +89,7 @@ def hitter_features(t: Mapping[str, DataFrame], first: int | None = None,
     df = df.join(t["lineup_position"].select(*KEYS, "avg_lineup_pos",
                                              F.col("games").alias("lineup_games")), KEYS, "left")
     df = FT.lineup_flags(df)
-    milb = materialize(FT.milb_hitter_features(t["milb_batting"]), "milb_batting_lines")
+    milb = FT.milb_hitter_features(t["milb_batting"])
     return FT.with_milb(df, milb, K.HITTER_MILB_FILL)
 
 
